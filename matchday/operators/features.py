@@ -108,3 +108,100 @@ def round_cols(df: DataFrame, digits: int = 6, cols: Sequence[str] | None = None
     return df.select(
         *[F.round(F.col(c), digits).alias(c) if c in targets else F.col(c) for c in df.columns]
     )
+
+
+GOAL_STATS = ("ht_goal", "ft_goal")
+TEAM_ORDER = ("league_id", "event_date", "fixture_id")
+
+
+def team_stat_rows(
+    stats: DataFrame,
+    goals: DataFrame,
+    master: DataFrame,
+    as_of: str,
+) -> DataFrame:
+    """Per-team statistic rows: (fixture_id, event_date, league_id, team_id,
+    team_name, fixture_stat, val).
+
+    Detailed and goal statistics are stacked, joined to the fixture master
+    (inner: statistics of unfinished fixtures have no team and are dropped
+    by the reference as NULL keys), de-duplicated, split into one row per
+    side in a single scan, cut at ``as_of`` and NULL values read as 0.
+    """
+    from matchday.operators.reshape import home_away_rows
+
+    combo = stats.select("fixture_id", "fixture_stat", "home", "away").unionByName(
+        goals.select("fixture_id", "fixture_stat", "home", "away")
+    )
+    mcols = ["fixture_id", "event_date", "league_id", "home_team_id", "home_team_name",
+             "away_team_id", "away_team_name"]
+    j = combo.join(master.select(*mcols), "fixture_id").distinct()
+    rows = home_away_rows(
+        j,
+        ["fixture_id", "event_date", "league_id", "fixture_stat"],
+        {
+            "home": {"team_id": "home_team_id", "team_name": "home_team_name", "val": "home"},
+            "away": {"team_id": "away_team_id", "team_name": "away_team_name", "val": "away"},
+        },
+    ).distinct()
+    return rows.filter(F.col("event_date") <= F.lit(as_of).cast("timestamp_ntz")).select(
+        "fixture_id", "event_date", "league_id", "team_id", "team_name", "fixture_stat",
+        F.coalesce(F.col("val"), F.lit(0.0)).alias("val"),
+    )
+
+
+def team_feature_names(
+    stat_names: list[str], windows: FeatureWindows = FeatureWindows(), goal_stats=GOAL_STATS
+) -> list[str]:
+    names = []
+    for s in stat_names:
+        if s in goal_stats:
+            names += [feature_name(s, f"s{n}") for n in windows.sum_wind]
+        else:
+            names += [feature_name(s, f"m{n}") for n in windows.mean_wind]
+            names += [feature_name(s, f"sd{n}") for n in windows.sd_wind]
+    return sorted(names)
+
+
+def team_features(
+    rows: DataFrame,
+    stat_names: list[str],
+    windows: FeatureWindows = FeatureWindows(),
+    goal_stats: tuple[str, ...] = GOAL_STATS,
+) -> DataFrame:
+    """Wide team features, one row per (team, fixture).
+
+    Windows run on the LONG table partitioned by (team, statistic): a
+    fixture without a statistic has no row there, so the frame reaches one
+    fixture further back (a wide table would count a NULL row).  Then one
+    conditional aggregation unstacks the (feature, value) pairs.
+
+    Non-goal statistics get means (min 2 rows) and sample std (min 2);
+    goal statistics get sums (min 2).
+    """
+    is_goal = F.col("fixture_stat").isin(*goal_stats)
+    specs = [RollSpec("val", "mean", n, 2, f"m{n}") for n in windows.mean_wind]
+    specs += [RollSpec("val", "std", n, 2, f"sd{n}") for n in windows.sd_wind]
+    specs += [RollSpec("val", "sum", n, 2, f"s{n}") for n in windows.sum_wind]
+    rolled = rows.select(
+        "*", *rolling_columns(["team_id", "team_name", "fixture_stat"], list(TEAM_ORDER), specs)
+    )
+    # (kind, value) pairs relevant to the row's statistic family
+    pairs = []
+    for s in specs:
+        wanted = is_goal if s.fn == "sum" else ~is_goal
+        pairs.append(F.when(wanted, F.struct(F.lit(s.name).alias("k"), F.col(s.name).alias("v"))))
+    long = rolled.select(
+        "team_id", "team_name", "event_date", "fixture_id", "league_id", "fixture_stat",
+        F.explode(F.filter(F.array(*pairs), lambda x: x.isNotNull())).alias("_p"),
+    ).select(
+        "team_id", "team_name", "event_date", "fixture_id", "league_id",
+        F.concat(F.lower(F.regexp_replace("fixture_stat", " ", "_")), F.lit("_"), F.col("_p.k")).alias("feature"),
+        F.col("_p.v").alias("v"),
+    )
+    names = team_feature_names(stat_names, windows, goal_stats)
+    from matchday.operators.reshape import pivot_unique
+
+    return pivot_unique(
+        long, ["team_id", "team_name", "event_date", "fixture_id", "league_id"], "feature", names, "v"
+    )

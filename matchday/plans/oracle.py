@@ -51,7 +51,204 @@ SELECT {keys}, {outs} FROM rolled GROUP BY {keys}
     )
 
 
+_STATS_PARSED = """
+, parsed AS (
+  SELECT fixture_id, fixture_stat,
+         TRY_CAST(replace(home, '%', '') AS DOUBLE) AS home,
+         TRY_CAST(replace(away, '%', '') AS DOUBLE) AS away
+  FROM fixture_stats
+), counted AS (
+  SELECT *, count(home) OVER (PARTITION BY fixture_id, fixture_stat) AS n FROM parsed
+), collapsed AS (
+  SELECT fixture_id, fixture_stat, home, away FROM counted WHERE n <= 1
+  UNION ALL
+  SELECT fixture_id, fixture_stat, max(home) AS home, max(away) AS away
+  FROM counted WHERE n > 1 GROUP BY fixture_id, fixture_stat
+)"""
+
+_GOALS = """
+, goals_long AS (
+  SELECT fixture_id, 'home' AS team_side, 'ht_goal' AS fixture_stat, CAST(home_ht_goal AS DOUBLE) AS v FROM fixture_master
+  UNION ALL SELECT fixture_id, 'away', 'ht_goal', CAST(away_ht_goal AS DOUBLE) FROM fixture_master
+  UNION ALL SELECT fixture_id, 'home', 'ft_goal', CAST(home_ft_goal AS DOUBLE) FROM fixture_master
+  UNION ALL SELECT fixture_id, 'away', 'ft_goal', CAST(away_ft_goal AS DOUBLE) FROM fixture_master
+), goals AS (
+  SELECT fixture_id, fixture_stat,
+         AVG(CASE WHEN team_side = 'away' THEN v END) AS away,
+         AVG(CASE WHEN team_side = 'home' THEN v END) AS home
+  FROM goals_long GROUP BY fixture_id, fixture_stat
+)"""
+
+
+def _q07() -> str:
+    stats = ["Ball Possession", "Fouls", "Shots on Goal"]
+    goals = ["ht_goal", "ft_goal"]
+    outs = []
+    for s in stats:
+        base = s.replace(" ", "_").lower()
+        for k in ("m3", "m7", "sd10"):
+            outs.append(f"ROUND(AVG(CASE WHEN fixture_stat = '{s}' THEN {k} END), 6) AS {base}_{k}")
+    for s in goals:
+        for k in ("s3", "s7"):
+            outs.append(f"ROUND(AVG(CASE WHEN fixture_stat = '{s}' THEN {k} END), 6) AS {s}_{k}")
+    part = "PARTITION BY team_id, team_name, fixture_stat ORDER BY league_id, event_date, fixture_id"
+    return with_views(
+        _STATS_PARSED
+        + _GOALS
+        + f"""
+, combo AS (
+  SELECT DISTINCT s.fixture_id, m.event_date, m.league_id, m.home_team_id, m.home_team_name,
+         m.away_team_id, m.away_team_name, s.fixture_stat, s.home, s.away
+  FROM (SELECT fixture_id, fixture_stat, home, away FROM collapsed
+        UNION ALL SELECT fixture_id, fixture_stat, home, away FROM goals) s
+  JOIN fixture_master m ON s.fixture_id = m.fixture_id
+), team_rows AS (
+  SELECT DISTINCT * FROM (
+    SELECT fixture_id, event_date, league_id, fixture_stat, home_team_id AS team_id, home_team_name AS team_name, home AS val FROM combo
+    UNION ALL
+    SELECT fixture_id, event_date, league_id, fixture_stat, away_team_id, away_team_name, away FROM combo)
+), cut AS (
+  SELECT fixture_id, event_date, league_id, team_id, team_name, fixture_stat, COALESCE(val, 0.0) AS val
+  FROM team_rows WHERE event_date <= TIMESTAMP '2024-02-01 00:00:00'
+), rolled AS (
+  SELECT *,
+    CASE WHEN count(val) OVER w3 >= 2 THEN avg(val) OVER w3 END AS m3,
+    CASE WHEN count(val) OVER w7 >= 2 THEN avg(val) OVER w7 END AS m7,
+    CASE WHEN count(val) OVER w10 >= 2 THEN stddev_samp(val) OVER w10 END AS sd10,
+    CASE WHEN count(val) OVER w3 >= 2 THEN sum(val) OVER w3 END AS s3,
+    CASE WHEN count(val) OVER w7 >= 2 THEN sum(val) OVER w7 END AS s7
+  FROM cut
+  WINDOW w3 AS ({part} ROWS BETWEEN 2 PRECEDING AND CURRENT ROW),
+         w7 AS ({part} ROWS BETWEEN 6 PRECEDING AND CURRENT ROW),
+         w10 AS ({part} ROWS BETWEEN 9 PRECEDING AND CURRENT ROW)
+), wide AS (
+  SELECT team_id, team_name, event_date, fixture_id, league_id, {", ".join(outs)}
+  FROM rolled GROUP BY team_id, team_name, event_date, fixture_id, league_id
+)
+SELECT w.*, c.round_no
+FROM wide w LEFT JOIN (SELECT DISTINCT league_id, fixture_id, round_no FROM calendar) c
+  ON w.league_id = c.league_id AND w.fixture_id = c.fixture_id
+""",
+        "fixture_stats",
+        "fixture_master",
+        "calendar",
+    )
+
+
+_AMENDED = """
+, landing AS (
+  SELECT fixture_id, league_id,
+         CASE WHEN round_no % 2 = 0 AND status_short = 'PST' THEN event_date + INTERVAL 7 DAY ELSE event_date END AS event_date,
+         CASE WHEN round_no % 2 = 0 AND status_short = 'PST' THEN round_no + 1 ELSE round_no END AS round_no,
+         CASE WHEN round_no % 2 = 0 AND status_short = 'NS' THEN 'FT'
+              WHEN round_no % 2 = 0 AND status_short = 'PST' THEN 'NS' ELSE status_short END AS status_short
+  FROM calendar
+), amended AS (
+  SELECT fixture_id, league_id, event_date, round_no, status_short FROM calendar
+  UNION
+  SELECT fixture_id, league_id, event_date, round_no, status_short FROM landing
+)"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "q01_player_features": _q01(),
+        "q02_player_master": with_views(
+            """
+SELECT team, name, surname, role, min(season) AS season_min, max(season) AS season_max,
+       min(round_no) AS match_min, max(round_no) AS match_max
+FROM player_match GROUP BY team, name, surname, role""",
+            "player_match",
+        ),
+        "q03_player_target": with_views(
+            """
+, sk AS (SELECT DISTINCT name, surname, season FROM player_match),
+grid AS (SELECT sk.name, sk.surname, sk.season, CAST(r.range AS INT) AS round_no
+         FROM sk CROSS JOIN range(1, 39) r),
+j AS (
+  SELECT g.name, g.surname, g.season, g.round_no, p.team, p.fantavoto
+  FROM grid g LEFT JOIN player_match p
+    ON g.name = p.name AND g.surname = p.surname AND g.season = p.season AND g.round_no = p.round_no
+)
+SELECT season, round_no,
+  COALESCE(
+    last_value(team IGNORE NULLS) OVER (PARTITION BY name, surname, season ORDER BY round_no
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+    first_value(team IGNORE NULLS) OVER (PARTITION BY name, surname, season ORDER BY round_no
+                                         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS team,
+  name, surname,
+  lead(fantavoto) OVER (PARTITION BY name, surname, season ORDER BY round_no) AS fwd_fantavoto
+FROM j""",
+            "player_match",
+        ),
+        "q04_stat_collapse": with_views(
+            _STATS_PARSED + "\nSELECT * FROM collapsed", "fixture_stats"
+        ),
+        "q05_goals_unpivot_pivot": with_views(
+            _GOALS + "\nSELECT fixture_id, fixture_stat, ROUND(away, 6) AS away, ROUND(home, 6) AS home FROM goals",
+            "fixture_master",
+        ),
+        "q06_team_schedule": with_views(
+            """
+, m AS (SELECT f.*, s.season FROM fixture_master f JOIN league_season s ON f.league_id = s.league_id),
+rows AS (
+  SELECT fixture_id, league_id, event_date, season, home_team_id AS core_team_id,
+         away_team_id AS opponent_team_id, 'core' AS play_home FROM m
+  UNION ALL
+  SELECT fixture_id, league_id, event_date, season, away_team_id, home_team_id, 'oppo' FROM m
+)
+SELECT *, lead(opponent_team_id) OVER (PARTITION BY core_team_id, season
+                                       ORDER BY league_id, event_date, fixture_id) AS next_opponent
+FROM rows""",
+            "fixture_master",
+            "league_season",
+        ),
+        "q07_team_features": _q07(),
+        "q08_calendar_stale_drop": with_views(
+            _AMENDED
+            + """
+SELECT fixture_id, league_id, event_date, round_no, status_short FROM (
+  SELECT *, count(status_short) OVER (PARTITION BY fixture_id, league_id) AS n FROM amended
+) x WHERE NOT (n > 1 AND status_short = 'NS')""",
+            "calendar",
+        ),
+        "q09_last_round": with_views(
+            """
+, firsts AS (SELECT league_id, min(event_date) AS first_date FROM calendar GROUP BY league_id),
+recent AS (SELECT league_id FROM firsts WHERE first_date = (SELECT max(first_date) FROM firsts)),
+status_counts AS (
+  SELECT round_no, status_short, count(*) AS obs FROM calendar
+  WHERE league_id IN (SELECT league_id FROM recent) AND status_short IS NOT NULL
+  GROUP BY round_no, status_short
+), shares AS (
+  SELECT *, obs / sum(obs) OVER (PARTITION BY round_no) AS pct FROM status_counts
+), last AS (
+  SELECT max(CASE WHEN status_short = 'FT' AND pct > 0.5 THEN round_no END) AS last_round,
+         count(DISTINCT round_no) AS rounds_seen
+  FROM shares
+)
+SELECT last_round,
+       CASE WHEN last_round >= 3 THEN last_round - 2 ELSE 1 END AS start_round,
+       CASE WHEN last_round <= 36 THEN last_round + 2 ELSE 39 END AS final_round,
+       rounds_seen
+FROM last""",
+            "calendar",
+        ),
+        "q10_name_fix": with_views(
+            """
+, master AS (
+  SELECT team, name, surname, role, min(season) AS season_min, max(season) AS season_max,
+         min(round_no) AS match_min, max(round_no) AS match_max,
+         len(string_split(surname, ' ')) > 1 AS needs_review
+  FROM player_match GROUP BY team, name, surname, role
+)
+SELECT m.team,
+       CASE WHEN COALESCE(f.name_correct, f.surname_correct) IS NOT NULL THEN f.name_correct ELSE m.name END AS name,
+       CASE WHEN COALESCE(f.name_correct, f.surname_correct) IS NOT NULL THEN f.surname_correct ELSE m.surname END AS surname,
+       m.role, m.season_min, m.season_max, m.match_min, m.match_max, m.needs_review
+FROM master m LEFT JOIN name_fix f
+  ON m.name IS NOT DISTINCT FROM f.name AND m.surname IS NOT DISTINCT FROM f.surname""",
+            "player_match",
+            "name_fix",
+        ),
     }

@@ -4,16 +4,147 @@ DataFrame over the canonical views of :mod:`matchday.plans.views`."""
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from matchday.operators.features import player_features, round_cols
+from matchday.operators.calendar import last_played_round, player_target, team_schedule
+from matchday.operators.clean import (
+    apply_name_fix,
+    collapse_amended,
+    drop_stale_status,
+    needs_review,
+    parse_stat_values,
+)
+from matchday.operators.features import (
+    GOAL_STATS,
+    player_features,
+    round_cols,
+    team_features,
+    team_stat_rows,
+)
+from matchday.operators.reshape import pivot_mean, unpivot_split
 from matchday.plans import views as V
 
+# statistic names of the fixture_stats view (the pivot needs its value list)
+DETAIL_STATS = ["Ball Possession", "Fouls", "Shots on Goal"]
+
 
 def q01_player_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rolling player features (sums, std, presence count, centred means)."""
     return round_cols(player_features(V.player_match(spark, sf_dir)))
 
 
+def player_master(marks: DataFrame) -> DataFrame:
+    return marks.groupBy("team", "name", "surname", "role").agg(
+        F.min("season").alias("season_min"),
+        F.max("season").alias("season_max"),
+        F.min("round_no").alias("match_min"),
+        F.max("round_no").alias("match_max"),
+    )
+
+
+def q02_player_master(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players master: first/last season and round per team, name, role."""
+    return player_master(V.player_match(spark, sf_dir))
+
+
+def q03_player_target(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dense season grid, team filled both ways, next round's mark."""
+    return player_target(V.player_match(spark, sf_dir))
+
+
+def collapsed_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collapse_amended(parse_stat_values(V.fixture_stats(spark, sf_dir)))
+
+
+def q04_stat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Parse text statistics and collapse amended duplicates."""
+    return collapsed_stats(spark, sf_dir)
+
+
+def goal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    m = V.fixture_master(spark, sf_dir)
+    long = unpivot_split(
+        m,
+        ["fixture_id"],
+        ["home_ht_goal", "away_ht_goal", "home_ft_goal", "away_ft_goal"],
+        "team_side",
+        "fixture_stat",
+    )
+    return pivot_mean(long, ["fixture_id", "fixture_stat"], "team_side", ["away", "home"], "value")
+
+
+def q05_goals_unpivot_pivot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Goals per fixture: unpivot, split side/stat, pivot sides back."""
+    return round_cols(goal_stats(spark, sf_dir))
+
+
+def q06_team_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-team schedule rows with the next opponent of the season."""
+    return team_schedule(V.fixture_master(spark, sf_dir), V.league_season(spark, sf_dir))
+
+
+def team_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = team_stat_rows(
+        collapsed_stats(spark, sf_dir),
+        goal_stats(spark, sf_dir),
+        V.fixture_master(spark, sf_dir),
+        V.AS_OF,
+    )
+    wide = team_features(rows, DETAIL_STATS + list(GOAL_STATS))
+    cal = V.calendar(spark, sf_dir).select("league_id", "fixture_id", "round_no").distinct()
+    return wide.join(cal, ["league_id", "fixture_id"], "left")
+
+
+def q07_team_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rolling team features per fixture, with the calendar round."""
+    return round_cols(team_feature_table(spark, sf_dir))
+
+
+def amended_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar master plus a second landing in which statuses moved on:
+    not-started fixtures of even rounds are now finished, postponed ones of
+    even rounds are re-scheduled a week later."""
+    cal = V.calendar(spark, sf_dir)
+    even = F.col("round_no") % 2 == 0
+    st = F.col("status_short")
+    landing = cal.select(
+        "fixture_id",
+        "league_id",
+        F.when(even & (st == "PST"), F.col("event_date") + F.expr("INTERVAL 7 DAYS"))
+        .otherwise(F.col("event_date"))
+        .alias("event_date"),
+        F.when(even & (st == "PST"), F.col("round_no") + 1).otherwise(F.col("round_no")).alias("round_no"),
+        F.when(even & (st == "NS"), "FT").when(even & (st == "PST"), "NS").otherwise(st).alias("status_short"),
+    )
+    return cal.unionByName(landing).distinct()
+
+
+def q08_calendar_stale_drop(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Append a landing to the calendar master and drop stale NS rows."""
+    return drop_stale_status(amended_calendar(spark, sf_dir))
+
+
+def q09_last_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Last played round of the newest league and the scoring window."""
+    return last_played_round(V.calendar(spark, sf_dir))
+
+
+def q10_name_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Players master with manual name corrections applied."""
+    master = player_master(V.player_match(spark, sf_dir))
+    flagged = master.withColumn("needs_review", needs_review(F.col("surname")))
+    return apply_name_fix(flagged, V.name_fix(spark, sf_dir))
+
+
 QUERIES = {
     "q01_player_features": q01_player_features,
+    "q02_player_master": q02_player_master,
+    "q03_player_target": q03_player_target,
+    "q04_stat_collapse": q04_stat_collapse,
+    "q05_goals_unpivot_pivot": q05_goals_unpivot_pivot,
+    "q06_team_schedule": q06_team_schedule,
+    "q07_team_features": q07_team_features,
+    "q08_calendar_stale_drop": q08_calendar_stale_drop,
+    "q09_last_round": q09_last_round,
+    "q10_name_fix": q10_name_fix,
 }
