@@ -10,7 +10,7 @@ from matchday.operators.features import FeatureWindows, PlayerColumns, player_fe
 from matchday.plans.oracle_views import with_views
 
 
-def _q01() -> str:
+def _q01_body() -> str:
     cols, win = PlayerColumns(), FeatureWindows()
     part = "PARTITION BY name, surname ORDER BY season, round_no, team"
     exprs = []
@@ -30,9 +30,8 @@ def _q01() -> str:
     names = player_feature_names(cols, win)
     keys = "team, role, name, surname, season, round_no"
     outs = ", ".join(f"ROUND(AVG({n}), 6) AS {n}" for n in names)
-    return with_views(
-        f"""
-, base AS (
+    return f"""
+WITH base AS (
   SELECT team, name, surname, role, season, round_no,
          COALESCE(CAST(gol AS DOUBLE), 0.0) AS gol,
          COALESCE(CAST(ammonizione AS DOUBLE), 0.0) AS ammonizione,
@@ -46,9 +45,32 @@ def _q01() -> str:
   WINDOW {windows}
 )
 SELECT {keys}, {outs} FROM rolled GROUP BY {keys}
-""",
-        "player_match",
-    )
+"""
+
+
+def _q01() -> str:
+    return with_views(_q01_body(), "player_match")
+
+
+def _q03_body() -> str:
+    return """
+WITH sk AS (SELECT DISTINCT name, surname, season FROM player_match),
+grid AS (SELECT sk.name, sk.surname, sk.season, CAST(r.range AS INT) AS round_no
+         FROM sk CROSS JOIN range(1, 39) r),
+j AS (
+  SELECT g.name, g.surname, g.season, g.round_no, p.team, p.fantavoto
+  FROM grid g LEFT JOIN player_match p
+    ON g.name = p.name AND g.surname = p.surname AND g.season = p.season AND g.round_no = p.round_no
+)
+SELECT season, round_no,
+  COALESCE(
+    last_value(team IGNORE NULLS) OVER (PARTITION BY name, surname, season ORDER BY round_no
+                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+    first_value(team IGNORE NULLS) OVER (PARTITION BY name, surname, season ORDER BY round_no
+                                         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS team,
+  name, surname,
+  lead(fantavoto) OVER (PARTITION BY name, surname, season ORDER BY round_no) AS fwd_fantavoto
+FROM j"""
 
 
 _STATS_PARSED = """
@@ -80,7 +102,7 @@ _GOALS = """
 )"""
 
 
-def _q07() -> str:
+def _team_feat_ctes() -> str:
     stats = ["Ball Possession", "Fouls", "Shots on Goal"]
     goals = ["ht_goal", "ft_goal"]
     outs = []
@@ -92,7 +114,7 @@ def _q07() -> str:
         for k in ("s3", "s7"):
             outs.append(f"ROUND(AVG(CASE WHEN fixture_stat = '{s}' THEN {k} END), 6) AS {s}_{k}")
     part = "PARTITION BY team_id, team_name, fixture_stat ORDER BY league_id, event_date, fixture_id"
-    return with_views(
+    return (
         _STATS_PARSED
         + _GOALS
         + f"""
@@ -124,14 +146,129 @@ def _q07() -> str:
 ), wide AS (
   SELECT team_id, team_name, event_date, fixture_id, league_id, {", ".join(outs)}
   FROM rolled GROUP BY team_id, team_name, event_date, fixture_id, league_id
+), team_feat AS (
+  SELECT w.*, c.round_no
+  FROM wide w LEFT JOIN (SELECT DISTINCT league_id, fixture_id, round_no FROM calendar) c
+    ON w.league_id = c.league_id AND w.fixture_id = c.fixture_id
+)"""
+    )
+
+
+_TEAM_VIEWS = ("fixture_stats", "fixture_master", "calendar")
+
+
+def _q07() -> str:
+    return with_views(_team_feat_ctes() + "\nSELECT * FROM team_feat", *_TEAM_VIEWS)
+
+
+def _team_opp_ctes() -> str:
+    from matchday.plans.queries import TEAM_FEATURES as tf
+
+    feats = ", ".join(tf)
+    op_sel = ", ".join(f"{c} AS op_{c}" for c in tf)
+    op_cols = ", ".join("op_" + c for c in tf)
+    return _team_feat_ctes() + f"""
+, tfs AS (
+  SELECT t.*, s.season FROM team_feat t JOIN league_season s ON t.league_id = s.league_id
+  WHERE EXISTS (SELECT 1 FROM fixture_master m WHERE m.league_id = t.league_id AND m.fixture_id = t.fixture_id)
+), sched AS (
+  SELECT fixture_id, league_id, event_date, season, home_team_id AS core_team_id, away_team_id AS opponent_team_id
+  FROM fixture_master f JOIN league_season s USING (league_id)
+  UNION ALL
+  SELECT fixture_id, league_id, event_date, season, away_team_id, home_team_id
+  FROM fixture_master f JOIN league_season s USING (league_id)
+), sched_f AS (
+  SELECT * FROM sched x WHERE EXISTS (SELECT 1 FROM tfs t WHERE t.team_id = x.core_team_id
+                                      AND t.league_id = x.league_id AND t.fixture_id = x.fixture_id)
+), nxt AS (
+  SELECT core_team_id AS team_id, league_id, fixture_id,
+         lead(opponent_team_id) OVER (PARTITION BY core_team_id, season ORDER BY league_id, event_date, fixture_id) AS opponent_id
+  FROM sched_f
+), tfn AS (
+  SELECT t.*, n.opponent_id FROM tfs t LEFT JOIN nxt n
+    ON t.team_id = n.team_id AND t.league_id = n.league_id AND t.fixture_id = n.fixture_id
+), opp AS (
+  SELECT team_id AS opp_team_id, league_id AS opp_league_id, season AS opp_season, round_no AS opp_round_no, {op_sel}
+  FROM (SELECT *, row_number() OVER (PARTITION BY team_id, league_id, season, round_no
+                                     ORDER BY event_date DESC, fixture_id DESC) AS rk FROM tfn) z
+  WHERE rk = 1
+), team_opp AS (
+  SELECT t.team_id, m.team_gaz AS team_name, t.event_date, t.fixture_id, t.league_id, t.season, t.round_no,
+         t.opponent_id, {", ".join("t." + c for c in tf)}, {op_cols}
+  FROM tfn t
+  LEFT JOIN opp o ON t.opponent_id = o.opp_team_id AND t.league_id = o.opp_league_id
+                 AND t.season = o.opp_season AND t.round_no = o.opp_round_no
+  JOIN team_map m ON t.team_name = m.team_name
+)"""
+
+
+_OPP_VIEWS = _TEAM_VIEWS + ("league_season", "team_map")
+
+
+def _q11() -> str:
+    from matchday.plans.queries import TEAM_FEATURES as tf
+
+    cols = ", ".join([*tf, *["op_" + c for c in tf]])
+    rounded = ", ".join(f"ROUND({c}, 6) AS {c}" for c in [*tf, *["op_" + c for c in tf]])
+    del cols
+    return with_views(
+        _team_opp_ctes()
+        + f"""
+SELECT team_id, team_name, event_date, fixture_id, league_id, season, round_no, opponent_id, {rounded}
+FROM team_opp""",
+        *_OPP_VIEWS,
+    )
+
+
+def _q12() -> str:
+    from matchday.plans.queries import PLAYER_FEATURES as pfs, TEAM_FEATURES as tf
+
+    tcols = [*tf, *["op_" + c for c in tf]]
+    pw = "PARTITION BY name, surname, season ORDER BY round_no"
+    pfill = ", ".join(
+        f"last_value({c} IGNORE NULLS) OVER ({pw} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS {c}"
+        for c in pfs
+    )
+    tw = "PARTITION BY team, season ORDER BY round_no"
+    tfill = ", ".join(
+        f"CASE WHEN team IS NOT NULL THEN last_value({c} IGNORE NULLS) OVER ({tw} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS {c}"
+        for c in tcols
+    )
+    outs = ", ".join(f"ROUND({c}, 6) AS {c}" for c in [*pfs, *tcols])
+    pf_rounded = ", ".join(f"ROUND(AVG({c}), 6) AS {c}" for c in pfs)
+    return with_views(
+        _team_opp_ctes()
+        + f"""
+, pf AS ({_q01_body()}), tgt AS ({_q03_body()}),
+t AS (SELECT DISTINCT name, surname, season, round_no, team, fwd_fantavoto, fwd_fantavoto - 6.0 AS fwd_fv_scaled FROM tgt),
+j1 AS (
+  SELECT t.*, pf.role, {", ".join("pf." + c for c in pfs)}
+  FROM t LEFT JOIN pf ON t.name IS NOT DISTINCT FROM pf.name AND t.surname IS NOT DISTINCT FROM pf.surname
+                     AND t.season = pf.season AND t.round_no = pf.round_no
+), j2 AS (
+  SELECT name, surname, season, round_no, team, fwd_fantavoto, fwd_fv_scaled,
+    COALESCE(last_value(role IGNORE NULLS) OVER ({pw} ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
+             first_value(role IGNORE NULLS) OVER ({pw} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS role,
+    {pfill}
+  FROM j1
+), tr AS (
+  SELECT team_name, season, round_no, {", ".join(tcols)} FROM (
+    SELECT *, row_number() OVER (PARTITION BY team_name, season, round_no ORDER BY event_date DESC, fixture_id DESC) AS rk
+    FROM team_opp) z WHERE rk = 1
+), j3 AS (
+  SELECT j2.*, {", ".join("tr." + c for c in tcols)}
+  FROM j2 LEFT JOIN tr ON j2.team = tr.team_name AND j2.season = tr.season AND j2.round_no = tr.round_no
+), j4 AS (
+  SELECT name, surname, season, round_no, role, fwd_fantavoto, fwd_fv_scaled, {", ".join(pfs)}, {tfill}
+  FROM j3
 )
-SELECT w.*, c.round_no
-FROM wide w LEFT JOIN (SELECT DISTINCT league_id, fixture_id, round_no FROM calendar) c
-  ON w.league_id = c.league_id AND w.fixture_id = c.fixture_id
-""",
-        "fixture_stats",
-        "fixture_master",
-        "calendar",
+SELECT name, surname, season, round_no, role, ROUND(fwd_fantavoto, 6) AS fwd_fantavoto,
+       ROUND(fwd_fv_scaled, 6) AS fwd_fv_scaled, {outs},
+       CAST(role = 'A' AS DOUBLE) AS role_A, CAST(role = 'C' AS DOUBLE) AS role_C,
+       CAST(role = 'D' AS DOUBLE) AS role_D, CAST(role = 'P' AS DOUBLE) AS role_P
+FROM j4""",
+        *_OPP_VIEWS,
+        "player_match",
     )
 
 
@@ -160,27 +297,7 @@ SELECT team, name, surname, role, min(season) AS season_min, max(season) AS seas
 FROM player_match GROUP BY team, name, surname, role""",
             "player_match",
         ),
-        "q03_player_target": with_views(
-            """
-, sk AS (SELECT DISTINCT name, surname, season FROM player_match),
-grid AS (SELECT sk.name, sk.surname, sk.season, CAST(r.range AS INT) AS round_no
-         FROM sk CROSS JOIN range(1, 39) r),
-j AS (
-  SELECT g.name, g.surname, g.season, g.round_no, p.team, p.fantavoto
-  FROM grid g LEFT JOIN player_match p
-    ON g.name = p.name AND g.surname = p.surname AND g.season = p.season AND g.round_no = p.round_no
-)
-SELECT season, round_no,
-  COALESCE(
-    last_value(team IGNORE NULLS) OVER (PARTITION BY name, surname, season ORDER BY round_no
-                                        ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW),
-    first_value(team IGNORE NULLS) OVER (PARTITION BY name, surname, season ORDER BY round_no
-                                         ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING)) AS team,
-  name, surname,
-  lead(fantavoto) OVER (PARTITION BY name, surname, season ORDER BY round_no) AS fwd_fantavoto
-FROM j""",
-            "player_match",
-        ),
+        "q03_player_target": with_views(_q03_body(), "player_match"),
         "q04_stat_collapse": with_views(
             _STATS_PARSED + "\nSELECT * FROM collapsed", "fixture_stats"
         ),
@@ -234,6 +351,8 @@ SELECT last_round,
 FROM last""",
             "calendar",
         ),
+        "q11_opponent_join": _q11(),
+        "q12_training_set": _q12(),
         "q10_name_fix": with_views(
             """
 , master AS (

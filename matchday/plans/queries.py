@@ -6,6 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchday.operators.assemble import opponent_features, training_table
 from matchday.operators.calendar import last_played_round, player_target, team_schedule
 from matchday.operators.clean import (
     apply_name_fix,
@@ -16,7 +17,9 @@ from matchday.operators.clean import (
 )
 from matchday.operators.features import (
     GOAL_STATS,
+    player_feature_names,
     player_features,
+    team_feature_names,
     round_cols,
     team_features,
     team_stat_rows,
@@ -136,6 +139,41 @@ def q10_name_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return apply_name_fix(flagged, V.name_fix(spark, sf_dir))
 
 
+TEAM_FEATURES = team_feature_names(DETAIL_STATS + list(GOAL_STATS))
+PLAYER_FEATURES = player_feature_names()
+
+
+def team_opponent_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    seasons = V.league_season(spark, sf_dir)
+    master = V.fixture_master(spark, sf_dir)
+    tf = team_feature_table(spark, sf_dir).join(seasons, "league_id")
+    tf = tf.join(master.select("league_id", "fixture_id"), ["league_id", "fixture_id"], "left_semi")
+    return opponent_features(
+        tf, team_schedule(master, seasons), V.team_map(spark, sf_dir), TEAM_FEATURES
+    )
+
+
+def q11_opponent_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Team features with the next opponent's features (op_ prefix)."""
+    return round_cols(team_opponent_table(spark, sf_dir))
+
+
+def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    marks = V.player_match(spark, sf_dir)
+    return training_table(
+        player_target(marks),
+        player_features(marks),
+        team_opponent_table(spark, sf_dir),
+        PLAYER_FEATURES,
+        TEAM_FEATURES,
+    )
+
+
+def q12_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Player rows with player, team and opponent features and role dummies."""
+    return round_cols(training_set(spark, sf_dir))
+
+
 QUERIES = {
     "q01_player_features": q01_player_features,
     "q02_player_master": q02_player_master,
@@ -147,4 +185,6 @@ QUERIES = {
     "q08_calendar_stale_drop": q08_calendar_stale_drop,
     "q09_last_round": q09_last_round,
     "q10_name_fix": q10_name_fix,
+    "q11_opponent_join": q11_opponent_join,
+    "q12_training_set": q12_training_set,
 }
