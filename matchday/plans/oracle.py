@@ -220,7 +220,15 @@ FROM team_opp""",
     )
 
 
-def _q12() -> str:
+def _training_cols() -> list[str]:
+    from matchday.plans.queries import PLAYER_FEATURES as pfs, TEAM_FEATURES as tf
+
+    return ["name", "surname", "season", "round_no", "role", "fwd_fantavoto", "fwd_fv_scaled",
+            *pfs, *tf, *["op_" + c for c in tf], "role_A", "role_C", "role_D", "role_P"]
+
+
+def _training_ctes() -> str:
+    """CTE chain ending in ``ts``: the unrounded training table."""
     from matchday.plans.queries import PLAYER_FEATURES as pfs, TEAM_FEATURES as tf
 
     tcols = [*tf, *["op_" + c for c in tf]]
@@ -234,11 +242,7 @@ def _q12() -> str:
         f"CASE WHEN team IS NOT NULL THEN last_value({c} IGNORE NULLS) OVER ({tw} RANGE BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) END AS {c}"
         for c in tcols
     )
-    outs = ", ".join(f"ROUND({c}, 6) AS {c}" for c in [*pfs, *tcols])
-    pf_rounded = ", ".join(f"ROUND(AVG({c}), 6) AS {c}" for c in pfs)
-    return with_views(
-        _team_opp_ctes()
-        + f"""
+    return _team_opp_ctes() + f"""
 , pf AS ({_q01_body()}), tgt AS ({_q03_body()}),
 t AS (SELECT DISTINCT name, surname, season, round_no, team, fwd_fantavoto, fwd_fantavoto - 6.0 AS fwd_fv_scaled FROM tgt),
 j1 AS (
@@ -261,17 +265,110 @@ j1 AS (
 ), j4 AS (
   SELECT name, surname, season, round_no, role, fwd_fantavoto, fwd_fv_scaled, {", ".join(pfs)}, {tfill}
   FROM j3
+), ts AS (
+  SELECT *, CAST(role = 'A' AS DOUBLE) AS role_A, CAST(role = 'C' AS DOUBLE) AS role_C,
+         CAST(role = 'D' AS DOUBLE) AS role_D, CAST(role = 'P' AS DOUBLE) AS role_P
+  FROM j4
+)"""
+
+
+_TRAIN_VIEWS = _OPP_VIEWS + ("player_match",)
+
+
+def _rounded(cols, doubles) -> str:
+    return ", ".join(f"ROUND({c}, 6) AS {c}" if c in doubles else c for c in cols)
+
+
+def _q12() -> str:
+    cols = _training_cols()
+    doubles = set(cols[5:])
+    return with_views(_training_ctes() + f"\nSELECT {_rounded(cols, doubles)} FROM ts", *_TRAIN_VIEWS)
+
+
+def _q13() -> str:
+    cols = _training_cols()
+    keep = ["name", "surname", "season", "round_no", "fwd_fantavoto", "fwd_fv_scaled"]
+    avgs = ", ".join(f'AVG(CASE WHEN "{c}" IS NULL THEN 1.0 ELSE 0.0 END) AS "{c}"' for c in cols)
+    keep_list = ", ".join(f"'{c}'" for c in keep)
+    return with_views(
+        _training_ctes()
+        + f"""
+, shares AS (
+  UNPIVOT (SELECT {avgs} FROM ts) ON COLUMNS(*) INTO NAME column_name VALUE null_share
 )
-SELECT name, surname, season, round_no, role, ROUND(fwd_fantavoto, 6) AS fwd_fantavoto,
-       ROUND(fwd_fv_scaled, 6) AS fwd_fv_scaled, {outs},
-       CAST(role = 'A' AS DOUBLE) AS role_A, CAST(role = 'C' AS DOUBLE) AS role_C,
-       CAST(role = 'D' AS DOUBLE) AS role_D, CAST(role = 'P' AS DOUBLE) AS role_P
-FROM j4""",
-        *_OPP_VIEWS,
-        "player_match",
+SELECT column_name, ROUND(null_share, 6) AS null_share,
+       (null_share > 0.25 AND column_name NOT IN ({keep_list})) AS dropped
+FROM shares""",
+        *_TRAIN_VIEWS,
+    )
+
+
+def _q14() -> str:
+    cols = _training_cols()
+    share = " + ".join(f'CAST("{c}" IS NULL AS INT)' for c in cols)
+    return with_views(
+        _training_ctes()
+        + f"""
+, rs AS (SELECT *, ({share}) / {float(len(cols))} AS row_null_share FROM ts)
+SELECT name, surname, season, round_no, ROUND(fwd_fv_scaled, 6) AS fwd_fv_scaled,
+       ROUND(row_null_share, 6) AS row_null_share
+FROM rs WHERE row_null_share <= 0.3""",
+        *_TRAIN_VIEWS,
     )
 
 
+def _bin_case(v: str) -> tuple[str, str, str]:
+    from matchday.functions.bins import BIN_EDGES, CLASS_WEIGHTS
+
+    pairs = list(zip(BIN_EDGES[:-1], BIN_EDGES[1:]))
+    b = "CASE " + " ".join(f"WHEN {v} >= {lo} AND {v} < {hi} THEN CAST({lo} AS DOUBLE)" for lo, hi in pairs) + " END"
+    code = "CASE fv_bin " + " ".join(f"WHEN {lo} THEN {i}" for i, (lo, _) in enumerate(pairs)) + " END"
+    w = "CASE fv_bin " + " ".join(f"WHEN {lo} THEN CAST({wt} AS DOUBLE)" for (lo, _), wt in zip(pairs, CLASS_WEIGHTS)) + " END"
+    return b, code, w
+
+
+def _labelled_ctes() -> str:
+    b, code, w = _bin_case("fwd_fv_scaled")
+    return _training_ctes() + f"""
+, lb0 AS (
+  SELECT *, {b} AS fv_bin,
+         CAST(substr(surname, 2, 20) AS BIGINT) * 10000 + (season % 100) * 100 + round_no AS row_id
+  FROM ts WHERE fwd_fv_scaled IS NOT NULL
+), lb AS (SELECT *, {code} AS label, {w} AS weight FROM lb0)"""
+
+
+def _bins_values() -> str:
+    from matchday.functions.bins import BIN_EDGES, CLASS_WEIGHTS
+
+    rows = ", ".join(
+        f"(CAST({lo} AS DOUBLE), CAST({hi} AS DOUBLE), {i}, CAST({wt} AS DOUBLE))"
+        for i, (lo, hi, wt) in enumerate(zip(BIN_EDGES[:-1], BIN_EDGES[1:], CLASS_WEIGHTS))
+    )
+    return f"(VALUES {rows}) AS b(fv_bin, bin_upper, code, weight)"
+
+
+_SPLIT = """
+, hs AS (SELECT name, surname, season, round_no, row_id, role, fv_bin,
+                (row_id * 2654435761 + {seed}) % 4294967296 AS h FROM lb),
+rk AS (SELECT *, row_number() OVER (PARTITION BY fv_bin, role ORDER BY h, row_id) AS r,
+              count(*) OVER (PARTITION BY fv_bin, role) AS n FROM hs),
+sp AS (SELECT name, surname, season, round_no, row_id, role, fv_bin,
+              CASE WHEN r <= (n + 4) // 5 THEN 'test' ELSE 'train' END AS split FROM rk)"""
+
+
+def _pairs() -> str:
+    return "\n, pairs AS (SELECT vec_id, label AS truth, CAST(vec_id % 10 AS INT) AS pred FROM embeddings)"
+
+
+_PER_CLASS = """
+, conf AS (SELECT truth, pred, count(*) AS n FROM pairs GROUP BY truth, pred),
+t AS (SELECT truth AS label, sum(n) AS support, sum(CASE WHEN truth = pred THEN n ELSE 0 END) AS tp FROM conf GROUP BY truth),
+p AS (SELECT pred AS label, sum(n) AS predicted FROM conf GROUP BY pred),
+pc AS (SELECT COALESCE(t.label, p.label) AS label, COALESCE(tp, 0) AS tp, COALESCE(support, 0) AS support,
+              COALESCE(predicted, 0) AS predicted
+       FROM t FULL OUTER JOIN p ON t.label = p.label)"""
+
+
 _AMENDED = """
 , landing AS (
   SELECT fixture_id, league_id,
@@ -353,6 +450,72 @@ FROM last""",
         ),
         "q11_opponent_join": _q11(),
         "q12_training_set": _q12(),
+        "q13_sparse_columns": _q13(),
+        "q14_sparse_rows": _q14(),
+        "q15_bins": with_views(
+            _labelled_ctes()
+            + """
+SELECT name, surname, season, round_no, role, ROUND(fwd_fv_scaled, 6) AS fwd_fv_scaled, fv_bin, label, weight
+FROM lb""",
+            *_TRAIN_VIEWS,
+        ),
+        "q16_class_weights": with_views(
+            _labelled_ctes()
+            + f"""
+, cnt AS (SELECT fv_bin, count(*) AS n_rows FROM lb GROUP BY fv_bin)
+SELECT b.fv_bin, b.bin_upper, b.code, b.weight, COALESCE(cnt.n_rows, 0) AS n_rows
+FROM {_bins_values()} LEFT JOIN cnt ON b.fv_bin = cnt.fv_bin""",
+            *_TRAIN_VIEWS,
+        ),
+        "q17_stratified_split": with_views(
+            _labelled_ctes() + _SPLIT.format(seed=1298) + "\nSELECT * FROM sp", *_TRAIN_VIEWS
+        ),
+        "q18_folds": with_views(
+            _labelled_ctes()
+            + _SPLIT.format(seed=1298)
+            + """
+, trn AS (SELECT name, surname, season, round_no, row_id, role, fv_bin,
+                (row_id * 2654435761 + 1299) % 4294967296 AS h FROM sp WHERE split = 'train'),
+fr AS (SELECT *, row_number() OVER (PARTITION BY fv_bin ORDER BY h, row_id) AS r FROM trn)
+SELECT name, surname, season, round_no, row_id, role, fv_bin, CAST((r - 1) % 5 AS INT) AS fold FROM fr""",
+            *_TRAIN_VIEWS,
+        ),
+        "q19_confusion": """
+SELECT quality AS truth, toxic AS pred, count(*) AS n FROM labels GROUP BY quality, toxic""",
+        "q20_class_report": "WITH x AS (SELECT 1)" + _pairs() + _PER_CLASS + """
+, r AS (SELECT CAST(label AS VARCHAR) AS label,
+               CASE WHEN predicted > 0 THEN tp / predicted ELSE 0.0 END AS precision,
+               CASE WHEN support > 0 THEN tp / support ELSE 0.0 END AS recall, support, tp FROM pc),
+r2 AS (SELECT *, CASE WHEN precision + recall > 0 THEN 2 * precision * recall / (precision + recall) ELSE 0.0 END AS f1_score FROM r)
+SELECT label, ROUND(precision, 6) AS precision, ROUND(recall, 6) AS recall, ROUND(f1_score, 6) AS f1_score,
+       CAST(support AS BIGINT) AS support FROM r2
+UNION ALL SELECT 'accuracy', NULL, NULL, ROUND(sum(tp) / sum(support), 6), CAST(sum(support) AS BIGINT) FROM r2
+UNION ALL SELECT 'macro avg', ROUND(avg(precision), 6), ROUND(avg(recall), 6), ROUND(avg(f1_score), 6),
+                 CAST(sum(support) AS BIGINT) FROM r2
+UNION ALL SELECT 'weighted avg', ROUND(sum(precision * support) / sum(support), 6),
+                 ROUND(sum(recall * support) / sum(support), 6), ROUND(sum(f1_score * support) / sum(support), 6),
+                 CAST(sum(support) AS BIGINT) FROM r2""",
+        "q21_mcc": "WITH x AS (SELECT 1)" + _pairs() + _PER_CLASS + """
+, a AS (SELECT CAST(sum(support) AS DOUBLE) AS s, CAST(sum(tp) AS DOUBLE) AS c,
+               CAST(sum(predicted * support) AS DOUBLE) AS pt, CAST(sum(predicted * predicted) AS DOUBLE) AS pp,
+               CAST(sum(support * support) AS DOUBLE) AS tt,
+               avg(CASE WHEN support > 0 THEN tp / support END) AS bal FROM pc)
+SELECT CAST(s AS BIGINT) AS n, ROUND(c / s, 6) AS accuracy, ROUND(bal, 6) AS balanced_accuracy,
+       ROUND(CASE WHEN (s * s - pp) * (s * s - tt) > 0 THEN (c * s - pt) / sqrt((s * s - pp) * (s * s - tt)) ELSE 0.0 END, 6) AS mcc
+FROM a""",
+        "q22_regression_metrics": with_views(
+            """
+, b AS (SELECT fantavoto AS y, fantavoto - voto AS e FROM player_match
+        WHERE fantavoto IS NOT NULL AND voto IS NOT NULL)
+SELECT count(*) AS n, ROUND(avg(e * e), 6) AS mse, ROUND(1 - var_pop(e) / var_pop(y), 6) AS explained_variance,
+       ROUND(quantile_cont(abs(e), 0.5), 6) AS median_abs_error
+FROM b""",
+            "player_match",
+        ),
+        "q23_label_distribution": "WITH x AS (SELECT 1)" + _pairs() + """
+SELECT label, CAST(sum(t) AS BIGINT) AS n_true, CAST(sum(p) AS BIGINT) AS n_pred FROM (
+  SELECT truth AS label, 1 AS t, 0 AS p FROM pairs UNION ALL SELECT pred, 0, 1 FROM pairs
+) u GROUP BY label""",
         "q10_name_fix": with_views(
             """
 , master AS (

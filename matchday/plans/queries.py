@@ -24,7 +24,16 @@ from matchday.operators.features import (
     team_features,
     team_stat_rows,
 )
+from matchday.operators.metrics import (
+    class_report,
+    confusion,
+    label_distribution,
+    regression_scores,
+    summary_scores,
+)
+from matchday.operators.prune import drop_sparse_rows, row_null_share, sparse_column_report
 from matchday.operators.reshape import pivot_mean, unpivot_split
+from matchday.operators.split import class_weights, stratified_folds, stratified_split, with_bins
 from matchday.plans import views as V
 
 # statistic names of the fixture_stats view (the pivot needs its value list)
@@ -174,6 +183,96 @@ def q12_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_cols(training_set(spark, sf_dir))
 
 
+TRAIN_KEYS = ["name", "surname", "season", "round_no"]
+TARGETS = ["fwd_fantavoto", "fwd_fv_scaled"]
+
+
+def q13_sparse_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Null share of every training column and whether it is dropped."""
+    return round_cols(
+        sparse_column_report(training_set(spark, sf_dir), 0.25, exempt=TARGETS, keys=TRAIN_KEYS)
+    )
+
+
+def q14_sparse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows whose share of NULL fields is at most 0.3."""
+    ts = training_set(spark, sf_dir)
+    kept = drop_sparse_rows(ts, 0.3)
+    return round_cols(
+        kept.select(*TRAIN_KEYS, "fwd_fv_scaled", row_null_share(ts.columns).alias("row_null_share"))
+    )
+
+
+def labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Training rows with a target, its bin, class code and weight, and a
+    numeric row id built from the view keys (for hash splits)."""
+    ts = training_set(spark, sf_dir).filter(F.col("fwd_fv_scaled").isNotNull())
+    rid = (
+        F.substring("surname", 2, 20).cast("long") * 10000
+        + F.pmod(F.col("season"), F.lit(100)) * 100
+        + F.col("round_no")
+    )
+    return with_bins(ts.withColumn("row_id", rid), "fwd_fv_scaled")
+
+
+def q15_bins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target bin (left-closed, lower-edge label) and class code per row."""
+    lr = labelled_rows(spark, sf_dir)
+    return round_cols(lr.select(*TRAIN_KEYS, "role", "fwd_fv_scaled", "fv_bin", "label", "weight"))
+
+
+def q16_class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class frequencies and label-keyed class weights."""
+    return class_weights(labelled_rows(spark, sf_dir))
+
+
+def q17_stratified_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Deterministic 80/20 split stratified on (bin, role)."""
+    lr = labelled_rows(spark, sf_dir).select(*TRAIN_KEYS, "row_id", "role", "fv_bin")
+    return stratified_split(lr, ["fv_bin", "role"], "row_id")
+
+
+def q18_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class-stratified 5 folds over the training part of the split."""
+    lr = labelled_rows(spark, sf_dir).select(*TRAIN_KEYS, "row_id", "role", "fv_bin")
+    train = stratified_split(lr, ["fv_bin", "role"], "row_id").filter(F.col("split") == "train")
+    return stratified_folds(train.drop("split"), ["fv_bin"], "row_id")
+
+
+def label_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Multi-class (truth, prediction) pairs: embedding label vs a stand-in
+    prediction derived from the vector id."""
+    e = V.table(spark, sf_dir, "embeddings")
+    return e.select("vec_id", F.col("label").alias("truth"), F.pmod("vec_id", F.lit(10)).cast("int").alias("pred"))
+
+
+def q19_confusion(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confusion counts: quality (truth) vs toxic (prediction) labels."""
+    lab = V.table(spark, sf_dir, "labels")
+    return confusion(lab, "quality", "toxic")
+
+
+def q20_class_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per-class precision/recall/F1/support plus averages."""
+    return round_cols(class_report(label_pairs(spark, sf_dir), "truth", "pred"))
+
+
+def q21_mcc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accuracy, balanced accuracy and Matthews correlation."""
+    return round_cols(summary_scores(label_pairs(spark, sf_dir), "truth", "pred"))
+
+
+def q22_regression_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MSE, explained variance and median absolute error of voto vs fantavoto."""
+    pm = V.player_match(spark, sf_dir)
+    return round_cols(regression_scores(pm, "fantavoto", "voto"))
+
+
+def q23_label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """True vs predicted label counts aligned by label."""
+    return label_distribution(label_pairs(spark, sf_dir), "truth", "pred")
+
+
 QUERIES = {
     "q01_player_features": q01_player_features,
     "q02_player_master": q02_player_master,
@@ -187,4 +286,15 @@ QUERIES = {
     "q10_name_fix": q10_name_fix,
     "q11_opponent_join": q11_opponent_join,
     "q12_training_set": q12_training_set,
+    "q13_sparse_columns": q13_sparse_columns,
+    "q14_sparse_rows": q14_sparse_rows,
+    "q15_bins": q15_bins,
+    "q16_class_weights": q16_class_weights,
+    "q17_stratified_split": q17_stratified_split,
+    "q18_folds": q18_folds,
+    "q19_confusion": q19_confusion,
+    "q20_class_report": q20_class_report,
+    "q21_mcc": q21_mcc,
+    "q22_regression_metrics": q22_regression_metrics,
+    "q23_label_distribution": q23_label_distribution,
 }
