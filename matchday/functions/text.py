@@ -15,11 +15,16 @@ def _try_double(s: Column) -> Column:
     return s.try_cast("double")
 
 
+# plain decimal numbers only (no exponent, no inf/nan words)
+NUMBER_PATTERN = r"^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)$"
+
+
 def clean_cell(s: Column) -> Column:
-    """Table cell: strip white space, ``'-'`` or empty -> NULL, else a double."""
+    """Table cell: strip white space; ``'-'``, empty or non-numeric -> NULL,
+    else the number as a double."""
     stripped = F.regexp_replace(s, r"[\n\r\t ]", "")
-    return F.when(stripped.isin("-", ""), F.lit(None).cast("double")).otherwise(
-        _try_double(stripped)
+    return F.when(stripped.isin("-", ""), F.lit(None).cast("double")).when(
+        stripped.rlike(NUMBER_PATTERN), _try_double(stripped)
     )
 
 

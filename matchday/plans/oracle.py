@@ -384,6 +384,31 @@ _AMENDED = """
 )"""
 
 
+_HTML = r"""
+WITH pl AS (SELECT page_id, regexp_extract_all(html, '(?s)<ul>(.*?)</ul>', 1) AS lists FROM pages),
+l AS (SELECT page_id, unnest(lists) AS body, unnest(range(len(lists))) AS list_pos FROM pl),
+l20 AS (SELECT * FROM l WHERE list_pos < 20),
+it AS (
+  SELECT page_id, CAST(list_pos AS INT) AS list_pos,
+         unnest(regexp_extract_all(body, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)) AS href,
+         unnest(regexp_extract_all(body, '<li><a href="([^"]*)">([^<]*)</a></li>', 2)) AS text,
+         unnest(range(len(regexp_extract_all(body, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)))) AS item_pos
+  FROM l20
+), tk AS (
+  SELECT *, regexp_split_to_array(trim(text), ' +') AS toks,
+         regexp_replace(text, '[
+	 ]', '', 'g') AS stripped
+  FROM it
+)
+SELECT page_id, list_pos, CAST(item_pos AS INT) AS item_pos, href, text,
+       CASE WHEN len(toks) <= 1 THEN '' ELSE toks[1] END AS name,
+       CASE WHEN len(toks) <= 1 THEN toks[1] ELSE array_to_string(toks[2:], ' ') END AS surname,
+       CASE WHEN stripped IN ('-', '') THEN NULL
+            WHEN regexp_full_match(stripped, '[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)') THEN TRY_CAST(stripped AS DOUBLE)
+       END AS value
+FROM tk"""
+
+
 def oracle_sql() -> dict[str, str]:
     return {
         "q01_player_features": _q01(),
@@ -480,6 +505,40 @@ fr AS (SELECT *, row_number() OVER (PARTITION BY fv_bin ORDER BY h, row_id) AS r
 SELECT name, surname, season, round_no, row_id, role, fv_bin, CAST((r - 1) % 5 AS INT) AS fold FROM fr""",
             *_TRAIN_VIEWS,
         ),
+        "q24_html_extract": _HTML,
+        "q24b_html_extract_parser": _HTML,
+        "q25_json_unpack": """
+SELECT event_id, user_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events""",
+        "q26_worklist": with_views(
+            """
+, grid AS (SELECT DISTINCT league_id FROM calendar),
+g AS (SELECT league_id, CAST(r.range AS INT) AS round_no FROM grid CROSS JOIN range(1, 39) r),
+pr AS (SELECT * FROM g WHERE NOT EXISTS (
+         SELECT 1 FROM calendar c WHERE c.league_id = g.league_id AND c.round_no = g.round_no)),
+ps AS (SELECT DISTINCT fixture_id, league_id FROM fixture_master m WHERE NOT EXISTS (
+         SELECT 1 FROM fixture_stats s WHERE s.fixture_id = m.fixture_id)),
+work AS (
+  SELECT 'calendar' AS kind, league_id, round_no, CAST(NULL AS BIGINT) AS fixture_id,
+         'leagueid-' || league_id || '_round-' || round_no || '_.json' AS file_name,
+         'https://api.example.invalid/v2/fixtures/league/' || league_id || '/round/' || round_no AS url
+  FROM pr
+  UNION ALL
+  SELECT 'stats', league_id, CAST(NULL AS INT), fixture_id, 'fixtureid-' || fixture_id || '_.json',
+         'https://api.example.invalid/v2/statistics/fixture/' || fixture_id
+  FROM ps
+)
+SELECT * FROM work ORDER BY kind, league_id, COALESCE(round_no, 0), COALESCE(fixture_id, 0) LIMIT 100""",
+            "calendar",
+            "fixture_master",
+            "fixture_stats",
+        ),
+        "q27_time_normalise": """
+SELECT event_id,
+       strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_utc,
+       strftime(timezone('Europe/London', timezone('UTC', ts)), '%Y-%m-%d %H:%M:%S') AS ts_london,
+       CAST(floor(epoch(ts)) AS BIGINT) AS unix_s,
+       strftime(ts + INTERVAL 5 DAY, '%Y-%m-%d %H:%M:%S') AS cutoff_utc
+FROM events""",
         "q19_confusion": """
 SELECT quality AS truth, toxic AS pred, count(*) AS n FROM labels GROUP BY quality, toxic""",
         "q20_class_report": "WITH x AS (SELECT 1)" + _pairs() + _PER_CLASS + """

@@ -34,7 +34,17 @@ from matchday.operators.metrics import (
 from matchday.operators.prune import drop_sparse_rows, row_null_share, sparse_column_report
 from matchday.operators.reshape import pivot_mean, unpivot_split
 from matchday.operators.split import class_weights, stratified_folds, stratified_split, with_bins
+from matchday.operators.worklist import (
+    budgeted,
+    expand_template,
+    landing_name,
+    pending_fixtures,
+    pending_rounds,
+)
 from matchday.plans import views as V
+from matchday.sources.html import extract_list_items, extract_list_items_parsed
+from matchday.sources.json_api import unpack_envelope
+from pyspark.sql import types as T
 
 # statistic names of the fixture_stats view (the pivot needs its value list)
 DETAIL_STATS = ["Ball Possession", "Fouls", "Shots on Goal"]
@@ -273,6 +283,69 @@ def q23_label_distribution(spark: SparkSession, sf_dir: str) -> DataFrame:
     return label_distribution(label_pairs(spark, sf_dir), "truth", "pred")
 
 
+def q24_html_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """List items out of HTML pages (pattern path), names split, cells read."""
+    return extract_list_items(V.table(spark, sf_dir, "pages"))
+
+
+def q24b_html_extract_parser(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Same extraction through the HTML parser path (mapInPandas)."""
+    return extract_list_items_parsed(V.table(spark, sf_dir, "pages"))
+
+
+def q25_json_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """API envelopes around each event's payload, unpacked to rows."""
+    ev = V.table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "props")
+    env = ev.select(
+        "event_id", "user_id", "event_type",
+        F.concat(F.lit('{"api": {"results": 1, "fixtures": ['), F.col("props"), F.lit("]}}")).alias("payload"),
+    )
+    item = T.StructType([T.StructField("k", T.LongType())])
+    return unpack_envelope(env, "payload", "fixtures", item, keep=["event_id", "user_id", "event_type"])
+
+
+# --- fixed values: request templates of the data provider ---------------------
+ROUND_URL = "https://api.example.invalid/v2/fixtures/league/%%league_id%%/round/%%round%%"
+STATS_URL = "https://api.example.invalid/v2/statistics/fixture/%%fixture_id%%"
+# -------------------------------------------------------------------------------
+
+
+def q26_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Budgeted list of calendar rounds and fixture statistics to fetch."""
+    cal = V.calendar(spark, sf_dir)
+    rounds = pending_rounds(cal, cal).select(
+        F.lit("calendar").alias("kind"), "league_id", "round_no",
+        F.lit(None).cast("long").alias("fixture_id"),
+        landing_name([("leagueid", F.col("league_id")), ("round", F.col("round_no"))]).alias("file_name"),
+        expand_template(ROUND_URL, {"league_id": F.col("league_id"), "round": F.col("round_no")}).alias("url"),
+    )
+    stats = pending_fixtures(V.fixture_master(spark, sf_dir), V.fixture_stats(spark, sf_dir)).select(
+        F.lit("stats").alias("kind"), "league_id", F.lit(None).cast("int").alias("round_no"), "fixture_id",
+        landing_name([("fixtureid", F.col("fixture_id"))]).alias("file_name"),
+        expand_template(STATS_URL, {"fixture_id": F.col("fixture_id")}).alias("url"),
+    )
+    work = rounds.unionByName(stats)
+    return budgeted(
+        work, ["kind", "league_id", F.coalesce("round_no", F.lit(0)), F.coalesce("fixture_id", F.lit(0))]
+    )
+
+
+def q27_time_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Event instants as UTC text, London wall time, unix seconds, +5 days."""
+    from matchday.functions.timez import plus_days, to_local, unix_seconds
+
+    ev = V.table(spark, sf_dir, "events").select("event_id", "ts")
+    fmt = "yyyy-MM-dd HH:mm:ss"
+    ts = F.col("ts").cast("timestamp")
+    return ev.select(
+        "event_id",
+        F.date_format(ts, fmt).alias("ts_utc"),
+        F.date_format(to_local(ts, "Europe/London"), fmt).alias("ts_london"),
+        unix_seconds(ts).alias("unix_s"),
+        F.date_format(plus_days(ts, 5), fmt).alias("cutoff_utc"),
+    )
+
+
 QUERIES = {
     "q01_player_features": q01_player_features,
     "q02_player_master": q02_player_master,
@@ -297,4 +370,9 @@ QUERIES = {
     "q21_mcc": q21_mcc,
     "q22_regression_metrics": q22_regression_metrics,
     "q23_label_distribution": q23_label_distribution,
+    "q24_html_extract": q24_html_extract,
+    "q24b_html_extract_parser": q24b_html_extract_parser,
+    "q25_json_unpack": q25_json_unpack,
+    "q26_worklist": q26_worklist,
+    "q27_time_normalise": q27_time_normalise,
 }
