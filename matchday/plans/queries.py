@@ -376,3 +376,14 @@ QUERIES = {
     "q26_worklist": q26_worklist,
     "q27_time_normalise": q27_time_normalise,
 }
+
+
+def _register_model_jobs() -> None:
+    from matchday.plans import model_jobs as MJ
+
+    QUERIES["q28_train_score"] = MJ.q28_train_score
+    QUERIES["q28b_feature_importance"] = MJ.q28b_feature_importance
+    QUERIES["q30_permutation_importance"] = MJ.q30_permutation_importance
+
+
+_register_model_jobs()
