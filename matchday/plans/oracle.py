@@ -397,7 +397,8 @@ it AS (
 ), tk AS (
   SELECT *, regexp_split_to_array(trim(text), ' +') AS toks,
          regexp_replace(text, '[
-	 ]', '', 'g') AS stripped
+
+	 ]', '', 'g') AS stripped
   FROM it
 )
 SELECT page_id, list_pos, CAST(item_pos AS INT) AS item_pos, href, text,
@@ -539,6 +540,10 @@ SELECT event_id,
        CAST(floor(epoch(ts)) AS BIGINT) AS unix_s,
        strftime(ts + INTERVAL 5 DAY, '%Y-%m-%d %H:%M:%S') AS cutoff_utc
 FROM events""",
+        "q29_stream_upsert": """
+SELECT user_id, event_type, event_id, ts, value FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rk
+  FROM events) x WHERE rk = 1""",
         "q19_confusion": """
 SELECT quality AS truth, toxic AS pred, count(*) AS n FROM labels GROUP BY quality, toxic""",
         "q20_class_report": "WITH x AS (SELECT 1)" + _pairs() + _PER_CLASS + """

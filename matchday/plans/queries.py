@@ -378,11 +378,39 @@ QUERIES = {
 }
 
 
+def q29_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events landed as daily JSON folders, streamed (availableNow) with
+    watermark de-duplication and upserted into a master: latest event per
+    (user, event type)."""
+    import uuid
+
+    from matchday.session import scratch_path
+    from matchday.streaming.ingest import ingest_stream, land_by_day
+
+    ev = V.table(spark, sf_dir, "events").select(
+        "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "value"
+    )
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    land_by_day(ev, "ts", f"{base}/landing")
+    schema = T.StructType([
+        T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
+        T.StructField("event_type", T.StringType()), T.StructField("ts", T.TimestampType()),
+        T.StructField("value", T.DoubleType()),
+    ])
+    master = ingest_stream(
+        spark, f"{base}/landing", f"{base}/master", f"{base}/checkpoint", schema,
+        keys=["user_id", "event_type"], order=["ts", "event_id"], dedup_keys=["event_id"], ts="ts",
+    )
+    out = master.read()
+    return out.select("user_id", "event_type", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
+
+
 def _register_model_jobs() -> None:
     from matchday.plans import model_jobs as MJ
 
     QUERIES["q28_train_score"] = MJ.q28_train_score
     QUERIES["q28b_feature_importance"] = MJ.q28b_feature_importance
+    QUERIES["q29_stream_upsert"] = q29_stream_upsert
     QUERIES["q30_permutation_importance"] = MJ.q30_permutation_importance
 
 
