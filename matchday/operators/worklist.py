@@ -30,7 +30,7 @@ def landing_name(parts: Sequence[tuple[str, Column]]) -> Column:
 def parse_landing_name(name: Column) -> Column:
     """Inverse of :func:`landing_name`: ``map<key, value>``."""
     body = F.regexp_replace(F.regexp_replace(name, r"\.json$", ""), "_$", "")
-    return F.str_to_map(body, "_", "-")
+    return F.str_to_map(body, F.lit("_"), F.lit("-"))
 
 
 def expand_template(template: str, params: dict[str, Column]) -> Column:

@@ -43,7 +43,8 @@ def read_round_csvs(
     raw = spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE").csv(path)
     fields = F.array(*[F.col(f"_c{i}") for i in range(max_fields)])
     rows = raw.select(F.col("_metadata.file_name").alias("_file"), fields.alias("_v"))
-    is_header = F.array_contains(F.col("_v"), header_key)
+    # array_contains is NULL (not false) when the array holds NULLs
+    is_header = F.coalesce(F.array_contains(F.col("_v"), header_key), F.lit(False))
     headers = rows.filter(is_header).select("_file", F.col("_v").alias("_h"))
     data = rows.filter(~is_header).join(headers, "_file")
     out = []
