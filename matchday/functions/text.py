@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def percent_to_double(s: Column) -> Column:
     """``'55%'`` -> 55.0, ``'7'`` -> 7.0, anything else -> NULL."""
-    return _try_double(F.regexp_replace(s, "%", ""))
+    return _try_double(F.replace(s, F.lit("%"), F.lit("")))
 
 
 def _try_double(s: Column) -> Column:

@@ -179,29 +179,43 @@ def team_features(
     Non-goal statistics get means (min 2 rows) and sample std (min 2);
     goal statistics get sums (min 2).
     """
+    from pyspark.sql import Window
+
+    keys = ["team_id", "team_name", "fixture_stat"]
+    base = Window.partitionBy(*keys).orderBy(*TEAM_ORDER)
+    lengths = sorted(set(windows.mean_wind) | set(windows.sum_wind) | set(windows.sd_wind))
+    frame = {n: base.rowsBetween(-(n - 1), Window.currentRow) for n in lengths}
+    v = F.col("val")
+    # one count and one sum per frame length serve both means and sums
+    # (Spark's avg is exactly sum / count), std only where needed
+    cnt = {n: F.count(v).over(frame[n]) for n in lengths}
+    tot = {n: F.sum(v).over(frame[n]) for n in set(windows.mean_wind) | set(windows.sum_wind)}
+    std = {n: F.stddev_samp(v).over(frame[n]) for n in windows.sd_wind}
     is_goal = F.col("fixture_stat").isin(*goal_stats)
-    specs = [RollSpec("val", "mean", n, 2, f"m{n}") for n in windows.mean_wind]
-    specs += [RollSpec("val", "std", n, 2, f"sd{n}") for n in windows.sd_wind]
-    specs += [RollSpec("val", "sum", n, 2, f"s{n}") for n in windows.sum_wind]
+    kinds = {}
+    for n in windows.mean_wind:
+        kinds[f"m{n}"] = F.when(~is_goal & (cnt[n] >= 2), tot[n] / cnt[n])
+    for n in windows.sd_wind:
+        kinds[f"sd{n}"] = F.when(~is_goal & (cnt[n] >= 2), std[n])
+    for n in windows.sum_wind:
+        kinds[f"s{n}"] = F.when(is_goal & (cnt[n] >= 2), tot[n])
     rolled = rows.select(
-        "*", *rolling_columns(["team_id", "team_name", "fixture_stat"], list(TEAM_ORDER), specs)
-    )
-    # (kind, value) pairs relevant to the row's statistic family
-    pairs = []
-    for s in specs:
-        wanted = is_goal if s.fn == "sum" else ~is_goal
-        pairs.append(F.when(wanted, F.struct(F.lit(s.name).alias("k"), F.col(s.name).alias("v"))))
-    long = rolled.select(
         "team_id", "team_name", "event_date", "fixture_id", "league_id", "fixture_stat",
-        F.explode(F.filter(F.array(*pairs), lambda x: x.isNotNull())).alias("_p"),
-    ).select(
-        "team_id", "team_name", "event_date", "fixture_id", "league_id",
-        F.concat(F.lower(F.regexp_replace("fixture_stat", " ", "_")), F.lit("_"), F.col("_p.k")).alias("feature"),
-        F.col("_p.v").alias("v"),
+        *[e.alias(k) for k, e in kinds.items()],
     )
+    # unstack: one conditional aggregate per (statistic, kind) - no explode
+    aggs = []
+    for st in stat_names:
+        goal = st in goal_stats
+        for k in kinds:
+            if k.startswith("s") and not k.startswith("sd"):
+                if not goal:
+                    continue
+            elif goal:
+                continue
+            aggs.append(
+                F.avg(F.when(F.col("fixture_stat") == st, F.col(k))).alias(feature_name(st, k))
+            )
+    wide = rolled.groupBy("team_id", "team_name", "event_date", "fixture_id", "league_id").agg(*aggs)
     names = team_feature_names(stat_names, windows, goal_stats)
-    from matchday.operators.reshape import pivot_unique
-
-    return pivot_unique(
-        long, ["team_id", "team_name", "event_date", "fixture_id", "league_id"], "feature", names, "v"
-    )
+    return wide.select("team_id", "team_name", "event_date", "fixture_id", "league_id", *names)

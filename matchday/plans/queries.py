@@ -165,7 +165,11 @@ PLAYER_FEATURES = player_feature_names()
 def team_opponent_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     seasons = V.league_season(spark, sf_dir)
     master = V.fixture_master(spark, sf_dir)
-    tf = team_feature_table(spark, sf_dir).join(seasons, "league_id")
+    from matchday.session import materialize
+
+    # the team feature table feeds three branches (support keys, own side,
+    # opponent side): compute it once
+    tf = materialize(team_feature_table(spark, sf_dir)).join(seasons, "league_id")
     tf = tf.join(master.select("league_id", "fixture_id"), ["league_id", "fixture_id"], "left_semi")
     return opponent_features(
         tf, team_schedule(master, seasons), V.team_map(spark, sf_dir), TEAM_FEATURES

@@ -77,3 +77,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A sub-folder of the shared checkpoint folder for written tables."""
     base = checkpoint_dir(spark)
     return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+
+
+def materialize(df):
+    """Reliable checkpoint into the shared checkpoint folder: the table is
+    computed once, later branches read it back, and its lineage is cut (a
+    lost executor re-reads the files instead of recomputing the upstream
+    plan).  Used where one derived table feeds several branches."""
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
