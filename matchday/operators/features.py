@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchday.functions.names import feature_name
-from matchday.operators.rolling import RollSpec, rolling_columns
+from matchday.operators.rolling import RollSpec, rolling_columns, windowed
 
 
 @dataclass(frozen=True)
@@ -77,7 +77,22 @@ def player_features(
         for n in windows.mean_wind:
             specs.append(RollSpec(c, "mean", n, 1, feature_name(c, f"m{n}")))
     order = list(cols.order) + [c for c in cols.extra_order if c not in cols.order]
-    rolled = prepared.select(*keys, *rolling_columns(cols.entity, order, specs))
+
+    def build(spec):
+        from pyspark.sql import Window
+
+        out = []
+        for s in specs:
+            w = spec.rowsBetween(-(s.rows - 1), Window.currentRow)
+            v = F.col(s.source)
+            agg = {"sum": F.sum, "mean": F.avg, "std": F.stddev_samp}[s.fn](v).over(w)
+            out.append(F.when(F.count(v).over(w) >= s.min_rows, agg).alias(s.name))
+        return out
+
+    halo = max(s.rows for s in specs) - 1
+    rolled = windowed(prepared, list(cols.entity), order, build, halo, bucket_prefix=1).select(
+        *keys, *[s.name for s in specs]
+    )
     names = sorted(s.name for s in specs)
     if dedupe_mean:
         rolled = rolled.groupBy(*keys).agg(*[F.avg(n).alias(n) for n in names])
@@ -182,27 +197,33 @@ def team_features(
     from pyspark.sql import Window
 
     keys = ["team_id", "team_name", "fixture_stat"]
-    base = Window.partitionBy(*keys).orderBy(*TEAM_ORDER)
     lengths = sorted(set(windows.mean_wind) | set(windows.sum_wind) | set(windows.sd_wind))
-    frame = {n: base.rowsBetween(-(n - 1), Window.currentRow) for n in lengths}
-    v = F.col("val")
-    # one count and one sum per frame length serve both means and sums
-    # (Spark's avg is exactly sum / count), std only where needed
-    cnt = {n: F.count(v).over(frame[n]) for n in lengths}
-    tot = {n: F.sum(v).over(frame[n]) for n in set(windows.mean_wind) | set(windows.sum_wind)}
-    std = {n: F.stddev_samp(v).over(frame[n]) for n in windows.sd_wind}
     is_goal = F.col("fixture_stat").isin(*goal_stats)
-    kinds = {}
-    for n in windows.mean_wind:
-        kinds[f"m{n}"] = F.when(~is_goal & (cnt[n] >= 2), tot[n] / cnt[n])
-    for n in windows.sd_wind:
-        kinds[f"sd{n}"] = F.when(~is_goal & (cnt[n] >= 2), std[n])
-    for n in windows.sum_wind:
-        kinds[f"s{n}"] = F.when(is_goal & (cnt[n] >= 2), tot[n])
-    rolled = rows.select(
-        "team_id", "team_name", "event_date", "fixture_id", "league_id", "fixture_stat",
-        *[e.alias(k) for k, e in kinds.items()],
-    )
+    kind_names = [f"m{n}" for n in windows.mean_wind] + [f"sd{n}" for n in windows.sd_wind] + [
+        f"s{n}" for n in windows.sum_wind
+    ]
+
+    def build(base):
+        frame = {n: base.rowsBetween(-(n - 1), Window.currentRow) for n in lengths}
+        v = F.col("val")
+        # one count and one sum per frame length serve both means and sums
+        # (Spark's avg is exactly sum / count), std only where needed
+        cnt = {n: F.count(v).over(frame[n]) for n in lengths}
+        tot = {n: F.sum(v).over(frame[n]) for n in set(windows.mean_wind) | set(windows.sum_wind)}
+        std = {n: F.stddev_samp(v).over(frame[n]) for n in windows.sd_wind}
+        out = []
+        for n in windows.mean_wind:
+            out.append(F.when(~is_goal & (cnt[n] >= 2), tot[n] / cnt[n]).alias(f"m{n}"))
+        for n in windows.sd_wind:
+            out.append(F.when(~is_goal & (cnt[n] >= 2), std[n]).alias(f"sd{n}"))
+        for n in windows.sum_wind:
+            out.append(F.when(is_goal & (cnt[n] >= 2), tot[n]).alias(f"s{n}"))
+        return out
+
+    base_cols = rows.select("team_id", "team_name", "event_date", "fixture_id", "league_id", "fixture_stat", "val")
+    # bucket = (league, date): a prefix of the order, so positions stay exact
+    rolled = windowed(base_cols, keys, list(TEAM_ORDER), build, max(lengths) - 1, bucket_prefix=2)
+    kinds = {k: None for k in kind_names}
     # unstack: one conditional aggregate per (statistic, kind) - no explode
     aggs = []
     for st in stat_names:
