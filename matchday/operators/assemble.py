@@ -45,12 +45,14 @@ def opponent_features(
     sched = schedule.join(
         support.withColumnRenamed("team_id", "core_team_id"), ["core_team_id", *keys], "left_semi"
     )
-    w = Window.partitionBy("core_team_id", "season").orderBy("league_id", "event_date", "fixture_id")
-    nxt = sched.select(
-        F.col("core_team_id").alias("team_id"),
-        *keys,
-        F.lead("opponent_team_id").over(w).alias("opponent_id"),
-    )
+    from matchday.operators.rolling import windowed
+
+    nxt = windowed(
+        sched.select("core_team_id", "season", "league_id", "event_date", "fixture_id", "opponent_team_id"),
+        ["core_team_id", "season"], ["league_id", "event_date", "fixture_id"],
+        lambda spec: [F.lead("opponent_team_id").over(spec).alias("opponent_id")],
+        halo=0, ahead=1, bucket_prefix=2,
+    ).select(F.col("core_team_id").alias("team_id"), *keys, "opponent_id")
     tf = team_feat.join(nxt, ["team_id", *keys], "left")
     opp = latest_per_key(
         tf, ["team_id", "league_id", "season", rnd], ["event_date", "fixture_id"], feature_cols

@@ -116,11 +116,14 @@ def team_schedule(
         },
         side_col="play_home",
     )
-    w = Window.partitionBy("core_team_id", "season").orderBy("league_id", "event_date", "fixture_id")
-    return rows.select(
-        "*",
-        F.when(
-            F.col("core_team_id").isNotNull() & F.col("season").isNotNull(),
-            F.lead("opponent_team_id").over(w),
-        ).alias("next_opponent"),
+    from matchday.operators.rolling import windowed
+
+    def build(spec):
+        guard = F.col("core_team_id").isNotNull() & F.col("season").isNotNull()
+        return [F.when(guard, F.lead("opponent_team_id").over(spec)).alias("next_opponent")]
+
+    # a team-season can be long: heavy ones go through the chunked plan
+    return windowed(
+        rows, ["core_team_id", "season"], ["league_id", "event_date", "fixture_id"], build,
+        halo=0, ahead=1, bucket_prefix=2,
     )

@@ -122,9 +122,10 @@ def _chunked(
     halo: int,
     bucket_prefix: int,
     chunk_rows: int,
+    ahead: int = 0,
 ) -> DataFrame:
-    # a frame must never need rows from two chunks back
-    chunk_rows = max(chunk_rows, halo + 1)
+    # a frame must never need rows from two chunks away
+    chunk_rows = max(chunk_rows, halo + 1, ahead + 1)
     pre = order[:bucket_prefix]
     rest = order[bucket_prefix:]
     counts = df.groupBy(*keys, *pre).agg(F.count(F.lit(1)).alias("_bc"))
@@ -143,8 +144,11 @@ def _chunked(
         cond = e if cond is None else cond & e
     pos = ranked.join(o, cond).withColumn("_pos", F.col("_off") + F.col("_rk"))
     chunk = F.floor(F.col("_pos") / F.lit(chunk_rows))
-    in_halo = (F.pmod(F.col("_pos"), F.lit(chunk_rows)) >= chunk_rows - halo) & F.lit(halo > 0)
-    dup = F.explode(F.when(in_halo, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0))))
+    within = F.pmod(F.col("_pos"), F.lit(chunk_rows))
+    tail = (within >= chunk_rows - halo) & F.lit(halo > 0)     # also needed by the next chunk
+    head = (within < ahead) & F.lit(ahead > 0)                 # also needed by the previous chunk
+    dup = F.explode(F.filter(F.array(F.lit(0), F.when(tail, F.lit(1)), F.when(head, F.lit(-1))),
+                             lambda x: x.isNotNull()))
     expanded = pos.select("*", dup.alias("_dup")).withColumn("_chunk", chunk + F.col("_dup"))
     spec = Window.partitionBy(*keys, "_chunk").orderBy("_pos")
     rolled = expanded.select(*df.columns, "_dup", *build(spec))
@@ -160,10 +164,12 @@ def windowed(
     bucket_prefix: int = 1,
     hot_rows: int | None = None,
     chunk_rows: int | None = None,
+    ahead: int = 0,
 ) -> DataFrame:
     """``df`` plus the columns ``build(spec)`` returns, where ``spec`` is the
     partition/order to apply frames to (``spec.rowsBetween(-k, 0)``, k <=
-    ``halo``).  Light entities use one plain window; entities above
+    ``halo``; ``lead(.., k)`` with k <= ``ahead``).  Light entities use one
+    plain window; entities above
     ``hot_rows`` rows (session conf ``matchday.rolling.hotRows``) the
     chunked plan described above.  ``hot_rows=0`` forces the plain plan."""
     keys, order = list(keys), list(order)
@@ -182,7 +188,7 @@ def windowed(
     cold = df.join(F.broadcast(heavy), keys, "left_anti")
     hot_df = df.join(F.broadcast(heavy), keys, "left_semi")
     return cold.select("*", *build(plain_spec)).unionByName(
-        _chunked(hot_df, keys, order, build, halo, bucket_prefix, chunk)
+        _chunked(hot_df, keys, order, build, halo, bucket_prefix, chunk, ahead)
     )
 
 

@@ -85,3 +85,17 @@ def test_skew_safe_rolling_equals_plain(spark):
     for chunk in (16, 4):  # 4 < halo 9: clamped so no frame spans two chunks back
         chunked = rolling_skew_safe(df, ["g"], ["season", "t"], specs, hot_rows=50, chunk_rows=chunk)
         assert sorted((tuple(r) for r in chunked.collect()), key=str) == plain
+
+
+def test_skew_safe_lead_equals_plain(spark):
+    from pyspark.sql import Window
+
+    from matchday.operators.rolling import windowed
+
+    df = spark.range(300).select(
+        F.when(F.col("id") % 5 == 0, "c").otherwise("hot").alias("g"),
+        (F.col("id") % 4).alias("b"), F.col("id").alias("t"), (F.col("id") * 3 % 17).alias("v"))
+    build = lambda spec: [F.lead("v").over(spec).alias("nxt"), F.lag("v").over(spec).alias("prv")]
+    plain = df.select("*", *build(Window.partitionBy("g").orderBy("b", "t")))
+    got = windowed(df, ["g"], ["b", "t"], build, halo=1, ahead=1, hot_rows=40, chunk_rows=7)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in plain.collect())
