@@ -118,15 +118,18 @@ def random_param_maps(est, n_draws: int, seed: int = 1298) -> list[dict]:
     trees ~ U{300..999}, depth ~ U{4..12}, rate ~ InvGamma(1.8),
     subsample / colsample ~ U{0.6, 0.8, 1.0}, gain ~ LogNormal(0, 0.75)."""
     rng = random.Random(seed)
+    inner = est.getClassifier() if isinstance(est, OneVsRest) else est
+    trees = inner.getParam("maxIter") if inner.hasParam("maxIter") else inner.getParam("numTrees")
     maps = []
     for _ in range(n_draws):
         m = {
-            est.maxIter: rng.randint(300, 999),
-            est.maxDepth: rng.randint(4, 12),
-            est.stepSize: min(1.0, 1.0 / rng.gammavariate(1.8, 1.0)),
-            est.subsamplingRate: rng.choice([0.6, 0.8, 1.0]),
-            est.minInfoGain: rng.lognormvariate(0.0, 0.75),
+            trees: rng.randint(300, 999),
+            inner.getParam("maxDepth"): rng.randint(4, 12),
+            inner.getParam("subsamplingRate"): rng.choice([0.6, 0.8, 1.0]),
+            inner.getParam("minInfoGain"): rng.lognormvariate(0.0, 0.75),
         }
+        if inner.hasParam("stepSize"):
+            m[inner.getParam("stepSize")] = min(1.0, 1.0 / rng.gammavariate(1.8, 1.0))
         maps.append(m)
     return maps
 
@@ -208,3 +211,14 @@ def feature_importance(model: PipelineModel) -> list[tuple[str, float]]:
 def accuracy(df: DataFrame, truth: str = "label", pred: str = "prediction") -> float:
     r = df.agg(F.avg((F.col(truth).cast("double") == F.col(pred)).cast("double")).alias("a")).first()
     return float(r["a"]) if r and r["a"] is not None else math.nan
+
+
+def validate(pipeline: Pipeline, sample: DataFrame, fold_col: str = "fold") -> list[float]:
+    """Accuracy of each fold model on its held-out fold (the fold models
+    are fitted on the other folds of ``sample``)."""
+    folds = sorted(r[fold_col] for r in sample.select(fold_col).distinct().collect())
+    out = []
+    for f in folds:
+        m = pipeline.fit(sample.filter(F.col(fold_col) != f))
+        out.append(accuracy(m.transform(sample.filter(F.col(fold_col) == f))))
+    return out

@@ -127,3 +127,8 @@ def team_schedule(
         rows, ["core_team_id", "season"], ["league_id", "event_date", "fixture_id"], build,
         halo=0, ahead=1, bucket_prefix=2,
     )
+
+
+def fixtures_per_round(cal: DataFrame, league: str = "league_id", rnd: str = "round_no") -> DataFrame:
+    """Data-quality count: fixtures per (league, round)."""
+    return cal.groupBy(league, rnd).agg(F.count("*").alias("n_fixtures"))

@@ -122,3 +122,10 @@ def stratified_folds(
     h = df.withColumn("_h", mult_hash(F.col(id_col), seed + 1))
     r = exact_rank(h, strata, "_h", id_col, out="_r")
     return r.select(*df.columns, F.pmod(F.col("_r") - 1, F.lit(n_folds)).cast("int").alias("fold"))
+
+
+def validation_sample(df: DataFrame, id_col: str, n: int = 1000, seed: int = SPLIT_SEED) -> DataFrame:
+    """A fixed sample of ``n`` rows: the smallest by hash (a top-k, each task
+    keeps only its best ``n`` rows) instead of "the first n rows", which has
+    no meaning on a distributed table."""
+    return df.withColumn("_h", mult_hash(F.col(id_col), seed)).orderBy("_h", id_col).limit(n).drop("_h")

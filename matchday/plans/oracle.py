@@ -544,6 +544,10 @@ FROM events""",
 SELECT user_id, event_type, event_id, ts, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rk
   FROM events) x WHERE rk = 1""",
+        "q09b_fixtures_per_round": with_views(
+            "SELECT league_id, round_no, count(*) AS n_fixtures FROM calendar GROUP BY league_id, round_no",
+            "calendar",
+        ),
         "q19_confusion": """
 SELECT quality AS truth, toxic AS pred, count(*) AS n FROM labels GROUP BY quality, toxic""",
         "q20_class_report": "WITH x AS (SELECT 1)" + _pairs() + _PER_CLASS + """

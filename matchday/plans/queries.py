@@ -7,7 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from matchday.operators.assemble import opponent_features, training_table
-from matchday.operators.calendar import last_played_round, player_target, team_schedule
+from matchday.operators.calendar import (
+    fixtures_per_round,
+    last_played_round,
+    player_target,
+    team_schedule,
+)
 from matchday.operators.clean import (
     apply_name_fix,
     collapse_amended,
@@ -151,6 +156,11 @@ def q09_last_round(spark: SparkSession, sf_dir: str) -> DataFrame:
     return last_played_round(V.calendar(spark, sf_dir))
 
 
+def q09b_fixtures_per_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Data-quality count of fixtures per league and round."""
+    return fixtures_per_round(V.calendar(spark, sf_dir))
+
+
 def q10_name_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Players master with manual name corrections applied."""
     master = player_master(V.player_match(spark, sf_dir))
@@ -360,6 +370,7 @@ QUERIES = {
     "q07_team_features": q07_team_features,
     "q08_calendar_stale_drop": q08_calendar_stale_drop,
     "q09_last_round": q09_last_round,
+    "q09b_fixtures_per_round": q09b_fixtures_per_round,
     "q10_name_fix": q10_name_fix,
     "q11_opponent_join": q11_opponent_join,
     "q12_training_set": q12_training_set,

@@ -52,3 +52,21 @@ def test_model_learns_separable_classes(spark, tmpdir_path):
     scored = M.score(loaded, df, ["label"]).collect()
     assert {r["expected_fv"] for r in scored} <= {-14.0, 3.5, 5.5}
     assert M.feature_importance(loaded)[0][0] == "x"
+
+
+def test_cv_search_and_validation(spark):
+    from matchday.operators.split import stratified_folds, validation_sample
+
+    rows = [(i, float(i % 3) * 10 + (i % 5) * 0.1, float(i % 3), 1.0) for i in range(300)]
+    df = spark.createDataFrame(rows, "rid long, x double, label double, weight double")
+    folded = stratified_folds(df, ["label"], "rid", n_folds=3)
+    pipe = M.build_pipeline(["x"], kind="rf", params=M.TreeParams(num_trees=5, max_depth=3))
+    cv = M.cross_validate(pipe, folded, metric="accuracy", parallelism=1)
+    assert cv.avgMetrics[0] > 0.9
+    sample = validation_sample(folded, "rid", n=150)
+    assert sample.count() == 150
+    assert all(a > 0.9 for a in M.validate(pipe, sample))
+    draws = M.random_param_maps(pipe.getStages()[-1], 4)
+    rf = pipe.getStages()[-1]
+    assert len(draws) == 4 and all(4 <= d[rf.getParam("maxDepth")] <= 12 for d in draws)
+    assert all(300 <= d[rf.getParam("numTrees")] <= 999 for d in draws)
