@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from matchday.functions.text import percent_to_double
@@ -48,26 +48,36 @@ def drop_stale_status(
     status: str = "status_short",
     stale: str = "NS",
     strict: bool = True,
-    newest: Sequence[Column] | None = None,
+    newest: Sequence[str] | None = None,
 ) -> DataFrame:
     """Drop ``stale`` status rows of keys that have several status rows.
 
     ``strict`` is the reference rule: a key with more than one status row
     loses all its ``stale`` rows (two ``NS`` rows are both dropped).  With
-    ``strict=False`` a key whose rows are all ``stale`` keeps its newest row
-    (ordered by ``newest``, descending).
+    ``strict=False`` a key whose rows are all ``stale`` keeps its newest
+    row(s) by the ``newest`` columns.
+
+    Per-key counts are a partial aggregate joined back on the key (no
+    window holding a whole key in one task; AQE splits a skewed join).
     """
-    w = Window.partitionBy(*keys)
-    n = F.count(status).over(w)
+    keys = list(keys)
     is_stale = F.col(status) == stale
-    if strict:
-        return cal.select("*", n.alias("_n")).filter(~((F.col("_n") > 1) & is_stale)).drop("_n")
-    n_fresh = F.count(F.when(~is_stale, 1)).over(w)
-    order = list(newest or [F.col(status)])
-    rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*[c.desc() for c in order]))
-    marked = cal.select("*", n.alias("_n"), n_fresh.alias("_nf"), rank.alias("_rk"))
-    keep = (F.col("_n") <= 1) | ~is_stale | ((F.col("_nf") == 0) & (F.col("_rk") == 1))
-    return marked.filter(keep).drop("_n", "_nf", "_rk")
+    aggs = [F.count(status).alias("_n"), F.count(F.when(~is_stale, 1)).alias("_nf")]
+    if not strict:
+        order = list(newest or [status])
+        aggs.append(F.max(F.struct(*[F.col(c) for c in order])).alias("_newest"))
+    per_key = cal.groupBy(*keys).agg(*aggs)
+    pk = per_key.select(*[F.col(k).alias("_k_" + k) for k in keys], *[c for c in per_key.columns if c.startswith("_")])
+    cond = None
+    for k in keys:  # NULL-safe: a NULL key is a group of its own, as in groupBy
+        e = F.col(k).eqNullSafe(F.col("_k_" + k))
+        cond = e if cond is None else cond & e
+    j = cal.join(pk, cond, "left")
+    keep = (F.col("_n") <= 1) | ~is_stale
+    if not strict:
+        mine = F.struct(*[F.col(c) for c in (newest or [status])])
+        keep = keep | ((F.col("_nf") == 0) & (mine == F.col("_newest")))
+    return j.filter(keep).select(*cal.columns)
 
 
 def apply_name_fix(

@@ -9,7 +9,7 @@ def test_stale_status_strict_and_default(spark):
     df = spark.createDataFrame(rows, "fixture_id long, league_id long, status_short string, landed int")
     strict = {(r["fixture_id"], r["status_short"]) for r in drop_stale_status(df).collect()}
     assert strict == {(1, "FT"), (2, "NS")}
-    soft = drop_stale_status(df, strict=False, newest=[F.col("landed")]).collect()
+    soft = drop_stale_status(df, strict=False, newest=["landed"]).collect()
     assert sorted((r["fixture_id"], r["status_short"], r["landed"]) for r in soft) == [
         (1, "FT", 2), (2, "NS", 1), (3, "NS", 2)]
 
