@@ -118,7 +118,9 @@ def training_table(
     per_round = latest_per_key(
         team_opp, ["team_name", "season", rnd], ["event_date", "fixture_id"], tcols
     ).withColumnRenamed("team_name", "team")
-    rounds = full.select("team", "season", rnd).distinct()
+    # same (team, season, round) rows as ``full`` (a left join keeps them),
+    # taken from the target grid so the joined table is not recomputed
+    rounds = t.select("team", "season", rnd).distinct()
     filled = rounds.join(per_round, ["team", "season", rnd], "left").select(
         "team", "season", rnd, *ffill_columns(["team", "season"], [rnd], tcols)
     )

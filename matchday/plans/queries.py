@@ -111,12 +111,15 @@ def q06_team_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def team_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = team_stat_rows(
+    from matchday.session import materialize
+
+    # written once: the skew check and the window both read it
+    rows = materialize(team_stat_rows(
         collapsed_stats(spark, sf_dir),
         goal_stats(spark, sf_dir),
         V.fixture_master(spark, sf_dir),
         V.AS_OF,
-    )
+    ))
     wide = team_features(rows, DETAIL_STATS + list(GOAL_STATS))
     cal = V.calendar(spark, sf_dir).select("league_id", "fixture_id", "round_no").distinct()
     return wide.join(cal, ["league_id", "fixture_id"], "left")
