@@ -22,7 +22,7 @@ TOP_K = 40
 # -----------------------------------------------------------------------------------
 
 
-def prepared(spark: SparkSession, sf_dir: str):
+def prepared(spark: SparkSession, sf_dir: str, ts: DataFrame | None = None):
     """Labelled rows -> sparse columns and rows pruned -> split.
 
     The column profile runs on the TRAINING part only and its surviving
@@ -30,7 +30,7 @@ def prepared(spark: SparkSession, sf_dir: str):
     exactly the same inputs."""
     from matchday.plans.queries import labelled_rows
 
-    lr = labelled_rows(spark, sf_dir)
+    lr = labelled_rows(spark, sf_dir, ts)
     split = stratified_split(lr.select(*KEYS, "row_id", "role", "fv_bin"), ["fv_bin", "role"], "row_id")
     data = lr.join(split.select(*KEYS, "split"), KEYS).filter(F.col("label").isNotNull())
     # the estimators make many passes: materialise once in the shared
@@ -48,8 +48,8 @@ def prepared(spark: SparkSession, sf_dir: str):
     return data, train, test, feats
 
 
-def train_model(spark: SparkSession, sf_dir: str, kind: str = "rf"):
-    data, train, test, feats = prepared(spark, sf_dir)
+def train_model(spark: SparkSession, sf_dir: str, kind: str = "rf", ts: DataFrame | None = None):
+    data, train, test, feats = prepared(spark, sf_dir, ts)
     train = train.withColumn("label", F.col("label").cast("double"))
     model = M.fit(M.build_pipeline(feats, kind=kind), train)
     path = scratch_path(spark, f"models/ffm-{uuid.uuid4().hex}")
@@ -78,3 +78,36 @@ def q30_permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy drop on the test split when one feature is permuted."""
     model, _data, test, feats = train_model(spark, sf_dir)
     return permutation_importance(model, test, feats, "row_id")
+
+
+def q28c_watchlist_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predictions for the coach's watch list: rows of the newest season up
+    to the final round of the scoring window, sorted by season, surname,
+    name, round.  The watch list is derived from the data (every forward,
+    role 'A', with their team)."""
+    from matchday.operators.calendar import last_played_round
+    from matchday.plans import views as V
+    from matchday.plans.queries import player_master, training_set
+
+    from matchday.session import materialize
+
+    rows = materialize(training_set(spark, sf_dir))      # feeds training and scoring
+    model, _data, _test, _feats = train_model(spark, sf_dir, ts=rows)
+    final_round = last_played_round(V.calendar(spark, sf_dir)).first()["final_round"]   # one row
+    newest = rows.agg(F.max("season").alias("s")).first()["s"]                         # one row
+    watch = (
+        player_master(V.player_match(spark, sf_dir))
+        .filter(F.col("role") == "A")
+        .select(F.col("name").alias("_w_name"), F.col("surname").alias("_w_surname"), "team")
+        .distinct()
+    )
+    cond = F.col("name").eqNullSafe(F.col("_w_name")) & F.col("surname").eqNullSafe(F.col("_w_surname"))
+    scored_rows = rows.filter((F.col("season") == newest) & (F.col("round_no") <= final_round)).join(
+        watch, cond
+    )
+    preds = M.score(model, scored_rows, KEYS + ["team"])
+    return preds.select(
+        *KEYS, "team",
+        F.col("expected_fv_scaled_binned").alias("expected_fv_scaled"),
+        "expected_fv", "probability",
+    ).orderBy("season", "surname", "name", "round_no")

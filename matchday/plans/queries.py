@@ -230,10 +230,10 @@ def q14_sparse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def labelled_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+def labelled_rows(spark: SparkSession, sf_dir: str, ts: DataFrame | None = None) -> DataFrame:
     """Training rows with a target, its bin, class code and weight, and a
     numeric row id built from the view keys (for hash splits)."""
-    ts = training_set(spark, sf_dir).filter(F.col("fwd_fv_scaled").isNotNull())
+    ts = (training_set(spark, sf_dir) if ts is None else ts).filter(F.col("fwd_fv_scaled").isNotNull())
     rid = (
         F.substring("surname", 2, 20).cast("long") * 10000
         + F.pmod(F.col("season"), F.lit(100)) * 100
@@ -428,6 +428,7 @@ def _register_model_jobs() -> None:
 
     QUERIES["q28_train_score"] = MJ.q28_train_score
     QUERIES["q28b_feature_importance"] = MJ.q28b_feature_importance
+    QUERIES["q28c_watchlist_predictions"] = MJ.q28c_watchlist_predictions
     QUERIES["q29_stream_upsert"] = q29_stream_upsert
     QUERIES["q30_permutation_importance"] = MJ.q30_permutation_importance
 

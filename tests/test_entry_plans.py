@@ -2,7 +2,8 @@ import pytest
 
 import __spark_entry__ as entry
 
-ORACLE_FREE = {"q28_train_score", "q28b_feature_importance", "q30_permutation_importance"}
+ORACLE_FREE = {"q28_train_score", "q28b_feature_importance", "q28c_watchlist_predictions",
+               "q30_permutation_importance"}
 SF = "/root/testdata/sf0.001"
 
 

@@ -114,3 +114,20 @@ def test_worklist_names_and_templates(spark):
     assert m == {"leagueid": "891", "round": "7"}
     n, s = split_person_name(F.lit("A B C"))
     assert df.select(n.alias("n"), s.alias("s")).first() == ("A", "B C")
+
+
+def test_sinks_and_empty_master(spark, tmpdir_path):
+    from matchday.sources.landing import read_or_empty
+    from matchday.sources.sinks import write_if_enough, write_table
+
+    schema = T.StructType([T.StructField("season", T.IntegerType()), T.StructField("match", T.IntegerType()),
+                           T.StructField("v", T.DoubleType())])
+    empty = read_or_empty(spark, os.path.join(tmpdir_path, "missing"), schema)
+    assert empty.count() == 0 and empty.schema == schema
+    df = spark.createDataFrame([(2020, 1, 1.0), (2020, 1, 2.0), (2020, 2, 3.0)], schema)
+    kept = write_if_enough(df, os.path.join(tmpdir_path, "marks"), ["season", "match"], min_rows=2)
+    back = spark.read.parquet(os.path.join(tmpdir_path, "marks"))
+    assert back.count() == 2 and kept.count() == 2
+    assert {r["match"] for r in back.collect()} == {1}
+    write_table(df, os.path.join(tmpdir_path, "all"), ["season"])
+    assert spark.read.parquet(os.path.join(tmpdir_path, "all")).filter("season = 2020").count() == 3
