@@ -26,16 +26,23 @@ def player_target(
 
     No skeleton cross join and no join back: each mark row is expanded,
     inside its own partition, to the grid rounds it governs
-    (``[round, next_round - 1]``, the first mark also ``[1, round]``), so
-    the whole job is one Exchange on (player, season) plus one Sort.  A
-    partition holds at most ``n_rounds`` marks.  A player listed twice in
-    one round keeps the row of the last team (by name order).
+    (``[round, next_round - 1]``, the first mark also ``[1, round]``).  The
+    job is a partial aggregate (copies of a mark collapse map-side) and one
+    window Exchange on (player, season) whose partitions hold at most
+    ``n_rounds`` rows.  A player listed twice in one round keeps the row of
+    the last team (by name order).
     """
     k = [*entity, season]
-    w = Window.partitionBy(*k).orderBy(F.col(rnd), F.col(team).desc_nulls_last())
-    m = marks.select(*k, rnd, team, value).filter(F.col(rnd).between(1, n_rounds))
-    m = m.select("*", F.lag(rnd).over(w).alias("_prev")).filter(
-        F.col("_prev").isNull() | (F.col("_prev") != F.col(rnd))
+    w = Window.partitionBy(*k).orderBy(F.col(rnd))
+    # one mark per (player, season, round) as a partial aggregate first:
+    # copies of a mark collapse map-side, so every window partition below
+    # holds at most n_rounds rows
+    m = (
+        marks.select(*k, rnd, team, value)
+        .filter(F.col(rnd).between(1, n_rounds))
+        .groupBy(*k, rnd)
+        .agg(F.max(F.struct(F.col(team).alias("t"), F.col(value).alias("v"))).alias("_m"))
+        .select(*k, rnd, F.col("_m.t").alias(team), F.col("_m.v").alias(value))
     )
     team_filled = F.coalesce(
         F.last(team, ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)),
