@@ -109,3 +109,8 @@ def apply_name_fix(
 def needs_review(surname: Column) -> Column:
     """Surnames with more than one token need a manual check."""
     return F.size(F.split(surname, " ")) > 1
+
+
+def append_distinct(master: DataFrame, landed: DataFrame) -> DataFrame:
+    """Append newly landed rows to a master and drop exact duplicates."""
+    return master.unionByName(landed.select(*master.columns)).distinct()

@@ -53,3 +53,19 @@ def test_pivot_styles_all_null_rows(spark):
     df = spark.createDataFrame(rows, "k long, f string, v double")
     team_style = pivot_unique(df, ["k"], "f", ["a", "b"], "v")
     assert team_style.count() == 2  # all-NULL row of key 2 is kept
+
+
+def test_quality_checks_and_append(spark):
+    import pytest
+
+    from matchday.operators.clean import append_distinct
+    from matchday.operators.quality import assert_unique, duplicate_keys, unmatched_keys
+
+    df = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "k long, v string")
+    assert [tuple(r) for r in duplicate_keys(df, ["k"]).collect()] == [(1, 2)]
+    with pytest.raises(ValueError):
+        assert_unique(df, ["k"])
+    assert_unique(df, ["k", "v"])
+    other = spark.createDataFrame([(2,)], "k long")
+    assert [r["k"] for r in unmatched_keys(df, other, ["k"]).collect()] == [1]
+    assert append_distinct(df, df.union(spark.createDataFrame([(3, "d")], "k long, v string"))).count() == 4

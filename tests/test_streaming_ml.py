@@ -70,3 +70,16 @@ def test_cv_search_and_validation(spark):
     rf = pipe.getStages()[-1]
     assert len(draws) == 4 and all(4 <= d[rf.getParam("maxDepth")] <= 12 for d in draws)
     assert all(300 <= d[rf.getParam("numTrees")] <= 999 for d in draws)
+
+
+def test_boosted_variants(spark):
+    rows = [(float(i % 3) * 10 + (i % 5) * 0.1, float(i % 3), 1.0) for i in range(240)]
+    df = spark.createDataFrame(rows, "x double, label double, weight double")
+    params = M.TreeParams(max_iter=5, max_depth=3, step_size=0.3)
+    ovr = M.fit(M.build_pipeline(["x"], kind="gbt_ovr", params=params), df)
+    assert M.accuracy(ovr.transform(df)) > 0.95
+    scored = M.score(ovr, df, ["label"]).collect()
+    assert all(0.0 < r["probability"] <= 1.0 for r in scored)
+    reg = M.fit(M.build_pipeline(["x"], kind="gbt_reg", params=params), df)
+    err = reg.transform(df).select(F.avg(F.abs(F.col("prediction") - F.col("label"))).alias("e")).first()["e"]
+    assert err < 0.2
