@@ -39,9 +39,10 @@ class MasterTable:
     Each micro-batch writes ONLY its own latest-per-key rows to
     ``log/batch=<id>`` (overwrite of that one folder, so a replayed batch is
     idempotent) and then records ``id`` in a manifest.  The current state is
-    ``latest_per_key`` over the committed batches (partition-pruned by the
-    manifest's max id; partial aggregation map-side).  Write cost is
-    proportional to the batch, not to the master.
+    ``latest_per_key`` over the newest snapshot plus the delta batches
+    committed after it (partition-pruned; partial aggregation map-side).
+    Write cost is proportional to the batch; :meth:`compact` writes a
+    snapshot so reads stop merging old deltas.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType,
@@ -49,28 +50,59 @@ class MasterTable:
         self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
         self.keys, self.order = list(keys), list(order)
         self.log = f"{self.root}/log"
+        self.snapshots = f"{self.root}/snapshot"
         self.manifest = f"{self.root}/_manifest"
 
-    def committed(self) -> int | None:
+    def _manifest(self):
         try:
-            r = self.spark.read.parquet(self.manifest).agg(F.max("batch").alias("b")).first()
+            r = self.spark.read.parquet(self.manifest).agg(
+                F.max("batch").alias("last"),
+                F.max(F.when(F.col("kind") == "snapshot", F.col("batch"))).alias("snap"),
+            ).first()
         except Exception as e:  # noqa: BLE001 - first run: no manifest yet
             if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return None
+                return None, None
             raise
-        return None if r is None else r["b"]
+        return (None, None) if r is None else (r["last"], r["snap"])
+
+    def committed(self) -> int | None:
+        return self._manifest()[0]
+
+    def _record(self, batch: int, kind: str) -> None:
+        self.spark.createDataFrame([(batch, kind)], "batch long, kind string").write.mode("append").parquet(
+            self.manifest
+        )
 
     def read(self) -> DataFrame:
-        last = self.committed()
+        last, snap = self._manifest()
         if last is None:
             return self.spark.createDataFrame([], self.schema)
-        log = self.spark.read.parquet(self.log).filter(F.col("batch") <= last).select(*self.schema.names)
-        return latest_per_key(log, self.keys, self.order).select(*self.schema.names)
+        cols = self.schema.names
+        parts = []
+        if snap is not None:
+            parts.append(self.spark.read.schema(self.schema).parquet(f"{self.snapshots}/batch={snap}").select(*cols))
+        lo = -1 if snap is None else snap
+        if last > lo:
+            log = self.spark.read.parquet(self.log)
+            parts.append(log.filter((F.col("batch") > lo) & (F.col("batch") <= last)).select(*cols))
+        merged = parts[0]
+        for p in parts[1:]:
+            merged = merged.unionByName(p)
+        return latest_per_key(merged, self.keys, self.order).select(*cols)
 
     def upsert(self, updates: DataFrame, batch_id: int) -> None:
         changes = latest_per_key(updates.select(*self.schema.names), self.keys, self.order)
         changes.write.mode("overwrite").parquet(f"{self.log}/batch={batch_id}")
-        self.spark.createDataFrame([(batch_id,)], "batch long").write.mode("append").parquet(self.manifest)
+        self._record(batch_id, "delta")
+
+    def compact(self) -> None:
+        """Write the current state as a snapshot at the last committed batch
+        id; later reads start from it."""
+        last, snap = self._manifest()
+        if last is None or last == snap:
+            return
+        self.read().write.mode("overwrite").parquet(f"{self.snapshots}/batch={last}")
+        self._record(last, "snapshot")
 
 
 def ingest_stream(

@@ -33,6 +33,14 @@ def test_stream_restart_only_new_files(spark, tmpdir_path):
                       dedup_keys=["event_id"], ts="ts")
     got = sorted((r["user_id"], r["event_type"], r["value"]) for r in m.read().collect())
     assert got == [(7, "view", 3.0), (8, "click", 4.0)]
+    # compaction keeps the state; later batches merge on top of the snapshot
+    m.compact()
+    assert sorted((r["user_id"], r["event_type"], r["value"]) for r in m.read().collect()) == got
+    _land(spark, landing, [(5, 8, "click", t + dt.timedelta(hours=5), 5.0)])
+    m = ingest_stream(spark, landing, master, ckpt, SCHEMA, ["user_id", "event_type"], ["ts", "event_id"],
+                      dedup_keys=["event_id"], ts="ts")
+    got = sorted((r["user_id"], r["event_type"], r["value"]) for r in m.read().collect())
+    assert got == [(7, "view", 3.0), (8, "click", 5.0)]
 
 
 def test_model_learns_separable_classes(spark, tmpdir_path):
