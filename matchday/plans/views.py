@@ -71,11 +71,17 @@ def nation_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Schedule / calendar: one row per fixture (league = year, round = ISO week)."""
+def fixture(spark: SparkSession, sf_dir: str, finished_only: bool = False) -> DataFrame:
+    """Schedule / calendar: one row per fixture (league = year, round = ISO week).
+
+    ``finished_only`` filters the SOURCE column (``o_orderstatus = 'F'``), so
+    the predicate reaches the parquet reader; a filter on the derived
+    ``status_short`` would stay a CASE expression above the scan."""
     o = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"
     )
+    if finished_only:
+        o = o.filter(F.col("o_orderstatus") == "F")
     c = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     j = o.join(c, o.o_custkey == c.c_custkey)
     key = F.col("o_orderkey")
@@ -101,7 +107,7 @@ def fixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fixture_master(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Finished fixtures with team names (the reference's fixture master)."""
-    f = fixture(spark, sf_dir).filter(F.col("status_short") == "FT")
+    f = fixture(spark, sf_dir, finished_only=True)
     names = nation_names(spark, sf_dir)
     home = names.select(
         F.col("team_id").alias("home_team_id"), F.col("team_name").alias("home_team_name")
