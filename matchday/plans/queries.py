@@ -88,8 +88,8 @@ def q04_stat_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collapsed_stats(spark, sf_dir)
 
 
-def goal_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    m = V.fixture_master(spark, sf_dir)
+def goal_stats(spark: SparkSession, sf_dir: str, master: DataFrame | None = None) -> DataFrame:
+    m = V.fixture_master(spark, sf_dir) if master is None else master
     long = unpivot_split(
         m,
         ["fixture_id"],
@@ -110,14 +110,15 @@ def q06_team_schedule(spark: SparkSession, sf_dir: str) -> DataFrame:
     return team_schedule(V.fixture_master(spark, sf_dir), V.league_season(spark, sf_dir))
 
 
-def team_feature_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+def team_feature_table(spark: SparkSession, sf_dir: str, master: DataFrame | None = None) -> DataFrame:
     from matchday.session import materialize
 
+    master = V.fixture_master(spark, sf_dir) if master is None else master
     # written once: the skew check and the window both read it
     rows = materialize(team_stat_rows(
         collapsed_stats(spark, sf_dir),
-        goal_stats(spark, sf_dir),
-        V.fixture_master(spark, sf_dir),
+        goal_stats(spark, sf_dir, master),
+        master,
         V.AS_OF,
     ))
     wide = team_features(rows, DETAIL_STATS + list(GOAL_STATS))
@@ -176,13 +177,15 @@ PLAYER_FEATURES = player_feature_names()
 
 
 def team_opponent_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    seasons = V.league_season(spark, sf_dir)
-    master = V.fixture_master(spark, sf_dir)
     from matchday.session import materialize
 
+    # masters are persisted tables in a pipeline run: the fixture master and
+    # the season dimension are read by several branches, so write them once
+    master = materialize(V.fixture_master(spark, sf_dir))
+    seasons = materialize(V.league_season(spark, sf_dir))
     # the team feature table feeds three branches (support keys, own side,
     # opponent side): compute it once
-    tf = materialize(team_feature_table(spark, sf_dir)).join(seasons, "league_id")
+    tf = materialize(team_feature_table(spark, sf_dir, master)).join(seasons, "league_id")
     tf = tf.join(master.select("league_id", "fixture_id"), ["league_id", "fixture_id"], "left_semi")
     return opponent_features(
         tf, team_schedule(master, seasons), V.team_map(spark, sf_dir), TEAM_FEATURES
