@@ -64,7 +64,7 @@ def opponent_features(
         *[F.col(c).alias("op_" + c) for c in feature_cols],
     )
     tf = tf.join(opp, ["opponent_id", "league_id", "season", rnd], "left")
-    mapped = tf.join(team_map, "team_name").drop("team_name").withColumnRenamed("team_gaz", "team_name")
+    mapped = tf.join(team_map, "team_name").drop("team_name").withColumnRenamed("team_marks", "team_name")
     return mapped.select(
         "team_id", "team_name", "event_date", "fixture_id", "league_id", "season", rnd,
         "opponent_id", *feature_cols, *["op_" + c for c in feature_cols],

@@ -52,7 +52,7 @@ def train_model(spark: SparkSession, sf_dir: str, kind: str = "rf", ts: DataFram
     data, train, test, feats = prepared(spark, sf_dir, ts)
     train = train.withColumn("label", F.col("label").cast("double"))
     model = M.fit(M.build_pipeline(feats, kind=kind), train)
-    path = scratch_path(spark, f"models/ffm-{uuid.uuid4().hex}")
+    path = scratch_path(spark, f"models/marks-model-{uuid.uuid4().hex}")
     M.save(model, path)
     return M.load(path), data, test, feats
 

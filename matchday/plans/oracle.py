@@ -55,8 +55,7 @@ def _q01() -> str:
 def _q03_body() -> str:
     return """
 WITH sk AS (SELECT DISTINCT name, surname, season FROM player_match),
-grid AS (SELECT sk.name, sk.surname, sk.season, CAST(r.range AS INT) AS round_no
-         FROM sk CROSS JOIN range(1, 39) r),
+grid AS (SELECT name, surname, season, CAST(unnest(range(1, 39)) AS INT) AS round_no FROM sk),
 j AS (
   SELECT g.name, g.surname, g.season, g.round_no, p.team, p.fantavoto
   FROM grid g LEFT JOIN player_match p
@@ -193,7 +192,7 @@ def _team_opp_ctes() -> str:
                                      ORDER BY event_date DESC, fixture_id DESC) AS rk FROM tfn) z
   WHERE rk = 1
 ), team_opp AS (
-  SELECT t.team_id, m.team_gaz AS team_name, t.event_date, t.fixture_id, t.league_id, t.season, t.round_no,
+  SELECT t.team_id, m.team_marks AS team_name, t.event_date, t.fixture_id, t.league_id, t.season, t.round_no,
          t.opponent_id, {", ".join("t." + c for c in tf)}, {op_cols}
   FROM tfn t
   LEFT JOIN opp o ON t.opponent_id = o.opp_team_id AND t.league_id = o.opp_league_id
@@ -513,7 +512,7 @@ SELECT event_id, user_id, event_type, CAST(json_extract(props, '$.k') AS BIGINT)
         "q26_worklist": with_views(
             """
 , grid AS (SELECT DISTINCT league_id FROM calendar),
-g AS (SELECT league_id, CAST(r.range AS INT) AS round_no FROM grid CROSS JOIN range(1, 39) r),
+g AS (SELECT league_id, CAST(unnest(range(1, 39)) AS INT) AS round_no FROM grid),
 pr AS (SELECT * FROM g WHERE NOT EXISTS (
          SELECT 1 FROM calendar c WHERE c.league_id = g.league_id AND c.round_no = g.round_no)),
 ps AS (SELECT DISTINCT fixture_id, league_id FROM fixture_master m WHERE NOT EXISTS (

@@ -48,7 +48,7 @@ SELECT l_orderkey AS fixture_id,
        CAST(l_linenumber AS VARCHAR) AS away
 FROM lineitem""",
     "team_map": """
-SELECT n_name AS team_name, 't' || CAST(n_nationkey AS VARCHAR) AS team_gaz
+SELECT n_name AS team_name, 't' || CAST(n_nationkey AS VARCHAR) AS team_marks
 FROM nation WHERE n_nationkey <= 18""",
     "league_season": """
 SELECT DISTINCT league_id, league_id + 23 AS season FROM fixture""",

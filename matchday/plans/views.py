@@ -152,7 +152,7 @@ def team_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     n = table(spark, sf_dir, "nation")
     return n.filter(F.col("n_nationkey") <= MAPPED_TEAMS).select(
         F.col("n_name").alias("team_name"),
-        F.concat(F.lit("t"), F.col("n_nationkey").cast("string")).alias("team_gaz"),
+        F.concat(F.lit("t"), F.col("n_nationkey").cast("string")).alias("team_marks"),
     )
 
 
