@@ -23,50 +23,51 @@ TOP_K = 40
 
 
 def prepared(spark: SparkSession, sf_dir: str, ts: DataFrame | None = None):
-    """Labelled rows -> sparse columns and rows pruned -> split.
-
-    The column profile runs on the TRAINING part only and its surviving
-    column list is what the saved pipeline carries, so scoring later uses
-    exactly the same inputs."""
-    from matchday.plans.queries import labelled_rows
+    """Training table -> sparse columns dropped (null share > 0.25 over ALL
+    rows, targets and keys exempt) -> sparse rows dropped (null share > 0.3
+    over the surviving columns) -> rows with a target -> bins -> split, in
+    the reference's order.  The profile is one aggregate whose result has
+    one row per column; the surviving list is what the saved pipeline
+    carries.  Returns (labelled data, train, test, features, pruned table)."""
+    from matchday.plans.queries import labelled_rows, training_set
+    from matchday.session import materialize
 
-    lr = labelled_rows(spark, sf_dir, ts)
+    ts = materialize(training_set(spark, sf_dir)) if ts is None else ts
+    pruned, _dropped = drop_sparse_columns(
+        ts, COL_NULL_SHARE, exempt=["fwd_fantavoto", "fwd_fv_scaled"], keys=KEYS + ["role"]
+    )
+    pruned = drop_sparse_rows(pruned, ROW_NULL_SHARE)
+    lr = labelled_rows(spark, sf_dir, pruned)
     split = stratified_split(lr.select(*KEYS, "row_id", "role", "fv_bin"), ["fv_bin", "role"], "row_id")
     data = lr.join(split.select(*KEYS, "split"), KEYS).filter(F.col("label").isNotNull())
     # the estimators make many passes: materialise once in the shared
     # checkpoint folder (cuts the lineage; survives executor loss)
     data = data.checkpoint(eager=True)
+    feats = M.feature_columns(data, NON_FEATURES)
     train = data.filter(F.col("split") == "train")
-    pruned, _dropped = drop_sparse_columns(
-        train, COL_NULL_SHARE, exempt=["fwd_fantavoto", "fwd_fv_scaled"], keys=KEYS
-    )
-    feats = M.feature_columns(pruned, NON_FEATURES)
-    keep_cols = [c for c in data.columns if c in set(pruned.columns)]
-    data = data.select(*keep_cols)
-    train = drop_sparse_rows(data.filter(F.col("split") == "train"), ROW_NULL_SHARE)
     test = data.filter(F.col("split") == "test")
-    return data, train, test, feats
+    return data, train, test, feats, pruned
 
 
 def train_model(spark: SparkSession, sf_dir: str, kind: str = "rf", ts: DataFrame | None = None):
-    data, train, test, feats = prepared(spark, sf_dir, ts)
+    data, train, test, feats, pruned = prepared(spark, sf_dir, ts)
     train = train.withColumn("label", F.col("label").cast("double"))
     model = M.fit(M.build_pipeline(feats, kind=kind), train)
     path = scratch_path(spark, f"models/marks-model-{uuid.uuid4().hex}")
     M.save(model, path)
-    return M.load(path), data, test, feats
+    return M.load(path), data, test, feats, pruned
 
 
 def q28_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weighted multi-class trees: fit on the train split, save, reload and
     score every labelled row (split column tells in/out of sample)."""
-    model, data, _test, _feats = train_model(spark, sf_dir)
+    model, data, _test, _feats, _pruned = train_model(spark, sf_dir)
     return M.score(model, data, KEYS + ["split", "label"])
 
 
 def q28b_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top and bottom 40 features by tree importance."""
-    model, _data, _test, _feats = train_model(spark, sf_dir)
+    model, _data, _test, _feats, _pruned = train_model(spark, sf_dir)
     imp = M.feature_importance(model)
     rows = [(n, v, i + 1, "top") for i, (n, v) in enumerate(imp[:TOP_K])]
     tail = imp[-TOP_K:]
@@ -76,7 +77,7 @@ def q28b_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q30_permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy drop on the test split when one feature is permuted."""
-    model, _data, test, feats = train_model(spark, sf_dir)
+    model, _data, test, feats, _pruned = train_model(spark, sf_dir)
     return permutation_importance(model, test, feats, "row_id")
 
 
@@ -91,8 +92,8 @@ def q28c_watchlist_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     from matchday.session import materialize
 
-    rows = materialize(training_set(spark, sf_dir))      # feeds training and scoring
-    model, _data, _test, _feats = train_model(spark, sf_dir, ts=rows)
+    ts = materialize(training_set(spark, sf_dir))      # feeds training and scoring
+    model, _data, _test, _feats, rows = train_model(spark, sf_dir, ts=ts)
     final_round = last_played_round(V.calendar(spark, sf_dir)).first()["final_round"]   # one row
     newest = rows.agg(F.max("season").alias("s")).first()["s"]                         # one row
     watch = (
