@@ -352,7 +352,7 @@ def q26_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q27_time_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Event instants as UTC text, London wall time, unix seconds, +5 days."""
-    from matchday.functions.timez import plus_days, to_local, unix_seconds
+    from matchday.functions.timez import plus_days, to_local, unix_seconds_of_wall_clock
 
     ev = V.table(spark, sf_dir, "events").select("event_id", "ts")
     fmt = "yyyy-MM-dd HH:mm:ss"
@@ -361,7 +361,7 @@ def q27_time_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id",
         F.date_format(ts, fmt).alias("ts_utc"),
         F.date_format(to_local(ts, "Europe/London"), fmt).alias("ts_london"),
-        unix_seconds(ts).alias("unix_s"),
+        unix_seconds_of_wall_clock(F.col("ts")).alias("unix_s"),
         F.date_format(plus_days(ts, 5), fmt).alias("cutoff_utc"),
     )
 
