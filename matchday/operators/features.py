@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from matchday.functions.names import feature_name
-from matchday.operators.rolling import RollSpec, rolling_columns, windowed
+from matchday.operators.rolling import RollSpec, windowed
 
 
 @dataclass(frozen=True)
