@@ -150,7 +150,9 @@ def team_stat_rows(
     )
     mcols = ["fixture_id", "event_date", "league_id", "home_team_id", "home_team_name",
              "away_team_id", "away_team_name"]
-    j = combo.join(master.select(*mcols), "fixture_id").distinct()
+    # no distinct here: a duplicate joined row only yields duplicate team
+    # rows, which the one distinct below removes (one shuffle saved)
+    j = combo.join(master.select(*mcols), "fixture_id")
     rows = home_away_rows(
         j,
         ["fixture_id", "event_date", "league_id", "fixture_stat"],
