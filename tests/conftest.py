@@ -13,13 +13,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 def spark():
     from matchday.session import get_spark
 
-    ckpt = tempfile.mkdtemp(prefix="matchday-test-ckpt-")
-    s = get_spark(
-        "local[4]",
-        app_name="matchday-tests",
-        shuffle_partitions=4,
-        extra_conf={"spark.checkpoint.dir": ckpt},
-    )
+    # spark.checkpoint.dir comes from the environment when it names one;
+    # matchday.session.checkpoint_dir only creates a private folder if unset
+    s = get_spark("local[4]", app_name="matchday-tests", shuffle_partitions=4)
     yield s
     s.stop()
 
