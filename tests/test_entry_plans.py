@@ -29,6 +29,33 @@ def test_no_cartesian_products(spark, name):
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
 
 
+def _partitionless_windows(plan: str) -> list[str]:
+    """Window specs without PARTITION BY: their first argument is already a
+    sort order (ASC/DESC) or the frame itself."""
+    import re
+
+    out = []
+    for first in re.findall(r"windowspecdefinition\(([^,]*)", plan):
+        if " ASC" in first or " DESC" in first or first.startswith("specifiedwindowframe"):
+            out.append(first)
+    return out
+
+
+def test_partitionless_window_detector(spark):
+    from pyspark.sql import Window
+    from pyspark.sql import functions as F
+
+    bad = spark.range(5).select("*", F.row_number().over(Window.orderBy("id")).alias("r"))
+    good = spark.range(5).select("*", F.row_number().over(Window.partitionBy(F.col("id") % 2).orderBy("id")).alias("r"))
+    assert _partitionless_windows(_plan(bad)) and not _partitionless_windows(_plan(good))
+
+
+@pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if n != "q29_stream_upsert"])
+def test_no_single_partition_window(spark, name):
+    plan = _plan(entry.queries()[name](spark, SF))
+    assert not _partitionless_windows(plan)
+
+
 def test_player_features_one_window_exchange(spark):
     df = entry.queries()["q01_player_features"](spark, SF)
     plan = _plan(df)

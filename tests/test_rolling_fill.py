@@ -99,3 +99,25 @@ def test_skew_safe_lead_equals_plain(spark):
     plain = df.select("*", *build(Window.partitionBy("g").orderBy("b", "t")))
     got = windowed(df, ["g"], ["b", "t"], build, halo=1, ahead=1, hot_rows=40, chunk_rows=7)
     assert sorted(tuple(r) for r in got.collect()) == sorted(tuple(r) for r in plain.collect())
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.one_of(st.none(), st.integers(-5, 5)), min_size=1, max_size=10))
+def test_ffill_idempotent(spark, values):
+    df = spark.createDataFrame([("k", i, None if v is None else float(v)) for i, v in enumerate(values)],
+                               "g string, t int, v double")
+    once = fill(df, ["g"], ["t"], ffill=["v"])
+    twice = fill(once, ["g"], ["t"], ffill=["v"])
+    assert _vals(once, "v") == _vals(twice, "v")
+
+
+@settings(max_examples=10, deadline=None)
+@given(st.lists(st.floats(-25, 25, allow_nan=False), min_size=1, max_size=30))
+def test_bins_cover_range_once(spark, values):
+    from matchday.functions.bins import BIN_EDGES, bin_label
+
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    got = [r["b"] for r in df.select("v", bin_label(F.col("v")).alias("b")).orderBy("v").collect()]
+    for v, b in zip(sorted(values), got):
+        inside = [lo for lo, hi in zip(BIN_EDGES[:-1], BIN_EDGES[1:]) if lo <= v < hi]
+        assert (b is None and not inside) or [b] == inside
