@@ -23,7 +23,7 @@ def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in ORACLE_FREE | {"q29_stream_upsert", "q13_sparse_columns"}])
+@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in ORACLE_FREE | {"q29_stream_upsert"}])
 def test_no_cartesian_products(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
