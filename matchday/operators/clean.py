@@ -27,19 +27,24 @@ def collapse_amended(
     collapses to one row holding the independent max of each value column;
     keys with at most one pass through untouched (all their rows).
 
-    Skew-safe shape: the per-key count/max is a partial (map-side)
-    aggregate, so a hot key costs one row per task before the shuffle; the
-    pass-through side is a left-semi join, which AQE can split when one
-    key is skewed.
+    Skew-safe shape: one partial (map-side) aggregate gives per key the
+    row count, the non-NULL count and the maxima.  Keys with several
+    non-NULL values collapse to the maxima; a key with a single row IS its
+    maxima.  Only keys with several rows but at most one non-NULL value need
+    their original rows: a left-semi join against that (rare, usually tiny)
+    key set, which AQE broadcasts by its measured size or drops when empty.
+    No full shuffle of the statistics beyond the partial aggregate.
     """
     keys = list(keys)
     agg = stats.groupBy(*keys).agg(
-        F.count(count_col).alias("_n"), *[F.max(c).alias(c) for c in value_cols]
+        F.count(F.lit(1)).alias("_rows"),
+        F.count(count_col).alias("_n"),
+        *[F.max(c).alias(c) for c in value_cols],
     )
-    collapsed = agg.filter(F.col("_n") > 1).select(*keys, *value_cols)
-    single_keys = agg.filter(F.col("_n") <= 1).select(*keys)
-    passed = stats.select(*keys, *value_cols).join(single_keys, keys, "left_semi")
-    return passed.unionByName(collapsed)
+    direct = agg.filter((F.col("_n") > 1) | (F.col("_rows") == 1)).select(*keys, *value_cols)
+    rare = agg.filter((F.col("_n") <= 1) & (F.col("_rows") > 1)).select(*keys)
+    passed = stats.select(*keys, *value_cols).join(rare, keys, "left_semi")
+    return direct.unionByName(passed)
 
 
 def drop_stale_status(
