@@ -80,15 +80,20 @@ class MasterTable:
         cols = self.schema.names
         parts = []
         if snap is not None:
-            parts.append(self.spark.read.schema(self.schema).parquet(f"{self.snapshots}/batch={snap}").select(*cols))
+            snap_df = self.spark.read.schema(self.schema).parquet(f"{self.snapshots}/batch={snap}")
+            parts.append(snap_df.select(*cols, F.lit(snap).cast("long").alias("_batch")))
         lo = -1 if snap is None else snap
         if last > lo:
             log = self.spark.read.parquet(self.log)
-            parts.append(log.filter((F.col("batch") > lo) & (F.col("batch") <= last)).select(*cols))
+            parts.append(
+                log.filter((F.col("batch") > lo) & (F.col("batch") <= last))
+                .select(*cols, F.col("batch").cast("long").alias("_batch"))
+            )
         merged = parts[0]
         for p in parts[1:]:
             merged = merged.unionByName(p)
-        return latest_per_key(merged, self.keys, self.order).select(*cols)
+        # ties on the order columns go to the newest batch
+        return latest_per_key(merged, self.keys, [*self.order, "_batch"]).select(*cols)
 
     def upsert(self, updates: DataFrame, batch_id: int) -> None:
         changes = latest_per_key(updates.select(*self.schema.names), self.keys, self.order)
@@ -148,3 +153,53 @@ def land_by_day(df: DataFrame, ts: str, path: str, fmt: str = "json") -> None:
 
 def landing_glob(path: str) -> str:
     return os.path.join(path, "_day=*")
+
+
+def refresh_for_touched(history: DataFrame, touched: DataFrame, entity: Sequence[str], compute) -> DataFrame:
+    """``compute(history)`` restricted to the entities in ``touched``.
+
+    Exact for per-entity computations (windows partitioned by the entity):
+    an entity's features depend only on its own rows, so only entities a
+    batch touched can change.  The history is cut by a left-semi join on the
+    (batch-sized) touched key set."""
+    keys = list(entity)
+    return compute(history.join(touched.select(*keys).distinct(), keys, "left_semi"))
+
+
+def ingest_with_features(
+    spark: SparkSession,
+    landing: str,
+    master_root: str,
+    features_root: str,
+    checkpoint: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    order: Sequence[str],
+    entity: Sequence[str],
+    compute,
+    feature_schema: T.StructType,
+    feature_keys: Sequence[str],
+    fmt: str = "json",
+    max_files: int = 4,
+) -> tuple[MasterTable, MasterTable]:
+    """Landing stream that keeps a master AND a derived feature table up to
+    date: each batch is upserted into the master, then the features of the
+    entities it touched are recomputed from the master and upserted into the
+    feature table (every recomputed row replaces the previous one)."""
+    master = MasterTable(spark, master_root, schema, keys, order)
+    feats = MasterTable(spark, features_root, feature_schema, feature_keys, feature_keys)
+    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).format(fmt).load(landing)
+
+    def _batch(batch: DataFrame, batch_id: int) -> None:
+        master.upsert(batch, batch_id)
+        fresh = refresh_for_touched(master.read(), batch, entity, compute)
+        feats.upsert(fresh.select(*feature_schema.names), batch_id)
+
+    q = (
+        src.writeStream.foreachBatch(_batch)
+        .option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True)
+        .start()
+    )
+    q.awaitTermination()
+    return master, feats

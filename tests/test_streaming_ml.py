@@ -91,3 +91,29 @@ def test_boosted_variants(spark):
     reg = M.fit(M.build_pipeline(["x"], kind="gbt_reg", params=params), df)
     err = reg.transform(df).select(F.avg(F.abs(F.col("prediction") - F.col("label"))).alias("e")).first()["e"]
     assert err < 0.2
+
+
+def test_stream_refreshes_features_of_touched_entities(spark, tmpdir_path):
+    from matchday.operators.rolling import RollSpec, rolling
+    from matchday.streaming.ingest import ingest_with_features
+
+    schema = T.StructType([T.StructField("player", T.StringType()), T.StructField("rnd", T.IntegerType()),
+                           T.StructField("v", T.DoubleType())])
+    fschema = T.StructType([T.StructField("player", T.StringType()), T.StructField("rnd", T.IntegerType()),
+                            T.StructField("s3", T.DoubleType())])
+
+    def compute(df):
+        return rolling(df, ["player"], ["rnd"], [RollSpec("v", "sum", 3, 1, "s3")]).select("player", "rnd", "s3")
+
+    landing = os.path.join(tmpdir_path, "landing")
+    first = [("a", r, float(r)) for r in range(1, 6)] + [("b", r, 10.0 * r) for r in range(1, 4)]
+    second = [("a", 6, 6.0), ("c", 1, 1.0)]
+    spark.createDataFrame(first, schema).write.mode("append").json(landing)
+    args = (spark, landing, os.path.join(tmpdir_path, "m"), os.path.join(tmpdir_path, "f"),
+            os.path.join(tmpdir_path, "ck"), schema, ["player", "rnd"], ["rnd"], ["player"], compute,
+            fschema, ["player", "rnd"])
+    ingest_with_features(*args)
+    spark.createDataFrame(second, schema).write.mode("append").json(landing)
+    master, feats = ingest_with_features(*args)
+    full = compute(spark.createDataFrame(first + second, schema))
+    assert sorted(tuple(r) for r in feats.read().collect()) == sorted(tuple(r) for r in full.collect())
