@@ -115,3 +115,13 @@ def test_exact_quantile_with_ties(spark):
     df = spark.createDataFrame([(float(v),) for v in vals], "x double")
     for q in (0.5, 0.1, 0.9):
         assert abs(exact_quantile(df, "x", q, accuracy=100) - float(np.quantile(vals, q))) < 1e-12
+
+
+def test_exact_rank_null_stratum(spark):
+    df = spark.range(200).select(
+        F.col("id"), F.when(F.col("id") % 3 == 0, F.lit(None)).otherwise(F.col("id") % 2).alias("s"),
+        F.pmod(F.col("id") * 2654435761 + 5, F.lit(4294967296)).alias("h"),
+    )
+    got = {r["id"]: r["rank"] for r in exact_rank(df, ["s"], "h", "id", bucket_bits=3).collect()}
+    ref = df.select("id", F.row_number().over(Window.partitionBy("s").orderBy("h", "id")).alias("rank"))
+    assert got == {r["id"]: r["rank"] for r in ref.collect()}

@@ -69,3 +69,13 @@ def test_quality_checks_and_append(spark):
     other = spark.createDataFrame([(2,)], "k long")
     assert [r["k"] for r in unmatched_keys(df, other, ["k"]).collect()] == [1]
     assert append_distinct(df, df.union(spark.createDataFrame([(3, "d")], "k long, v string"))).count() == 4
+
+
+def test_collapse_single_row_null_and_rare_keys(spark):
+    rows = [(1, "s", None, 4.0),                       # one row, NULL home: kept as is
+            (2, "s", None, 1.0), (2, "s", None, 2.0),  # several rows, no non-NULL home: all kept
+            (3, "s", 3.0, None), (3, "s", 5.0, 6.0)]   # two non-NULL homes: collapsed
+    df = spark.createDataFrame(rows, "fixture_id long, fixture_stat string, home double, away double")
+    out = sorted((tuple(r) for r in collapse_amended(df).collect()), key=str)
+    exp = [(1, "s", None, 4.0), (2, "s", None, 1.0), (2, "s", None, 2.0), (3, "s", 5.0, 6.0)]
+    assert out == sorted(exp, key=str)
