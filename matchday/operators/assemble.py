@@ -78,7 +78,7 @@ def role_dummies(role: str, values: Sequence[str]) -> list:
 def training_table(
     target: DataFrame,
     player_feat: DataFrame,
-    team_opp: DataFrame,
+    team_opp: DataFrame | None,
     player_cols: Sequence[str],
     team_cols: Sequence[str],
     roles: Sequence[str] = ("A", "C", "D", "P"),
@@ -114,6 +114,13 @@ def training_table(
         ffill_bfill_column(pkeys, porder, "role"),
         *ffill_columns(pkeys, porder, player_cols),
     )
+    if team_opp is None:
+        # player side only: the team joins are 1:1 left joins, so the rows
+        # and roles are the same as with team features
+        return full.select(
+            "name", "surname", "season", rnd, "role", "fwd_fantavoto", "fwd_fv_scaled",
+            *player_cols, *role_dummies("role", roles),
+        )
     tcols = list(team_cols) + ["op_" + c for c in team_cols]
     per_round = latest_per_key(
         team_opp, ["team_name", "season", rnd], ["event_date", "fixture_id"], tcols

@@ -197,12 +197,14 @@ def q11_opponent_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_cols(team_opponent_table(spark, sf_dir))
 
 
-def training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
+def training_set(spark: SparkSession, sf_dir: str, with_team: bool = True) -> DataFrame:
+    """Training table; ``with_team=False`` leaves out the team and opponent
+    features (same rows and roles: those joins are 1:1 left joins)."""
     marks = V.player_match(spark, sf_dir)
     return training_table(
         player_target(marks),
         player_features(marks),
-        team_opponent_table(spark, sf_dir),
+        team_opponent_table(spark, sf_dir) if with_team else None,
         PLAYER_FEATURES,
         TEAM_FEATURES,
     )
@@ -236,7 +238,10 @@ def q14_sparse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
 def labelled_rows(spark: SparkSession, sf_dir: str, ts: DataFrame | None = None) -> DataFrame:
     """Training rows with a target, its bin, class code and weight, and a
     numeric row id built from the view keys (for hash splits)."""
-    ts = (training_set(spark, sf_dir) if ts is None else ts).filter(F.col("fwd_fv_scaled").isNotNull())
+    # bins, weights, split and folds need only keys, role and target
+    ts = (training_set(spark, sf_dir, with_team=False) if ts is None else ts).filter(
+        F.col("fwd_fv_scaled").isNotNull()
+    )
     rid = (
         F.substring("surname", 2, 20).cast("long") * 10000
         + F.pmod(F.col("season"), F.lit(100)) * 100
