@@ -200,7 +200,10 @@ def q11_opponent_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 def training_set(spark: SparkSession, sf_dir: str, with_team: bool = True) -> DataFrame:
     """Training table; ``with_team=False`` leaves out the team and opponent
     features (same rows and roles: those joins are 1:1 left joins)."""
-    marks = V.player_match(spark, sf_dir)
+    from matchday.session import materialize
+
+    # read by the target grid, the player features and their skew check
+    marks = materialize(V.player_match(spark, sf_dir))
     return training_table(
         player_target(marks),
         player_features(marks),
