@@ -8,13 +8,41 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchday.llm import op04_mix, op08_shards, op10_lines
+from matchday.llm import (
+    op01_secrets,
+    op02_quality,
+    op03_pieces,
+    op04_mix,
+    op05_language,
+    op06_spotsigs,
+    op07_jaccard,
+    op08_shards,
+    op09_embeddings,
+    op10_lines,
+)
+
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Finds in each document, and behind the layers of its text."""
+    return op01_secrets.scan_secrets(_table(spark, sf_dir, "documents"))
+
+
+def op2_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality of each document, learned from the labels not held out."""
+    out = op05_language.held_out(F.col("doc_id"), 3, 1)
+    return op02_quality.quality_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), out)
+
+
+def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts and digest of the ids of each document, round trip and parity."""
+    return op03_pieces.encode_documents(_table(spark, sf_dir, "documents"), with_ids=False)
+
+
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words that the mix takes of each document, and when."""
     rows = op04_mix.curriculum(_table(spark, sf_dir, "documents"))
@@ -23,6 +51,21 @@ def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language of each document, learned from those not held out."""
+    return op05_language.predict_languages(_table(spark, sf_dir, "documents"))
+
+
+def op6_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of each document, and likeness to its edited text and to the next document."""
+    return op06_spotsigs.compare_with_next(_table(spark, sf_dir, "documents"))
+
+
+def op7_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that share nine tenths of their 3-word shingles."""
+    return op07_jaccard.jaccard_components(_table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of each document."""
     rows = op08_shards.kd_shards(_table(spark, sf_dir, "documents"))
@@ -32,6 +75,11 @@ def op8_kd_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vectors of cosine 0.9 or more."""
+    return op09_embeddings.near_duplicates(_table(spark, sf_dir, "embeddings"))
+
+
 def op10_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Visible lines of each page without the boilerplate of its host."""
     pages = _table(spark, sf_dir, "pages").select(
@@ -41,9 +89,11 @@ def op10_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "op4_curriculum_mix": op4_curriculum_mix,
-    "op8_kd_shards": op8_kd_shards,
-    "op10_site_line_dedup": op10_site_line_dedup,
+    f.__name__: f
+    for f in (
+        op1_secret_scan, op2_quality_score, op3_sentencepiece, op4_curriculum_mix, op5_language_id, op6_spotsigs,
+        op7_ngram_jaccard_join, op8_kd_shards, op9_embedding_neardup, op10_site_line_dedup,
+    )
 }
 
 _MIX_SQL = r"""
