@@ -27,6 +27,6 @@ def split_person_name(full: Column) -> tuple[Column, Column]:
     n = F.size(toks)
     name = F.when(n <= 1, F.lit("")).otherwise(toks.getItem(0))
     surname = F.when(n <= 1, toks.getItem(0)).otherwise(
-        F.array_join(F.slice(toks, 2, 1_000_000), " ")
+        F.array_join(F.slice(toks, F.lit(2), F.greatest(n, F.lit(1))), " ")
     )
     return name, surname

@@ -115,8 +115,9 @@ def build_pipeline(
 
 def random_param_maps(est, n_draws: int, seed: int = 1298) -> list[dict]:
     """Random-search draws (driver side, ``n_draws`` small dicts):
-    trees ~ U{300..999}, depth ~ U{4..12}, rate ~ InvGamma(1.8),
-    subsample / colsample ~ U{0.6, 0.8, 1.0}, gain ~ LogNormal(0, 0.75)."""
+    trees ~ U{300..999}, depth ~ U{4..12}, rate one of 0.01 / 0.1 / 0.5,
+    minimum gain ~ InvGamma(1.8), rows and columns per tree 0.85.  The
+    booster's L2 penalty has no counterpart in MLlib trees."""
     rng = random.Random(seed)
     inner = est.getClassifier() if isinstance(est, OneVsRest) else est
     trees = inner.getParam("maxIter") if inner.hasParam("maxIter") else inner.getParam("numTrees")
@@ -125,11 +126,12 @@ def random_param_maps(est, n_draws: int, seed: int = 1298) -> list[dict]:
         m = {
             trees: rng.randint(300, 999),
             inner.getParam("maxDepth"): rng.randint(4, 12),
-            inner.getParam("subsamplingRate"): rng.choice([0.6, 0.8, 1.0]),
-            inner.getParam("minInfoGain"): rng.lognormvariate(0.0, 0.75),
+            inner.getParam("subsamplingRate"): 0.85,
+            inner.getParam("featureSubsetStrategy"): "0.85",
+            inner.getParam("minInfoGain"): 1.0 / rng.gammavariate(1.8, 1.0),
         }
         if inner.hasParam("stepSize"):
-            m[inner.getParam("stepSize")] = min(1.0, 1.0 / rng.gammavariate(1.8, 1.0))
+            m[inner.getParam("stepSize")] = rng.choice([0.01, 0.1, 0.5])
         maps.append(m)
     return maps
 

@@ -75,15 +75,21 @@ def role_dummies(role: str, values: Sequence[str]) -> list:
     return [(F.col(role) == v).cast("double").alias(f"{role}_{v}") for v in values]
 
 
+def with_role_dummies(df: DataFrame, roles: Sequence[str] = ("A", "C", "D", "P")) -> DataFrame:
+    """``df`` plus one 0/1 column per role.  Added after pruning, so that
+    they count neither as columns nor as fields of a row there."""
+    return df.select("*", *role_dummies("role", roles))
+
+
 def training_table(
     target: DataFrame,
     player_feat: DataFrame,
     team_opp: DataFrame | None,
     player_cols: Sequence[str],
     team_cols: Sequence[str],
-    roles: Sequence[str] = ("A", "C", "D", "P"),
     rnd: str = "round_no",
     centre: float = 6.0,
+    seasons: Sequence[int] | None = None,
 ) -> DataFrame:
     """Player rows (target grid) with player, team and opponent features.
 
@@ -93,13 +99,18 @@ def training_table(
     * team + opponent features: computed on the small (team, season, round)
       table - ``team_opp`` reduced to the last fixture per round, filled
       forward over rounds present in the player rows - then joined back
-      many-to-one.  Same values as a tie-safe RANGE fill over player rows,
+      many-to-one;
+    * the season selection is a filter on the target's seasons before any
+      join; role dummies come after pruning (:func:`with_role_dummies`).  Same values as a tie-safe RANGE fill over player rows,
       without a window whose partition is a whole team's player rows.
     """
     pk = ["name", "surname", "season", rnd]
+    if seasons is not None:
+        target = target.filter(F.col("season").isin(*seasons))
+        player_feat = player_feat.filter(F.col("season").isin(*seasons))
     t = target.select(
         *pk, "team", "fwd_fantavoto", (F.col("fwd_fantavoto") - centre).alias("fwd_fv_scaled")
-    ).distinct()
+    )  # the grid has one row per player and round
     pf = player_feat.select(*[F.col(c).alias("_pf_" + c) for c in pk], "role", *player_cols)
     cond = (
         F.col("name").eqNullSafe(F.col("_pf_name"))
@@ -118,8 +129,7 @@ def training_table(
         # player side only: the team joins are 1:1 left joins, so the rows
         # and roles are the same as with team features
         return full.select(
-            "name", "surname", "season", rnd, "role", "fwd_fantavoto", "fwd_fv_scaled",
-            *player_cols, *role_dummies("role", roles),
+            "name", "surname", "season", rnd, "role", "fwd_fantavoto", "fwd_fv_scaled", *player_cols,
         )
     tcols = list(team_cols) + ["op_" + c for c in team_cols]
     per_round = latest_per_key(
@@ -134,5 +144,5 @@ def training_table(
     out = full.join(filled, ["team", "season", rnd], "left")
     return out.select(
         "name", "surname", "season", rnd, "role", "fwd_fantavoto", "fwd_fv_scaled",
-        *player_cols, *tcols, *role_dummies("role", roles),
+        *player_cols, *tcols,
     )

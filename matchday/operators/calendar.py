@@ -30,7 +30,8 @@ def player_target(
     job is a partial aggregate (copies of a mark collapse map-side) and one
     window Exchange on (player, season) whose partitions hold at most
     ``n_rounds`` rows.  A player listed twice in one round keeps the row of
-    the last team (by name order).
+    the last team (by name order).  Marks outside 1..n_rounds give no value,
+    but a player who has no others gets the whole grid, without a team.
     """
     k = [*entity, season]
     w = Window.partitionBy(*k).orderBy(F.col(rnd))
@@ -38,8 +39,9 @@ def player_target(
     # copies of a mark collapse map-side, so every window partition below
     # holds at most n_rounds rows
     m = (
-        marks.select(*k, rnd, team, value)
-        .filter(F.col(rnd).between(1, n_rounds))
+        marks.select(
+            *k, *[F.when(F.col(rnd).between(1, n_rounds), F.col(c)).alias(c) for c in (rnd, team, value)]
+        )
         .groupBy(*k, rnd)
         .agg(F.max(F.struct(F.col(team).alias("t"), F.col(value).alias("v"))).alias("_m"))
         .select(*k, rnd, F.col("_m.t").alias(team), F.col("_m.v").alias(value))
@@ -57,6 +59,8 @@ def player_target(
         F.lead(value).over(w).alias("_next_v"),
         F.lag(rnd).over(w).isNull().alias("_first"),
     )
+    # the row without a round only stands for a player who has no other
+    spans = spans.filter(F.col("_r").isNotNull() | F.col("_next_r").isNull())
     start = F.when(F.col("_first"), F.lit(1)).otherwise(F.col("_r"))
     end = F.coalesce(F.col("_next_r") - 1, F.lit(n_rounds))
     grid = spans.select("*", F.explode(F.sequence(start, end)).alias(rnd))

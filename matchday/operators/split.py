@@ -27,9 +27,12 @@ HASH_MOD = 4294967296
 
 
 def mult_hash(id_col: Column, seed: int = SPLIT_SEED) -> Column:
-    """``pmod(id * 2654435761 + seed, 2^32)`` - identical in any SQL engine
-    for ids below 3e9 (the product fits in a signed 64-bit integer)."""
-    return F.pmod(id_col.cast("long") * F.lit(HASH_MULT) + F.lit(seed), F.lit(HASH_MOD))
+    """``pmod(id * 2654435761 + seed, 2^32)`` for any 64-bit id: the id is
+    reduced first and multiplied in halves, so no product leaves 64 bits."""
+    low = F.pmod(id_col.cast("long"), F.lit(HASH_MOD))
+    upper = F.shiftright(low, 16) * F.lit(HASH_MULT) % F.lit(HASH_MOD) * F.lit(65536)
+    lower = low % F.lit(65536) * F.lit(HASH_MULT)
+    return F.pmod(upper + lower + F.lit(seed), F.lit(HASH_MOD))
 
 
 def with_bins(df: DataFrame, target: str, out: str = "fv_bin") -> DataFrame:

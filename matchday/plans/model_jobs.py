@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from matchday.ml import model as M
 from matchday.ml.explain import permutation_importance
+from matchday.operators.assemble import with_role_dummies
+from matchday.operators.metrics import class_report, label_distribution, summary_scores
 from matchday.operators.prune import drop_sparse_columns, drop_sparse_rows
 from matchday.operators.split import stratified_split
 from matchday.session import scratch_path
@@ -22,53 +24,61 @@ TOP_K = 40
 # -----------------------------------------------------------------------------------
 
 
-def prepared(spark: SparkSession, sf_dir: str, ts: DataFrame | None = None):
-    """Training table -> sparse columns dropped (null share > 0.25 over ALL
+# Outputs of the training job by (application, input folder): the pruned
+# training table, the labelled rows with their split, the model and its
+# predictions are written once and read by all queries below.
+_OUTPUTS: dict[tuple[str, str], str] = {}
+
+
+def _training_job(spark: SparkSession, sf_dir: str, kind: str = "rf") -> str:
+    """Runs the training job, unless this session has, and returns the folder
+    of its outputs.
+
+    Training table -> sparse columns dropped (null share > 0.25 over ALL
     rows, targets and keys exempt) -> sparse rows dropped (null share > 0.3
-    over the surviving columns) -> rows with a target -> bins -> split, in
-    the reference's order.  The profile is one aggregate whose result has
-    one row per column; the surviving list is what the saved pipeline
-    carries.  Returns (labelled data, train, test, features, pruned table)."""
+    over the surviving columns) -> role dummies -> rows with a target ->
+    bins -> split, in the reference's order.  The profile is one aggregate
+    whose result has one row per column; the surviving list is what the saved
+    pipeline carries.  The split is a column of the written rows, which are
+    partitioned by it, so train and test are read back without a join."""
     from matchday.plans.queries import labelled_rows, training_set
-    from matchday.session import materialize
 
-    ts = materialize(training_set(spark, sf_dir)) if ts is None else ts
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key in _OUTPUTS:
+        return _OUTPUTS[key]
+    base = scratch_path(spark, f"models/marks-{uuid.uuid4().hex}")
+    training_set(spark, sf_dir).write.parquet(f"{base}/table")
+    ts = spark.read.parquet(f"{base}/table")
     pruned, _dropped = drop_sparse_columns(
         ts, COL_NULL_SHARE, exempt=["fwd_fantavoto", "fwd_fv_scaled"], keys=KEYS + ["role"]
     )
-    pruned = drop_sparse_rows(pruned, ROW_NULL_SHARE)
-    lr = labelled_rows(spark, sf_dir, pruned)
-    split = stratified_split(lr.select(*KEYS, "row_id", "role", "fv_bin"), ["fv_bin", "role"], "row_id")
-    data = lr.join(split.select(*KEYS, "split"), KEYS).filter(F.col("label").isNotNull())
-    # the estimators make many passes: materialise once in the shared
-    # checkpoint folder (cuts the lineage; survives executor loss)
-    data = data.checkpoint(eager=True)
-    feats = M.feature_columns(data, NON_FEATURES)
-    train = data.filter(F.col("split") == "train")
-    test = data.filter(F.col("split") == "test")
-    return data, train, test, feats, pruned
+    with_role_dummies(drop_sparse_rows(pruned, ROW_NULL_SHARE)).write.parquet(f"{base}/pruned")
+    lr = labelled_rows(spark, sf_dir, spark.read.parquet(f"{base}/pruned"))
+    data = stratified_split(lr, ["fv_bin", "role"], "row_id").filter(F.col("label").isNotNull())
+    data.write.partitionBy("split").parquet(f"{base}/labelled")
+    data = spark.read.parquet(f"{base}/labelled")
+    train = data.filter(F.col("split") == "train").withColumn("label", F.col("label").cast("double"))
+    model = M.fit(M.build_pipeline(M.feature_columns(data, NON_FEATURES), kind=kind), train)
+    M.save(model, f"{base}/model")
+    M.score(M.load(f"{base}/model"), data, KEYS + ["split", "label"]).write.parquet(f"{base}/predictions")
+    _OUTPUTS[key] = base
+    return base
 
 
-def train_model(spark: SparkSession, sf_dir: str, kind: str = "rf", ts: DataFrame | None = None):
-    data, train, test, feats, pruned = prepared(spark, sf_dir, ts)
-    train = train.withColumn("label", F.col("label").cast("double"))
-    model = M.fit(M.build_pipeline(feats, kind=kind), train)
-    path = scratch_path(spark, f"models/marks-model-{uuid.uuid4().hex}")
-    M.save(model, path)
-    return M.load(path), data, test, feats, pruned
+def q28_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weighted multi-class trees: fit on the train split, saved, reloaded;
+    the score of every labelled row (split column tells in/out of sample)."""
+    return spark.read.parquet(f"{_training_job(spark, sf_dir)}/predictions")
 
 
-def q28_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Weighted multi-class trees: fit on the train split, save, reload and
-    score every labelled row (split column tells in/out of sample)."""
-    model, data, _test, _feats, _pruned = train_model(spark, sf_dir)
-    return M.score(model, data, KEYS + ["split", "label"])
+def q28d_labelled_split(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys, class and split of the rows that the model sees."""
+    return spark.read.parquet(f"{_training_job(spark, sf_dir)}/labelled").select(*KEYS, "label", "split")
 
 
 def q28b_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Top and bottom 40 features by tree importance."""
-    model, _data, _test, _feats, _pruned = train_model(spark, sf_dir)
-    imp = M.feature_importance(model)
+    imp = M.feature_importance(M.load(f"{_training_job(spark, sf_dir)}/model"))
     rows = [(n, v, i + 1, "top") for i, (n, v) in enumerate(imp[:TOP_K])]
     tail = imp[-TOP_K:]
     rows += [(n, v, len(imp) - len(tail) + i + 1, "bottom") for i, (n, v) in enumerate(tail)]
@@ -77,8 +87,41 @@ def q28b_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q30_permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy drop on the test split when one feature is permuted."""
-    model, _data, test, feats, _pruned = train_model(spark, sf_dir)
-    return permutation_importance(model, test, feats, "row_id")
+    base = _training_job(spark, sf_dir)
+    data = spark.read.parquet(f"{base}/labelled")
+    feats = M.feature_columns(data, NON_FEATURES)
+    return permutation_importance(
+        M.load(f"{base}/model"), data.filter(F.col("split") == "test"), feats, "row_id"
+    )
+
+
+def q31_prediction_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The model's own train and test predictions measured: per split and
+    class precision, recall, F1 and support, the averages, accuracy,
+    balanced accuracy and Matthews correlation, and the distribution of true
+    and predicted classes."""
+    preds = spark.read.parquet(f"{_training_job(spark, sf_dir)}/predictions")
+    out = None
+    for split in ("train", "test"):
+        rows = preds.filter(F.col("split") == split).select(
+            F.col("label").cast("int").alias("truth"), F.col("predicted_code").cast("int").alias("pred")
+        )
+        parts = [
+            ("class", class_report(rows, "truth", "pred")),
+            ("summary", summary_scores(rows, "truth", "pred")),
+            ("distribution", label_distribution(rows, "truth", "pred")),
+        ]
+        for kind, df in parts:
+            key = df.columns[0] if kind != "summary" else None
+            values = [c for c in df.columns if c != key]
+            stacked = F.explode(F.array(*[
+                F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in values
+            ]))
+            name = F.col(key).cast("string") if key else F.lit(None).cast("string")
+            df = df.select(F.lit(split).alias("split"), F.lit(kind).alias("kind"), name.alias("label"), stacked.alias("m"))
+            df = df.select("split", "kind", "label", "m.measure", "m.value")
+            out = df if out is None else out.unionByName(df)
+    return out
 
 
 def q28c_watchlist_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,12 +131,10 @@ def q28c_watchlist_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
     role 'A', with their team)."""
     from matchday.operators.calendar import last_played_round
     from matchday.plans import views as V
-    from matchday.plans.queries import player_master, training_set
-
-    from matchday.session import materialize
+    from matchday.plans.queries import player_master
 
-    ts = materialize(training_set(spark, sf_dir))      # feeds training and scoring
-    model, _data, _test, _feats, rows = train_model(spark, sf_dir, ts=ts)
+    base = _training_job(spark, sf_dir)
+    model, rows = M.load(f"{base}/model"), spark.read.parquet(f"{base}/pruned")
     final_round = last_played_round(V.calendar(spark, sf_dir)).first()["final_round"]   # one row
     newest = rows.agg(F.max("season").alias("s")).first()["s"]                         # one row
     watch = (

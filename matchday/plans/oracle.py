@@ -223,7 +223,10 @@ def _training_cols() -> list[str]:
     from matchday.plans.queries import PLAYER_FEATURES as pfs, TEAM_FEATURES as tf
 
     return ["name", "surname", "season", "round_no", "role", "fwd_fantavoto", "fwd_fv_scaled",
-            *pfs, *tf, *["op_" + c for c in tf], "role_A", "role_C", "role_D", "role_P"]
+            *pfs, *tf, *["op_" + c for c in tf]]
+
+
+_DUMMIES = ["role_A", "role_C", "role_D", "role_P"]
 
 
 def _training_ctes() -> str:
@@ -264,11 +267,7 @@ j1 AS (
 ), j4 AS (
   SELECT name, surname, season, round_no, role, fwd_fantavoto, fwd_fv_scaled, {", ".join(pfs)}, {tfill}
   FROM j3
-), ts AS (
-  SELECT *, CAST(role = 'A' AS DOUBLE) AS role_A, CAST(role = 'C' AS DOUBLE) AS role_C,
-         CAST(role = 'D' AS DOUBLE) AS role_D, CAST(role = 'P' AS DOUBLE) AS role_P
-  FROM j4
-)"""
+), ts AS (SELECT * FROM j4)"""
 
 
 _TRAIN_VIEWS = _OPP_VIEWS + ("player_match",)
@@ -281,7 +280,8 @@ def _rounded(cols, doubles) -> str:
 def _q12() -> str:
     cols = _training_cols()
     doubles = set(cols[5:])
-    return with_views(_training_ctes() + f"\nSELECT {_rounded(cols, doubles)} FROM ts", *_TRAIN_VIEWS)
+    dummies = ", ".join(f"CAST(role = '{d[-1]}' AS DOUBLE) AS {d}" for d in _DUMMIES)
+    return with_views(_training_ctes() + f"\nSELECT {_rounded(cols, doubles)}, {dummies} FROM ts", *_TRAIN_VIEWS)
 
 
 def _q13() -> str:
@@ -302,13 +302,26 @@ FROM shares""",
     )
 
 
-def _q14() -> str:
+def _pruned_ctes() -> str:
+    """``rs``: the training rows with the share of NULL fields among the
+    columns whose own NULL share is at most 0.25 (keys and targets always)."""
     cols = _training_cols()
-    share = " + ".join(f'CAST("{c}" IS NULL AS INT)' for c in cols)
+    always = {"name", "surname", "season", "round_no", "role", "fwd_fantavoto", "fwd_fv_scaled"}
+    flags = ", ".join(
+        "1" + f' AS "k_{c}"' if c in always
+        else f'CAST(AVG(CASE WHEN "{c}" IS NULL THEN 1.0 ELSE 0.0 END) <= 0.25 AS INT) AS "k_{c}"' for c in cols
+    )
+    nulls = " + ".join(f'CAST("{c}" IS NULL AS INT) * "k_{c}"' for c in cols)
+    total = " + ".join(f'"k_{c}"' for c in cols)
+    return _training_ctes() + f"""
+, kept_cols AS (SELECT {flags} FROM ts),
+rs AS (SELECT ts.*, ({nulls}) / CAST(({total}) AS DOUBLE) AS row_null_share FROM ts, kept_cols)"""
+
+
+def _q14() -> str:
     return with_views(
-        _training_ctes()
-        + f"""
-, rs AS (SELECT *, ({share}) / {float(len(cols))} AS row_null_share FROM ts)
+        _pruned_ctes()
+        + """
 SELECT name, surname, season, round_no, ROUND(fwd_fv_scaled, 6) AS fwd_fv_scaled,
        ROUND(row_null_share, 6) AS row_null_share
 FROM rs WHERE row_null_share <= 0.3""",
@@ -326,13 +339,14 @@ def _bin_case(v: str) -> tuple[str, str, str]:
     return b, code, w
 
 
-def _labelled_ctes() -> str:
+def _labelled_ctes(pruned: bool = False) -> str:
     b, code, w = _bin_case("fwd_fv_scaled")
-    return _training_ctes() + f"""
+    rows = "(SELECT * FROM rs WHERE row_null_share <= 0.3)" if pruned else "ts"
+    return (_pruned_ctes() if pruned else _training_ctes()) + f"""
 , lb0 AS (
   SELECT *, {b} AS fv_bin,
          CAST(substr(surname, 2, 20) AS BIGINT) * 10000 + (season % 100) * 100 + round_no AS row_id
-  FROM ts WHERE fwd_fv_scaled IS NOT NULL
+  FROM {rows} WHERE fwd_fv_scaled IS NOT NULL
 ), lb AS (SELECT *, {code} AS label, {w} AS weight FROM lb0)"""
 
 
@@ -348,7 +362,7 @@ def _bins_values() -> str:
 
 _SPLIT = """
 , hs AS (SELECT name, surname, season, round_no, row_id, role, fv_bin,
-                (row_id * 2654435761 + {seed}) % 4294967296 AS h FROM lb),
+                CAST((CAST(row_id AS HUGEINT) * 2654435761 + {seed}) % 4294967296 AS BIGINT) AS h FROM lb),
 rk AS (SELECT *, row_number() OVER (PARTITION BY fv_bin, role ORDER BY h, row_id) AS r,
               count(*) OVER (PARTITION BY fv_bin, role) AS n FROM hs),
 sp AS (SELECT name, surname, season, round_no, row_id, role, fv_bin,
@@ -386,13 +400,12 @@ _AMENDED = """
 _HTML = r"""
 WITH pl AS (SELECT page_id, regexp_extract_all(html, '(?s)<ul>(.*?)</ul>', 1) AS lists FROM pages),
 l AS (SELECT page_id, unnest(lists) AS body, unnest(range(len(lists))) AS list_pos FROM pl),
-l20 AS (SELECT * FROM l WHERE list_pos < 20),
 it AS (
   SELECT page_id, CAST(list_pos AS INT) AS list_pos,
          unnest(regexp_extract_all(body, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)) AS href,
          unnest(regexp_extract_all(body, '<li><a href="([^"]*)">([^<]*)</a></li>', 2)) AS text,
          unnest(range(len(regexp_extract_all(body, '<li><a href="([^"]*)">([^<]*)</a></li>', 1)))) AS item_pos
-  FROM l20
+  FROM l
 ), tk AS (
   SELECT *, regexp_split_to_array(trim(text), ' +') AS toks,
          regexp_replace(text, '[
@@ -410,6 +423,16 @@ FROM tk"""
 
 
 def oracle_sql() -> dict[str, str]:
+    out = _base_sql()
+    out["q29b_stream_calendar"] = out["q08_calendar_stale_drop"]
+    out["q29c_stream_statistics"] = out["q04_stat_collapse"]
+    out["q10b_names_to_review"] = (
+        f"SELECT DISTINCT name, surname FROM ({out['q10_name_fix']}) fixed WHERE len(string_split(surname, ' ')) > 1"
+    )
+    return out
+
+
+def _base_sql() -> dict[str, str]:
     return {
         "q01_player_features": _q01(),
         "q02_player_master": with_views(
@@ -500,7 +523,7 @@ FROM {_bins_values()} LEFT JOIN cnt ON b.fv_bin = cnt.fv_bin""",
             + _SPLIT.format(seed=1298)
             + """
 , trn AS (SELECT name, surname, season, round_no, row_id, role, fv_bin,
-                (row_id * 2654435761 + 1299) % 4294967296 AS h FROM sp WHERE split = 'train'),
+                CAST((CAST(row_id AS HUGEINT) * 2654435761 + 1299) % 4294967296 AS BIGINT) AS h FROM sp WHERE split = 'train'),
 fr AS (SELECT *, row_number() OVER (PARTITION BY fv_bin ORDER BY h, row_id) AS r FROM trn)
 SELECT name, surname, season, round_no, row_id, role, fv_bin, CAST((r - 1) % 5 AS INT) AS fold FROM fr""",
             *_TRAIN_VIEWS,
@@ -539,6 +562,27 @@ SELECT event_id,
        CAST(floor(epoch(ts)) AS BIGINT) AS unix_s,
        strftime(ts + INTERVAL 5 DAY, '%Y-%m-%d %H:%M:%S') AS cutoff_utc
 FROM events""",
+        "q16b_class_count": with_views(
+            _labelled_ctes() + "\nSELECT count(DISTINCT label) AS n_classes FROM lb", *_TRAIN_VIEWS
+        ),
+        "q28d_labelled_split": with_views(
+            _labelled_ctes(pruned=True)
+            + _SPLIT.format(seed=1298)
+            + """
+SELECT sp.name, sp.surname, sp.season, sp.round_no, lb.label, sp.split FROM sp JOIN lb
+  ON sp.row_id = lb.row_id AND sp.name IS NOT DISTINCT FROM lb.name AND sp.surname IS NOT DISTINCT FROM lb.surname
+WHERE lb.label IS NOT NULL""",
+            *_TRAIN_VIEWS,
+        ),
+        "q07b_duplicate_team_rows": with_views(
+            _team_feat_ctes()
+            + """
+SELECT team_id, team_name, event_date, fixture_id, league_id, fixture_stat, count(*) AS n_rows
+FROM cut GROUP BY ALL HAVING count(*) > 1""",
+            "calendar",
+            "fixture_master",
+            "fixture_stats",
+        ),
         "q29_stream_upsert": """
 SELECT user_id, event_type, event_id, ts, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rk

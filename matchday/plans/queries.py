@@ -1,12 +1,20 @@
-"""The registered jobs: each takes ``(spark, sf_dir)`` and returns a lazy
-DataFrame over the canonical views of :mod:`matchday.plans.views`."""
+"""The registered jobs: each takes ``(spark, sf_dir)`` and returns a
+DataFrame over the canonical views of :mod:`matchday.plans.views`.
+
+The result is lazy, but building it can run jobs: written intermediate
+tables, the skew check of rolling windows, null profiles, exact quantiles,
+streams and model fits happen in the call.
+"""
 
 from __future__ import annotations
 
+import uuid
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from matchday.operators.assemble import opponent_features, training_table
+from matchday.operators.assemble import opponent_features, training_table, with_role_dummies
 from matchday.operators.calendar import (
     fixtures_per_round,
     last_played_round,
@@ -29,6 +37,7 @@ from matchday.operators.features import (
     team_features,
     team_stat_rows,
 )
+from matchday.operators.quality import duplicate_keys
 from matchday.operators.metrics import (
     class_report,
     confusion,
@@ -36,7 +45,7 @@ from matchday.operators.metrics import (
     regression_scores,
     summary_scores,
 )
-from matchday.operators.prune import drop_sparse_rows, row_null_share, sparse_column_report
+from matchday.operators.prune import drop_sparse_columns, drop_sparse_rows, row_null_share, sparse_column_report
 from matchday.operators.reshape import pivot_mean, unpivot_split
 from matchday.operators.split import class_weights, stratified_folds, stratified_split, with_bins
 from matchday.operators.worklist import (
@@ -197,9 +206,12 @@ def q11_opponent_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_cols(team_opponent_table(spark, sf_dir))
 
 
-def training_set(spark: SparkSession, sf_dir: str, with_team: bool = True) -> DataFrame:
-    """Training table; ``with_team=False`` leaves out the team and opponent
-    features (same rows and roles: those joins are 1:1 left joins)."""
+def training_set(
+    spark: SparkSession, sf_dir: str, with_team: bool = True, seasons: Sequence[int] | None = None
+) -> DataFrame:
+    """Training table of the selected seasons (all by default);
+    ``with_team=False`` leaves out the team and opponent features (same rows
+    and roles: those joins are 1:1 left joins)."""
     from matchday.session import materialize
 
     # read by the target grid, the player features and their skew check
@@ -210,12 +222,13 @@ def training_set(spark: SparkSession, sf_dir: str, with_team: bool = True) -> Da
         team_opponent_table(spark, sf_dir) if with_team else None,
         PLAYER_FEATURES,
         TEAM_FEATURES,
+        seasons=seasons,
     )
 
 
 def q12_training_set(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Player rows with player, team and opponent features and role dummies."""
-    return round_cols(training_set(spark, sf_dir))
+    return round_cols(with_role_dummies(training_set(spark, sf_dir)))
 
 
 TRAIN_KEYS = ["name", "surname", "season", "round_no"]
@@ -230,8 +243,9 @@ def q13_sparse_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q14_sparse_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Training rows whose share of NULL fields is at most 0.3."""
-    ts = training_set(spark, sf_dir)
+    """Training rows whose share of NULL fields, over the columns that the
+    column pruning left, is at most 0.3."""
+    ts, _dropped = drop_sparse_columns(training_set(spark, sf_dir), 0.25, exempt=TARGETS, keys=[*TRAIN_KEYS, "role"])
     kept = drop_sparse_rows(ts, 0.3)
     return round_cols(
         kept.select(*TRAIN_KEYS, "fwd_fv_scaled", row_null_share(ts.columns).alias("row_null_share"))
@@ -245,8 +259,9 @@ def labelled_rows(spark: SparkSession, sf_dir: str, ts: DataFrame | None = None)
     ts = (training_set(spark, sf_dir, with_team=False) if ts is None else ts).filter(
         F.col("fwd_fv_scaled").isNotNull()
     )
+    # below 2^62 whatever the user id; rows that agree in it only tie in the split
     rid = (
-        F.substring("surname", 2, 20).cast("long") * 10000
+        F.pmod(F.substring("surname", 2, 20).cast("long"), F.lit(1 << 48)) * 10000
         + F.pmod(F.col("season"), F.lit(100)) * 100
         + F.col("round_no")
     )
@@ -408,39 +423,81 @@ QUERIES = {
 
 
 def q29_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Events landed as daily JSON folders, streamed (availableNow) with
-    watermark de-duplication and upserted into a master: latest event per
-    (user, event type)."""
-    import uuid
-
+    """Events landed as daily JSON folders, streamed (availableNow) into a
+    table: latest event per (user, event type), timestamps to the
+    microsecond."""
     from matchday.session import scratch_path
-    from matchday.streaming.ingest import ingest_stream, land_by_day
+    from matchday.streaming.ingest import current_state, ingest_stream, land_by_day
 
     ev = V.table(spark, sf_dir, "events").select(
         "event_id", "user_id", "event_type", F.col("ts").cast("timestamp").alias("ts"), "value"
     )
     base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
     land_by_day(ev, "ts", f"{base}/landing")
-    schema = T.StructType([
-        T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
-        T.StructField("event_type", T.StringType()), T.StructField("ts", T.TimestampType()),
-        T.StructField("value", T.DoubleType()),
-    ])
-    master = ingest_stream(
-        spark, f"{base}/landing", f"{base}/master", f"{base}/checkpoint", schema,
-        keys=["user_id", "event_type"], order=["ts", "event_id"], dedup_keys=["event_id"], ts="ts",
-    )
-    out = master.read()
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+    ingest_stream(spark, f"{base}/landing", f"{base}/rows", f"{base}/checkpoint", ev.schema, keys, order)
+    out = current_state(spark, f"{base}/rows", ev.schema, keys, order)
     return out.select("user_id", "event_type", "event_id", F.col("ts").cast("timestamp_ntz").alias("ts"), "value")
 
 
+def q29b_stream_calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The calendar and a later delivery of it, landed as JSON files and
+    streamed; stale not-started rows are dropped from what has landed."""
+    from matchday.session import scratch_path
+    from matchday.streaming.ingest import JSON_OPTIONS, amended_state, ingest_stream
+
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    rows = amended_calendar(spark, sf_dir)
+    rows.write.options(**JSON_OPTIONS).json(f"{base}/landing")
+    ingest_stream(spark, f"{base}/landing", f"{base}/rows", f"{base}/checkpoint", rows.schema)
+    return amended_state(spark, f"{base}/rows", rows.schema, [drop_stale_status])
+
+
+def q29c_stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fixture statistics landed as JSON files and streamed; amended ones
+    collapsed."""
+    from matchday.session import scratch_path
+    from matchday.streaming.ingest import amended_state, ingest_stream
+
+    base = scratch_path(spark, f"stream-{uuid.uuid4().hex}")
+    rows = V.fixture_stats(spark, sf_dir)
+    rows.write.json(f"{base}/landing")
+    ingest_stream(spark, f"{base}/landing", f"{base}/rows", f"{base}/checkpoint", rows.schema)
+    return amended_state(spark, f"{base}/rows", rows.schema, [parse_stat_values, collapse_amended])
+
+
+def q07b_duplicate_team_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys of the team unstack with several values (averaged by q07)."""
+    rows = team_stat_rows(
+        collapsed_stats(spark, sf_dir), goal_stats(spark, sf_dir), V.fixture_master(spark, sf_dir), V.AS_OF
+    )
+    return duplicate_keys(rows, ["team_id", "team_name", "event_date", "fixture_id", "league_id", "fixture_stat"])
+
+
+def q10b_names_to_review(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct names of the corrected master that someone should look at."""
+    master = q10_name_fix(spark, sf_dir)
+    return master.filter(needs_review(F.col("surname"))).select("name", "surname").distinct()
+
+
+def q16b_class_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Number of classes that the labelled rows have."""
+    return labelled_rows(spark, sf_dir).agg(F.countDistinct("label").alias("n_classes"))
+
+
 def _register_model_jobs() -> None:
     from matchday.plans import model_jobs as MJ
 
     QUERIES["q28_train_score"] = MJ.q28_train_score
     QUERIES["q28b_feature_importance"] = MJ.q28b_feature_importance
     QUERIES["q28c_watchlist_predictions"] = MJ.q28c_watchlist_predictions
-    QUERIES["q29_stream_upsert"] = q29_stream_upsert
+    QUERIES["q28d_labelled_split"] = MJ.q28d_labelled_split
+    QUERIES["q31_prediction_metrics"] = MJ.q31_prediction_metrics
+    for f in (
+        q29_stream_upsert, q29b_stream_calendar, q29c_stream_statistics, q07b_duplicate_team_rows,
+        q10b_names_to_review, q16b_class_count,
+    ):
+        QUERIES[f.__name__] = f
     QUERIES["q30_permutation_importance"] = MJ.q30_permutation_importance
 
 

@@ -70,6 +70,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return current
     configured = sc.getConf().get("spark.checkpoint.dir", None)
     if not configured:
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError(
+                "spark.checkpoint.dir must name a folder that the driver and all executors share"
+            )
+        # one JVM: the driver's own folder is every task's
         configured = tempfile.mkdtemp(prefix="matchday-ckpt-")
     sc.setCheckpointDir(configured)
     return sc.getCheckpointDir() or configured

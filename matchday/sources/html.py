@@ -24,7 +24,7 @@ from matchday.functions.text import clean_cell
 # --- fixed values (markup patterns of the list pages) ----------------------
 LIST_PATTERN = r"(?s)<ul>(.*?)</ul>"
 ITEM_PATTERN = r'<li><a href="([^"]*)">([^<]*)</a></li>'
-MAX_LISTS = 20          # a page carries at most 20 team lists
+TEAM_LISTS = 20         # team lists of a marks page (pass as ``max_lists`` for those pages)
 # ---------------------------------------------------------------------------
 
 ITEM_SCHEMA = T.StructType(
@@ -49,13 +49,13 @@ def _finish(items: DataFrame) -> DataFrame:
 def extract_list_items(
     pages: DataFrame,
     html: str = "html",
-    max_lists: int | None = MAX_LISTS,
+    max_lists: int | None = None,
     skip_header: int = 0,
 ) -> DataFrame:
     """One row per list item: page, list position, item position, link
     target and text, name/surname split of the text and the text read as a
-    number (``-`` or non-numeric -> NULL).  Only the first ``max_lists``
-    lists of a page are read and the first ``skip_header`` items of each."""
+    number (``-`` or non-numeric -> NULL).  All lists of a page, or the first
+    ``max_lists``, without the first ``skip_header`` items of each."""
     lists = pages.select(
         "page_id",
         F.posexplode(F.regexp_extract_all(F.col(html), F.lit(LIST_PATTERN), 1)).alias("list_pos", "body"),
@@ -140,7 +140,7 @@ def _parse_batches(batches, max_lists, skip_header):
 def extract_list_items_parsed(
     pages: DataFrame,
     html: str = "html",
-    max_lists: int | None = MAX_LISTS,
+    max_lists: int | None = None,
     skip_header: int = 0,
 ) -> DataFrame:
     """Same output as :func:`extract_list_items` for markup a pattern cannot

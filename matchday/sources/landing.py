@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -20,29 +20,41 @@ UNKNOWN_NAME = "_unknown_"
 # -----------------------------------------------------------------------------
 
 
+def csv_fields(line: Column) -> Column:
+    """The fields of one CSV line, as many as it has: unquoted ones trimmed
+    of nothing, quoted ones without their quotes, empty ones NULL."""
+    parts = F.split(line, r',(?=(?:[^"]*"[^"]*")*[^"]*$)')
+
+    def value(x: Column) -> Column:
+        quoted = F.regexp_extract(x, r'(?s)^\s*"(.*)"\s*$', 1)
+        plain = F.when(x.rlike(r'(?s)^\s*".*"\s*$'), F.regexp_replace(quoted, '""', '"')).otherwise(x)
+        return F.when(plain != "", plain)
+
+    return F.transform(parts, value)
+
+
 def read_round_csvs(
     spark: SparkSession,
     path: str,
     columns: Sequence[str] = GRADE_COLUMNS,
     numeric: Sequence[str] = GRADE_NUMERIC,
     header_key: str = "surname",
-    max_fields: int = 32,
 ) -> DataFrame:
     """Read a directory of per-round CSV files whose headers may differ
     (some files carry a leading unnamed index column).
 
     A single CSV read would map every file by the FIRST file's column
-    positions and silently shift values.  Instead each file is read as raw
-    string fields, its own header row (the row holding ``header_key``) is
-    kept in a one-row-per-file table, and every data row takes each column
-    from the position its file's header gives.  No per-file loop on the
+    positions and silently shift values.  Instead each line is split into
+    its fields (any number of them; quoted fields may hold commas), the
+    file's own header row (the row holding ``header_key``) is kept in a
+    one-row-per-file table, and every data row takes each column from the
+    position its file's header gives.  No per-file loop on the
     driver; the header table has one row per file.  ``season`` and
     ``match`` come from the file name ``a<season>_m<round>.csv``.
     """
-    schema = T.StructType([T.StructField(f"_c{i}", T.StringType()) for i in range(max_fields)])
-    raw = spark.read.schema(schema).option("header", False).option("mode", "PERMISSIVE").csv(path)
-    fields = F.array(*[F.col(f"_c{i}") for i in range(max_fields)])
-    rows = raw.select(F.col("_metadata.file_name").alias("_file"), fields.alias("_v"))
+    raw = spark.read.text(path).filter(F.trim("value") != "")
+    line = F.regexp_replace("value", "^\ufeff|\r$", "")
+    rows = raw.select(F.col("_metadata.file_name").alias("_file"), csv_fields(line).alias("_v"))
     # array_contains is NULL (not false) when the array holds NULLs
     is_header = F.coalesce(F.array_contains(F.col("_v"), header_key), F.lit(False))
     headers = rows.filter(is_header).select("_file", F.col("_v").alias("_h"))
@@ -50,7 +62,7 @@ def read_round_csvs(
     out = []
     for c in columns:
         pos = F.array_position(F.col("_h"), c).cast("int")
-        v = F.when(pos > 0, F.element_at(F.col("_v"), pos))
+        v = F.when(pos > 0, F.get(F.col("_v"), pos - 1))
         out.append((v.try_cast("double") if c in numeric else v).alias(c))
     fname = F.col("_file")
     res = data.select(

@@ -1,27 +1,29 @@
 """Incremental landing with Structured Streaming.
 
 The reference rescans its landing folder on every run and appends to a
-master; here new files are picked up by the file source, de-duplicated
-inside the watermark, and each micro-batch is upserted into the master
-(latest row per key wins) in ``foreachBatch``.  The checkpoint makes the
-job restartable after executor or driver loss: files already committed are
-never re-read, and the upsert is idempotent, so a replayed batch leaves the
-same master.
+master.  Here the file source finds the files that are new, and each
+micro-batch is written by ``foreachBatch`` to its own folder of the table's
+rows: Parquet partitioned by batch, overwritten when a batch is replayed, so a
+restart after the loss of an executor or of the driver leaves the same table.
+The state is an aggregate on read.  Nothing is dropped for being late.
 """
 
 from __future__ import annotations
 
-import os
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+#: JSON keeps milliseconds unless told otherwise
+JSON_OPTIONS = {"timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"}
+
 
 def dedup_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str) -> DataFrame:
     """Drop repeated rows of the same key that arrive within ``delay`` of
-    event time (state is bounded by the watermark)."""
+    event time.  The state is bounded by the watermark, and rows later than
+    it are dropped: for streams whose lateness has a known bound only."""
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
@@ -33,126 +35,89 @@ def latest_per_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) ->
     return df.groupBy(*keys).agg(F.max_by(packed, by).alias("_v")).select(*keys, "_v.*")
 
 
-class MasterTable:
-    """Upsert target stored as an append-only log of per-batch changes.
-
-    Each micro-batch writes ONLY its own latest-per-key rows to
-    ``log/batch=<id>`` (overwrite of that one folder, so a replayed batch is
-    idempotent) and then records ``id`` in a manifest.  The current state is
-    ``latest_per_key`` over the newest snapshot plus the delta batches
-    committed after it (partition-pruned; partial aggregation map-side).
-    Write cost is proportional to the batch; :meth:`compact` writes a
-    snapshot so reads stop merging old deltas.
-    """
-
-    def __init__(self, spark: SparkSession, root: str, schema: T.StructType,
-                 keys: Sequence[str], order: Sequence[str]):
-        self.spark, self.root, self.schema = spark, root.rstrip("/"), schema
-        self.keys, self.order = list(keys), list(order)
-        self.log = f"{self.root}/log"
-        self.snapshots = f"{self.root}/snapshot"
-        self.manifest = f"{self.root}/_manifest"
-
-    def _manifest(self):
-        try:
-            r = self.spark.read.parquet(self.manifest).agg(
-                F.max("batch").alias("last"),
-                F.max(F.when(F.col("kind") == "snapshot", F.col("batch"))).alias("snap"),
-            ).first()
-        except Exception as e:  # noqa: BLE001 - first run: no manifest yet
-            if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
-                return None, None
-            raise
-        return (None, None) if r is None else (r["last"], r["snap"])
-
-    def committed(self) -> int | None:
-        return self._manifest()[0]
-
-    def _record(self, batch: int, kind: str) -> None:
-        self.spark.createDataFrame([(batch, kind)], "batch long, kind string").write.mode("append").parquet(
-            self.manifest
-        )
-
-    def read(self) -> DataFrame:
-        last, snap = self._manifest()
-        if last is None:
-            return self.spark.createDataFrame([], self.schema)
-        cols = self.schema.names
-        parts = []
-        if snap is not None:
-            snap_df = self.spark.read.schema(self.schema).parquet(f"{self.snapshots}/batch={snap}")
-            parts.append(snap_df.select(*cols, F.lit(snap).cast("long").alias("_batch")))
-        lo = -1 if snap is None else snap
-        if last > lo:
-            log = self.spark.read.parquet(self.log)
-            parts.append(
-                log.filter((F.col("batch") > lo) & (F.col("batch") <= last))
-                .select(*cols, F.col("batch").cast("long").alias("_batch"))
-            )
-        merged = parts[0]
-        for p in parts[1:]:
-            merged = merged.unionByName(p)
-        # ties on the order columns go to the newest batch
-        return latest_per_key(merged, self.keys, [*self.order, "_batch"]).select(*cols)
-
-    def upsert(self, updates: DataFrame, batch_id: int) -> None:
-        changes = latest_per_key(updates.select(*self.schema.names), self.keys, self.order)
-        changes.write.mode("overwrite").parquet(f"{self.log}/batch={batch_id}")
-        self._record(batch_id, "delta")
-
-    def compact(self) -> None:
-        """Write the current state as a snapshot at the last committed batch
-        id; later reads start from it."""
-        last, snap = self._manifest()
-        if last is None or last == snap:
-            return
-        self.read().write.mode("overwrite").parquet(f"{self.snapshots}/batch={last}")
-        self._record(last, "snapshot")
+def write_batch(rows: DataFrame, path: str, batch_id: int) -> None:
+    """The rows of one micro-batch, in a folder of their own."""
+    rows.write.mode("overwrite").parquet(f"{path.rstrip('/')}/batch={batch_id}")
+
+
+def landed_rows(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """All rows written so far, with the ``batch`` that brought them."""
+    full = T.StructType([*schema.fields, T.StructField("batch", T.LongType())])
+    try:
+        return spark.read.schema(full).parquet(path)
+    except Exception as e:  # noqa: BLE001 - before the first batch
+        if "PATH_NOT_FOUND" in str(e) or "does not exist" in str(e):
+            return spark.createDataFrame([], full)
+        raise
+
+
+def current_state(
+    spark: SparkSession, path: str, schema: T.StructType, keys: Sequence[str], order: Sequence[str]
+) -> DataFrame:
+    """The latest row per key; ties in ``order`` go to the newest batch."""
+    return latest_per_key(landed_rows(spark, path, schema), keys, [*order, "batch"]).select(*schema.names)
+
+
+def amended_state(
+    spark: SparkSession, path: str, schema: T.StructType, rules: Sequence[Callable[[DataFrame], DataFrame]]
+) -> DataFrame:
+    """All different rows ever landed, after the cleaning ``rules`` (stale
+    statuses, amended statistics, ...)."""
+    out = landed_rows(spark, path, schema).select(*schema.names).distinct()
+    for rule in rules:
+        out = rule(out)
+    return out
+
+
+def run_stream(
+    spark: SparkSession,
+    landing: str,
+    checkpoint: str,
+    schema: T.StructType,
+    each_batch: Callable[[DataFrame, int], None],
+    fmt: str = "json",
+    max_files: int | None = None,
+) -> None:
+    """Process every file that landed since the last run with the same
+    ``checkpoint`` (``availableNow``), in micro-batches of ``max_files``
+    files if it is given."""
+    reader = spark.readStream.schema(schema).format(fmt).options(**(JSON_OPTIONS if fmt == "json" else {}))
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
+    query = (
+        reader.load(landing).writeStream.foreachBatch(each_batch)
+        .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
 
 
 def ingest_stream(
     spark: SparkSession,
     landing: str,
-    master_root: str,
+    table: str,
     checkpoint: str,
     schema: T.StructType,
-    keys: Sequence[str],
-    order: Sequence[str],
-    dedup_keys: Sequence[str] | None = None,
-    ts: str | None = None,
-    delay: str = "31 days",
+    keys: Sequence[str] = (),
+    order: Sequence[str] = (),
     fmt: str = "json",
-    max_files: int = 4,
-) -> MasterTable:
-    """Run the landing stream until every available file is processed
-    (``availableNow``) and return the master.  Re-running with the same
-    ``checkpoint`` only processes files that landed since."""
-    master = MasterTable(spark, master_root, schema, keys, order)
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).format(fmt).load(landing)
-    if dedup_keys and ts:
-        src = dedup_stream(src, dedup_keys, ts, delay)
+    max_files: int | None = None,
+) -> None:
+    """Land new files in ``table``.  With ``keys`` a batch writes only its
+    latest row per key, otherwise its distinct rows: repeated deliveries
+    disappear here or on read, whenever they arrive."""
 
     def _batch(batch: DataFrame, batch_id: int) -> None:
-        master.upsert(batch, batch_id)
+        rows = latest_per_key(batch, keys, order).select(*schema.names) if keys else batch.distinct()
+        write_batch(rows, table, batch_id)
 
-    q = (
-        src.writeStream.foreachBatch(_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return master
+    run_stream(spark, landing, checkpoint, schema, _batch, fmt, max_files)
 
 
 def land_by_day(df: DataFrame, ts: str, path: str, fmt: str = "json") -> None:
     """Write ``df`` as one landing folder per event day (a replayable
     stand-in for files arriving over time)."""
-    df.withColumn("_day", F.to_date(F.col(ts))).write.mode("overwrite").partitionBy("_day").format(fmt).save(path)
-
-
-def landing_glob(path: str) -> str:
-    return os.path.join(path, "_day=*")
+    writer = df.withColumn("_day", F.to_date(F.col(ts))).write.mode("overwrite").partitionBy("_day")
+    writer.options(**(JSON_OPTIONS if fmt == "json" else {})).format(fmt).save(path)
 
 
 def refresh_for_touched(history: DataFrame, touched: DataFrame, entity: Sequence[str], compute) -> DataFrame:
@@ -169,8 +134,8 @@ def refresh_for_touched(history: DataFrame, touched: DataFrame, entity: Sequence
 def ingest_with_features(
     spark: SparkSession,
     landing: str,
-    master_root: str,
-    features_root: str,
+    table: str,
+    features: str,
     checkpoint: str,
     schema: T.StructType,
     keys: Sequence[str],
@@ -178,28 +143,20 @@ def ingest_with_features(
     entity: Sequence[str],
     compute,
     feature_schema: T.StructType,
-    feature_keys: Sequence[str],
     fmt: str = "json",
-    max_files: int = 4,
-) -> tuple[MasterTable, MasterTable]:
-    """Landing stream that keeps a master AND a derived feature table up to
-    date: each batch is upserted into the master, then the features of the
-    entities it touched are recomputed from the master and upserted into the
-    feature table (every recomputed row replaces the previous one)."""
-    master = MasterTable(spark, master_root, schema, keys, order)
-    feats = MasterTable(spark, features_root, feature_schema, feature_keys, feature_keys)
-    src = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files).format(fmt).load(landing)
+    max_files: int | None = None,
+) -> None:
+    """Landing stream that keeps a table and a derived feature table up to
+    date: each batch is written, then the features of the entities it
+    touched are recomputed from their own history and written as the same
+    batch of ``features`` (read it with :func:`current_state`)."""
 
     def _batch(batch: DataFrame, batch_id: int) -> None:
-        master.upsert(batch, batch_id)
-        fresh = refresh_for_touched(master.read(), batch, entity, compute)
-        feats.upsert(fresh.select(*feature_schema.names), batch_id)
-
-    q = (
-        src.writeStream.foreachBatch(_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
-    )
-    q.awaitTermination()
-    return master, feats
+        write_batch(latest_per_key(batch, keys, order).select(*schema.names), table, batch_id)
+        touched = batch.select(*entity).distinct()
+        # only the touched entities' rows enter the merge
+        rows = landed_rows(spark, table, schema).join(touched, list(entity), "left_semi")
+        history = latest_per_key(rows, keys, [*order, "batch"]).select(*schema.names)
+        write_batch(compute(history).select(*feature_schema.names), features, batch_id)
+
+    run_stream(spark, landing, checkpoint, schema, _batch, fmt, max_files)

@@ -125,3 +125,28 @@ def test_exact_rank_null_stratum(spark):
     got = {r["id"]: r["rank"] for r in exact_rank(df, ["s"], "h", "id", bucket_bits=3).collect()}
     ref = df.select("id", F.row_number().over(Window.partitionBy("s").orderBy("h", "id")).alias("rank"))
     assert got == {r["id"]: r["rank"] for r in ref.collect()}
+
+
+def test_split_hash_takes_any_id(spark):
+    from matchday.operators.split import mult_hash, stratified_split
+
+    ids = [0, 1, 4_000_000_000, 2**62, 2**63 - 1, -1, -(2**63)]
+    df = spark.createDataFrame([(i, "a") for i in ids], "id long, s string")
+    got = {r["id"]: r["h"] for r in df.withColumn("h", mult_hash(df["id"], 1298)).collect()}
+    assert got == {i: (i * 2654435761 + 1298) % 2**32 for i in ids}
+    assert stratified_split(df, ["s"], "id").filter("split = 'test'").count() == 2
+
+
+def test_player_with_marks_outside_the_rounds_only_gets_the_grid(spark):
+    from matchday.operators.calendar import player_target
+
+    marks = spark.createDataFrame(
+        [("n", "late", 2020, 39, "t1", 7.0), ("n", "both", 2020, 39, "t9", 7.0), ("n", "both", 2020, 38, "t2", 6.0)],
+        "name string, surname string, season int, round_no int, team string, fantavoto double",
+    )
+    rows = player_target(marks).collect()
+    late = [r for r in rows if r["surname"] == "late"]
+    both = [r for r in rows if r["surname"] == "both"]
+    assert len(late) == 38 and {(r["team"], r["fwd_fantavoto"]) for r in late} == {(None, None)}
+    assert len(both) == 38 and {r["team"] for r in both} == {"t2"}
+    assert [r["fwd_fantavoto"] for r in both if r["round_no"] == 37] == [6.0]

@@ -1,9 +1,14 @@
 import pytest
 
 import __spark_entry__ as entry
-
-ORACLE_FREE = {"q28_train_score", "q28b_feature_importance", "q28c_watchlist_predictions",
-               "q30_permutation_importance"}
+from matchday.plans.oracle import oracle_sql
+from matchday.plans.queries import QUERIES
+
+MODEL = ["q28_train_score", "q28b_feature_importance", "q28c_watchlist_predictions",
+         "q30_permutation_importance", "q31_prediction_metrics"]
+ORACLE_FREE = set(MODEL)
+# they run a stream or the training job when they are built; see the tests of those
+EAGER = ORACLE_FREE | {"q28d_labelled_split", "q29_stream_upsert", "q29b_stream_calendar", "q29c_stream_statistics"}
 SF = "/root/testdata/sf0.001"
 
 
@@ -15,15 +20,15 @@ def test_entry_runs(spark):
 
 def test_every_query_has_oracle_unless_model(spark):
     qs, sql = entry.queries(), entry.oracle_sql()
-    assert set(qs) - set(sql) == ORACLE_FREE
-    assert set(sql) <= set(qs)
+    assert set(QUERIES) <= set(qs) and set(sql) <= set(qs)
+    assert set(QUERIES) - set(oracle_sql()) == ORACLE_FREE
 
 
 def _plan(df):
     return df._jdf.queryExecution().executedPlan().toString()
 
 
-@pytest.mark.parametrize("name", [n for n in entry.queries() if n not in ORACLE_FREE | {"q29_stream_upsert"}])
+@pytest.mark.parametrize("name", [n for n in QUERIES if n not in EAGER])
 def test_no_cartesian_products(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
@@ -50,7 +55,7 @@ def test_partitionless_window_detector(spark):
     assert _partitionless_windows(_plan(bad)) and not _partitionless_windows(_plan(good))
 
 
-@pytest.mark.parametrize("name", [n for n in entry.oracle_sql() if n != "q29_stream_upsert"])
+@pytest.mark.parametrize("name", [n for n in oracle_sql() if n not in EAGER])
 def test_no_single_partition_window(spark, name):
     plan = _plan(entry.queries()[name](spark, SF))
     assert not _partitionless_windows(plan)
@@ -73,3 +78,32 @@ def test_player_target_has_no_join(spark):
 def test_smoke_queries_small(spark):
     for n in ["q02_player_master", "q04_stat_collapse", "q09_last_round", "q19_confusion", "q24_html_extract"]:
         assert entry.queries()[n](spark, SF).count() >= 1
+
+
+def test_model_queries_share_one_training_job(spark):
+    qs = entry.queries()
+    scored = qs["q28_train_score"](spark, SF)
+    assert scored.count() > 0 and {r["split"] for r in scored.select("split").distinct().collect()} == {"train", "test"}
+    assert qs["q28d_labelled_split"](spark, SF).count() == scored.count()
+    assert qs["q28b_feature_importance"](spark, SF).count() > 0
+    assert qs["q28c_watchlist_predictions"](spark, SF).columns[-1] == "probability"
+    assert qs["q30_permutation_importance"](spark, SF).count() > 0
+    # the metrics of the model's predictions against a plain SQL form
+    metrics = qs["q31_prediction_metrics"](spark, SF)
+    got = {(r["split"], r["measure"]): r["value"] for r in metrics.filter("kind = 'summary'").collect()}
+    scored.createOrReplaceTempView("scored")
+    for r in spark.sql("select split, avg(cast(label = predicted_code as double)) a from scored group by split").collect():
+        assert abs(got[r["split"], "accuracy"] - r["a"]) < 1e-9
+
+
+def test_streamed_statuses_and_statistics_follow_the_cleaning_rules(spark):
+    qs = entry.queries()
+    for streamed, direct in (("q29b_stream_calendar", "q08_calendar_stale_drop"), ("q29c_stream_statistics", "q04_stat_collapse")):
+        a, b = qs[streamed](spark, SF), qs[direct](spark, SF)
+        assert a.count() == b.count() and a.exceptAll(b.select(*a.columns)).isEmpty()
+
+
+def test_stream_keeps_microseconds(spark):
+    rows = {(r["user_id"], r["event_type"]): r["ts"] for r in entry.queries()["q29_stream_upsert"](spark, SF).collect()}
+    ev = spark.read.parquet(f"{SF}/events.parquet").groupBy("user_id", "event_type").agg({"ts": "max"})
+    assert rows == {(r[0], r[1]): r[2] for r in ev.collect()}

@@ -34,6 +34,23 @@ def test_round_csvs_mixed_headers(spark, tmpdir_path):
     assert out[12]["ammonizione"] == 1.0
 
 
+def test_round_csvs_of_many_fields_and_quotes(spark, tmpdir_path):
+    cols = "team,name,surname,role,voto,gol,assist,rigore,rig_sbagliato,autogol,ammonizione,espulsione,fantavoto"
+    with open(os.path.join(tmpdir_path, "a2020_m1.csv"), "w") as f:
+        f.write(",".join(f"x{i}" for i in range(40)) + "," + cols + "\r\n")
+        f.write(",".join(["1"] * 39) + ',"a, b",Inter,"Ann ""A""","Bee, C",D,6.5,1,0,0,0,0,0,0,9.5\r\n')
+    row = read_round_csvs(spark, tmpdir_path).first()
+    assert (row["team"], row["name"], row["surname"], row["voto"], row["fantavoto"]) == ("Inter", 'Ann "A"', "Bee, C", 6.5, 9.5)
+
+
+def test_all_lists_of_a_page_are_read(spark):
+    html = "".join(f'<ul><li><a href="/{i}">Ann Bee {i}</a></li></ul>' for i in range(30))
+    pages = spark.createDataFrame([(1, html)], "page_id long, html string")
+    for extract in (extract_list_items, extract_list_items_parsed):
+        assert extract(pages).count() == 30
+        assert extract(pages, max_lists=20).count() == 20
+
+
 def test_fixture_json_flatten(spark, tmpdir_path):
     recs = [
         {"fixture_id": 1, "league_id": 891, "event_timestamp": 1593604800, "status": "Match Finished",

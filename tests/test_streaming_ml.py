@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from matchday.ml import model as M
-from matchday.streaming.ingest import ingest_stream
+from matchday.streaming.ingest import JSON_OPTIONS, current_state, ingest_stream
 
 SCHEMA = T.StructType([
     T.StructField("event_id", T.LongType()), T.StructField("user_id", T.LongType()),
@@ -14,33 +14,43 @@ SCHEMA = T.StructType([
 
 
 def _land(spark, path, rows):
-    spark.createDataFrame(rows, SCHEMA).write.mode("append").json(path)
+    spark.createDataFrame(rows, SCHEMA).write.mode("append").options(**JSON_OPTIONS).json(path)
 
 
 def test_stream_restart_only_new_files(spark, tmpdir_path):
     import datetime as dt
 
-    t = dt.datetime(2024, 1, 1)
-    landing, master, ckpt = (os.path.join(tmpdir_path, x) for x in ("landing", "master", "ckpt"))
-    _land(spark, landing, [(1, 7, "view", t, 1.0), (2, 7, "view", t + dt.timedelta(hours=1), 2.0)])
-    m = ingest_stream(spark, landing, master, ckpt, SCHEMA, ["user_id", "event_type"], ["ts", "event_id"],
-                      dedup_keys=["event_id"], ts="ts")
-    assert [r["value"] for r in m.read().collect()] == [2.0]
-    # a later landing with a newer event, an older one and a duplicate
+    t = dt.datetime(2024, 1, 1, 0, 0, 0, 123456)
+    landing, table, ckpt = (os.path.join(tmpdir_path, x) for x in ("landing", "rows", "ckpt"))
+    keys, order = ["user_id", "event_type"], ["ts", "event_id"]
+
+    def state():
+        ingest_stream(spark, landing, table, ckpt, SCHEMA, keys, order)
+        rows = current_state(spark, table, SCHEMA, keys, order).collect()
+        return sorted((r["user_id"], r["event_type"], r["value"], r["ts"]) for r in rows)
+
+    _land(spark, landing, [(1, 7, "view", t, 1.0), (2, 7, "view", t + dt.timedelta(microseconds=1), 2.0)])
+    assert state() == [(7, "view", 2.0, t + dt.timedelta(microseconds=1))]
+    # a later landing with a newer event, an older one, a duplicate, and one a year late for its key
     _land(spark, landing, [(3, 7, "view", t + dt.timedelta(hours=2), 3.0), (4, 8, "click", t, 4.0),
-                           (2, 7, "view", t + dt.timedelta(hours=1), 2.0)])
-    m = ingest_stream(spark, landing, master, ckpt, SCHEMA, ["user_id", "event_type"], ["ts", "event_id"],
-                      dedup_keys=["event_id"], ts="ts")
-    got = sorted((r["user_id"], r["event_type"], r["value"]) for r in m.read().collect())
-    assert got == [(7, "view", 3.0), (8, "click", 4.0)]
-    # compaction keeps the state; later batches merge on top of the snapshot
-    m.compact()
-    assert sorted((r["user_id"], r["event_type"], r["value"]) for r in m.read().collect()) == got
-    _land(spark, landing, [(5, 8, "click", t + dt.timedelta(hours=5), 5.0)])
-    m = ingest_stream(spark, landing, master, ckpt, SCHEMA, ["user_id", "event_type"], ["ts", "event_id"],
-                      dedup_keys=["event_id"], ts="ts")
-    got = sorted((r["user_id"], r["event_type"], r["value"]) for r in m.read().collect())
-    assert got == [(7, "view", 3.0), (8, "click", 5.0)]
+                           (2, 7, "view", t + dt.timedelta(microseconds=1), 2.0),
+                           (5, 9, "click", t - dt.timedelta(days=365), 5.0)])
+    want = [(7, "view", 3.0, t + dt.timedelta(hours=2)), (8, "click", 4.0, t),
+            (9, "click", 5.0, t - dt.timedelta(days=365))]
+    assert state() == want
+    assert state() == want  # nothing new
+    _land(spark, landing, [(6, 8, "click", t + dt.timedelta(hours=5), 6.0)])
+    assert state()[1] == (8, "click", 6.0, t + dt.timedelta(hours=5))
+
+
+def test_replayed_batch_leaves_the_same_rows(spark, tmpdir_path):
+    from matchday.streaming.ingest import landed_rows, write_batch
+
+    rows = spark.createDataFrame([("a", 1, 2.0)], "player string, rnd int, v double")
+    for _ in range(2):
+        write_batch(rows, os.path.join(tmpdir_path, "rows"), 3)
+    assert landed_rows(spark, os.path.join(tmpdir_path, "rows"), rows.schema).collect() == [("a", 1, 2.0, 3)]
+    assert landed_rows(spark, os.path.join(tmpdir_path, "none"), rows.schema).count() == 0
 
 
 def test_model_learns_separable_classes(spark, tmpdir_path):
@@ -78,6 +88,13 @@ def test_cv_search_and_validation(spark):
     rf = pipe.getStages()[-1]
     assert len(draws) == 4 and all(4 <= d[rf.getParam("maxDepth")] <= 12 for d in draws)
     assert all(300 <= d[rf.getParam("numTrees")] <= 999 for d in draws)
+    assert all(d[rf.getParam("subsamplingRate")] == 0.85 for d in draws)
+    assert all(d[rf.getParam("featureSubsetStrategy")] == "0.85" for d in draws)
+    gbt = M.build_pipeline(["x"], kind="gbt_reg").getStages()[-1]
+    many = M.random_param_maps(gbt, 400)
+    assert {d[gbt.stepSize] for d in many} == {0.01, 0.1, 0.5}
+    gains = sorted(d[gbt.minInfoGain] for d in many)
+    assert 0.5 < gains[200] < 0.9  # median of the inverse gamma with shape 1.8
 
 
 def test_boosted_variants(spark):
@@ -111,9 +128,10 @@ def test_stream_refreshes_features_of_touched_entities(spark, tmpdir_path):
     spark.createDataFrame(first, schema).write.mode("append").json(landing)
     args = (spark, landing, os.path.join(tmpdir_path, "m"), os.path.join(tmpdir_path, "f"),
             os.path.join(tmpdir_path, "ck"), schema, ["player", "rnd"], ["rnd"], ["player"], compute,
-            fschema, ["player", "rnd"])
+            fschema)
     ingest_with_features(*args)
     spark.createDataFrame(second, schema).write.mode("append").json(landing)
-    master, feats = ingest_with_features(*args)
+    ingest_with_features(*args)
+    feats = current_state(spark, os.path.join(tmpdir_path, "f"), fschema, ["player", "rnd"], [])
     full = compute(spark.createDataFrame(first + second, schema))
-    assert sorted(tuple(r) for r in feats.read().collect()) == sorted(tuple(r) for r in full.collect())
+    assert sorted(tuple(r) for r in feats.collect()) == sorted(tuple(r) for r in full.collect())
