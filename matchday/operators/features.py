@@ -29,7 +29,9 @@ class PlayerColumns:
     entity: tuple[str, ...] = ("name", "surname")
     order: tuple[str, ...] = ("season", "round_no")
     attrs: tuple[str, ...] = ("team", "role")
-    count_stats: tuple[str, ...] = ("gol", "ammonizione")
+    count_stats: tuple[str, ...] = (
+        "gol", "assist", "rigore", "rig_sbagliato", "autogol", "ammonizione", "espulsione"
+    )
     marks: tuple[str, ...] = ("voto", "fantavoto")
     presence_from: str = "voto"
     centre: float = 6.0
@@ -90,7 +92,7 @@ def player_features(
         return out
 
     halo = max(s.rows for s in specs) - 1
-    rolled = windowed(prepared, list(cols.entity), order, build, halo, bucket_prefix=1).select(
+    rolled = windowed(prepared, list(cols.entity), order, build, halo, bucket_prefix=2).select(
         *keys, *[s.name for s in specs]
     )
     names = sorted(s.name for s in specs)

@@ -13,6 +13,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchday.session import materialize
+
 
 def confusion(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """(truth, pred, n) for every observed pair."""
@@ -21,6 +23,12 @@ def confusion(df: DataFrame, truth: str, pred: str) -> DataFrame:
     )
 
 
+def counted(df: DataFrame, truth: str, pred: str) -> DataFrame:
+    """The confusion table, written: classes x classes rows that every
+    metric below reads, so the table itself is read once."""
+    return materialize(confusion(df, truth, pred))
+
+
 def per_class(conf: DataFrame) -> DataFrame:
     """Per class: tp, support (true count), predicted count."""
     t = conf.groupBy(F.col("truth").alias("label")).agg(
@@ -39,7 +47,7 @@ def per_class(conf: DataFrame) -> DataFrame:
 def class_report(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """precision / recall / f1 / support per class plus accuracy, macro
     average and support-weighted average rows (zero when undefined)."""
-    pc = per_class(confusion(df, truth, pred))
+    pc = per_class(counted(df, truth, pred))
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     rows = pc.select(
@@ -82,7 +90,7 @@ def class_report(df: DataFrame, truth: str, pred: str) -> DataFrame:
 def summary_scores(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """One row: n, accuracy, balanced accuracy (mean recall over classes
     present in the truth) and the multi-class Matthews correlation."""
-    pc = per_class(confusion(df, truth, pred))
+    pc = per_class(counted(df, truth, pred))
     agg = pc.agg(
         F.sum("support").alias("s"),
         F.sum("tp").alias("c"),
@@ -104,10 +112,10 @@ def summary_scores(df: DataFrame, truth: str, pred: str) -> DataFrame:
 
 def label_distribution(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """(label, n_true, n_pred): both series aligned on the label."""
-    both = df.select(
+    both = confusion(df, truth, pred).select(
         F.explode(F.array(
-            F.struct(F.col(truth).alias("label"), F.lit(1).alias("t"), F.lit(0).alias("p")),
-            F.struct(F.col(pred).alias("label"), F.lit(0).alias("t"), F.lit(1).alias("p")),
+            F.struct(F.col("truth").alias("label"), F.col("n").alias("t"), F.lit(0).cast("long").alias("p")),
+            F.struct(F.col("pred").alias("label"), F.lit(0).cast("long").alias("t"), F.col("n").alias("p")),
         )).alias("_s")
     ).select("_s.*")
     return both.groupBy("label").agg(
@@ -115,49 +123,41 @@ def label_distribution(df: DataFrame, truth: str, pred: str) -> DataFrame:
     )
 
 
-def exact_quantile(df: DataFrame, col: str, q: float = 0.5, accuracy: int | None = None) -> float | None:
+def exact_quantile(df: DataFrame, col: str, q: float = 0.5, bins: int = 4096) -> float | None:
     """Exact linear-interpolated quantile of ``col`` (NULLs ignored).
 
-    1. one aggregate: count and two approximate quantiles bracketing the
-       target rank (rank error of ``percentile_approx`` <= n / accuracy);
-    2. one aggregate: the count below the bracket;
-    3. the bracket's distinct values with their counts (at most about
-       ``4 n / accuracy`` values, ties collapsed) - the only rows collected.
-    Falls back to widening the bracket if it misses (never observed).
+    The range of the column is cut into ``bins`` equal bins; one aggregate
+    counts them, and the bin that holds the wanted rank is cut again until
+    it holds one value.  Every pass returns at most ``bins`` rows, whatever
+    the number of rows; a bin keeps its least and greatest value, so gaps
+    cost no pass.  Read ``df`` from a written table: it is scanned a few
+    times.
     """
-    x = F.col(col)
-    base = df.select(x.cast("double").alias("_x")).filter(F.col("_x").isNotNull())
-    n = base.count()
+    base = df.select(F.col(col).cast("double").alias("_x")).filter(F.col("_x").isNotNull())
+    first = base.agg(F.count("*").alias("n"), F.min("_x").alias("a"), F.max("_x").alias("b")).first()
+    n = first["n"]
     if n == 0:
         return None
-    if accuracy is None:
-        # keep the bracket near 200k values whatever n is
-        accuracy = int(min(max(n // 50_000, 10_000), 10_000_000))
     pos = q * (n - 1)
-    lo_rank, hi_rank = math.floor(pos), math.ceil(pos)
-    eps = 2.0 / accuracy
-    while True:
-        qs = [max(q - eps, 0.0), min(q + eps, 1.0)]
-        lo, hi = base.agg(F.percentile_approx("_x", qs, accuracy).alias("b")).first()["b"]
-        below = base.filter(F.col("_x") < lo).count()
-        band = (
-            base.filter(F.col("_x").between(lo, hi))
-            .groupBy("_x").count()
-            .orderBy("_x")
-            .collect()
-        )
-        cum, vals = below, {}
-        for r in band:
-            start, cum = cum, cum + r["count"]
-            for k in (lo_rank, hi_rank):
-                if start <= k < cum:
-                    vals[k] = r["_x"]
-        if lo_rank in vals and hi_rank in vals:
-            a, b = vals[lo_rank], vals[hi_rank]
-            return a + (b - a) * (pos - lo_rank)
-        eps *= 4
-        if eps > 1:
-            raise RuntimeError("exact_quantile: bracket search failed")
+    rank = math.floor(pos)
+    lo, hi, below = first["a"], first["b"], 0
+    while lo < hi:
+        width = (hi - lo) / bins
+        x = F.col("_x")
+        at = F.least(F.floor((x - F.lit(lo)) / F.lit(width)), F.lit(bins - 1)) if width > 0 else (x > F.lit(lo)).cast("long")
+        got = base.filter(x.between(lo, hi)).groupBy(at.alias("_b")).agg(
+            F.count("*").alias("n"), F.min("_x").alias("a"), F.max("_x").alias("b")
+        ).collect()
+        for r in sorted(got, key=lambda r: r["_b"]):
+            if below + r["n"] > rank:
+                break
+            below += r["n"]
+        lo, hi, inside = r["a"], r["b"], r["n"]
+    count = n if first["a"] == first["b"] else inside
+    if pos == rank or below + count > rank + 1:  # the next rank has the same value, or none is needed
+        return lo
+    above = base.filter(F.col("_x") > lo).agg(F.min("_x").alias("a")).first()["a"]
+    return lo + (above - lo) * (pos - rank)
 
 
 def regression_scores(df: DataFrame, truth: str, pred: str) -> DataFrame:
@@ -166,6 +166,7 @@ def regression_scores(df: DataFrame, truth: str, pred: str) -> DataFrame:
     base = df.select(F.col(truth).alias("_y"), e).filter(
         F.col("_y").isNotNull() & F.col("_e").isNotNull()
     )
+    base = materialize(base)  # two columns, scanned a few times
     med = exact_quantile(base.select(F.abs("_e").alias("_a")), "_a", 0.5)
     return base.agg(
         F.count("*").alias("n"),

@@ -94,8 +94,7 @@ def rolling(
 #    position, halo copies are dropped.
 #
 # Row-count frames reaching back at most ``halo`` rows give exactly the plain
-# result.  The heavy-entity list is bounded (at most total / hot_rows keys),
-# so it is broadcast.
+# result.
 
 from collections.abc import Callable  # noqa: E402
 
@@ -184,9 +183,15 @@ def windowed(
     # window, so downstream operators keep its partitioning
     if not heavy.take(1):
         return df.select("*", *build(plain_spec))
-    # at most count(df) / hot_rows keys: a bounded side
-    cold = df.join(F.broadcast(heavy), keys, "left_anti")
-    hot_df = df.join(F.broadcast(heavy), keys, "left_semi")
+    # NULL-safe, so that a heavy NULL key is split too; whether the list of
+    # heavy keys is broadcast is for AQE to say, by its measured size
+    h = heavy.select(*[F.col(k).alias("_h_" + k) for k in keys])
+    same = None
+    for k in keys:
+        e = F.col(k).eqNullSafe(F.col("_h_" + k))
+        same = e if same is None else same & e
+    cold = df.join(h, same, "left_anti")
+    hot_df = df.join(h, same, "left_semi")
     return cold.select("*", *build(plain_spec)).unionByName(
         _chunked(hot_df, keys, order, build, halo, bucket_prefix, chunk, ahead)
     )

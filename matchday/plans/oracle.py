@@ -28,13 +28,13 @@ def _q01_body() -> str:
             exprs.append(f"avg({c}) OVER w{n} AS {c}_m{n}")
     windows = ", ".join(f"w{n} AS ({part} ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW)" for n in lens)
     names = player_feature_names(cols, win)
+    counts = ", ".join(f"COALESCE(CAST({c} AS DOUBLE), 0.0) AS {c}" for c in cols.count_stats)
     keys = "team, role, name, surname, season, round_no"
     outs = ", ".join(f"ROUND(AVG({n}), 6) AS {n}" for n in names)
     return f"""
 WITH base AS (
   SELECT team, name, surname, role, season, round_no,
-         COALESCE(CAST(gol AS DOUBLE), 0.0) AS gol,
-         COALESCE(CAST(ammonizione AS DOUBLE), 0.0) AS ammonizione,
+         {counts},
          COALESCE(voto - 6.0, 0.0) AS voto,
          COALESCE(fantavoto - 6.0, 0.0) AS fantavoto,
          CASE WHEN voto IS NOT NULL THEN 1.0 ELSE 0.0 END AS presenza
@@ -432,6 +432,11 @@ def oracle_sql() -> dict[str, str]:
     return out
 
 
+_CELLS = (
+    "voto", "gol", "assist", "rigore", "rig_sbagliato", "autogol", "ammonizione", "espulsione", "fantavoto"
+)
+
+
 def _base_sql() -> dict[str, str]:
     return {
         "q01_player_features": _q01(),
@@ -583,6 +588,38 @@ FROM cut GROUP BY ALL HAVING count(*) > 1""",
             "fixture_master",
             "fixture_stats",
         ),
+        "q32_round_csvs": with_views(
+            f"""
+SELECT DISTINCT team, name, surname, role, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _CELLS)},
+       season, round_no AS "match"
+FROM player_match""",
+            "player_match",
+        ),
+        "q34_marks_pages": with_views(
+            f"""
+SELECT team, name, surname, role, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _CELLS)}
+FROM player_match""",
+            "player_match",
+        ),
+        "q33_fixture_files": with_views(
+            """
+, r AS (SELECT fixture_id, CAST(league_id AS BIGINT) AS league_id, event_date, status_short AS "statusShort",
+  CAST(home_team_id AS BIGINT) AS home_team_id, 'team ' || home_team_id AS home_team_name,
+  CAST(away_team_id AS BIGINT) AS away_team_id, 'team ' || away_team_id AS away_team_name,
+  CASE WHEN fixture_id % 5 = 0 THEN 0 ELSE home_ht_goal END AS home_ht_goal,
+  CASE WHEN fixture_id % 5 = 0 THEN 0 ELSE away_ht_goal END AS away_ht_goal,
+  home_ft_goal, away_ft_goal
+FROM fixture WHERE status_short = 'FT')
+SELECT * FROM r WHERE league_id IN (SELECT league_id FROM r GROUP BY league_id HAVING count(*) >= 2)""",
+            "fixture",
+        ),
+        "q33b_calendar_files": with_views(
+            """
+SELECT fixture_id, CAST(league_id AS BIGINT) AS league_id, event_date, round_no AS "match",
+       CASE status_short WHEN 'FT' THEN 'Match Finished' ELSE 'Not Started' END AS status, status_short AS "statusShort"
+FROM calendar""",
+            "calendar",
+        ),
         "q29_stream_upsert": """
 SELECT user_id, event_type, event_id, ts, value FROM (
   SELECT *, row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) AS rk

@@ -9,14 +9,19 @@ SELECT 't' || CAST(user_id % 20 AS VARCHAR) AS team,
        'n' || CAST(user_id % 7 AS VARCHAR) AS name,
        's' || CAST(user_id AS VARCHAR) AS surname,
        CASE user_id % 4 WHEN 0 THEN 'P' WHEN 1 THEN 'D' WHEN 2 THEN 'C' ELSE 'A' END AS role,
-       season, round_no, voto, fantavoto, gol, ammonizione
+       season, round_no, voto, fantavoto, gol, ammonizione, assist, rigore, rig_sbagliato, autogol, espulsione
 FROM (
   SELECT user_id, CAST(extract(year FROM ts) AS INT) AS season,
          CAST(extract(day FROM ts) AS INT) AS round_no,
          ROUND(AVG(CASE WHEN event_type = 'view' THEN value END) / 10, 6) AS voto,
          ROUND(MAX(CASE WHEN event_type = 'click' THEN value END) / 10, 6) AS fantavoto,
          COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) AS gol,
-         CAST(SUM(CASE WHEN event_type = 'error' THEN 1 END) AS BIGINT) AS ammonizione
+         CAST(SUM(CASE WHEN event_type = 'error' THEN 1 END) AS BIGINT) AS ammonizione,
+         COUNT(CASE WHEN event_type = 'click' THEN 1 END) AS assist,
+         COUNT(CASE WHEN event_type = 'purchase' AND value >= 40 THEN 1 END) AS rigore,
+         COUNT(CASE WHEN event_type = 'signup' AND value < 10 THEN 1 END) AS rig_sbagliato,
+         CAST(SUM(CASE WHEN event_type = 'view' AND value >= 100 THEN 1 END) AS BIGINT) AS autogol,
+         CAST(SUM(CASE WHEN event_type = 'error' AND value >= 80 THEN 1 END) AS BIGINT) AS espulsione
   FROM events
   GROUP BY user_id, extract(year FROM ts), extract(day FROM ts)
 ) g""",
@@ -40,7 +45,12 @@ LEFT JOIN nation h ON h.n_nationkey = f.home_team_id
 LEFT JOIN nation a ON a.n_nationkey = f.away_team_id
 WHERE f.status_short = 'FT'""",
     "calendar": """
-SELECT fixture_id, league_id, event_date, round_no, status_short FROM fixture""",
+SELECT o_orderkey AS fixture_id,
+       CAST(extract(year FROM o_orderdate) AS INT) AS league_id,
+       o_orderdate AS event_date,
+       CAST(extract(week FROM o_orderdate) AS INT) AS round_no,
+       CASE o_orderstatus WHEN 'F' THEN 'FT' WHEN 'O' THEN 'NS' ELSE 'PST' END AS status_short
+FROM orders""",
     "fixture_stats": """
 SELECT l_orderkey AS fixture_id,
        CASE l_returnflag WHEN 'A' THEN 'Ball Possession' WHEN 'N' THEN 'Shots on Goal' ELSE 'Fouls' END AS fixture_stat,
@@ -51,7 +61,7 @@ FROM lineitem""",
 SELECT n_name AS team_name, 't' || CAST(n_nationkey AS VARCHAR) AS team_marks
 FROM nation WHERE n_nationkey <= 18""",
     "league_season": """
-SELECT DISTINCT league_id, league_id + 23 AS season FROM fixture""",
+SELECT DISTINCT league_id, league_id + 23 AS season FROM calendar""",
     "name_fix": """
 SELECT DISTINCT * FROM (
   SELECT name, surname, upper(name) AS name_correct, surname || ' jr' AS surname_correct
@@ -82,8 +92,7 @@ def with_views(body: str, *names: str) -> str:
     needed = set(names)
     deps = {
         "fixture_master": {"fixture"},
-        "calendar": {"fixture"},
-        "league_season": {"fixture"},
+        "league_season": {"calendar"},
         "name_fix": {"player_match"},
     }
     changed = True

@@ -466,6 +466,104 @@ def q29c_stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return amended_state(spark, f"{base}/rows", rows.schema, [parse_stat_values, collapse_amended])
 
 
+def q32_round_csvs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marks landed as CSVs per round, those of even rounds with a leading
+    unnamed index column; read, appended to a master that does not exist yet,
+    written by season and read back."""
+    from matchday.operators.clean import append_distinct
+    from matchday.session import scratch_path
+    from matchday.sources.landing import GRADE_COLUMNS, read_or_empty, read_round_csvs
+    from matchday.sources.sinks import write_table
+
+    base = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
+    marks = V.player_match(spark, sf_dir).withColumn(
+        "_file", F.format_string("a%d_m%d.csv", F.col("season").cast("int"), F.col("round_no").cast("int"))
+    )
+    odd, even = F.col("round_no") % 2 == 1, F.col("round_no") % 2 == 0
+    writer = marks.filter(odd).select("_file", *GRADE_COLUMNS).write.partitionBy("_file")
+    writer.option("header", True).csv(f"{base}/csv")
+    numbered = marks.filter(even).select("_file", F.lit(0).alias(" "), *GRADE_COLUMNS)
+    numbered.write.mode("append").partitionBy("_file").option("header", True).csv(f"{base}/csv")
+    landed = read_round_csvs(spark, f"{base}/csv")
+    master = append_distinct(read_or_empty(spark, f"{base}/master", landed.schema), landed)
+    write_table(master, f"{base}/master", ["season"])
+    return read_or_empty(spark, f"{base}/master", landed.schema)
+
+
+def q33_fixture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nested fixture records landed as JSON and flattened to the master of
+    finished fixtures; only leagues with two rows or more are written."""
+    from matchday.session import scratch_path
+    from matchday.sources.json_api import read_fixture_files
+    from matchday.sources.sinks import write_if_enough
+
+    base = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
+    f = V.fixture(spark, sf_dir)
+    half = F.concat_ws("-", "home_ht_goal", "away_ht_goal")
+
+    def team(side: str):
+        key = F.col(f"{side}_team_id").cast("long")
+        return F.struct(key.alias("team_id"), F.concat(F.lit("team "), key).alias("team_name"))
+
+    f.select(
+        "fixture_id", F.col("league_id").cast("long").alias("league_id"),
+        F.unix_seconds(F.col("event_date").cast("timestamp")).alias("event_timestamp"),
+        F.when(F.col("status_short") == "FT", "Match Finished").otherwise("Not Started").alias("status"),
+        F.col("status_short").alias("statusShort"),
+        team("home").alias("homeTeam"), team("away").alias("awayTeam"),
+        # finished fixtures of every fifth number have no half-time score
+        F.struct(F.when(F.col("fixture_id") % 5 != 0, half).alias("halftime")).alias("score"),
+        F.col("home_ft_goal").cast("int").alias("goalsHomeTeam"), F.col("away_ft_goal").cast("int").alias("goalsAwayTeam"),
+    ).write.json(f"{base}/json")
+    master = read_fixture_files(spark, f"{base}/json", arrays=False)
+    kept = write_if_enough(master, f"{base}/master", ["league_id"])
+    out = spark.read.schema(kept.schema).parquet(f"{base}/master")
+    return out.withColumn("event_date", F.col("event_date").cast("timestamp_ntz"))
+
+
+def q33b_calendar_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calendar records landed per league and round, dates as ISO text with
+    an offset of two hours; league and round read from the names."""
+    from matchday.session import scratch_path
+    from matchday.sources.json_api import read_calendar_files
+
+    path = scratch_path(spark, f"landing-{uuid.uuid4().hex}")
+    local = F.date_format(F.col("event_date") + F.expr("INTERVAL 2 HOURS"), "yyyy-MM-dd'T'HH:mm:ss")
+    V.calendar(spark, sf_dir).select(
+        F.format_string("leagueid-%d_round-%d_.json", F.col("league_id").cast("int"), F.col("round_no").cast("int")).alias("_file"),
+        "fixture_id", F.col("league_id").cast("long").alias("league_id"),
+        F.concat(local, F.lit("+02:00")).alias("event_date"),
+        F.when(F.col("status_short") == "FT", "Match Finished").otherwise("Not Started").alias("status"),
+        F.col("status_short").alias("statusShort"),
+    ).write.partitionBy("_file").json(path)
+    rows = read_calendar_files(spark, path, arrays=False)
+    return rows.withColumn("event_date", F.col("event_date").cast("timestamp_ntz"))
+
+
+def q34_marks_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marks pages, one per player and round, in both layouts of the players'
+    links, read back to team, name, role and nine cells."""
+    from matchday.sources.html import CELL_CLASS, LIST_CLASS, MARK_CELLS, PLAYER_LINKS, extract_marks
+
+    m = V.player_match(spark, sf_dir)
+    key = F.xxhash64("surname", "season", "round_no")
+    old = F.concat(F.lit(PLAYER_LINKS[1][0] + "serie-a/"), F.col("name"), F.lit("_"), F.col("surname"), F.lit("_928"))
+    new = F.concat(F.lit(PLAYER_LINKS[0][0]), F.col("name"), F.lit("-"), F.col("surname"), F.lit("/77"))
+    cells = [
+        F.concat(F.lit(f'<div class="{CELL_CLASS} x"> '), F.coalesce(F.col(c).cast("string"), F.lit("-")), F.lit("\n</div>"))
+        for c in MARK_CELLS
+    ]
+    html = F.concat(
+        F.lit(f'<html><ul class="{LIST_CLASS}"><span class="teamNameIn">'), F.col("team"),
+        F.lit('</span><li>header <div class="inParameter">V</div></li><li><span class="playerNameIn"><a href="'),
+        F.when(F.col("round_no") % 2 == 0, old).otherwise(new),
+        F.lit('">x</a></span><span class="playerRole">'), F.col("role"), F.lit("</span>"), *cells,
+        F.lit("</li></ul></html>"),
+    )
+    rows = extract_marks(m.select(key.alias("page_id"), html.alias("html")))
+    return rows.select("team", "name", "surname", "role", *MARK_CELLS)
+
+
 def q07b_duplicate_team_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Keys of the team unstack with several values (averaged by q07)."""
     rows = team_stat_rows(
@@ -495,7 +593,8 @@ def _register_model_jobs() -> None:
     QUERIES["q31_prediction_metrics"] = MJ.q31_prediction_metrics
     for f in (
         q29_stream_upsert, q29b_stream_calendar, q29c_stream_statistics, q07b_duplicate_team_rows,
-        q10b_names_to_review, q16b_class_count,
+        q10b_names_to_review, q16b_class_count, q32_round_csvs, q33_fixture_files, q33b_calendar_files,
+        q34_marks_pages,
     ):
         QUERIES[f.__name__] = f
     QUERIES["q30_permutation_importance"] = MJ.q30_permutation_importance

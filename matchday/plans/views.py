@@ -30,8 +30,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def player_match(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Grades table: one row per player and round (a day is a round).
 
-    team, name, surname, role, season, round_no, voto, fantavoto, gol,
-    ammonizione.  ``voto`` is NULL for rounds without a mark.
+    team, name, surname, role, season, round_no, voto, fantavoto and the
+    seven count statistics.  ``voto`` is NULL for rounds without a mark.
     """
     ev = table(spark, sf_dir, "events").select("user_id", "ts", "event_type", "value")
     et, v = F.col("event_type"), F.col("value")
@@ -44,6 +44,11 @@ def player_match(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.round(F.max(F.when(et == "click", v)) / 10, 6).alias("fantavoto"),
         F.count(F.when(et == "purchase", 1)).alias("gol"),
         F.sum(F.when(et == "error", 1)).cast("long").alias("ammonizione"),
+        F.count(F.when(et == "click", 1)).alias("assist"),
+        F.count(F.when((et == "purchase") & (v >= 40), 1)).alias("rigore"),
+        F.count(F.when((et == "signup") & (v < 10), 1)).alias("rig_sbagliato"),
+        F.sum(F.when((et == "view") & (v >= 100), 1)).cast("long").alias("autogol"),
+        F.sum(F.when((et == "error") & (v >= 80), 1)).cast("long").alias("espulsione"),
     )
     uid = F.col("user_id")
     return agg.select(
@@ -61,6 +66,11 @@ def player_match(spark: SparkSession, sf_dir: str) -> DataFrame:
         "fantavoto",
         "gol",
         "ammonizione",
+        "assist",
+        "rigore",
+        "rig_sbagliato",
+        "autogol",
+        "espulsione",
     )
 
 
@@ -122,10 +132,19 @@ def fixture_master(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def calendar(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """League calendar: fixture_id, league_id, event_date, round_no, status_short."""
-    return fixture(spark, sf_dir).select(
-        "fixture_id", "league_id", "event_date", "round_no", "status_short"
-    )
+    """League calendar: fixture_id, league_id, event_date, round_no,
+    status_short - from the orders alone, which hold all of it."""
+    o = table(spark, sf_dir, "orders")
+    return o.select(
+        F.col("o_orderkey").alias("fixture_id"),
+        F.year("o_orderdate").alias("league_id"),
+        F.weekofyear("o_orderdate").alias("round_no"),
+        F.col("o_orderdate").alias("event_date"),
+        F.when(F.col("o_orderstatus") == "F", "FT")
+        .when(F.col("o_orderstatus") == "O", "NS")
+        .otherwise("PST")
+        .alias("status_short"),
+    ).select("fixture_id", "league_id", "event_date", "round_no", "status_short")
 
 
 def fixture_stats(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -159,7 +178,7 @@ def team_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 def league_season(spark: SparkSession, sf_dir: str) -> DataFrame:
     """League id -> season dimension (one row per league in the calendar)."""
     return (
-        fixture(spark, sf_dir)
+        calendar(spark, sf_dir)
         .select("league_id")
         .distinct()
         .select("league_id", (F.col("league_id") + SEASON_OFFSET).alias("season"))

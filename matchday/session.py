@@ -8,8 +8,9 @@ partition count.
 
 from __future__ import annotations
 
-import os
+import atexit
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -81,15 +82,33 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A sub-folder of the shared checkpoint folder for written tables."""
-    base = checkpoint_dir(spark)
-    return os.path.join(base, name) if "://" not in base else base.rstrip("/") + "/" + name
+    """A sub-folder of the shared checkpoint folder for written tables,
+    streams and models of this run; removed when the driver ends."""
+    path = checkpoint_dir(spark).rstrip("/") + "/" + name
+    _SCRATCH.add(path)
+    return path
+
+
+_SCRATCH: set[str] = set()
 
 
 def materialize(df):
-    """Reliable checkpoint into the shared checkpoint folder: the table is
-    computed once, later branches read it back, and its lineage is cut (a
-    lost executor re-reads the files instead of recomputing the upstream
-    plan).  Used where one derived table feeds several branches."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Parquet table in the shared checkpoint folder: computed once, read
+    back by later branches with column pruning, filters and statistics; its
+    lineage is cut (a lost executor re-reads the files instead of recomputing
+    the upstream plan).  The table goes when the driver ends.  Used where one
+    derived table feeds several branches."""
+    spark = df.sparkSession
+    path = scratch_path(spark, f"table-{uuid.uuid4().hex}")
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
+
+
+@atexit.register
+def _drop_scratch() -> None:
+    spark = SparkSession.getActiveSession()
+    if spark is None or spark.sparkContext._jsc is None:
+        return
+    for path in _SCRATCH:
+        hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop, True)

@@ -105,20 +105,23 @@ def flatten_fixtures(raw: DataFrame) -> DataFrame:
 
 
 def file_id(pattern: str, group: int = 1) -> Column:
-    """Integer taken from the source file name by ``pattern``."""
-    return F.regexp_extract(F.col("_metadata.file_name"), pattern, group).cast("long")
+    """Integer taken from the source file's name, or that of its folder, by
+    ``pattern``."""
+    return F.regexp_extract(F.col("_metadata.file_path"), pattern, group).cast("long")
 
 
-def read_fixture_files(spark: SparkSession, path: str) -> DataFrame:
-    """Directory of JSON arrays of fixture records -> finished fixtures."""
-    raw = spark.read.schema(FIXTURE_SCHEMA).option("multiLine", True).json(path)
+def read_fixture_files(spark: SparkSession, path: str, arrays: bool = True) -> DataFrame:
+    """Directory of fixture records, JSON arrays or one record a line ->
+    finished fixtures."""
+    raw = spark.read.schema(FIXTURE_SCHEMA).option("multiLine", arrays).json(path)
     return flatten_fixtures(raw).filter(F.col("statusShort") == "FT").distinct()
 
 
-def read_calendar_files(spark: SparkSession, path: str) -> DataFrame:
-    """Directory of ``leagueid-<id>_round-<n>_.json`` arrays -> calendar rows
-    with the round taken from the file name and ISO dates as UTC instants."""
-    raw = spark.read.schema(CALENDAR_SCHEMA).option("multiLine", True).json(path)
+def read_calendar_files(spark: SparkSession, path: str, arrays: bool = True) -> DataFrame:
+    """Directory of ``leagueid-<id>_round-<n>_.json`` arrays (or folders of
+    that name with one record a line) -> calendar rows with the round taken
+    from the name and ISO dates, with any offset, as UTC instants."""
+    raw = spark.read.schema(CALENDAR_SCHEMA).option("multiLine", arrays).json(path)
     return raw.select(
         "fixture_id", "league_id",
         F.to_timestamp("event_date").alias("event_date"),

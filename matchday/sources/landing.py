@@ -15,7 +15,7 @@ GRADE_COLUMNS = [
     "ammonizione", "espulsione", "fantavoto",
 ]
 GRADE_NUMERIC = GRADE_COLUMNS[4:]
-FILE_PATTERN = r"a(\d{4})_m(\d+)\.csv$"     # a<season>_m<round>.csv
+FILE_PATTERN = r"a(\d{4})_m(\d+)\.csv"      # a<season>_m<round>.csv, a file or a folder of part files
 UNKNOWN_NAME = "_unknown_"
 # -----------------------------------------------------------------------------
 
@@ -54,7 +54,7 @@ def read_round_csvs(
     """
     raw = spark.read.text(path).filter(F.trim("value") != "")
     line = F.regexp_replace("value", "^\ufeff|\r$", "")
-    rows = raw.select(F.col("_metadata.file_name").alias("_file"), csv_fields(line).alias("_v"))
+    rows = raw.select(F.col("_metadata.file_path").alias("_file"), csv_fields(line).alias("_v"))
     # array_contains is NULL (not false) when the array holds NULLs
     is_header = F.coalesce(F.array_contains(F.col("_v"), header_key), F.lit(False))
     headers = rows.filter(is_header).select("_file", F.col("_v").alias("_h"))

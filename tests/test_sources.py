@@ -148,3 +148,23 @@ def test_sinks_and_empty_master(spark, tmpdir_path):
     assert {r["match"] for r in back.collect()} == {1}
     write_table(df, os.path.join(tmpdir_path, "all"), ["season"])
     assert spark.read.parquet(os.path.join(tmpdir_path, "all")).filter("season = 2020").count() == 3
+
+
+def test_marks_page_layout(spark):
+    from matchday.sources.html import extract_marks
+
+    def item(link, role, cells):
+        body = "".join(f'<div class="inParameter {k}">\n\t{c} </div>' for k, c in zip("abcdefghi", cells))
+        return f'<li><span class="playerNameIn"><a href="{link}">x</a></span><span class="playerRole">{role}</span>{body}</li>'
+
+    cells = ["6.5", "1", "0", "-", "0", "0", "1", "0", "9.5"]
+    lists = '<ul class="menu"><li>no</li></ul><ul class="magicTeamList"><span class="teamNameIn">Inter</span><li>head</li>'
+    lists += item("https://www.gazzetta.it/calcio/giocatori/duvan-zapata/928", "A", cells)
+    lists += item("https://www.gazzetta.it/calcio/fantanews/statistiche/serie-a-2018-19/juan_de_la_cruz_77", "D", cells)
+    lists += item("https://www.gazzetta.it/calcio/giocatori/ronaldo/1", "P", ["-"] * 9) + "</ul>"
+    pages = spark.createDataFrame([(1, lists), (2, None), (3, "")], "page_id long, html string")
+    rows = {r["surname"]: r for r in extract_marks(pages).collect()}
+    assert set(rows) == {"zapata", "de la cruz", "ronaldo"}
+    assert (rows["zapata"]["name"], rows["zapata"]["team"], rows["zapata"]["role"]) == ("duvan", "Inter", "A")
+    assert (rows["zapata"]["voto"], rows["zapata"]["rigore"], rows["zapata"]["fantavoto"]) == (6.5, None, 9.5)
+    assert rows["de la cruz"]["name"] == "juan" and rows["ronaldo"]["name"] == "" and rows["ronaldo"]["voto"] is None
