@@ -59,6 +59,15 @@ def bin_table(
     return spark.createDataFrame(rows, schema)
 
 
+def encode_label(label: Column, edges: list[float] = BIN_EDGES) -> Column:
+    """Saved bin label (its lower edge) -> class code, NULL for any other value."""
+    code = None
+    for i, lo in enumerate(edges[:-1]):
+        here = label.cast("double") == F.lit(float(lo))
+        code = F.when(here, F.lit(i)) if code is None else code.when(here, F.lit(i))
+    return code.cast("int")
+
+
 def decode_expected(code: Column, edges: list[float] = BIN_EDGES, centre: float = 6.0) -> Column:
     """Class code -> (bin label + centre), the expected mark of a class."""
     pairs = reduce(

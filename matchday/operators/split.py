@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from matchday.functions.bins import bin_label, bin_table
+from matchday.session import materialize
 
 # --- fixed values ------------------------------------------------------------
 TEST_SHARE_DEN = 5          # test share 0.2 = 1/5 of each stratum (rounded up)
@@ -127,6 +128,36 @@ def stratified_folds(
     return r.select(*df.columns, F.pmod(F.col("_r") - 1, F.lit(n_folds)).cast("int").alias("fold"))
 
 
+def ordered_rank(df: DataFrame, order: Sequence[str], out: str = "rank") -> DataFrame:
+    """0-based position of each row in ``order`` over the whole table, and the
+    row count as ``<out>_n``: rows are sorted by range, ranked inside their
+    range, and the counts of the ranges before (one row per range) are added."""
+    part = "_part"
+    ranged = materialize(df.repartitionByRange(*order).withColumn(part, F.spark_partition_id()))
+    rows, total = [], 0
+    for r in sorted(ranged.groupBy(part).count().collect()):  # one row per range
+        rows.append((r[part], total))
+        total += r["count"]
+    offsets = df.sparkSession.createDataFrame(rows, f"{part} int, _off long")
+    inside = F.row_number().over(Window.partitionBy(part).orderBy(*order))
+    ranked = ranged.withColumn("_r", inside).join(offsets, part)
+    return ranked.select(
+        *df.columns, (F.col("_off") + F.col("_r") - 1).alias(out), F.lit(total).cast("long").alias(out + "_n")
+    )
+
+
+def contiguous_folds(df: DataFrame, order: Sequence[str], n_folds: int = N_FOLDS) -> DataFrame:
+    """Fold id 0..n_folds-1 of consecutive rows in ``order`` (the regressor's
+    folds): sizes differ by one at most, the larger ones first."""
+    r = ordered_rank(df, order, "_k")
+    size, more = F.floor(F.col("_k_n") / n_folds), F.col("_k_n") % n_folds
+    head = more * (size + 1)
+    fold = F.when(F.col("_k") < head, F.floor(F.col("_k") / (size + 1))).otherwise(
+        more + F.floor((F.col("_k") - head) / F.greatest(size, F.lit(1)))
+    )
+    return r.select(*df.columns, fold.cast("int").alias("fold"))
+
+
 def validation_sample(df: DataFrame, id_col: str, n: int = 1000, seed: int = SPLIT_SEED) -> DataFrame:
     """A fixed sample of ``n`` rows: the smallest by hash (a top-k, each task
     keeps only its best ``n`` rows) instead of "the first n rows", which has

@@ -65,6 +65,22 @@ def pending_rounds(
     return grid.join(landed.select("league_id", "round_no").distinct(), ["league_id", "round_no"], "left_anti")
 
 
+def rounds_in_window(rounds: DataFrame, start: int, final: int) -> DataFrame:
+    """Rounds from ``start`` up to, not including, ``final`` (the scoring
+    window of the last played round)."""
+    return rounds.filter(F.col("round_no").between(start, final - 1))
+
+
+def pending_teams(schedule: DataFrame, landed: DataFrame, overwrite: bool = False) -> DataFrame:
+    """(league_id, team_id) keys of every league's teams whose fixtures have
+    not landed yet (all of them with ``overwrite``)."""
+    sides = [schedule.select("league_id", F.col(c).cast("long").alias("team_id")) for c in ("home_team_id", "away_team_id")]
+    teams = sides[0].union(sides[1]).distinct()
+    if overwrite:
+        return teams
+    return teams.join(landed.select("league_id", "team_id").distinct(), ["league_id", "team_id"], "left_anti")
+
+
 def pending_fixtures(finished: DataFrame, landed_stats: DataFrame, overwrite: bool = False) -> DataFrame:
     """Finished fixtures whose statistics have not landed yet."""
     f = finished.select("fixture_id", "league_id", "event_date").distinct()

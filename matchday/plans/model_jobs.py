@@ -7,6 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from matchday.functions.bins import encode_label
 from matchday.ml import model as M
 from matchday.ml.explain import permutation_importance
 from matchday.operators.assemble import with_role_dummies
@@ -72,8 +73,10 @@ def q28_train_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q28d_labelled_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Keys, class and split of the rows that the model sees."""
-    return spark.read.parquet(f"{_training_job(spark, sf_dir)}/labelled").select(*KEYS, "label", "split")
+    """Keys, class (encoded again from the saved bin label) and split of the
+    rows that the model sees."""
+    rows = spark.read.parquet(f"{_training_job(spark, sf_dir)}/labelled")
+    return rows.select(*KEYS, encode_label(F.col("fv_bin")).alias("label"), "split")
 
 
 def q28b_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -426,6 +426,24 @@ def oracle_sql() -> dict[str, str]:
     out = _base_sql()
     out["q29b_stream_calendar"] = out["q08_calendar_stale_drop"]
     out["q29c_stream_statistics"] = out["q04_stat_collapse"]
+    out["q26b_team_worklist"] = with_views(
+        f"""
+, teams AS (SELECT league_id, CAST(home_team_id AS BIGINT) AS team_id FROM fixture
+            UNION SELECT league_id, CAST(away_team_id AS BIGINT) FROM fixture),
+pt AS (SELECT * FROM teams t WHERE NOT EXISTS (SELECT 1 FROM fixture f
+         WHERE f.status_short = 'FT' AND f.league_id = t.league_id AND f.home_team_id = t.team_id)),
+w AS ({out["q09_last_round"]}),
+g AS (SELECT league_id, CAST(unnest(range(1, 39)) AS INT) AS round_no FROM (SELECT DISTINCT league_id FROM calendar)),
+pr AS (SELECT g.* FROM g, w WHERE round_no >= start_round AND round_no < final_round)
+SELECT 'team' AS kind, league_id, team_id, CAST(NULL AS INT) AS round_no,
+       'leagueid-' || league_id || '_teamid-' || team_id || '_.json' AS file_name,
+       'https://api.example.invalid/v2/fixtures/team/' || team_id || '/' || league_id AS url FROM pt
+UNION ALL
+SELECT 'round', league_id, CAST(NULL AS BIGINT), round_no, 'leagueid-' || league_id || '_round-' || round_no || '_.json',
+       'https://api.example.invalid/v2/fixtures/league/' || league_id || '/round/' || round_no FROM pr""",
+        "fixture",
+        "calendar",
+    )
     out["q10b_names_to_review"] = (
         f"SELECT DISTINCT name, surname FROM ({out['q10_name_fix']}) fixed WHERE len(string_split(surname, ' ')) > 1"
     )
@@ -588,6 +606,17 @@ FROM cut GROUP BY ALL HAVING count(*) > 1""",
             "fixture_master",
             "fixture_stats",
         ),
+        "q18b_contiguous_folds": with_views(
+            _labelled_ctes()
+            + """
+, o AS (SELECT name, surname, season, round_no, fv_bin,
+               row_number() OVER (ORDER BY season, round_no, surname, name) - 1 AS k, count(*) OVER () AS n FROM lb)
+SELECT name, surname, season, round_no, fv_bin,
+       CAST(CASE WHEN k < (n % 5) * (n // 5 + 1) THEN k // (n // 5 + 1)
+                 ELSE n % 5 + (k - (n % 5) * (n // 5 + 1)) // greatest(n // 5, 1) END AS INT) AS fold
+FROM o""",
+            *_TRAIN_VIEWS,
+        ),
         "q32_round_csvs": with_views(
             f"""
 SELECT DISTINCT team, name, surname, role, {", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in _CELLS)},

@@ -47,13 +47,15 @@ from matchday.operators.metrics import (
 )
 from matchday.operators.prune import drop_sparse_columns, drop_sparse_rows, row_null_share, sparse_column_report
 from matchday.operators.reshape import pivot_mean, unpivot_split
-from matchday.operators.split import class_weights, stratified_folds, stratified_split, with_bins
+from matchday.operators.split import class_weights, contiguous_folds, stratified_folds, stratified_split, with_bins
 from matchday.operators.worklist import (
     budgeted,
     expand_template,
     landing_name,
     pending_fixtures,
     pending_rounds,
+    pending_teams,
+    rounds_in_window,
 )
 from matchday.plans import views as V
 from matchday.sources.html import extract_list_items, extract_list_items_parsed
@@ -196,8 +198,10 @@ def team_opponent_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     # opponent side): compute it once
     tf = materialize(team_feature_table(spark, sf_dir, master)).join(seasons, "league_id")
     tf = tf.join(master.select("league_id", "fixture_id"), ["league_id", "fixture_id"], "left_semi")
+    # the schedule known at the as-of instant reaches five days ahead
+    cut = master.filter(F.col("event_date") <= F.expr(f"TIMESTAMP_NTZ '{V.AS_OF}' + INTERVAL 5 DAYS"))
     return opponent_features(
-        tf, team_schedule(master, seasons), V.team_map(spark, sf_dir), TEAM_FEATURES
+        tf, team_schedule(cut, seasons), V.team_map(spark, sf_dir), TEAM_FEATURES
     )
 
 
@@ -347,7 +351,7 @@ def q25_json_unpack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return unpack_envelope(env, "payload", "fixtures", item, keep=["event_id", "user_id", "event_type"])
 
 
-# --- fixed values: request templates of the data provider ---------------------
+# --- example request templates (the host is no real one) -------------------------
 ROUND_URL = "https://api.example.invalid/v2/fixtures/league/%%league_id%%/round/%%round%%"
 STATS_URL = "https://api.example.invalid/v2/statistics/fixture/%%fixture_id%%"
 # -------------------------------------------------------------------------------
@@ -466,6 +470,36 @@ def q29c_stream_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
     return amended_state(spark, f"{base}/rows", rows.schema, [parse_stat_values, collapse_amended])
 
 
+def q18b_contiguous_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Five runs of consecutive labelled rows (the regressor's folds)."""
+    lr = labelled_rows(spark, sf_dir).select(*TRAIN_KEYS, "fv_bin")
+    return contiguous_folds(lr, ["season", "round_no", "surname", "name"])
+
+
+TEAM_URL = "https://api.example.invalid/v2/fixtures/team/%%team_id%%/%%league_id%%"
+
+
+def q26b_team_worklist(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Team and round keys to fetch: teams of each league without a finished
+    home fixture, and the rounds of the scoring window of all leagues."""
+    f = V.fixture(spark, sf_dir)
+    landed = V.fixture(spark, sf_dir, finished_only=True).select("league_id", F.col("home_team_id").alias("team_id"))
+    teams = pending_teams(f, landed.withColumn("team_id", F.col("team_id").cast("long")))
+    window = last_played_round(V.calendar(spark, sf_dir)).first()  # one row
+    rounds = pending_rounds(V.calendar(spark, sf_dir), V.calendar(spark, sf_dir), overwrite=True)
+    rounds = rounds_in_window(rounds, window["start_round"], window["final_round"])
+    none = F.lit(None)
+    return teams.select(
+        F.lit("team").alias("kind"), "league_id", "team_id", none.cast("int").alias("round_no"),
+        landing_name([("leagueid", F.col("league_id")), ("teamid", F.col("team_id"))]).alias("file_name"),
+        expand_template(TEAM_URL, {"league_id": F.col("league_id"), "team_id": F.col("team_id")}).alias("url"),
+    ).unionByName(rounds.select(
+        F.lit("round").alias("kind"), "league_id", none.cast("long").alias("team_id"), "round_no",
+        landing_name([("leagueid", F.col("league_id")), ("round", F.col("round_no"))]).alias("file_name"),
+        expand_template(ROUND_URL, {"league_id": F.col("league_id"), "round": F.col("round_no")}).alias("url"),
+    ))
+
+
 def q32_round_csvs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marks landed as CSVs per round, those of even rounds with a leading
     unnamed index column; read, appended to a master that does not exist yet,
@@ -594,7 +628,7 @@ def _register_model_jobs() -> None:
     for f in (
         q29_stream_upsert, q29b_stream_calendar, q29c_stream_statistics, q07b_duplicate_team_rows,
         q10b_names_to_review, q16b_class_count, q32_round_csvs, q33_fixture_files, q33b_calendar_files,
-        q34_marks_pages,
+        q34_marks_pages, q18b_contiguous_folds, q26b_team_worklist,
     ):
         QUERIES[f.__name__] = f
     QUERIES["q30_permutation_importance"] = MJ.q30_permutation_importance

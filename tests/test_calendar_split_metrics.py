@@ -150,3 +150,20 @@ def test_player_with_marks_outside_the_rounds_only_gets_the_grid(spark):
     assert len(late) == 38 and {(r["team"], r["fwd_fantavoto"]) for r in late} == {(None, None)}
     assert len(both) == 38 and {r["team"] for r in both} == {"t2"}
     assert [r["fwd_fantavoto"] for r in both if r["round_no"] == 37] == [6.0]
+
+
+def test_contiguous_folds_are_runs(spark):
+    from matchday.operators.split import contiguous_folds
+
+    df = spark.createDataFrame([(i * 7 % 23, "x") for i in range(23)], "k int, s string").repartition(4)
+    rows = sorted((r["k"], r["fold"]) for r in contiguous_folds(df, ["k"], 5).collect())
+    folds = [f for _, f in rows]
+    assert folds == sorted(folds) and [folds.count(i) for i in range(5)] == [5, 5, 5, 4, 4]
+    assert contiguous_folds(df.limit(3), ["k"], 5).count() == 3
+
+
+def test_saved_labels_are_encoded_again(spark):
+    from matchday.functions.bins import BIN_EDGES, encode_label
+
+    df = spark.createDataFrame([(float(x),) for x in BIN_EDGES], "x double")
+    assert [r[0] for r in df.select(encode_label(df["x"])).collect()] == [*range(len(BIN_EDGES) - 1), None]
