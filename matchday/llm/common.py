@@ -132,6 +132,17 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw, at - at[0]
 
 
+def row_groups(column: pa.Array, size: int = 1 << 23) -> Iterator[pa.Array]:
+    """Slices of whole rows of about ``size`` bytes (a longer row alone)."""
+    _, offsets = text_bytes(column)
+    start, n = 0, len(column)
+    while start < n:
+        end = int(np.searchsorted(offsets, offsets[start] + size, "right")) - 1
+        end = min(max(end, start + 1), n)
+        yield column.slice(start, end - start)
+        start = end
+
+
 #: space, tab, newline, vertical tab, form feed, carriage return
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True

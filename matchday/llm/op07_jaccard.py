@@ -17,6 +17,7 @@ already, or meet in round 2.
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -30,6 +31,7 @@ from matchday.llm.common import (
     document_columns,
     keep,
     release,
+    row_groups,
     shingle_sets,
     signed,
     text_bytes,
@@ -59,9 +61,10 @@ Sets = Callable[[pa.RecordBatch], Iterator[np.ndarray]]
 
 def word_shingles(q: int) -> Sets:
     def sets(batch: pa.RecordBatch) -> Iterator[np.ndarray]:
-        raw, offsets = text_bytes(batch.column("text"))
-        words, rows = words_of(raw, offsets)
-        return shingle_sets(words, rows, q)
+        for column in row_groups(batch.column("text")):
+            raw, offsets = text_bytes(column)
+            words, rows = words_of(raw, offsets)
+            yield from shingle_sets(words, rows, q)
 
     return sets
 
@@ -95,7 +98,7 @@ def _profile(sets_of: Sets):
         n = len(used)
         yield pa.RecordBatch.from_arrays([
             pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
-            pa.array(used.astype(np.int32)), pa.array([parts[i].tobytes() for i in used], pa.binary()),
+            pa.array(used.astype(np.int32)), pa.array([zlib.compress(parts[i].tobytes(), 1) for i in used], pa.binary()),
         ], names=["kind", "doc_id", "n_shingles", "node", "chunk", "counts"])
 
     return run
@@ -105,7 +108,7 @@ def _sum_cells(batches):
     sums: dict[int, np.ndarray] = {}
     for batch in batches:
         for chunk, counts in zip(batch.column("chunk").to_pylist(), batch.column("counts"), strict=True):
-            part = np.frombuffer(counts.as_buffer(), "<i4")
+            part = np.frombuffer(zlib.decompress(counts.as_buffer()), "<i4")
             sums[chunk] = sums[chunk] + part if chunk in sums else part.astype(np.int64)
     yield pa.RecordBatch.from_arrays(
         [pa.array(list(sums), pa.int32()), pa.array([x.tobytes() for x in sums.values()], pa.binary())],
@@ -223,29 +226,30 @@ def _shared(batches):
         yield out(runs(rest, True)[0])
 
 
-def _segments(sets_of: Sets, order, bits: bytes):
-    names = ["node", *[f"f{i}" for i in range(FRAGMENTS)]]
+def _segments(sets_of: Sets, order, bits: bytes, parts: list[int]):
+    names = ["node", *[f"f{i}" for i in parts]]
 
     def run(batches):
         by, chosen = order.value, np.frombuffer(bits, np.uint8)
         for batch in batches:
             at = batch.column("slot").to_numpy()
             batch = batch.filter(pa.array((chosen[at >> 3] >> (at & 7)) & 1 == 1))
-            nodes, parts = [], [[] for _ in range(FRAGMENTS)]
+            nodes, found = [], [[] for _ in parts]
             for s in sets_of(batch):
                 if not len(s):
                     continue
                 nodes.append(_node(s))
                 keys = by.key(s)
                 cut = np.searchsorted(keys >> np.uint64(_LOW), by.cuts, "left")
-                for i, part in enumerate(np.split(signed(keys), cut)):
-                    parts[i].append(part)
+                segments = np.split(signed(keys), cut)
+                for i, part in enumerate(parts):
+                    found[i].append(segments[part])
             if nodes:
                 cols = [
                     pa.ListArray.from_arrays(
                         pa.array(np.cumsum([0, *map(len, p)]), pa.int32()), pa.array(np.concatenate(p))
                     )
-                    for p in parts
+                    for p in found
                 ]
                 yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), *cols], names=names)
 
@@ -283,9 +287,9 @@ class _Join:
         classes = self.profile.where("kind = 0 and node is not null")
         self.classes = keep(classes.groupBy("node").agg(F.min("doc_id").alias("rep")), "classes")
 
-    def links(self, pairs: DataFrame) -> DataFrame | None:
-        """The linked pairs (a, b) among the candidates; None without candidates."""
-        pairs = keep(pairs, "pairs")
+    def _segments(self, pairs: DataFrame, parts: list[int]) -> DataFrame | None:
+        """(node, f_i for the fragments i of ``parts``) of the sets of the
+        pairs, from one more scan of the texts; None without pairs."""
         ends = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         slot = F.pmod(F.xxhash64(F.coalesce("doc_id", F.lit(-1))), F.lit(FILTER_BITS))
         marks = ends.join(self.classes, "node").select(F.col("rep").alias("doc_id")).select(slot.alias("slot"))
@@ -297,33 +301,45 @@ class _Join:
         for r in marks.collect():
             bits[r["k"] * 4096 : (r["k"] + 1) * 4096] = r["bits"]
         if not any(bits):
-            release(pairs)
             return None
-        schema = "node long, " + ", ".join(f"f{i} array<long>" for i in range(FRAGMENTS))
-        segments = self.docs.select("text", slot.alias("slot")).mapInArrow(
-            _segments(self.sets_of, self.order, bytes(bits)), schema
-        )
-        segments = keep(segments, "segments")
+        schema = "node long, " + ", ".join(f"f{i} array<long>" for i in parts)
+        rows = self.docs.select("text", slot.alias("slot"))
+        return keep(rows.mapInArrow(_segments(self.sets_of, self.order, bytes(bits), parts), schema), "segments")
+
+    def links(self, pairs: DataFrame) -> DataFrame | None:
+        """The linked pairs (a, b) among the candidates; None if there are none.
+
+        The overlap in the first fragment, the rarest n-grams, tells most
+        false candidates; the other fragments are read for the pairs left."""
         na, nb = F.col("na"), F.col("nb")
         spare = na + nb - F.lit(2) * _needed(na, nb, self.percent)
+        rest = list(range(1, FRAGMENTS))
 
-        def overlaps(rows: DataFrame, parts: list[int]) -> DataFrame:
-            cols = [f"f{i}" for i in parts]
-            a = segments.select(F.col("node").alias("a"), *[F.col(c).alias(f"a_{c}") for c in cols])
-            b = segments.select(F.col("node").alias("b"), *[F.col(c).alias(f"b_{c}") for c in cols])
-            return rows.join(a, "a").join(b, "b")
+        def both(rows: DataFrame, segments: DataFrame, parts: list[int]) -> DataFrame:
+            for side in ("a", "b"):
+                own = [F.col(f"f{i}").alias(f"{side}_f{i}") for i in parts]
+                rows = rows.join(segments.select(F.col("node").alias(side), *own), side)
+            return rows
 
-        # rarest fragment first: it tells most false candidates
-        first = overlaps(pairs, [0]).withColumn("o0", F.size(F.array_intersect("a_f0", "b_f0")))
+        pairs = keep(pairs, "pairs")
+        segments = self._segments(pairs, [0])
+        if segments is None:
+            release(pairs)
+            return None
+        first = both(pairs, segments, [0]).withColumn("o0", F.size(F.array_intersect("a_f0", "b_f0")))
         first = first.where(F.size("a_f0") + F.size("b_f0") - F.lit(2) * F.col("o0") <= spare)
         first = keep(first.select("a", "b", "na", "nb", "o0").distinct(), "pairs")
-        rest = list(range(1, FRAGMENTS))
+        release(pairs, segments)
+        segments = self._segments(first, rest)
+        if segments is None:
+            release(first)
+            return None
         total = F.col("o0")
         for i in rest:
             total = total + F.size(F.array_intersect(f"a_f{i}", f"b_f{i}"))
-        found = overlaps(first, rest).where(total >= _needed(na, nb, self.percent)).select("a", "b").distinct()
+        found = both(first, segments, rest).where(total >= _needed(na, nb, self.percent)).select("a", "b").distinct()
         found = keep(found, "links")
-        release(pairs, first, segments)
+        release(first, segments)
         return found
 
     def components(self) -> DataFrame | None:
@@ -370,7 +386,7 @@ class _Join:
             & _may_link(F.col("nx"), F.col("px"), F.col("ny"), F.col("py"), percent)
         )
         more = self.links(_pairs(met.select("x", "nx", "y", "ny")))
-        release(shared, hubs, rows, rows2, links)
+        release(shared, hubs, rows, rows2)
         if more is None:
             return found
         # links between components, named by their components

@@ -66,12 +66,15 @@ def _corpus(seed=3):
     for _ in range(20):
         docs.append((i, passage + " " + " ".join(rng.choices(vocabulary, k=rng.choice([3, 8, 20, 80])))))
         i += 1
+    chain = [f"c{k}" for k in range(200)]  # each links with the next only: the hubs of round 1 don't meet all
+    docs += [(i + k, " ".join(chain[k * 2 : k * 2 + 60])) for k in range(40)]
     rng.shuffle(docs)
     return docs
 
 
-@pytest.mark.parametrize(("q", "percent"), [(3, 90), (5, 80)])
-def test_jaccard_components_equal_brute_force(spark, q, percent):
+@pytest.mark.parametrize(("q", "percent", "hot"), [(3, 90, op07_jaccard.HOT), (5, 80, 5)])
+def test_jaccard_components_equal_brute_force(spark, monkeypatch, q, percent, hot):
+    monkeypatch.setattr(op07_jaccard, "HOT", hot)  # 5: common n-grams are dealt out over tasks
     docs = _corpus() + [(1, None), (2, ""), (3, " \n\t"), (4, "one"), (5, "ONE"), (6, "one two"), (7, "é one")]
     table = spark.createDataFrame([(i, t, None, "s", 0) for i, t in docs], DOCS)
     table = table.selectExpr("*", "1 as node", "2 as token", "'x' as slot", "3 as component").repartition(3)
@@ -82,15 +85,6 @@ def test_jaccard_components_equal_brute_force(spark, q, percent):
     assert any(c < i for i, (_, c) in want.items())
 
 
-def test_jaccard_second_round_finds_links_that_no_hub_shares(spark, monkeypatch):
-    # a chain: each document links with the next only
-    words = [f"w{i}" for i in range(400)]
-    docs = [(i, " ".join(words[i * 2 : i * 2 + 60])) for i in range(60)]
-    table = spark.createDataFrame(docs, "doc_id long, text string")
-    got = op07_jaccard.jaccard_components(table, words=3, percent=90).collect()
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == _brute(docs, 3, 90)
-
-
 def test_jaccard_odd_rows(spark):
     rows = [(5, "a b c d e f"), (5, "a b c d e f"), (None, "a b c d e f"), (None, "x y z"), (7, "q r s"), (7, "t u v")]
     got = op07_jaccard.jaccard_components(spark.createDataFrame(rows, "doc_id long, text string"), words=3, percent=90)
@@ -102,13 +96,6 @@ def test_jaccard_odd_rows(spark):
     assert op07_jaccard.one_of_each(empty).columns == ["doc_id", "text"]
 
 
-def test_jaccard_hot_groups_are_dealt_out(spark, monkeypatch):
-    monkeypatch.setattr(op07_jaccard, "HOT", 5)  # the salted path on the driver's side of the order
-    docs = _corpus(5)
-    got = op07_jaccard.jaccard_components(spark.createDataFrame(docs, "doc_id long, text string"), words=3, percent=90)
-    assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got.collect()} == _brute(docs, 3, 90)
-
-
 def test_one_of_each(spark):
     docs = [*_corpus(), (None, "w1 w2 w3")]
     table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], DOCS)

@@ -184,10 +184,10 @@ def test_parity_on_odd_spaces_and_symbols():
     data = open(op03_pieces.MODEL, "rb").read()
     own, codec = sentencepiece.SentencePieceProcessor(model_proto=data), op03_pieces.Codec(data)
     texts = ["", " ", "  ", "a  b", "   a   ", "<s> </s> <unk> <0x41>", "aaaaaaaaaaa", "====--==", "🙂🙂", "\t\n\r", "a▁b", "éÉß", "0" * 50]
-    ids, agreed = codec.encode(texts)
+    ids, agreed, whole = codec.encode(texts)
     assert [x.tolist() for x in ids] == own.encode(texts)
     back = codec.decode(ids)
-    assert [b for b, t in zip(back, texts, strict=True) if "▁" not in t] == [t for t in texts if "▁" not in t]
+    assert [b == t for b, t in zip(back, texts, strict=True)] == whole == ["▁" not in t for t in texts]
 
 
 def test_unigram_models_are_rebuilt():
@@ -300,6 +300,9 @@ def test_fingerprints_of_odd_rows(spark):
     assert next(r for r in got if r["doc_id"] == 1)["fingerprint"] == ""
     assert next(r for r in got if r["doc_id"] == 1)["near_next"] == 1.0
     assert op06_spotsigs.compare_with_next(spark.createDataFrame([], SCHEMA)).count() == 0
+    nulls = spark.createDataFrame([(None, "b the cat sat down"), (None, "a the dog ran off")], SCHEMA)
+    pairs = op06_spotsigs.compare_with_next(nulls).collect()
+    assert len(pairs) == 2 and {r["near_next"] for r in pairs} == {0.0}
     one = op06_spotsigs.compare_with_next(spark.createDataFrame([(3, "a house by the sea side")], SCHEMA)).collect()
     assert len(one) == 1 and one[0]["near_next"] == 1.0
 
