@@ -276,9 +276,23 @@ def md5_31(text: Column) -> Column:
     return F.shiftright(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long"), 1)
 
 
+#: rows of an Arrow batch: whole texts, so a tenth of Spark's default
+BATCH_ROWS = 1_000
+_BATCH_CONF = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Sets the session's Arrow batches to BATCH_ROWS rows, unless it has a
+    setting other than Spark's default: a batch of whole texts lies in memory
+    several times on its way to a task's Python and back."""
+    if spark.conf.get(_BATCH_CONF) == "10000":
+        spark.conf.set(_BATCH_CONF, str(BATCH_ROWS))
+
+
 def document_columns(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """The columns an operator reads, by fixed inner names, so that further
     columns of the input can have any name."""
+    small_batches(docs.sparkSession)
     return docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(text_col).cast("string").alias("text"),

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from matchday.llm.common import document_columns, hash31, keep, mix64, signed
+from matchday.llm.common import document_columns, hash31, keep, mix64, signed, small_batches
 
 #: code points of an n-gram; letters in lower case, everything else a space
 SIZES = (3, 4)
@@ -35,7 +35,7 @@ LEAST = 2
 UNKNOWN = "und"
 #: a document with a smaller share of known n-grams is in no learned language
 MIN_KNOWN = 0.1
-_PIECE = 1 << 20
+_PIECE = 1 << 18
 _MULT = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x27D4EB2F165667C5, 0x2545F4914F6CDD1D)]
 _LETTERS: np.ndarray | None = None
 
@@ -48,8 +48,8 @@ def _letters() -> np.ndarray:
 
 
 def _pieces(texts: Sequence[str | None]) -> Iterator[list[tuple[int, str, int]]]:
-    """Groups of (row, lower-case text, n-grams that start in it) of about 1
-    MB; a longer text is cut, each piece with what its last n-grams need."""
+    """Groups of (row, lower-case text, n-grams that start in it) of about
+    256,000 characters; a longer text is cut, each piece with what its last n-grams need."""
     group, size = [], 0
     for row, text in enumerate(texts):
         text = (text or "").lower()
@@ -141,6 +141,7 @@ def held_out(doc_id: Column, modulus: int, remainder: int) -> Column:
 
 def train(docs: DataFrame, usable: Column, per_language: int = TRAIN_PER_LANGUAGE) -> LanguageModel:
     """Learns from the rows (doc_id, text, lang) with ``usable`` and a language."""
+    small_batches(docs.sparkSession)
     rows = docs.where(usable & F.col("lang").isNotNull() & F.col("text").isNotNull())
     counts = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     languages = sorted(counts, key=lambda x: (-counts[x], x))
@@ -231,6 +232,7 @@ def identify(docs: DataFrame, model: LanguageModel, keep_text: bool = False) ->
     the most frequent language with score 0.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     schema = ", ".join(f"`{n}` {t}" for n, t in docs.dtypes if keep_text or n != "text")
     return docs.mapInArrow(_score(spark.sparkContext.broadcast(model), keep_text), schema + ", lang_pred string, score double, known double")
 
