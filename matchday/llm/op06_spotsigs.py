@@ -13,12 +13,12 @@ import base64
 import hashlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from matchday.llm.common import document_columns, keep, mix64, text_bytes, words_of
+from matchday.llm.common import document_columns, mix64, text_bytes, words_of
 from matchday.llm.op07_jaccard import set_components
 
 #: common words of English, German, French and Spanish
@@ -129,78 +129,60 @@ def edited_text(text: str, following: str) -> str:
 
 _COLUMNS = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 _NAMES = [c.split()[0] for c in _COLUMNS.split(", ")]
+_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
 
 
-def _compare(ids: list, texts: list[str]) -> list[list]:
-    """The columns for all rows but the last; each row's successor is the next."""
-    edited = [edited_text(a, b) for a, b in zip(texts[:-1], texts[1:], strict=True)]
+def _compare(ids: list, texts: list[str], own: list[int]) -> pa.RecordBatch:
+    """The columns for the rows ``own``; each row's successor is the next."""
+    edited = [edited_text(texts[i], texts[i + 1]) for i in own]
     prints, after = fingerprints(texts), fingerprints(edited)
-    return [
-        ids[:-1],
-        [len(t) for t in texts[:-1]],
+    columns = [
+        [ids[i] for i in own],
+        [len(texts[i]) for i in own],
         [hashlib.sha256(t.encode()).hexdigest() for t in edited],
-        [as_text(p) for p in prints[:-1]],
+        [as_text(prints[i]) for i in own],
         [as_text(p) for p in after],
-        [jaccard(p, q) for p, q in zip(prints[:-1], after, strict=True)],
-        [jaccard(p, q) for p, q in zip(prints[:-1], prints[1:], strict=True)],
+        [jaccard(prints[i], q) for i, q in zip(own, after, strict=True)],
+        [jaccard(prints[i], prints[i + 1]) for i in own],
     ]
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_NAMES)
 
 
-_TYPES = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
-
-
-def _batch(columns: list[list]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _TYPES, strict=True)], names=_NAMES)
 
 
 def _neighbours(batches):
-    """Rows of a sorted partition, each with its successor; the partition's
-    first and last row come out as text for :func:`_ends`."""
-    part = TaskContext.get().partitionId()
-
-    def out(columns, ends):
-        n, k = len(columns[0]), len(ends)
-        arrays = [pa.array([*c, *([None] * k)], t) for c, t in zip(columns, _TYPES, strict=True)]
-        arrays[0] = pa.array([*columns[0], *[e[1] for e in ends]], pa.int64())
-        arrays += [
-            pa.array([0] * n + [e[0] for e in ends], pa.int32()), pa.array([part] * (n + k), pa.int32()),
-            pa.array([None] * n + [e[2] for e in ends], pa.string()),
-        ]
-        return pa.RecordBatch.from_arrays(arrays, names=[*_NAMES, "kind", "part", "text"])
-
+    """Rows sorted by (part, ghost, id, text), each with its successor in the
+    part; a ghost, the first row of the next part, is only a successor."""
     ids: list = []
     texts: list[str] = []
-    begun = False
+    parts: list[int] = []
+    ghosts: list[bool] = []
     for batch in batches:
-        more_ids, more = batch.column("doc_id").to_pylist(), [t or "" for t in batch.column("text").to_pylist()]
-        if not more:
-            continue
-        ends = [] if begun else [(1, more_ids[0], more[0])]
-        begun = True
-        ids, texts = ids + more_ids, texts + more
+        ids += batch.column("doc_id").to_pylist()
+        texts += [t or "" for t in batch.column("text").to_pylist()]
+        parts += batch.column("part").to_pylist()
+        ghosts += batch.column("ghost").to_pylist()
         while len(texts) > 1:  # groups of a few MB
             size, k = 0, 1
             while k < len(texts) and size < 1 << 22:
                 size += len(texts[k - 1])
                 k += 1
-            yield out(_compare(ids[:k], texts[:k]), ends)
-            ids, texts, ends = ids[k - 1 :], texts[k - 1 :], []
-        if ends:
-            yield out([[] for _ in _NAMES], ends)
-    if begun:
-        yield out([[] for _ in _NAMES], [(2, ids[-1], texts[-1])])
-
-
-def _ends(batches):
-    """The last row of each partition with the first of the next, in order;
-    the last of all with the first of all."""
-    rows = [r for b in batches for r in zip(b.column("part").to_pylist(), b.column("kind").to_pylist(), b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True)]
-    rows.sort(key=lambda r: r[:2])
-    firsts = [r for r in rows if r[1] == 1]
-    lasts = [r for r in rows if r[1] == 2]
-    for i, r in enumerate(lasts):
-        following = firsts[(i + 1) % len(firsts)]
-        yield _batch(_compare([r[2], following[2]], [r[3], following[3]]))
+            own = [i for i in range(k - 1) if not ghosts[i] and parts[i] == parts[i + 1]]
+            if own:
+                yield _compare(ids[:k], texts[:k], own)
+            ids, texts, parts, ghosts = ids[k - 1 :], texts[k - 1 :], parts[k - 1 :], ghosts[k - 1 :]
+
+
+def _place(cuts: list[int], firsts: list[int]):
+    """Twice the number of the part of an id, plus 1 for a part's first id."""
+
+    @F.pandas_udf("long")
+    def place(ids: pd.Series) -> pd.Series:
+        value = ids.to_numpy()
+        part = np.searchsorted(np.array(cuts, np.int64), value, "right")
+        return pd.Series(2 * part + (np.array(firsts, np.int64)[part] == value))
+
+    return place
 
 
 def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -211,15 +193,43 @@ def compare_with_next(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     first; rows with equal ids follow one another by text, null ids come
     last.  Null texts are empty; the fingerprint of an empty text is empty
     and like only another empty one.  A single row is its own next; an empty
-    table gives no rows.  The texts are sorted by range once; only two rows
-    per partition meet in one task.
+    table gives no rows.
+
+    The ids are cut into parts of about equal rows by their quantiles, a
+    bounded list.  The texts are shuffled once by part; a part's first row
+    goes to the part before as well, where it is the successor of the last.
     """
     base = document_columns(docs, id_col, text_col)
-    order = F.col("doc_id").asc_nulls_last()
-    ranged = base.repartitionByRange(order).sortWithinPartitions(order, F.col("text").asc_nulls_first())
-    done = keep(ranged.mapInArrow(_neighbours, _COLUMNS + ", kind int, part int, text string"), "prints")
-    ends = done.where("kind > 0").select("part", "kind", "doc_id", "text").repartition(1)
-    return done.where("kind = 0").select(*_NAMES).union(ends.mapInArrow(_ends, _COLUMNS))
+    spark = base.sparkSession
+    wanted = 8 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    shares = F.array(*[F.lit(k / wanted) for k in range(1, wanted)])
+    seen = base.agg(
+        F.min("doc_id").alias("low"), F.percentile_approx("doc_id", shares, F.lit(20 * wanted)).alias("cuts"),
+        F.count(F.when(F.col("doc_id").isNull(), 1)).alias("nulls"),
+    ).first()
+    cuts = sorted({x for x in seen["cuts"] or [] if x > seen["low"]})
+    n_parts = 0 if seen["low"] is None else len(cuts) + 1
+    rows = base.where("doc_id is not null")
+    if n_parts:
+        firsts = [seen["low"], *cuts]
+        code = _place(cuts, firsts)(F.col("doc_id"))
+        last = n_parts + bool(seen["nulls"])
+        rows = rows.withColumn("_code", code)
+        part, first = F.floor(F.col("_code") / 2).cast("int"), F.col("_code") % 2 == 1
+        before = F.pmod(part + (last - 1), F.lit(last))
+        copies = F.array(F.struct(part.alias("part"), F.lit(False).alias("ghost")),
+                         F.when(first, F.struct(before.alias("part"), F.lit(True).alias("ghost"))))
+        rows = rows.select("doc_id", "text", F.explode(F.filter(copies, lambda x: x.isNotNull())).alias("_c"))
+        rows = rows.select("doc_id", "text", "_c.part", "_c.ghost")
+    else:
+        rows = rows.select("doc_id", "text", F.lit(0).alias("part"), F.lit(False).alias("ghost"))
+    if seen["nulls"]:
+        null = base.where("doc_id is null").withColumn("text", F.coalesce("text", F.lit("")))
+        head = null.agg(F.min("text").alias("text")).select(F.lit(None).cast("long").alias("doc_id"), "text")
+        rows = rows.union(null.select("doc_id", "text", F.lit(n_parts), F.lit(False)))
+        rows = rows.union(head.select("doc_id", "text", F.lit(max(n_parts - 1, 0)), F.lit(True)))
+    order = ["part", "ghost", F.col("doc_id").asc_nulls_last(), F.col("text").asc_nulls_first()]
+    return rows.repartition("part").sortWithinPartitions(*order).mapInArrow(_neighbours, _COLUMNS)
 
 
 def _spot_sets(batch: pa.RecordBatch):
