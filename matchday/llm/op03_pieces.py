@@ -29,7 +29,7 @@ MARK = "\u2581"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: words whose ids a task remembers
-REMEMBER = 1_000_000
+REMEMBER = 100_000
 
 
 # --------------------------------------------------------------- the model file
@@ -163,8 +163,11 @@ class Codec:
         self.model = PieceModel.parse(data)
         self.tok = build_tokenizer(self.model)
         self.by_word = _splits_at_marks(self.model)
-        self.ids: dict[str, np.ndarray] = {}
+        #: whether normalising loses nothing of a text
+        self.exact = self.tok.normalizer is None and not self.model.squeeze_spaces
+        self.ids: dict[str, bytes] = {}  # of a word, as little-endian 32-bit integers
         self.bad: set[str] = set()
+        self.lossy: set[str] = set()
         self.own = None
         if verify:
             import sentencepiece
@@ -172,11 +175,14 @@ class Codec:
             self.own = sentencepiece.SentencePieceProcessor(model_proto=data)
 
     def normalise(self, text: str) -> str:
-        """Marks for spaces, as the model's settings ask."""
+        """The text as the model's settings ask, with marks for spaces."""
         if self.tok.normalizer is not None:
             text = self.tok.normalizer.normalize_str(text)
         if self.model.squeeze_spaces:
             text = re.sub(" +", " ", text).strip(" ")
+        return self.normalise_spaces(text)
+
+    def normalise_spaces(self, text: str) -> str:
         if text and self.model.dummy_prefix:
             text = " " + text
         return text.replace(" ", MARK) if self.model.escape_spaces else text
@@ -191,13 +197,16 @@ class Codec:
         if len(self.ids) > REMEMBER:
             self.ids.clear()
             self.bad.clear()
+            self.lossy.clear()
         words = [w for w in words if w not in self.ids]
-        for k in range(0, len(words), 20_000):
-            part = words[k : k + 20_000]
+        for k in range(0, len(words), 5_000):
+            part = words[k : k + 5_000]
             for word, got in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.ids[word] = np.array(got.ids, np.int32)
+                self.ids[word] = np.array(got.ids, "<i4").tobytes()
             if self.own is not None:
                 self._compare(part)
+            back = self.tok.decode_batch([np.frombuffer(self.ids[w], "<i4").tolist() for w in part], skip_special_tokens=False)
+            self.lossy.update(w for w, b in zip(part, back, strict=True) if w != b)
 
     def _compare(self, words: list[str]) -> None:
         """Parity with the SentencePiece library; words as it takes them (a
@@ -209,17 +218,29 @@ class Codec:
             plain.append(text[1:] if m.dummy_prefix and text.startswith(" ") else text)
         for word, want in zip(words, self.own.encode(plain, num_threads=1), strict=True):
             if word.startswith(MARK) and word != MARK or not m.dummy_prefix:
-                if want != self.ids[word].tolist():
+                own = np.array(want, "<i4").tobytes()
+                if own != self.ids[word]:
                     self.bad.add(word)
-                    self.ids[word] = np.array(want, np.int32)  # the library's answer holds
+                    self.ids[word] = own  # the library's answer holds
 
-    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool]]:
-        """Per text its ids, and whether both libraries agreed."""
+    def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool], list[bool]]:
+        """Per text its ids, whether both libraries agreed, and whether
+        decoding gives the text back: all its words come back (no byte
+        sequence crosses a word), and no mark in it would become a space."""
         split = [self.split(t) for t in texts]
         self._learn(list({w for words in split for w in words}))
-        ids = [np.concatenate([self.ids[w] for w in words]) if words else np.zeros(0, np.int32) for words in split]
+        ids = [
+            np.frombuffer(b"".join(map(self.ids.__getitem__, words)), "<i4") if words else np.zeros(0, np.int32)
+            for words in split
+        ]
         agreed = [not self.bad or not any(w in self.bad for w in words) for words in split]
-        return ids, agreed
+        whole = [
+            not (self.model.escape_spaces and MARK in t)
+            and (self.exact or self.normalise(t) == self.normalise_spaces(t))
+            and not (self.lossy and any(w in self.lossy for w in words))
+            for t, words in zip(texts, split, strict=True)
+        ]
+        return ids, agreed, whole
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """Per row of ids the text: pieces joined, bytes put together, marks
@@ -244,14 +265,13 @@ def _encode(data, threads: int, verify: bool, with_ids: bool):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             start = 0
-            while start < len(texts):  # groups of a few MB
+            while start < len(texts):  # groups of about half a million characters
                 size, end = 0, start
-                while end < len(texts) and (end == start or size < 1 << 21):
+                while end < len(texts) and (end == start or size < 1 << 19):
                     size += len(texts[end] or "")
                     end += 1
                 part = texts[start:end]
-                ids, agreed = codec.encode([t or "" for t in part])
-                back = codec.decode(ids)
+                ids, agreed, whole = codec.encode([t or "" for t in part])
                 digests = [hashlib.sha256(x.astype("<i4").tobytes()).hexdigest() for x in ids]
                 cols = [
                     batch.column("doc_id").slice(start, end - start).cast(pa.int64()),
@@ -259,7 +279,7 @@ def _encode(data, threads: int, verify: bool, with_ids: bool):
                     pa.array([int(is_byte[x].sum()) for x in ids], pa.int64()),
                     pa.array([int((x == unknown).sum()) for x in ids], pa.int64()),
                     pa.array(digests),
-                    pa.array([b == (t or "") for b, t in zip(back, part, strict=True)]),
+                    pa.array(whole),
                     pa.array(agreed),
                 ]
                 if with_ids:
@@ -267,6 +287,7 @@ def _encode(data, threads: int, verify: bool, with_ids: bool):
                     cols.append(pa.ListArray.from_arrays(pa.array(np.cumsum([0, *map(len, ids)]), pa.int32()), pa.array(flat)))
                 yield pa.RecordBatch.from_arrays(cols, names=[*_NAMES, *(["ids"] if with_ids else [])])
                 start = end
+            pa.default_memory_pool().release_unused()
 
     return run
 
