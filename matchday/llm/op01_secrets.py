@@ -2,9 +2,10 @@
 
 Every text is scanned as it is, and again behind each layer that encodes
 part of it: URL escapes, Unicode escapes and character references, base64 and
-compressed data.  A worklist unwraps layer after layer until nothing new
-comes out; a layer met before (same content at the same place) is not
-unwrapped again.  Each layer carries, for each of its characters, the range of
+compressed data of any number of members, and ASCII text in UTF-16 or UTF-32.
+Bytes that are no UTF-8 are read as Latin-1: all patterns are ASCII.  A
+worklist unwraps layer after layer until nothing new comes out; a layer met
+before (same content at the same place) is not unwrapped again.  Each layer carries, for each of its characters, the range of
 the original text that it came from, so that a find maps back to a span there.
 """
 
@@ -17,7 +18,9 @@ import hashlib
 import lzma
 import re
 import zlib
+from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -35,19 +38,25 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{16,}")
 HEX = re.compile(r"[0-9a-f]{24,}")
 ASSIGN_LEAST = 6
 
-#: a decompressed layer larger than this is not scanned but counted (guard
-#: against decompression bombs; the text itself and all other layers have no limit)
+#: a decompressed layer larger than this is counted and read as a stream of
+#: blocks (a quarter of it, half a block of overlap), so that a decompression
+#: bomb takes time but no memory; all other layers are read in one piece
 MAX_LAYER = 64 << 20
+MIN_BLOCK = 1 << 16
+#: a decompressor gives at most so many bytes at once
+PIECE = 1 << 20
 
 _URL = re.compile(r"%[0-9A-Fa-f]{2}")
 _ESCAPE = re.compile(
     r"\\u\{([0-9A-Fa-f]{1,6})\}|\\u([0-9A-Fa-f]{4})|\\U([0-9A-Fa-f]{8})|\\x([0-9A-Fa-f]{2})"
     r"|&#[xX]([0-9A-Fa-f]{1,6});|&#([0-9]{1,7});|%u([0-9A-Fa-f]{4})"
 )
+#: ASCII text in UTF-16 or UTF-32 of either byte order
+_WIDE = re.compile(r"[\t\r\n -~](?:(?:\0[\t\r\n -~]){5,}|(?:\0{3}[\t\r\n -~]){5,})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
 _BASE64_URL = re.compile(r"[A-Za-z0-9_-]{16,}={0,2}")
 _BASE64_LINES = re.compile(r"(?:[A-Za-z0-9+/]{76}\r?\n)+[A-Za-z0-9+/]+={0,2}|(?:[A-Za-z0-9+/]{64}\r?\n)+[A-Za-z0-9+/]+={0,2}")
-
+_FULL_LINE = re.compile(r"(?<=[A-Za-z0-9+/]{64})\r?\n")
 
 #: the first bytes of compressed data, with some of them escaped, to the end of the word or quotation
 _URL_PACKED = re.compile(
@@ -65,6 +74,7 @@ class Layer:
     text: str
     start: np.ndarray
     end: np.ndarray
+    part: bool = False  # a block of a larger layer
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -82,6 +92,9 @@ def _decode_bytes(data: bytes, start: np.ndarray, end: np.ndarray) -> Layer | No
         text = data.decode()
     except UnicodeDecodeError:
         return None
+    if start.strides == (0,):  # all from one range
+        n = len(text)
+        return Layer(text, np.broadcast_to(start[:1], n), np.broadcast_to(end[:1], n)) if n else None
     lead = np.flatnonzero((np.frombuffer(data, np.uint8) & 0xC0) != 0x80)
     if not len(lead):
         return None
@@ -132,10 +145,9 @@ def _runs(matches: list[re.Match]) -> list[list[re.Match]]:
     return out
 
 
-def _unescape(layer: Layer, decompressed) -> list[Layer]:
+def _unescape(layer: Layer, decompressed) -> Iterator:
     """URL and Unicode escapes undone in place, each kind once; runs of
     escapes that are no text are tried as compressed data."""
-    out = []
     if "%" in layer.text and (matches := list(_URL.finditer(layer.text))):
         parts = []
         for run in _runs(matches):
@@ -145,11 +157,12 @@ def _unescape(layer: Layer, decompressed) -> list[Layer]:
             last = np.array([layer.end[m.end() - 1] for m in run])
             piece = _decode_bytes(data, first, last)
             if piece is None:
-                out += decompressed(data, int(layer.start[a]), int(layer.end[b - 1]))
+                if is_packed(data):
+                    yield decompressed(data, int(layer.start[a]), int(layer.end[b - 1]))
                 # bytes of another encoding: one character each
                 piece = Layer(data.decode("latin-1"), first, last)
             parts.append((a, b, piece))
-        out.append(_splice(layer, parts))
+        yield _splice(layer, parts)
     if ("\\" in layer.text or "&#" in layer.text or "%u" in layer.text) and (matches := list(_ESCAPE.finditer(layer.text))):
         parts = []
         for run in _runs(matches):
@@ -158,7 +171,8 @@ def _unescape(layer: Layer, decompressed) -> list[Layer]:
             last = np.array([layer.end[m.end() - 1] for m in run])
             if all(c < 256 for c in codes) and any(c >= 128 for c in codes):  # bytes
                 data = bytes(codes)
-                out += decompressed(data, int(first[0]), int(last[-1]))
+                if is_packed(data):
+                    yield decompressed(data, int(first[0]), int(last[-1]))
                 piece = _decode_bytes(data, first, last)
                 if piece is not None:
                     parts.append((run[0].start(), run[-1].end(), piece))
@@ -173,8 +187,7 @@ def _unescape(layer: Layer, decompressed) -> list[Layer]:
                 ends.append(last[i + k - 1])
                 i += k
             parts.append((run[0].start(), run[-1].end(), Layer("".join(chars), np.array(starts), np.array(ends))))
-        out.append(_splice(layer, parts))
-    return out
+        yield _splice(layer, parts)
 
 
 def _is_text(data: bytes) -> bool:
@@ -187,51 +200,106 @@ def _is_text(data: bytes) -> bool:
 
 
 _MAGIC = (b"\x1f\x8b", b"BZh", b"\xfd7zXZ\x00", b"\x28\xb5\x2f\xfd", b"\x78\x01", b"\x78\x5e", b"\x78\x9c", b"\x78\xda")
-
-
-_BROKEN = (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError)
-
-
-def _open(data: bytes, limit: int):
-    """(content, number of bytes read) of compressed data; None if broken."""
-    try:
-        if data.startswith(b"\x28\xb5\x2f\xfd"):
-            box = zstandard.ZstdDecompressor(max_window_size=1 << 27).decompressobj()
-            size = zstandard.frame_content_size(data)
-            if size > limit:
-                raise OverflowError
-            got = box.decompress(data) if size >= 0 else zstandard.ZstdDecompressor().stream_reader(data).read(limit + 1)
-            rest = box.unused_data if size >= 0 else b""
-        elif data.startswith(b"BZh"):
-            box = bz2.BZ2Decompressor()
-            got, rest = box.decompress(data, limit + 1), box.unused_data
-        elif data.startswith(b"\xfd7zXZ"):
-            box = lzma.LZMADecompressor()
-            got, rest = box.decompress(data, limit + 1), box.unused_data
-        else:
-            box = zlib.decompressobj(31 if data.startswith(b"\x1f\x8b") else 15)
-            got, rest = box.decompress(data, limit + 1), box.unused_data
-    except _BROKEN:
+#: frames that zstandard skips (pzstd writes them before each frame)
+_SKIPPED = tuple(bytes([0x50 + i]) + b"\x2a\x4d\x18" for i in range(16))
+
+
+_BROKEN = (zlib.error, OSError, EOFError, lzma.LZMAError, zstandard.ZstdError, ValueError, MemoryError)
+
+
+def _expand(head: bytes, source: Iterator[bytes]):
+    """Content of the one compressed member that starts with ``head`` and
+    goes on in ``source``, in pieces; returns the bytes read beyond its end,
+    None if the input ends before the member does."""
+    data = head
+    if head.startswith((_MAGIC[3], *_SKIPPED)):
+        box = zstandard.ZstdDecompressor(max_window_size=1 << 31).decompressobj()
+        while data:
+            for i in range(0, len(data), 1024):  # 128 KB from 4 bytes at most
+                if got := box.decompress(data[i : i + 1024]):
+                    yield got
+                if box.eof:
+                    return box.unused_data + data[i + 1024 :]
+            data = next(source, b"")
         return None
-    if len(got) > limit:
-        raise OverflowError
-    return got, len(data) - len(rest)
-
-
-def decompress(data: bytes, limit: int = MAX_LAYER) -> bytes | None:
-    """Content of gzip, zlib, bzip2, xz or zstandard data; None if it is none
-    of them.  More than ``limit`` bytes raise OverflowError."""
-    found = _open(data, limit) if data.startswith(_MAGIC) else None
-    return found[0] if found else None
-
-
-def packed_size(data: bytes, limit: int = MAX_LAYER) -> int:
+    if head.startswith((b"BZh", b"\xfd7zXZ")):
+        box = bz2.BZ2Decompressor() if head.startswith(b"BZh") else lzma.LZMADecompressor()
+        while data:
+            if got := box.decompress(data, PIECE):
+                yield got
+            while not box.eof and not box.needs_input:
+                if got := box.decompress(b"", PIECE):
+                    yield got
+            if box.eof:
+                return box.unused_data
+            data = next(source, b"")
+        return None
+    box = zlib.decompressobj(31 if head.startswith(b"\x1f\x8b") else 15)
+    while data:
+        while not box.eof:
+            got = box.decompress(data, PIECE)
+            data = box.unconsumed_tail
+            if got:
+                yield got
+            if not data and len(got) < PIECE:
+                break
+        if box.eof:
+            return box.unused_data
+        data = next(source, b"")
+    return None
+
+
+class Members:
+    """The content of gzip, zlib, bzip2, xz or zstandard data, in pieces, with
+    all members that follow one another (zeros between them are padding).
+
+    Afterwards ``rest`` is what follows the last member, as chunks, and
+    ``used`` the number of bytes up to there; ``broken`` data has no rest."""
+
+    def __init__(self, source: Iterable[bytes]):
+        self._source = iter(source)
+        self._read = self.used = 0
+        self.rest: Iterator[bytes] = iter(())
+        self.broken = False
+
+    def _chunks(self) -> Iterator[bytes]:
+        for chunk in self._source:
+            if chunk:
+                self._read += len(chunk)
+                yield chunk
+
+    def __iter__(self) -> Iterator[bytes]:
+        chunks = self._chunks()
+        data = b""
+        while True:
+            while len(data) < 6 and (more := next(chunks, b"")):
+                data += more
+                data = data.lstrip(b"\0") if self.used else data
+            if not data.startswith((*_MAGIC, *_SKIPPED)):
+                self.rest = chain([data] if data else [], chunks)
+                return
+            try:
+                left = yield from _expand(data, chunks)
+            except _BROKEN:
+                self.broken = True
+                return
+            self.used = self._read - len(left or b"")
+            if left is None:
+                return
+            data = left.lstrip(b"\0")
+
+
+def is_packed(data: bytes) -> bool:
+    """Whether the bytes start with compressed data that can be read."""
+    return data.startswith((*_MAGIC, *_SKIPPED)) and next(iter(Members([data])), None) is not None
+
+
+def packed_size(data: bytes) -> int:
     """How many of the bytes the compressed data at their start takes."""
-    try:
-        found = _open(data, limit)
-    except OverflowError:
-        found = None
-    return found[1] if found else len(data)
+    members = Members([data])
+    for _ in members:
+        pass
+    return members.used if members.used and not members.broken else len(data)
 
 
 class Scanner:
@@ -241,17 +309,22 @@ class Scanner:
         self.base = base_spans(text)
         self.spans = set(self.base)
         self.layers = self.oversize = 0
-        self.limit = limit
+        self.limit, self.block = limit, max(limit // 4, MIN_BLOCK)
         self._seen: set[tuple[bytes, int, int]] = set()
         n = len(text)
-        self._work: list[Layer] = []
+        # what is open, the innermost last: a layer is done before its next sibling is made
+        self._work: list[Iterator] = []
         if _may_hide(text):
             at = np.arange(n)
-            self._work.append(Layer(text, at, at + 1))
+            self._work.append(self._unwrap(Layer(text, at, at + 1)))
         while self._work:
-            layer = self._work.pop()
-            for inner in self._unwrap(layer):
+            inner = next(self._work[-1], None)
+            if inner is None:
+                self._work.pop()
+            elif isinstance(inner, Layer):
                 self._add(inner)
+            else:
+                self._work.append(inner)
 
     def _add(self, layer: Layer) -> None:
         if not layer.text:
@@ -260,45 +333,94 @@ class Scanner:
         if mark in self._seen:  # the same content at the same place: a cycle
             return
         self._seen.add(mark)
-        self.layers += 1
+        self.layers += not layer.part
         for a, kind, b in base_spans(layer.text):
             self.spans.add((int(layer.start[a]), kind, int(layer.end[b - 1])))
         if _may_hide(layer.text):
-            self._work.append(layer)
+            self._work.append(self._unwrap(layer))
 
-    def _content(self, data: bytes, start: int, end: int) -> list[Layer]:
+    def _content(self, data: bytes, start: int, end: int) -> Iterator:
         """What compressed data holds, all of it mapped to one range."""
-        out = []
-        try:
-            got = decompress(data, self.limit)
-        except OverflowError:
-            self.oversize += 1
-            return out
-        if got:
-            n = len(got)
-            inner = _decode_bytes(got, np.full(n, start), np.full(n, end))
-            if inner is not None:
-                out.append(inner)
-            else:  # compressed again
-                out += self._content(got, start, end)
-        return out
-
-    def _unwrap(self, layer: Layer) -> list[Layer]:
-        out = _unescape(layer, self._content)
+        mark = (hashlib.sha256(data).digest(), start, end)
+        if mark in self._seen:
+            return
+        self._seen.add(mark)
+        members = Members([data])
+        yield self._stream(members, start, end)
+        if tail := b"".join(members.rest):
+            yield from self._reading(tail, np.full(len(tail), start), np.full(len(tail), end), True)
+
+    def _stream(self, chunks: Iterable[bytes], start: int, end: int) -> Iterator:
+        """Layers of decompressed data: one, or blocks if it is large."""
+        chunks, head, size = iter(chunks), [], 0
+        while size <= self.limit and (chunk := next(chunks, b"")):
+            head.append(chunk)
+            size += len(chunk)
+        data = b"".join(head)
+        if size <= self.limit:
+            yield from self._reading(data, np.broadcast_to(start, size), np.broadcast_to(end, size), True)
+            return
+        self.oversize += 1
+        self.layers += 1
+        chunks = chain([data], chunks)
+        if is_packed(data):  # compressed again
+            del data, head
+            members = Members(chunks)
+            yield self._stream(members, start, end)
+            chunks = members.rest
+        else:
+            del data, head
+        block = bytearray()
+        for chunk in chunks:
+            block += chunk
+            while len(block) >= self.block:
+                yield self._part(block[: self.block], start, end)
+                del block[: self.block // 2]
+        yield self._part(block, start, end)
+
+    def _part(self, data: bytearray, start: int, end: int) -> Layer:
+        n = len(data)
+        return Layer(data.decode("latin-1"), np.broadcast_to(start, n), np.broadcast_to(end, n), True)
+
+    def _reading(self, data: bytes, start: np.ndarray, end: np.ndarray, sure: bool) -> Iterator:
+        """Bytes as a layer: UTF-8, else one character each, and what they
+        hold if they are compressed.  Bytes that are not ``sure`` to be
+        meant, and do not read as text, must show a find or a further layer."""
+        if not data:
+            return
+        packed = is_packed(data)
+        if packed:
+            yield self._content(data, int(start[0]), int(end[-1]))
+        layer = _decode_bytes(data, start, end)
+        if layer is None and not packed:
+            layer = Layer(data.decode("latin-1"), start, end)
+        if layer is not None and (sure or _is_text(data) or _may_hide(layer.text) or base_spans(layer.text)):
+            yield layer
+
+    def _unwrap(self, layer: Layer) -> Iterator:
+        yield from _unescape(layer, self._content)
+        for m in _WIDE.finditer(layer.text) if "\0" in layer.text else ():
+            at = slice(m.start(), m.end(), 4 if m.group()[2] == "\0" else 2)
+            yield Layer(layer.text[at], layer.start[at], layer.end[at])
         for mark, pattern, byte in (("%", _URL_PACKED, _URL_BYTE), ("\\x", _ESCAPE_PACKED, _LITERAL_BYTE)):
             for m in pattern.finditer(layer.text) if mark in layer.text else ():
                 data, ends = _packed_bytes(m.group(), byte)
-                used = ends[packed_size(data) - 1]  # what follows the data on its line is not part of it
-                out += self._content(data, int(layer.start[m.start()]), int(layer.end[m.start() + used - 1]))
+                if not is_packed(data):
+                    continue
+                size = packed_size(data)  # what follows the data on its line is not part of it
+                yield self._content(data[:size], int(layer.start[m.start()]), int(layer.end[m.start() + ends[size - 1] - 1]))
         done: set[tuple[int, int]] = set()
         for pattern in (_BASE64_LINES, _BASE64, _BASE64_URL):
-            for m in pattern.finditer(layer.text):
+            at = 0
+            if pattern is _BASE64_LINES:  # its first line ends at the first of these, if at all
+                first = _FULL_LINE.search(layer.text)
+                at = max(0, first.start() - 76) if first else len(layer.text)
+            for m in pattern.finditer(layer.text, at):
                 if m.span() not in done:
                     done.add(m.span())
-                    out += self._base64(layer, m.start(), m.end())
-        return out
+                    yield from self._base64(layer, m.start(), m.end())
 
-    def _base64(self, layer: Layer, a: int, b: int) -> list[Layer]:
+    def _base64(self, layer: Layer, a: int, b: int) -> Iterator:
         raw = layer.text[a:b]
         at = np.arange(a, b)
         if "\n" in raw:
@@ -307,22 +429,19 @@ class Scanner:
             raw = "".join(raw[i] for i in solid)
         body = raw.rstrip("=")
         if len(body) % 4 == 1:
-            return []
+            return
         try:
             data = base64.b64decode(body.replace("-", "+").replace("_", "/") + "=" * (-len(body) % 4))
         except (binascii.Error, ValueError):
-            return []
+            return
         if not data:
-            return []
-        start, end = int(layer.start[at[0]]), int(layer.end[at[-1]])
-        if data.startswith(_MAGIC) and (inner := self._content(data, start, end)):
-            return inner
-        if not _is_text(data):
-            return []
+            return
         i = np.arange(len(data))
         first, last = at[i * 8 // 6], at[np.minimum((i * 8 + 7) // 6, len(body) - 1)]
-        got = _decode_bytes(data, layer.start[first], layer.end[last])
-        return [got] if got is not None else []
+        start, end = layer.start[first], layer.end[last]
+        if is_packed(data):  # the padding belongs to it
+            end[-1] = layer.end[at[-1]]
+        yield from self._reading(data, start, end, False)
 
     def result(self) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
         """(base finds, all finds), each by start, then kind, then end."""
@@ -330,7 +449,7 @@ class Scanner:
 
 
 #: a text without any of these has no layer
-_HIDES = re.compile(r"%[0-9A-Fa-f]{2}|%u[0-9A-Fa-f]{4}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}")
+_HIDES = re.compile(r"\0[\t\r\n -~]\0|%[0-9A-Fa-f]{2}|%u[0-9A-Fa-f]{4}|\\[uUx]|&#|[A-Za-z0-9+/_-]{16}")
 
 
 def _may_hide(text: str) -> bool:
@@ -369,7 +488,7 @@ def _scan(limit: int):
 def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_LAYER) -> DataFrame:
     """Per row doc_id, counts and digest of the finds in the text as it is
     (n_assign, n_access, n_hex, base_sha256), all spans with those behind
-    layers, n_layers and n_oversize (layers above ``limit``, not scanned).
+    layers, n_layers and n_oversize (layers above ``limit``, scanned in blocks).
 
     Spans are code points of the text, end exclusive.  Null texts count as
     empty: no finds.  Null ids pass through, repeated rows are scanned each,

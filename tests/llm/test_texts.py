@@ -5,6 +5,7 @@ import bz2
 import gzip
 import hashlib
 import lzma
+import random
 import re
 import urllib.parse
 import zlib
@@ -101,6 +102,56 @@ def test_cycles_and_bombs_end():
     assert scanner.oversize == 1
 
 
+def _b64(data):
+    return base64.b64encode(data).decode()
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress, zlib.compress])
+def test_secrets_in_every_member_are_found(pack):
+    key = b"AKIA" + b"A1" * 8
+    text = "at " + _b64(pack(b"first log ") + pack(SECRET.encode()) + b"\0\0\0\0" + pack(key)) + " end"
+    scanner = op01_secrets.Scanner(text)
+    assert {k for _, k, _ in scanner.spans} >= {0, 1}
+    tail = op01_secrets.Scanner(_b64(pack(b"first log ") + SECRET.encode()))
+    assert 0 in {k for _, k, _ in tail.spans}
+
+
+def test_zstandard_frames_with_skipped_ones_and_unknown_size():
+    box = zstandard.ZstdCompressor(write_content_size=False)
+    data = b"\x50\x2a\x4d\x18\x04\0\0\0abcd" + box.compress(b"one") + b"\x51\x2a\x4d\x18\x01\0\0\0z" + box.compress(SECRET.encode())
+    assert 0 in {k for _, k, _ in op01_secrets.Scanner(_b64(data)).spans}
+
+
+@pytest.mark.parametrize("code", ["utf-16", "utf-16-le", "utf-16-be", "utf-32-le", "utf-32-be", "latin-1", "cp1252"])
+@pytest.mark.parametrize("pack", [bytes, gzip.compress])
+def test_secrets_in_other_encodings_are_found(code, pack):
+    data = f"Größe é\n{SECRET}\n".encode(code)
+    text = f"see {_b64(pack(data))} end"
+    assert 0 in {k for _, k, _ in op01_secrets.Scanner(text).spans}
+    assert 0 in {k for _, k, _ in op01_secrets.Scanner(_b64(pack(b"\x1b[0m\xff" + SECRET.encode()))).spans}
+
+
+@pytest.mark.parametrize("pack", [gzip.compress, bz2.compress, lzma.compress, zstandard.ZstdCompressor().compress])
+def test_large_layers_are_scanned_as_blocks(pack):
+    rng = random.Random(3)
+    fill = rng.randbytes(120_000).hex(" ").encode()
+    inner = _b64(gzip.compress(b"token=abcdefgh")).encode()
+    for at in (0, 74_990, len(fill)):
+        data = fill[:at] + b"\n" + SECRET.encode() + b"\n" + fill[at:]
+        for whole in (pack(data), pack(pack(data))):
+            scanner = op01_secrets.Scanner(_b64(whole), limit=300_000)
+            assert scanner.oversize >= 1 and 0 in {k for _, k, _ in scanner.spans}
+        data = fill[:at] + b"\n" + inner + b"\n" + fill[at:]
+        assert 0 in {k for _, k, _ in op01_secrets.Scanner(_b64(pack(data)), limit=300_000).spans}
+
+
+def test_deep_compression_ends():
+    data = SECRET.encode()
+    for _ in range(400):
+        data = zlib.compress(data)
+    assert 0 in {k for _, k, _ in op01_secrets.Scanner(_b64(data)).spans}
+
+
 def test_scan_query(spark):
     got = {r["doc_id"]: r for r in queries.op1_secret_scan(spark, MORE).collect()}
     texts = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{MORE}/documents.parquet").collect()}
