@@ -11,10 +11,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchday.llm.common import hash31, keep, running_sum
+from matchday.llm.common import hash31, keep, release, running_sum
 
 SHARDS = 24
 #: bytes that every document counts besides its text
@@ -48,17 +48,31 @@ class Node:
     done: bool = False
 
 
-def _head(text: Column) -> Column:
-    """The first four bytes as a number: order-preserving."""
-    return F.conv(F.substring(F.concat(F.hex(F.encode(F.coalesce(text, F.lit("")), "UTF-8")), F.lit("00000000")), 1, 8), 16, 10).cast("long")
+def _ranks(values: DataFrame, name: str) -> DataFrame:
+    """(name, rank): the distinct values of column ``name``, numbered from 0 in
+    code-point order by ranges that are counted, then ranked inside."""
+    each = keep(values.select(name).distinct(), "values")
+    parts = max(1, -(-each.count() // 100_000))
+    ranged = keep(each.repartitionByRange(parts, name).withColumn("_part", F.spark_partition_id()), "values")
+    release(each)
+    counts = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select("_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
+    inside = Window.partitionBy("_part").orderBy(name)
+    rank = (F.row_number().over(inside) - 1 + F.col("_off")).cast("long")
+    # written: the planner knows how small it is
+    out = keep(ranged.join(counts, "_part").select(name, rank.alias("rank")), "ranks")
+    release(ranged)
+    return out
 
 
 def metadata(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_col: str) -> DataFrame:
     """doc_id, size, text_crc32 and the sort keys of the dimensions.
 
-    A key is the value of the dimension (32 bits), then the upper 31 bits of
-    the text's checksum, so that equal texts stay side by side; ``tie`` is a
-    hash of the id, by which a group of equal texts is cut if it must be.
+    A key is the value of the dimension (31 bits; of a source or language its
+    dense rank among all), then the upper 31 bits of the text's checksum, so
+    that equal texts stay side by side; ``tie`` is a hash of the id, by which a
+    group of equal texts is cut if it must be.
     Dimensions: source, language, logarithm of the size, checksum; a group of
     equal texts has the first source and language of its members.
     """
@@ -67,10 +81,12 @@ def metadata(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_
         F.col(id_col).cast("long").alias("doc_id"),
         (F.octet_length(text) + F.lit(OVERHEAD)).cast("long").alias("size"),
         F.crc32(F.encode(text, "UTF-8")).alias("text_crc32"),
-        _head(F.col(source_col).cast("string")).alias("d0"),
-        _head(F.col(lang_col).cast("string")).alias("d1"),
+        F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"),
+        F.coalesce(F.col(lang_col).cast("string"), F.lit("")).alias("lang"),
     )
     base = keep(base, "metadata")  # the texts are read once
+    for name, key in (("source", "d0"), ("lang", "d1")):
+        base = base.join(_ranks(base, name).withColumnRenamed("rank", key), name).drop(name)
     # equal texts go by one source and language, so that no cut of these dimensions parts them
     same = ["text_crc32", "size"]
     first = base.groupBy(*same).agg(F.min("d0").alias("d0"), F.min("d1").alias("d1"))
@@ -78,8 +94,8 @@ def metadata(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_
     half = F.shiftright("text_crc32", 1)
     return base.select(
         "doc_id", "size", "text_crc32",
-        (F.shiftleft(F.shiftright("d0", 1), 31) + half).alias("k0"),
-        (F.shiftleft(F.shiftright("d1", 1), 31) + half).alias("k1"),
+        (F.shiftleft("d0", 31) + half).alias("k0"),
+        (F.shiftleft("d1", 31) + half).alias("k1"),
         (F.shiftleft(F.floor(F.log2(F.col("size").cast("double")) * (1 << 20)).cast("long"), 31) + half).alias("k2"),
         (F.shiftleft(F.shiftright("text_crc32", 1), 31) + half).alias("k3"),
         hash31(F.coalesce("doc_id", F.lit(-1)), F.lit("shard")).alias("tie"),

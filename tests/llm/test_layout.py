@@ -138,6 +138,17 @@ def test_shards_odd_rows(spark):
     assert len({r["shard"] for r in op08_shards.kd_shards(_odd(spark), shards=1).collect()}) == 1
 
 
+@pytest.mark.parametrize("names", [[f"src{i}" for i in range(8)], [f"https://example.org/{i}" for i in range(8)]])
+@pytest.mark.parametrize("column", ["source", "lang"])
+def test_shards_split_on_whole_values(spark, names, column):
+    rows = [(i, f"text number {i:04d}", names[i % 8]) for i in range(800)]
+    docs = spark.createDataFrame(rows, f"doc_id long, text string, {column} string").selectExpr("*", f"'x' as {'lang' if column == 'source' else 'source'}")
+    homes = collections.defaultdict(set)
+    for r in op08_shards.kd_shards(docs, shards=8).collect():
+        homes[r["shard"]].add(names[r["doc_id"] % 8])
+    assert sorted(map(sorted, homes.values())) == [[n] for n in sorted(names)]
+
+
 # ------------------------------------------------------------ lines
 
 
