@@ -28,9 +28,11 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without the boilerplate lines of their source (operator 10); no
+    """Texts without the boilerplate lines of their source and without long
+    lines that ten different texts of the corpus contain (operator 10); no
     document goes, and one that is boilerplate all through stays whole."""
-    return _counted(op10_lines.drop_boilerplate(docs, "source", "text"), docs.columns)
+    less = op10_lines.drop_boilerplate(docs, "source", "text").select(*docs.columns)
+    return _counted(op10_lines.drop_passages(less, "text"), docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -17,6 +17,11 @@ RATIO = 0.1
 #: ... if it is on at least so many of them (small sites have no statistics)
 MIN_PAGES = 5
 
+#: over all sites, a line of more than so many words is repeated ...
+LONG_WORDS = 50
+#: ... if so many different texts contain it
+LONG_TEXTS = 10
+
 #: ends of blocks in HTML, each of which ends a line
 BLOCK_END = r"(?i)<(?:br|hr)\s*/?>|</(?:p|div|li|ul|ol|h[1-6]|title|tr|td|th|table|section|article|nav|header|footer|blockquote|pre)>"
 #: what holds no visible text
@@ -85,9 +90,38 @@ def drop_boilerplate(
     # written: the planner then knows how small the lists are, and broadcasts
     # them only below spark.sql.autoBroadcastJoinThreshold
     marked = keep(boilerplate_lines(pages, host_col, text_col, ratio, min_pages), "lines")
+    return _without(pages, F.col(host_col), marked, text_col, keep_whole)
+
+
+def repeated_passages(pages: DataFrame, text_col: str, words: int = LONG_WORDS, texts: int = LONG_TEXTS) -> DataFrame:
+    """(host, line_hashes): per text, named by its hash, the hashes of its
+    lines of more than ``words`` words that ``texts`` different texts contain.
+
+    All pages are one site, with an absolute limit; copies of a text count
+    once.  The list of a text is no longer than the text, whatever the corpus.
+    """
+    text = F.col(text_col).cast("string")
+    lines = F.filter(F.transform(F.split(text, "\n"), line_key), lambda x: F.size(F.split(x, " ")) > words)
+    each = pages.select(F.xxhash64(text).alias("host"), F.explode(F.transform(lines, lambda x: F.xxhash64(x))).alias("line"))
+    each = keep(each.distinct(), "lines")
+    often = keep(each.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= texts).select("line"), "lines")
+    return each.join(often, "line").groupBy("host").agg(F.sort_array(F.collect_set("line")).alias("line_hashes"))
+
+
+def drop_passages(
+    pages: DataFrame, text_col: str, words: int = LONG_WORDS, texts: int = LONG_TEXTS, keep_whole: bool = True
+) -> DataFrame:
+    """``pages`` with ``text_col`` less its :func:`repeated_passages`; columns
+    and odd cases as in :func:`drop_boilerplate`."""
+    marked = keep(repeated_passages(pages, text_col, words, texts), "lines")
+    return _without(pages, F.xxhash64(F.col(text_col).cast("string")), marked, text_col, keep_whole)
+
+
+def _without(pages: DataFrame, at: Column, marked: DataFrame, text_col: str, keep_whole: bool) -> DataFrame:
+    """``pages`` less the lines that ``marked`` (host, line_hashes) lists for ``at``."""
     marked = marked.select(F.col("host").alias("_host"), F.col("line_hashes").alias("_drop"))
     rows = pages.select(
-        F.col(host_col).alias("_at"),
+        at.alias("_at"),
         F.col(text_col).cast("string").alias("_text"),
         F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row"),
     )

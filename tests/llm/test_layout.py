@@ -182,6 +182,16 @@ def test_lines_equal_brute_force(spark):
     assert op10_lines.drop_boilerplate(table.limit(0), "host", "text").count() == 0
 
 
+def test_pipeline_drops_passages_spread_over_sources(spark):
+    passage = " ".join(f"p{i}" for i in range(60))
+    own = lambda i: " ".join(f"u{i}x{k}" for k in range(60))
+    rows = [(i, f"{own(i)}\n{passage if i < 24 else f'none {i}'}\nshort {i}", "en", f"s{i % 20}", 0) for i in range(1200)]
+    rows += [(2000 + i, f"{own(9999)}\ntail", "en", f"s{i % 20}", 0) for i in range(30)]  # copies of one text
+    rows += [(3000, passage, "en", "s1", 0)]
+    got = {r["doc_id"]: r["text"] for r in corpus_pipeline.lines(spark, spark.createDataFrame(rows, SCHEMA), SMALL).collect()}
+    assert got == {i: t.replace(f"\n{passage}", "") for i, t, *_ in rows}
+
+
 def test_host_and_lines(spark):
     df = spark.createDataFrame([("HTTPS://u:p@A.Example.com:80/x?y",), ("ftp://b#c",), ("nohost",), (None,)], "u string")
     assert [r[0] for r in df.select(op10_lines.host_of(df["u"])).collect()] == ["a.example.com", "b", None, None]
