@@ -75,7 +75,7 @@ def _node(tokens: np.ndarray) -> int:
     return x - (1 << 64) if x >= 1 << 63 else x
 
 
-_PROFILE = "kind int, doc_id long, n_shingles long, node long, chunk int, counts binary"
+_PROFILE = "kind int, doc_id long, n_shingles long, node long, row long, chunk int, counts binary"
 
 
 def _profile(sets_of: Sets):
@@ -91,15 +91,16 @@ def _profile(sets_of: Sets):
                 pa.array(np.zeros(n, np.int32)), batch.column("doc_id").cast(pa.int64()),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([_node(s) if len(s) else None for s in sets], pa.int64()),
+                batch.column("row") if "row" in batch.schema.names else pa.nulls(n, pa.int64()),
                 pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
-            ], names=["kind", "doc_id", "n_shingles", "node", "chunk", "counts"])
+            ], names=["kind", "doc_id", "n_shingles", "node", "row", "chunk", "counts"])
         parts = np.minimum(cells, 2**31 - 1).astype("<i4").reshape(-1, _CHUNK)
         used = np.flatnonzero(parts.any(axis=1))
         n = len(used)
         yield pa.RecordBatch.from_arrays([
-            pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
+            pa.array(np.ones(n, np.int32)), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64()),
             pa.array(used.astype(np.int32)), pa.array([zlib.compress(parts[i].tobytes(), 1) for i in used], pa.binary()),
-        ], names=["kind", "doc_id", "n_shingles", "node", "chunk", "counts"])
+        ], names=["kind", "doc_id", "n_shingles", "node", "row", "chunk", "counts"])
 
     return run
 
@@ -446,8 +447,41 @@ def set_components(docs: DataFrame, sets_of: Sets, percent: int) -> DataFrame:
 def one_of_each(
     docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", words: int = WORDS, percent: int = PERCENT
 ) -> DataFrame:
-    """``docs`` with one document of each component, the one with the
-    smallest id; rows without an id stay."""
-    found = jaccard_components(docs, id_col, text_col, words, percent)
-    gone = keep(found.where("doc_id <> component_id").select(F.col("doc_id").alias("_gone")).distinct(), "gone")
-    return docs.join(gone, F.col(id_col).cast("long") == F.col("_gone"), "left_anti")
+    """``docs`` with one row of each component: the one with the smallest id
+    (rows without an id come last; then the smallest hash of the text).
+
+    Rows are told apart by id and text, so rows that share an id but not the
+    text are decided each for itself; of rows equal in both, any one stays.
+    Null texts and texts without words link with nothing: all of them stay.
+    """
+    text = F.xxhash64(F.col(text_col).cast("string"))
+    named = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), text.alias("row"))
+    join = _Join(document_columns(named, "doc_id", "text", "row"), word_shingles(words), percent)
+    found = join.components()
+    rows = join.profile.where("kind = 0 and node is not null").select(F.col("doc_id").isNull().alias("late"), "doc_id", "row", "node")
+    rows = rows.groupBy("node", "late", "doc_id", "row").agg(F.count("*").alias("n"))
+    rows = keep(rows, "rows")
+    names = rows.groupBy("node").agg(F.min(F.struct("late", "doc_id", "row")).alias("first"))
+    if found is not None:
+        names = keep(names.join(found, "node", "left").withColumn("component", F.coalesce("component", "node")), "names")
+        least = names.groupBy("component").agg(F.min("first").alias("first"))
+        names = names.drop("first").join(least, "component").select("node", "first")
+    names = keep(names.select("node", F.col("first.doc_id").alias("_id"), F.col("first.row").alias("_row")), "names")
+    rows = rows.join(names, "node").withColumn("_stays", F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("row") == F.col("_row")))
+    rows = keep(rows.select("doc_id", "row", "n", "_stays"), "rows")
+
+    def these(which: str) -> DataFrame:
+        return keep(rows.where(which).select(F.col("doc_id").alias("_gone"), F.col("row").alias("_text")), "gone")
+
+    def same():
+        return F.col(id_col).cast("long").eqNullSafe(F.col("_gone")) & (text == F.col("_text"))
+
+    gone, repeated = these("not _stays"), these("_stays and n > 1")
+    left = docs.join(gone, same(), "left_anti")
+    if repeated.isEmpty():
+        return left
+    # partial aggregates: a row repeated however often is one row per task before it is dealt out
+    own = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    once = left.join(repeated, same()).groupBy("_gone", "_text").agg(F.first(own).alias("_kept"))
+    once = once.select(*[F.col(f"_kept.`{c}`").alias(c) for c in docs.columns])
+    return left.join(repeated, same(), "left_anti").unionByName(once)

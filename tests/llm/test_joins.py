@@ -107,6 +107,15 @@ def test_one_of_each(spark):
     assert kept.columns == table.columns
 
 
+def test_one_of_each_decides_by_row(spark):
+    long = " ".join(f"w{i}" for i in range(40))
+    docs = [(1, long), (5, long + " x"), (5, "a clean text that is like no other one here"), (None, long), (7, "rep eat ed text of six"),
+            (7, "rep eat ed text of six"), (7, "rep eat ed text of six"), (None, "no id but words of its own"), (None, "no id but words of its own"), (9, None)]
+    table = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in docs], DOCS)
+    got = [(r["doc_id"], r["text"]) for r in op07_jaccard.one_of_each(table).collect()]
+    assert sorted(got, key=str) == sorted([docs[0], docs[2], docs[4], docs[7], docs[9]], key=str)
+
+
 def test_spot_components_find_copies(spark):
     text = "the cat of the house and the dog in the garden was seen by a man with the long hat " * 3
     docs = [(1, text), (2, text + "menu | home"), (3, "quite another text is here and it was on the table for days")]
