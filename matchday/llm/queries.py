@@ -19,6 +19,7 @@ from matchday.llm import (
     op08_shards,
     op09_embeddings,
     op10_lines,
+    op13_negatives,
 )
 
 
@@ -88,11 +89,16 @@ def op10_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_lines.drop_boilerplate(pages, "host", "text")
 
 
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every hundredth vector and its nearest positives."""
+    return op13_negatives.mine_embeddings(_table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_quality_score, op3_sentencepiece, op4_curriculum_mix, op5_language_id, op6_spotsigs,
-        op7_ngram_jaccard_join, op8_kd_shards, op9_embedding_neardup, op10_site_line_dedup,
+        op7_ngram_jaccard_join, op8_kd_shards, op9_embedding_neardup, op10_site_line_dedup, op13_hard_negatives,
     )
 }
 
@@ -157,7 +163,29 @@ select page_id, host,
   solid::bigint as n_lines, (case when gone is null or gone >= solid then 0 else gone end)::bigint as n_dropped
 from r"""
 
+_NEGATIVES_SQL = """
+with r as (
+  select vec_id, (case when vec_id % 7 = 0 then (label + 1) % 10 else label end)::bigint as label,
+         list_transform(embedding, lambda z: floor(256 * z::double)::bigint) as v
+  from embeddings
+  where label is not null and embedding is not null
+    and len(list_filter(embedding, lambda z: z is null or not isfinite(z))) = 0),
+p as (
+  select a.vec_id as anchor_id, b.vec_id as other_id, a.label = b.label as same,
+         list_sum(list_transform(list_zip(a.v, b.v), lambda z: z[1] * z[2]))::bigint as score
+  from r a join r b on a.vec_id % 100 = 0 and a.vec_id <> b.vec_id and len(a.v) = len(b.v)),
+g as (
+  select anchor_id, other_id as positive_id, score as positive_score from p where same
+  qualify row_number() over (partition by anchor_id order by score desc, other_id) <= 5),
+n as (
+  select g.anchor_id, positive_id, positive_score, other_id as negative_id, score as negative_score,
+         row_number() over (partition by g.anchor_id, positive_id order by score desc, other_id)::int as rank
+  from g join p on p.anchor_id = g.anchor_id and not same
+   and 80 * positive_score <= 100 * score and 100 * score <= 100 * positive_score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 5"""
+
 ORACLE_SQL: dict[str, str] = {
     "op4_curriculum_mix": _MIX_SQL,
     "op10_site_line_dedup": _LINES_SQL,
+    "op13_hard_negatives": _NEGATIVES_SQL,
 }

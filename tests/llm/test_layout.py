@@ -24,7 +24,7 @@ def _odd(spark):
 
 def _same(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "embeddings"):
         con.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     got = con.execute(queries.ORACLE_SQL[name])
     columns = [d[0] for d in got.description]
