@@ -19,6 +19,7 @@ from matchday.llm import (
     op08_shards,
     op09_embeddings,
     op10_lines,
+    op11_repair,
     op13_negatives,
 )
 
@@ -89,6 +90,11 @@ def op10_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op10_lines.drop_boilerplate(pages, "host", "text")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cheapest edits of each damaged conversation."""
+    return op11_repair.repair(op11_repair.damaged(_table(spark, sf_dir, "conversations")))
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth vector and its nearest positives."""
     return op13_negatives.mine_embeddings(_table(spark, sf_dir, "embeddings"))
@@ -98,7 +104,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         op1_secret_scan, op2_quality_score, op3_sentencepiece, op4_curriculum_mix, op5_language_id, op6_spotsigs,
-        op7_ngram_jaccard_join, op8_kd_shards, op9_embedding_neardup, op10_site_line_dedup, op13_hard_negatives,
+        op7_ngram_jaccard_join, op8_kd_shards, op9_embedding_neardup, op10_site_line_dedup, op11_conversation_repair,
+        op13_hard_negatives,
     )
 }
 
