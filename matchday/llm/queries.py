@@ -20,6 +20,7 @@ from matchday.llm import (
     op09_embeddings,
     op10_lines,
     op11_repair,
+    op12_toxicity,
     op13_negatives,
 )
 
@@ -95,6 +96,12 @@ def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op11_repair.repair(op11_repair.damaged(_table(spark, sf_dir, "conversations")))
 
 
+def op12_toxicity_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of each document, learned from the labels not held out."""
+    out = op05_language.held_out(F.col("doc_id"), 5, 0)
+    return op12_toxicity.toxicity_scores(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), out)
+
+
 def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Hard negatives of every hundredth vector and its nearest positives."""
     return op13_negatives.mine_embeddings(_table(spark, sf_dir, "embeddings"))
@@ -105,7 +112,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         op1_secret_scan, op2_quality_score, op3_sentencepiece, op4_curriculum_mix, op5_language_id, op6_spotsigs,
         op7_ngram_jaccard_join, op8_kd_shards, op9_embedding_neardup, op10_site_line_dedup, op11_conversation_repair,
-        op13_hard_negatives,
+        op12_toxicity_score, op13_hard_negatives,
     )
 }
 
