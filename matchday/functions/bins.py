@@ -68,6 +68,12 @@ def encode_label(label: Column, edges: list[float] = BIN_EDGES) -> Column:
     return code.cast("int")
 
 
+def decode_bin(code: Column, edges: list[float] = BIN_EDGES) -> Column:
+    """Class code -> its bin label (the lower edge)."""
+    pairs = [F.lit(x) for i, lo in enumerate(edges[:-1]) for x in (i, float(lo))]
+    return F.element_at(F.create_map(*pairs), code.cast("int"))
+
+
 def decode_expected(code: Column, edges: list[float] = BIN_EDGES, centre: float = 6.0) -> Column:
     """Class code -> (bin label + centre), the expected mark of a class."""
     pairs = reduce(

@@ -25,8 +25,9 @@ from pyspark.ml.feature import Imputer, SQLTransformer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from matchday.functions.bins import BIN_EDGES, decode_expected
 
@@ -171,18 +172,25 @@ def load(path: str) -> PipelineModel:
     return PipelineModel.load(path)
 
 
-def score(model: PipelineModel, df: DataFrame, keep: Sequence[str]) -> DataFrame:
+def softmax_column(raw: Column) -> Column:
+    """Raw scores of the classes as probabilities that add up to 1; the
+    greatest score is subtracted first, so that no exponential overflows."""
+    e = F.transform(raw, lambda x: F.exp(x - F.array_max(raw)))
+    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
+
+
+def score(model, df: DataFrame, keep: Sequence[str]) -> DataFrame:
     """Predicted class code, its decoded bin label and expected mark
     (label + 6; the lowest bin decodes to -14) and the winning probability
-    (one-vs-rest raw scores are normalised by a softmax)."""
+    (one-vs-rest raw scores are normalised by a softmax).  ``model`` is a
+    fitted pipeline or a :class:`matchday.ml.boost.Booster`."""
     out = model.transform(df)
-    has_prob = "probability" in out.columns
-    if has_prob:
-        p = vector_to_array("probability")
+    if "probability" not in out.columns:
+        p = softmax_column(vector_to_array("rawPrediction"))
+    elif isinstance(out.schema["probability"].dataType, ArrayType):
+        p = F.col("probability")
     else:
-        raw = vector_to_array("rawPrediction")
-        p = F.transform(raw, lambda x: F.exp(x))
-        p = F.transform(p, lambda x: x / F.aggregate(p, F.lit(0.0), lambda a, b: a + b))
+        p = vector_to_array("probability")
     pairs = []
     for i, lo in enumerate(BIN_EDGES[:-1]):
         pairs += [F.lit(i), F.lit(lo)]

@@ -13,6 +13,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from matchday.functions.bins import decode_bin
 from matchday.session import materialize
 
 
@@ -47,7 +48,12 @@ def per_class(conf: DataFrame) -> DataFrame:
 def class_report(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """precision / recall / f1 / support per class plus accuracy, macro
     average and support-weighted average rows (zero when undefined)."""
-    pc = per_class(counted(df, truth, pred))
+    return report_of(counted(df, truth, pred))
+
+
+def report_of(conf: DataFrame) -> DataFrame:
+    """:func:`class_report` of a (written) confusion table."""
+    pc = per_class(conf)
     prec = F.when(F.col("predicted") > 0, F.col("tp") / F.col("predicted")).otherwise(0.0)
     rec = F.when(F.col("support") > 0, F.col("tp") / F.col("support")).otherwise(0.0)
     rows = pc.select(
@@ -90,7 +96,12 @@ def class_report(df: DataFrame, truth: str, pred: str) -> DataFrame:
 def summary_scores(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """One row: n, accuracy, balanced accuracy (mean recall over classes
     present in the truth) and the multi-class Matthews correlation."""
-    pc = per_class(counted(df, truth, pred))
+    return summary_of(counted(df, truth, pred))
+
+
+def summary_of(conf: DataFrame) -> DataFrame:
+    """:func:`summary_scores` of a (written) confusion table."""
+    pc = per_class(conf)
     agg = pc.agg(
         F.sum("support").alias("s"),
         F.sum("tp").alias("c"),
@@ -112,7 +123,12 @@ def summary_scores(df: DataFrame, truth: str, pred: str) -> DataFrame:
 
 def label_distribution(df: DataFrame, truth: str, pred: str) -> DataFrame:
     """(label, n_true, n_pred): both series aligned on the label."""
-    both = confusion(df, truth, pred).select(
+    return distribution_of(confusion(df, truth, pred))
+
+
+def distribution_of(conf: DataFrame) -> DataFrame:
+    """:func:`label_distribution` of a confusion table."""
+    both = conf.select(
         F.explode(F.array(
             F.struct(F.col("truth").alias("label"), F.col("n").alias("t"), F.lit(0).cast("long").alias("p")),
             F.struct(F.col("pred").alias("label"), F.lit(0).cast("long").alias("t"), F.col("n").alias("p")),
@@ -173,3 +189,30 @@ def regression_scores(df: DataFrame, truth: str, pred: str) -> DataFrame:
         F.avg(F.col("_e") * F.col("_e")).alias("mse"),
         (1 - F.var_pop("_e") / F.var_pop("_y")).alias("explained_variance"),
     ).select("n", "mse", "explained_variance", F.lit(med).cast("double").alias("median_abs_error"))
+
+
+def prediction_metrics(preds: DataFrame, split: str, truth: str, pred: str) -> DataFrame:
+    """(split, kind, label, measure, value): :func:`class_report`,
+    :func:`summary_scores` and :func:`label_distribution` of the predictions
+    of each split, the distribution with the classes' bin labels.  The
+    predictions are read once, for one table of (split, truth, prediction)
+    counts."""
+    both = preds.groupBy(
+        F.col(split).alias("split"), F.col(truth).cast("int").alias("truth"), F.col(pred).cast("int").alias("pred")
+    ).agg(F.count("*").alias("n"))
+    both = materialize(both)  # splits x classes x classes rows
+    out = None
+    for name in ("train", "test"):
+        conf = both.where(F.col("split") == name).drop("split")
+        decoded = distribution_of(conf).withColumn("label", decode_bin(F.col("label")))
+        for kind, df in (("class", report_of(conf)), ("summary", summary_of(conf)), ("distribution", decoded)):
+            key = df.columns[0] if kind != "summary" else None
+            values = [c for c in df.columns if c != key]
+            stacked = F.explode(F.array(*[
+                F.struct(F.lit(c).alias("measure"), F.col(c).cast("double").alias("value")) for c in values
+            ]))
+            label = F.col(key).cast("string") if key else F.lit(None).cast("string")
+            df = df.select(F.lit(name).alias("split"), F.lit(kind).alias("kind"), label.alias("label"), stacked.alias("m"))
+            df = df.select("split", "kind", "label", "m.measure", "m.value")
+            out = df if out is None else out.unionByName(df)
+    return out

@@ -163,3 +163,17 @@ def validation_sample(df: DataFrame, id_col: str, n: int = 1000, seed: int = SPL
     keeps only its best ``n`` rows) instead of "the first n rows", which has
     no meaning on a distributed table."""
     return df.withColumn("_h", mult_hash(F.col(id_col), seed)).orderBy("_h", id_col).limit(n).drop("_h")
+
+
+def label_codes(labels: DataFrame, col: str, out: str = "code") -> DataFrame:
+    """(label, code): dense codes 0, 1, ... of the distinct labels in their
+    order, read from the data.  NULL labels get no code.  The distinct labels
+    are sorted and counted by range; no list of them goes through the driver."""
+    distinct = labels.select(F.col(col)).where(F.col(col).isNotNull()).distinct()
+    return ordered_rank(distinct, [col], out).select(col, F.col(out).cast("int").alias(out))
+
+
+def encode_labels(df: DataFrame, col: str, codes: DataFrame, out: str = "label") -> DataFrame:
+    """``df`` with the code of its label from :func:`label_codes` (NULL: none)."""
+    table = codes.select(F.col(col).alias("_label"), F.col("code").alias(out))
+    return df.drop(out).join(table, F.col(col) == F.col("_label"), "left").drop("_label")

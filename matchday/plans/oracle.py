@@ -597,6 +597,17 @@ SELECT sp.name, sp.surname, sp.season, sp.round_no, lb.label, sp.split FROM sp J
 WHERE lb.label IS NOT NULL""",
             *_TRAIN_VIEWS,
         ),
+        "q28e_label_codes": with_views(
+            _labelled_ctes(pruned=True)
+            + _SPLIT.format(seed=1298)
+            + """
+SELECT sp.name, sp.surname, sp.season, sp.round_no, lb.fv_bin, sp.split,
+       CAST(dense_rank() OVER (ORDER BY lb.fv_bin) - 1 AS INT) AS label
+FROM sp JOIN lb
+  ON sp.row_id = lb.row_id AND sp.name IS NOT DISTINCT FROM lb.name AND sp.surname IS NOT DISTINCT FROM lb.surname
+WHERE lb.label IS NOT NULL AND lb.fv_bin <> 0.0""",
+            *_TRAIN_VIEWS,
+        ),
         "q07b_duplicate_team_rows": with_views(
             _team_feat_ctes()
             + """

@@ -624,7 +624,11 @@ def _register_model_jobs() -> None:
     QUERIES["q28b_feature_importance"] = MJ.q28b_feature_importance
     QUERIES["q28c_watchlist_predictions"] = MJ.q28c_watchlist_predictions
     QUERIES["q28d_labelled_split"] = MJ.q28d_labelled_split
+    QUERIES["q28e_label_codes"] = MJ.q28e_label_codes
     QUERIES["q31_prediction_metrics"] = MJ.q31_prediction_metrics
+    QUERIES["q35_param_search"] = MJ.q35_param_search
+    QUERIES["q36_validation_models"] = MJ.q36_validation_models
+    QUERIES["q37_regression_model"] = MJ.q37_regression_model
     for f in (
         q29_stream_upsert, q29b_stream_calendar, q29c_stream_statistics, q07b_duplicate_team_rows,
         q10b_names_to_review, q16b_class_count, q32_round_csvs, q33_fixture_files, q33b_calendar_files,
