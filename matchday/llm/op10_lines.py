@@ -3,6 +3,10 @@
 Pages are grouped by host.  For each line the number of the host's pages
 that contain it is divided by the host's page total; lines above the
 boilerplate ratio are dropped from the pages of that host.
+
+A page is taken apart once: it is written with one hash per line (null: a
+blank line).  Counting reads hosts and hashes only, dropping looks a line up
+by its place.
 """
 
 from __future__ import annotations
@@ -48,19 +52,43 @@ def line_key(line: Column) -> Column:
     return F.trim(F.regexp_replace(line, r"[ \t\r\x0B\f]+", " "))
 
 
-def boilerplate_lines(
-    pages: DataFrame, host_col: str, text_col: str, ratio: float = RATIO, min_pages: int = MIN_PAGES
-) -> DataFrame:
-    """(host, line_hashes): per host the hashes of its boilerplate lines.
+def line_hashes(text: Column) -> Column:
+    """Per line of a text the hash of its key, null for a blank line."""
+
+    def hashes(key) -> Column:
+        def one(line: Column) -> Column:
+            k = key(line)
+            return F.nullif(F.xxhash64(k), F.xxhash64(F.lit("")))
+
+        return F.transform(F.split(text, "\n"), one)
+
+    # a regular expression per line only where the page has anything for it to change
+    odd = F.contains(text, F.lit("  "))
+    for c in "\t\r\x0b\f":
+        odd = odd | F.contains(text, F.lit(c))
+    return F.when(odd, hashes(line_key)).otherwise(hashes(F.trim))
+
+
+def taken_apart(pages: DataFrame, host: Column, text_col: str) -> DataFrame:
+    """The written table (_host, _text, _keys, _row) of ``pages``."""
+    rows = pages.select(
+        host.alias("_host"), F.col(text_col).cast("string").alias("_text"),
+        F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != text_col], F.lit(0).alias("_")).alias("_row"),
+    )
+    return keep(rows.withColumn("_keys", line_hashes(F.col("_text"))), "pages")
+
+
+def boilerplate_lines(rows: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
+    """(host, line_hashes): per host the hashes of its boilerplate lines, of
+    pages that are :func:`taken_apart`.
 
     A page counts a line once.  The list of a host is shorter than the mean
     number of different lines on its pages divided by ``ratio``, whatever the
     number of pages.
     """
-    base = pages.select(F.col(host_col).alias("host"), F.col(text_col).cast("string").alias("text"))
+    base = rows.select(F.col("_host").alias("host"), "_keys")
     totals = base.groupBy("host").agg(F.count("*").alias("pages"))
-    lines = F.filter(F.transform(F.split(F.col("text"), "\n"), line_key), lambda x: x != "")
-    each = base.select("host", F.explode(F.array_distinct(F.transform(lines, lambda x: F.xxhash64(x)))).alias("line"))
+    each = base.select("host", F.explode(F.array_distinct(F.array_compact("_keys"))).alias("line"))
     counts = each.groupBy("host", "line").agg(F.count("*").alias("n")).where(F.col("n") >= min_pages)
     totals = totals.select(F.col("host").alias("_host"), "pages")
     frequent = counts.join(totals, F.col("host").eqNullSafe(F.col("_host"))).where(F.col("n") > F.col("pages") * ratio)
@@ -77,32 +105,39 @@ def drop_boilerplate(
     keep_whole: bool = True,
 ) -> DataFrame:
     """``pages`` with ``text_col`` less the boilerplate lines of its host, and
-    columns ``n_lines`` and ``n_dropped`` (lines that are not blank).
+    columns ``n_lines`` and ``n_dropped`` (lines that are not blank) and
+    ``all_boilerplate``.
 
     Other lines, blank ones included, stay as they are.  A page of which no
     line would be left keeps its text if ``keep_whole`` (a page that was
-    copied often is a matter for de-duplication of documents).  Null text
-    stays null with no lines; pages without a host (null) are a site of their
-    own; copies of a page count as pages; an empty table gives an empty one.
-    Further columns are passed through; input columns called
-    ``n_lines`` or ``n_dropped`` are replaced.
+    copied often is a matter for de-duplication of documents); the column
+    ``all_boilerplate`` marks such pages either way.  Null text stays null
+    with no lines; pages without a host (null) are a site of their own;
+    copies of a page count as pages; an empty table gives an empty one.
+    Further columns are passed through; input columns called ``n_lines``,
+    ``n_dropped`` or ``all_boilerplate`` are replaced.
     """
+    rows = taken_apart(pages, F.col(host_col), text_col)
     # written: the planner then knows how small the lists are, and broadcasts
     # them only below spark.sql.autoBroadcastJoinThreshold
-    marked = keep(boilerplate_lines(pages, host_col, text_col, ratio, min_pages), "lines")
-    return _without(pages, F.col(host_col), marked, text_col, keep_whole)
+    marked = keep(boilerplate_lines(rows, ratio, min_pages), "lines")
+    return _without(rows, pages.columns, marked, text_col, keep_whole)
 
 
-def repeated_passages(pages: DataFrame, text_col: str, words: int = LONG_WORDS, texts: int = LONG_TEXTS) -> DataFrame:
-    """(host, line_hashes): per text, named by its hash, the hashes of its
-    lines of more than ``words`` words that ``texts`` different texts contain.
+def repeated_passages(rows: DataFrame, words: int = LONG_WORDS, texts: int = LONG_TEXTS) -> DataFrame:
+    """(host, line_hashes): per text, named by its hash (the host of rows
+    :func:`taken_apart`), the hashes of its lines of more than ``words``
+    words that ``texts`` different texts contain.
 
     All pages are one site, with an absolute limit; copies of a text count
     once.  The list of a text is no longer than the text, whatever the corpus.
     """
-    text = F.col(text_col).cast("string")
-    lines = F.filter(F.transform(F.split(text, "\n"), line_key), lambda x: F.size(F.split(x, " ")) > words)
-    each = pages.select(F.xxhash64(text).alias("host"), F.explode(F.transform(lines, lambda x: F.xxhash64(x))).alias("line"))
+    # a line of so many words has more characters than twice as many
+    lines = F.filter(
+        F.arrays_zip(F.split("_text", "\n").alias("line"), F.col("_keys").alias("key")),
+        lambda x: F.when(F.length(x["line"]) > 2 * words, F.size(F.split(line_key(x["line"]), " ")) > words).otherwise(F.lit(False)),
+    )
+    each = rows.select(F.col("_host").alias("host"), F.explode(F.transform(lines, lambda x: x["key"])).alias("line"))
     each = keep(each.distinct(), "lines")
     often = keep(each.groupBy("line").agg(F.count("*").alias("n")).where(F.col("n") >= texts).select("line"), "lines")
     return each.join(often, "line").groupBy("host").agg(F.sort_array(F.collect_set("line")).alias("line_hashes"))
@@ -113,37 +148,31 @@ def drop_passages(
 ) -> DataFrame:
     """``pages`` with ``text_col`` less its :func:`repeated_passages`; columns
     and odd cases as in :func:`drop_boilerplate`."""
-    marked = keep(repeated_passages(pages, text_col, words, texts), "lines")
-    return _without(pages, F.xxhash64(F.col(text_col).cast("string")), marked, text_col, keep_whole)
-
-
-def _without(pages: DataFrame, at: Column, marked: DataFrame, text_col: str, keep_whole: bool) -> DataFrame:
-    """``pages`` less the lines that ``marked`` (host, line_hashes) lists for ``at``."""
-    marked = marked.select(F.col("host").alias("_host"), F.col("line_hashes").alias("_drop"))
-    rows = pages.select(
-        at.alias("_at"),
-        F.col(text_col).cast("string").alias("_text"),
-        F.struct(*[F.col(f"`{c}`") for c in pages.columns]).alias("_row"),
-    )
-    rows = rows.join(marked, F.col("_at").eqNullSafe(F.col("_host")), "left")
-    parts = F.split(F.col("_text"), "\n")
-    solid = F.size(F.filter(parts, lambda x: line_key(x) != ""))
+    rows = taken_apart(pages, F.xxhash64(F.col(text_col).cast("string")), text_col)
+    marked = keep(repeated_passages(rows, words, texts), "lines")
+    return _without(rows, pages.columns, marked, text_col, keep_whole)
+
+
+def _without(rows: DataFrame, columns: list[str], marked: DataFrame, text_col: str, keep_whole: bool) -> DataFrame:
+    """The pages of ``rows`` less the lines that ``marked`` (host, line_hashes) lists for their host."""
+    marked = marked.select(F.col("host").alias("_at"), F.col("line_hashes").alias("_drop"))
+    rows = rows.join(marked, F.col("_host").eqNullSafe(F.col("_at")), "left")
+    solid = F.coalesce(F.size(F.array_compact("_keys")), F.lit(0))
+    # how many lines go, from the hashes alone; texts are cut only where any do
+    goes = F.filter("_keys", lambda k: k.isNotNull() & F.array_contains(F.col("_drop"), k))
+    rows = rows.withColumn("_solid", solid)
+    rows = rows.withColumn("_gone", F.coalesce(F.when(F.col("_drop").isNotNull(), F.size(goes)), F.lit(0)))
+    every = (F.col("_gone") > 0) & (F.col("_gone") >= F.col("_solid"))
+    whole = (F.col("_gone") == 0) | (every if keep_whole else F.lit(False))
     left = F.filter(
-        parts, lambda x: (line_key(x) == "") | ~F.array_contains(F.col("_drop"), F.xxhash64(line_key(x)))
+        F.split("_text", "\n"),
+        lambda x, i: F.get("_keys", i).isNull() | ~F.array_contains(F.col("_drop"), F.get("_keys", i)),
     )
-    rows = rows.withColumn("_solid", F.coalesce(solid, F.lit(0)))
-    rows = rows.withColumn("_left", F.when(F.col("_drop").isNotNull(), left))
-    rows = rows.withColumn("_gone", F.coalesce(F.size(parts) - F.size("_left"), F.lit(0)))
-    whole = F.col("_gone") == 0
-    if keep_whole:
-        whole = whole | (F.col("_gone") >= F.col("_solid"))
-    out = F.when(whole, F.col("_text")).otherwise(F.array_join("_left", "\n"))
+    out = F.when(whole, F.col("_text")).otherwise(F.array_join(left, "\n"))
+    made = ("n_lines", "n_dropped", "all_boilerplate")
     return rows.select(
-        *[
-            out.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c)
-            for c in pages.columns
-            if c not in ("n_lines", "n_dropped")
-        ],
+        *[out.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in columns if c not in made],
         F.col("_solid").cast("long").alias("n_lines"),
         F.when(whole, F.lit(0)).otherwise(F.col("_gone")).cast("long").alias("n_dropped"),
+        every.alias("all_boilerplate"),
     )

@@ -174,7 +174,8 @@ r as (
 select page_id, host,
   case when coalesce(gone, 0) = 0 or gone >= solid then text
        else array_to_string(list_transform(rest, lambda z: z[1]), chr(10)) end as text,
-  solid::bigint as n_lines, (case when gone is null or gone >= solid then 0 else gone end)::bigint as n_dropped
+  solid::bigint as n_lines, (case when gone is null or gone >= solid then 0 else gone end)::bigint as n_dropped,
+  coalesce(gone > 0 and gone >= solid, false) as all_boilerplate
 from r"""
 
 _NEGATIVES_SQL = """

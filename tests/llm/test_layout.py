@@ -177,7 +177,7 @@ def test_lines_equal_brute_force(spark):
     table = spark.createDataFrame(rows, "page_id long, host string, text string").selectExpr("*", "1 as _host", "2 as n_lines", "3 as _drop")
     for ratio, least in ((0.1, 5), (0.3, 2)):
         got = op10_lines.drop_boilerplate(table, "host", "text", ratio, least)
-        assert got.columns == ["page_id", "host", "text", "_host", "_drop", "n_lines", "n_dropped"]
+        assert got.columns == ["page_id", "host", "text", "_host", "_drop", "n_lines", "n_dropped", "all_boilerplate"]
         assert sorted(map(str, [(r["page_id"], r["text"], r["n_lines"], r["n_dropped"]) for r in got.collect()])) == sorted(map(str, _plain_lines(rows, ratio, least)))
     assert op10_lines.drop_boilerplate(table.limit(0), "host", "text").count() == 0
 
