@@ -18,8 +18,8 @@ from matchday.llm.common import keep
 
 #: a line on more than this share of its host's pages is boilerplate
 RATIO = 0.1
-#: ... if it is on at least so many of them (small sites have no statistics)
-MIN_PAGES = 5
+#: ... if it is on at least so many of them: a line on one page repeats nothing
+MIN_PAGES = 2
 
 #: over all sites, a line of more than so many words is repeated ...
 LONG_WORDS = 50

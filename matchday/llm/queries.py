@@ -163,7 +163,7 @@ l as (select page_id, host, text, string_split(text, chr(10)) as parts,
           lambda z: trim(regexp_replace(z, '[ \t\r\x0B\f]+', ' ', 'g'))) as keys from x),
 t as (select host, count(*) as pages from x group by host),
 e as (select page_id, host, unnest(list_distinct(list_filter(keys, lambda z: z <> ''))) as line from l),
-b as (select e.host, e.line from e group by e.host, e.line having count(*) >= 5
+b as (select e.host, e.line from e group by e.host, e.line having count(*) >= 2
         and count(*) > (select any_value(t.pages) from t where t.host is not distinct from e.host) * 0.1),
 g as (select host, list(line) as drops from b group by host),
 r as (

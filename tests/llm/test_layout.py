@@ -182,6 +182,14 @@ def test_lines_equal_brute_force(spark):
     assert op10_lines.drop_boilerplate(table.limit(0), "host", "text").count() == 0
 
 
+def test_small_sites_lose_lines_too(spark):
+    rows = [(1, "a", "Menu\none"), (2, "a", "Menu\ntwo"), (3, "b", "Menu\nsolo"), (4, "c", "Same"), (5, "c", "Same")]
+    got = op10_lines.drop_boilerplate(spark.createDataFrame(rows, "page_id long, host string, text string"), "host", "text")
+    got = {r["page_id"]: (r["text"], r["n_dropped"], r["all_boilerplate"]) for r in got.collect()}
+    assert got == {
+        1: ("one", 1, False), 2: ("two", 1, False), 3: ("Menu\nsolo", 0, False), 4: ("Same", 0, True), 5: ("Same", 0, True)}
+
+
 def test_pipeline_drops_passages_spread_over_sources(spark):
     passage = " ".join(f"p{i}" for i in range(60))
     own = lambda i: " ".join(f"u{i}x{k}" for k in range(60))
