@@ -608,6 +608,40 @@ FROM sp JOIN lb
 WHERE lb.label IS NOT NULL AND lb.fv_bin <> 0.0""",
             *_TRAIN_VIEWS,
         ),
+        "q07c_quality_gate": with_views(
+            _team_feat_ctes()
+            + """
+SELECT team_id, team_name, event_date, fixture_id, league_id, fixture_stat, CAST(2 * count(*) AS BIGINT) AS n_rows
+FROM cut WHERE fixture_id % 5 = 0 GROUP BY team_id, team_name, event_date, fixture_id, league_id, fixture_stat""",
+            "calendar",
+            "fixture_master",
+            "fixture_stats",
+        ),
+        "q38_stream_features": _q01(),
+        "q39_stream_dedup": """
+WITH b AS (SELECT min(ts) AS a, max(ts) AS z FROM events),
+d AS (SELECT e.event_id, e.user_id, e.event_type, e.ts, b.z FROM events e, b),
+m AS (SELECT a + (z - a) / 2 AS mid, z FROM b)
+SELECT event_id, user_id, event_type, ts FROM d
+UNION ALL
+-- given again with a time beyond the watermark, after the key's state is gone
+SELECT event_id, user_id, event_type, d.z + INTERVAL 1 DAY FROM d, m
+WHERE ts < mid AND event_id % 5 = 0 AND ts + INTERVAL 2 DAY <= d.z - INTERVAL 2 DAY""",
+        "q40_stat_files": with_views(
+            """
+SELECT DISTINCT fixture_id, fixture_stat, home, away FROM fixture_stats
+WHERE fixture_id IN (SELECT fixture_id FROM fixture_master)""",
+            "fixture_stats", "fixture_master",
+        ),
+        "q41_stat_envelopes": with_views(
+            """
+SELECT fixture_id, fixture_stat, max(home) AS home, max(away) AS away FROM fixture_stats
+WHERE fixture_id % 7 <> 0 GROUP BY fixture_id, fixture_stat""",
+            "fixture_stats",
+        ),
+        "q41b_search_envelopes": """
+SELECT event_id, event_type AS name, CAST(json_extract(props, '$.k') AS BIGINT) AS k FROM events
+WHERE event_type = 'click' AND event_id % 5 <> 0""",
         "q07b_duplicate_team_rows": with_views(
             _team_feat_ctes()
             + """

@@ -636,6 +636,13 @@ def _register_model_jobs() -> None:
     ):
         QUERIES[f.__name__] = f
     QUERIES["q30_permutation_importance"] = MJ.q30_permutation_importance
+    from matchday.plans import source_jobs as SJ
+
+    for f in (
+        SJ.q07c_quality_gate, SJ.q38_stream_features, SJ.q39_stream_dedup, SJ.q40_stat_files, SJ.q41_stat_envelopes,
+        SJ.q41b_search_envelopes,
+    ):
+        QUERIES[f.__name__] = f
 
 
 _register_model_jobs()

@@ -130,14 +130,15 @@ def read_calendar_files(spark: SparkSession, path: str, arrays: bool = True) ->
     )
 
 
-def read_stat_files(spark: SparkSession, path: str, fixtures: DataFrame | None = None) -> DataFrame:
-    """Column-oriented statistics files ``fixtureid-<id>_.json``
+def parse_stat_documents(docs: DataFrame, name: Column, value: Column, fixtures: DataFrame | None = None) -> DataFrame:
+    """Column-oriented statistics documents named ``fixtureid-<id>_.json``
     (``{"fixture_stat": {"0": ..}, "home": {"0": ..}, "away": {"0": ..}}``)
-    -> rows (fixture_id, fixture_stat, home, away); only fixtures present
-    in ``fixtures`` when given (left-semi join)."""
-    raw = spark.read.option("wholetext", True).text(path).select(
-        file_id(r"fixtureid-(\d+)").alias("fixture_id"),
-        F.from_json("value", T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType()))).alias("m"),
+    -> rows (fixture_id, fixture_stat, home, away).  A column that lacks an
+    index gives NULL there; only fixtures present in ``fixtures`` when given
+    (left-semi join); repeated rows collapse."""
+    raw = docs.select(
+        F.regexp_extract(name, r"fixtureid-(\d+)", 1).try_cast("long").alias("fixture_id"),
+        F.from_json(value, T.MapType(T.StringType(), T.MapType(T.StringType(), T.StringType()))).alias("m"),
     )
     rows = raw.select(
         "fixture_id", "m", F.explode(F.col("m")["fixture_stat"]).alias("_i", "fixture_stat")
@@ -151,6 +152,20 @@ def read_stat_files(spark: SparkSession, path: str, fixtures: DataFrame | None =
     return rows.distinct()
 
 
+def read_stat_files(spark: SparkSession, path: str, fixtures: DataFrame | None = None) -> DataFrame:
+    """:func:`parse_stat_documents` of a folder of such files."""
+    raw = spark.read.option("wholetext", True).text(path).select("value", F.col("_metadata.file_path").alias("name"))
+    return parse_stat_documents(raw, F.col("name"), F.col("value"), fixtures)
+
+
+def read_packed_stat_files(spark: SparkSession, path: str, fixtures: DataFrame | None = None) -> DataFrame:
+    """The same of many small files packed as JSON lines ``{"name", "content"}``:
+    a folder of millions of files of some hundred bytes is packed before it is
+    read, as each file costs a listing and a task's share of opening it."""
+    packed = spark.read.schema("name string, content string").json(path)
+    return parse_stat_documents(packed, F.col("name"), F.col("content"), fixtures)
+
+
 def localise(df: DataFrame, col: str = "event_date", tz: str = "Europe/London") -> DataFrame:
     """Display copy of an instant column in ``tz`` (storage stays UTC)."""
     return df.withColumn(col + "_local", to_local(F.col(col), tz))

@@ -77,15 +77,17 @@ def run_stream(
     each_batch: Callable[[DataFrame, int], None],
     fmt: str = "json",
     max_files: int | None = None,
+    transform: Callable[[DataFrame], DataFrame] | None = None,
 ) -> None:
     """Process every file that landed since the last run with the same
     ``checkpoint`` (``availableNow``), in micro-batches of ``max_files``
-    files if it is given."""
+    files if it is given; ``transform`` is applied to the stream itself."""
     reader = spark.readStream.schema(schema).format(fmt).options(**(JSON_OPTIONS if fmt == "json" else {}))
     if max_files:
         reader = reader.option("maxFilesPerTrigger", max_files)
+    stream = reader.load(landing)
     query = (
-        reader.load(landing).writeStream.foreachBatch(each_batch)
+        (stream if transform is None else transform(stream)).writeStream.foreachBatch(each_batch)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
     query.awaitTermination()
@@ -113,6 +115,28 @@ def ingest_stream(
     run_stream(spark, landing, checkpoint, schema, _batch, fmt, max_files)
 
 
+def dedup_ingest(
+    spark: SparkSession,
+    landing: str,
+    table: str,
+    checkpoint: str,
+    schema: T.StructType,
+    keys: Sequence[str],
+    ts: str,
+    delay: str,
+    fmt: str = "json",
+    max_files: int | None = None,
+) -> None:
+    """Land new files without the repeats that come within ``delay`` of a
+    key's first event time (:func:`dedup_stream`).  The keys seen are state
+    that outlives a restart with the same ``checkpoint`` and is evicted by the
+    watermark; a batch that is run again overwrites its own folder."""
+    run_stream(
+        spark, landing, checkpoint, schema, lambda batch, i: write_batch(batch, table, i), fmt, max_files,
+        lambda stream: dedup_stream(stream, keys, ts, delay),
+    )
+
+
 def land_by_day(df: DataFrame, ts: str, path: str, fmt: str = "json") -> None:
     """Write ``df`` as one landing folder per event day (a replayable
     stand-in for files arriving over time)."""

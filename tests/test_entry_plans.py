@@ -9,7 +9,8 @@ MODEL = ["q28_train_score", "q28b_feature_importance", "q28c_watchlist_predictio
          "q37_regression_model"]
 ORACLE_FREE = set(MODEL)
 # they run a stream or the training job when they are built; see the tests of those
-EAGER = ORACLE_FREE | {"q28d_labelled_split", "q28e_label_codes", "q29_stream_upsert", "q29b_stream_calendar", "q29c_stream_statistics",
+EAGER = ORACLE_FREE | {"q28d_labelled_split", "q28e_label_codes", "q07c_quality_gate", "q38_stream_features",
+                        "q39_stream_dedup", "q40_stat_files", "q29_stream_upsert", "q29b_stream_calendar", "q29c_stream_statistics",
                          "q32_round_csvs", "q33_fixture_files", "q33b_calendar_files"}
 SF = "/root/testdata/sf0.001"
 
