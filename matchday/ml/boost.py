@@ -23,7 +23,7 @@ from dataclasses import asdict, dataclass, field, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -212,26 +212,31 @@ def binned(
     fold_col: str | None = None,
 ) -> DataFrame:
     """(row, fold, y, w, x): the rows with a label, x one byte per feature."""
-    base = df.where(F.col(label).isNotNull()).select(
+    return packed_bins(df.where(F.col(label).isNotNull()), feats, cuts, [
         F.xxhash64(F.col(id_col)).alias("row"),
         (F.col(fold_col).cast("int") if fold_col else F.lit(-1)).alias("fold"),
         F.col(label).cast("double").alias("y"),
         (F.col(weight).cast("double") if weight else F.lit(1.0)).alias("w"),
-        *[F.col(f"`{c}`").cast("double").alias(f"f{i}") for i, c in enumerate(feats)],
-    )
-    names, edges = [f"f{i}" for i in range(len(feats))], [list(c) for c in cuts]
+    ])
+
+
+def packed_bins(df: DataFrame, feats: Sequence[str], cuts: Sequence[Sequence[float]], columns: Sequence[Column]) -> DataFrame:
+    """``columns`` and x, the bins of the features, one byte each."""
+    base = df.select(*columns, *[F.col(f"`{c}`").cast("double").alias(f"_f{i}") for i, c in enumerate(feats)])
+    names, edges = [f"_f{i}" for i in range(len(feats))], [list(c) for c in cuts]
+    kept = base.columns[: len(columns)]
 
     def run(batches):
         for batch in batches:
             x = bin_matrix(batch, names, edges)
             offsets = np.arange(len(x) + 1, dtype=np.int32) * x.shape[1]
             blob = pa.Array.from_buffers(pa.binary(), len(x), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(x))])
-            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in ("row", "fold", "y", "w")], blob], names=["row", "fold", "y", "w", "x"])
+            yield pa.RecordBatch.from_arrays([*[batch.column(c) for c in kept], blob], names=[*kept, "x"])
 
-    return base.mapInArrow(run, "row long, fold int, y double, w double, x binary")
+    return base.mapInArrow(run, T.StructType([*base.select(*kept).schema.fields, T.StructField("x", T.BinaryType())]))
 
 
-def _matrix(column: pa.Array, width: int, kind=np.uint8) -> np.ndarray:
+def bytes_matrix(column: pa.Array, width: int, kind=np.uint8) -> np.ndarray:
     """Rows of equal binary values as a matrix."""
     n = len(column)
     if not n or not width:
@@ -310,8 +315,8 @@ def _level_sums(shared):
             by_model.setdefault(i, []).append((k, nodes))
         width = sum(f.booster.outputs for f in fits)
         for batch in batches:
-            x = _matrix(batch.column("x"), n_features)
-            base = _matrix(batch.column("m"), width, np.float64)
+            x = bytes_matrix(batch.column("x"), n_features)
+            base = bytes_matrix(batch.column("m"), width, np.float64)
             row, fold = batch.column("row").to_numpy(), batch.column("fold").to_numpy()
             y, w = batch.column("y").to_numpy(), batch.column("w").to_numpy()
             at = 0
@@ -476,8 +481,8 @@ def _snapshot(rows: DataFrame, fits: list[Fit], first: list[int], n_features: in
         fits_, first_, n = shared.value
         width = sum(f.booster.outputs for f in fits_)
         for batch in batches:
-            x = _matrix(batch.column("x"), n)
-            m = _matrix(batch.column("m"), width, np.float64).copy()
+            x = bytes_matrix(batch.column("x"), n)
+            m = bytes_matrix(batch.column("m"), width, np.float64).copy()
             at = 0
             for f, a in zip(fits_, first_, strict=True):
                 m[:, at : at + f.booster.outputs] += f.booster.margins(x, a)
@@ -542,7 +547,7 @@ class Training:
             fits, first, n = shared.value
             width = sum(f.booster.outputs for f in fits)
             for batch in batches:
-                x, m = _matrix(batch.column("x"), n), _matrix(batch.column("m"), width, np.float64)
+                x, m = bytes_matrix(batch.column("x"), n), bytes_matrix(batch.column("m"), width, np.float64)
                 fold, y = batch.column("fold").to_numpy(), batch.column("y").to_numpy()
                 out, at = [], 0
                 for i, f in enumerate(fits):

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from matchday.functions.bins import encode_label
 from matchday.ml import boost as B
 from matchday.ml import model as M
-from matchday.ml.explain import permutation_importance
+from matchday.ml.explain import booster_importance
 from matchday.operators.assemble import with_role_dummies
 from matchday.operators.metrics import prediction_metrics, regression_scores
 from matchday.operators.prune import drop_sparse_columns, drop_sparse_rows
@@ -107,10 +107,11 @@ def _rows(spark: SparkSession, sf_dir: str, split: str | None = None) -> tuple[D
     return (data if split is None else data.filter(F.col("split") == split)), feats
 
 
-def _training_job(spark: SparkSession, sf_dir: str, kind: str = "boost", params=TRIAL) -> str:
+def _training_job(spark: SparkSession, sf_dir: str, kind: str = "boost", params=None) -> str:
     """Folder with the fitted ``model`` and its ``predictions`` of all labelled
     rows.  ``kind``: ``boost`` (softmax boosting), or an estimator of
     :func:`matchday.ml.model.build_pipeline` with its TreeParams."""
+    params = TRIAL if params is None else params
 
     def run(base):
         data, feats = _rows(spark, sf_dir)
@@ -164,8 +165,8 @@ def q28b_feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q30_permutation_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Accuracy drop on the test split when one feature is permuted."""
-    test, feats = _rows(spark, sf_dir, "test")
-    return permutation_importance(_model(spark, _training_job(spark, sf_dir)), test, feats, "row_id")
+    test, _ = _rows(spark, sf_dir, "test")
+    return booster_importance(_model(spark, _training_job(spark, sf_dir)), test, "row_id")
 
 
 def q31_prediction_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:

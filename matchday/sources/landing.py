@@ -33,12 +33,30 @@ def csv_fields(line: Column) -> Column:
     return F.transform(parts, value)
 
 
+def _lines(spark: SparkSession, path: str, header_key: str) -> DataFrame:
+    """(_file, _v, _is_header): the fields of every line that isn't blank."""
+    raw = spark.read.text(path).filter(F.trim("value") != "")
+    line = F.regexp_replace("value", "^\ufeff|\r$", "")
+    rows = raw.select(F.col("_metadata.file_path").alias("_file"), csv_fields(line).alias("_v"))
+    # array_contains is NULL (not false) when the array holds NULLs
+    return rows.withColumn("_is_header", F.coalesce(F.array_contains(F.col("_v"), header_key), F.lit(False)))
+
+
+def headerless_files(spark: SparkSession, path: str, header_key: str = "surname") -> DataFrame:
+    """(file, n_rows) of the files of a folder that :func:`read_round_csvs`
+    can't read, as no row of theirs names the columns."""
+    lines = _lines(spark, path, header_key)
+    each = lines.groupBy(F.col("_file").alias("file")).agg(F.max("_is_header").alias("_h"), F.count("*").alias("n_rows"))
+    return each.where(~F.col("_h")).select("file", "n_rows")
+
+
 def read_round_csvs(
     spark: SparkSession,
     path: str,
     columns: Sequence[str] = GRADE_COLUMNS,
     numeric: Sequence[str] = GRADE_NUMERIC,
     header_key: str = "surname",
+    fail: bool = False,
 ) -> DataFrame:
     """Read a directory of per-round CSV files whose headers may differ
     (some files carry a leading unnamed index column).
@@ -51,14 +69,15 @@ def read_round_csvs(
     position its file's header gives.  No per-file loop on the
     driver; the header table has one row per file.  ``season`` and
     ``match`` come from the file name ``a<season>_m<round>.csv``.
+
+    Files without a header row give no rows (:func:`headerless_files` names
+    them); with ``fail`` they raise an error.
     """
-    raw = spark.read.text(path).filter(F.trim("value") != "")
-    line = F.regexp_replace("value", "^\ufeff|\r$", "")
-    rows = raw.select(F.col("_metadata.file_path").alias("_file"), csv_fields(line).alias("_v"))
-    # array_contains is NULL (not false) when the array holds NULLs
-    is_header = F.coalesce(F.array_contains(F.col("_v"), header_key), F.lit(False))
-    headers = rows.filter(is_header).select("_file", F.col("_v").alias("_h"))
-    data = rows.filter(~is_header).join(headers, "_file")
+    if fail and (bad := headerless_files(spark, path, header_key).orderBy("file").take(5)):
+        raise ValueError(f"no row with {header_key!r} in {[r['file'] for r in bad]}")
+    rows = _lines(spark, path, header_key)
+    headers = rows.filter("_is_header").select("_file", F.col("_v").alias("_h"))
+    data = rows.filter("not _is_header").join(headers, "_file")
     out = []
     for c in columns:
         pos = F.array_position(F.col("_h"), c).cast("int")

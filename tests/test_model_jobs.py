@@ -84,6 +84,18 @@ def test_search_rows(spark, short):
     assert all(r["mse"] >= 0 for r in rows if r["n_rows"])
 
 
+def test_permutation_importance_equals_copied_rows(spark, short):
+    from matchday.ml.explain import permutation_importance
+
+    got = {r["feature"]: r for r in MJ.q30_permutation_importance(spark, SF).collect()}
+    test, feats = MJ._rows(spark, SF, "test")
+    want = permutation_importance(MJ._model(spark, MJ._training_job(spark, SF, params=MJ.TRIAL)), test, feats, "row_id").collect()
+    assert len(got) == len(want) == len(feats)
+    for r in want:
+        g = got[r["feature"]]
+        assert g["base_accuracy"] == pytest.approx(r["base_accuracy"]) and g["permuted_accuracy"] == pytest.approx(r["permuted_accuracy"])
+
+
 def test_label_codes(spark):
     rows = [(2.5,), (-20.0,), (None,), (0.5,), (2.5,)]
     df = spark.createDataFrame(rows, "lab double").withColumn("label", F.lit("old"))

@@ -84,3 +84,16 @@ def test_streamed_features_equal_the_batch_job(spark):
 
     a, b = QUERIES["q38_stream_features"](spark, SF), QUERIES["q01_player_features"](spark, SF)
     assert a.count() == b.count() > 0 and a.exceptAll(b.select(*a.columns)).isEmpty()
+
+
+def test_files_without_a_header_are_named(spark, tmpdir_path):
+    from matchday.sources.landing import GRADE_COLUMNS, headerless_files, read_round_csvs
+
+    row = "t1,a,b,P,6,0,0,0,0,0,0,0,6\n"
+    for name, text in (("a2024_m1.csv", ",".join(GRADE_COLUMNS) + "\n" + row), ("a2024_m2.csv", row * 2)):
+        with open(os.path.join(tmpdir_path, name), "w") as f:
+            f.write(text)
+    assert [(r["file"].rsplit("/", 1)[1], r["n_rows"]) for r in headerless_files(spark, tmpdir_path).collect()] == [("a2024_m2.csv", 2)]
+    assert read_round_csvs(spark, tmpdir_path).count() == 1
+    with pytest.raises(ValueError, match="a2024_m2"):
+        read_round_csvs(spark, tmpdir_path, fail=True)
