@@ -91,6 +91,14 @@ def metadata(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_
     same = ["text_crc32", "size"]
     first = base.groupBy(*same).agg(F.min("d0").alias("d0"), F.min("d1").alias("d1"))
     base = base.drop("d0", "d1").join(first, same)
+    # rows that share id and text: only they need their place, the others' keys don't depend on the layout
+    again = base.groupBy("doc_id", *same).agg(F.count("*").alias("_n")).where("_n > 1")
+    again = keep(again.select(*[F.col(c).alias(f"_{c}") for c in ("doc_id", *same)], F.lit(1).alias("_again")), "repeats")
+    equal = F.col("doc_id").eqNullSafe(F.col("_doc_id"))
+    for c in same:
+        equal = equal & (F.col(c) == F.col(f"_{c}"))
+    base = base.join(again, equal, "left")
+    place = F.when(F.col("_again") == 1, hash31(F.monotonically_increasing_id(), F.lit("place"))).otherwise(0)
     half = F.shiftright("text_crc32", 1)
     return base.select(
         "doc_id", "size", "text_crc32",
@@ -98,7 +106,7 @@ def metadata(docs: DataFrame, id_col: str, text_col: str, source_col: str, lang_
         (F.shiftleft("d1", 31) + half).alias("k1"),
         (F.shiftleft(F.floor(F.log2(F.col("size").cast("double")) * (1 << 20)).cast("long"), 31) + half).alias("k2"),
         (F.shiftleft(F.shiftright("text_crc32", 1), 31) + half).alias("k3"),
-        hash31(F.coalesce("doc_id", F.lit(-1)), F.lit("shard")).alias("tie"),
+        (F.shiftleft(hash31(F.coalesce("doc_id", F.lit(-1)), F.lit("shard")), 31) + place).alias("tie"),
     )
 
 
@@ -211,10 +219,10 @@ def _narrow(n: Node, hist: dict[int, tuple[int, int, int]], leaf_bytes: float) -
         if n.tie:
             n.tie_at = cut
         else:
-            n.at, n.tie_at = cut, (1 << 31)
-    elif single:  # a group of equal texts, cut by the hash of the ids
+            n.at, n.tie_at = cut, 1 << 62
+    elif single:  # a group of equal texts, cut by the hash of the ids, or of the places of rows that share one
         n.tie, n.at, n.below = True, low, total
-        n.low, n.high = 0, (1 << 31) - 1
+        n.low, n.high = 0, (1 << 62) - 1
     else:
         n.low, n.high, n.below = low, high, total
 
@@ -242,7 +250,7 @@ def kd_shards(
     rows = table.withColumn("shard", _number(root, lambda n: n.shard).cast("int"))
     n_rows = table.count()
     rows = running_sum(
-        rows.select("doc_id", "size", "text_crc32", "shard", "tie"), ["shard"], F.col("tie"),
-        [F.col("doc_id"), F.col("size"), F.col("text_crc32")], {"slot": F.lit(1).cast("long")}, n_rows,
+        rows.select("doc_id", "size", "text_crc32", "shard", "tie"), ["shard"], hash31("tie"),
+        [F.col("tie"), F.col("doc_id"), F.col("size"), F.col("text_crc32")], {"slot": F.lit(1).cast("long")}, n_rows,
     )
     return rows.select("doc_id", "size", "text_crc32", "shard", F.col("slot").cast("long").alias("slot"))
