@@ -17,6 +17,7 @@ import bz2
 import hashlib
 import lzma
 import re
+import sys
 import zlib
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -40,7 +41,8 @@ ASSIGN_LEAST = 6
 
 #: a decompressed layer larger than this is counted and read as a stream of
 #: blocks (a quarter of it, half a block of overlap), so that a decompression
-#: bomb takes time but no memory; all other layers are read in one piece
+#: bomb takes time but no memory; all other layers are read in one piece (and
+#: all layers are if the limit is None)
 MAX_LAYER = 64 << 20
 MIN_BLOCK = 1 << 16
 #: a decompressor gives at most so many bytes at once
@@ -55,8 +57,9 @@ _ESCAPE = re.compile(
 _WIDE = re.compile(r"[\t\r\n -~](?:(?:\0[\t\r\n -~]){5,}|(?:\0{3}[\t\r\n -~]){5,})")
 _BASE64 = re.compile(r"[A-Za-z0-9+/]{16,}={0,2}")
 _BASE64_URL = re.compile(r"[A-Za-z0-9_-]{16,}={0,2}")
-_BASE64_LINES = re.compile(r"(?:[A-Za-z0-9+/]{76}\r?\n)+[A-Za-z0-9+/]+={0,2}|(?:[A-Za-z0-9+/]{64}\r?\n)+[A-Za-z0-9+/]+={0,2}")
-_FULL_LINE = re.compile(r"(?<=[A-Za-z0-9+/]{64})\r?\n")
+#: lines of base64, broken by line ends or by escaped ones
+_BREAK = re.compile(r"\r?\n|(?:\\r)?\\n")
+_BASE64_LINES = re.compile(r"[A-Za-z0-9+/]{16,}(?:(?:\r?\n|(?:\\r)?\\n)[A-Za-z0-9+/]+)+={0,2}")
 
 #: the first bytes of compressed data, with some of them escaped, to the end of the word or quotation
 _URL_PACKED = re.compile(
@@ -190,6 +193,32 @@ def _unescape(layer: Layer, decompressed) -> Iterator:
         yield _splice(layer, parts)
 
 
+def _even_lines(text: str, a: int, b: int) -> Iterator[tuple[int, int]]:
+    """Stretches of the lines in text[a:b] that are equally wide but for a
+    shorter last one; the first may have other letters in front."""
+    lines, at = [], a
+    for m in _BREAK.finditer(text, a, b):
+        lines.append((at, m.start()))
+        at = m.end()
+    lines.append((at, b))
+    i = 0
+    while i + 1 < len(lines):
+        start, end = lines[i]
+        width = lines[i + 1][1] - lines[i + 1][0]
+        body = len(text[lines[i + 1][0] : lines[i + 1][1]].rstrip("="))
+        j = i + 1
+        if i + 2 < len(lines) and body == width >= 16 and end - start >= width:  # full lines follow
+            while j < len(lines) and lines[j][1] - lines[j][0] == width:
+                j += 1
+            if j < len(lines) and lines[j][1] - lines[j][0] < width:
+                j += 1
+            yield max(start, end - width), lines[j - 1][1]
+        elif width <= end - start:  # two lines: the first is the full one
+            j = i + 2
+            yield start, lines[i + 1][1]
+        i = j
+
+
 def _is_text(data: bytes) -> bool:
     """Whether decoded bytes read as text: chance rarely makes such."""
     try:
@@ -305,10 +334,11 @@ def packed_size(data: bytes) -> int:
 class Scanner:
     """Finds of one text and, by the worklist, of all layers inside it."""
 
-    def __init__(self, text: str, limit: int = MAX_LAYER):
+    def __init__(self, text: str, limit: int | None = MAX_LAYER):
         self.base = base_spans(text)
         self.spans = set(self.base)
         self.layers = self.oversize = 0
+        limit = sys.maxsize if limit is None else limit
         self.limit, self.block = limit, max(limit // 4, MIN_BLOCK)
         self._seen: set[tuple[bytes, int, int]] = set()
         n = len(text)
@@ -410,23 +440,38 @@ class Scanner:
                 size = packed_size(data)  # what follows the data on its line is not part of it
                 yield self._content(data[:size], int(layer.start[m.start()]), int(layer.end[m.start() + ends[size - 1] - 1]))
         done: set[tuple[int, int]] = set()
-        for pattern in (_BASE64_LINES, _BASE64, _BASE64_URL):
-            at = 0
-            if pattern is _BASE64_LINES:  # its first line ends at the first of these, if at all
-                first = _FULL_LINE.search(layer.text)
-                at = max(0, first.start() - 76) if first else len(layer.text)
-            for m in pattern.finditer(layer.text, at):
+        if "\n" in layer.text or "\\n" in layer.text:
+            for m in _BASE64_LINES.finditer(layer.text):
+                for a, b in _even_lines(layer.text, m.start(), m.end()):
+                    done.add((a, b))
+                    yield from self._aligned(layer, a, b)
+        for pattern in (_BASE64, _BASE64_URL):
+            for m in pattern.finditer(layer.text):
                 if m.span() not in done:
                     done.add(m.span())
-                    yield from self._base64(layer, m.start(), m.end())
+                    yield from self._aligned(layer, m.start(), m.end())
+
+    def _aligned(self, layer: Layer, a: int, b: int) -> Iterator:
+        """What a run of base64 letters holds.  Letters before the data can
+        shift it, so the later alignments are tried if the first reads as
+        nothing."""
+        for shift in range(min(4, b - a - 15)):
+            found = False
+            for inner in self._base64(layer, a + shift, b):
+                found = True
+                yield inner
+            if found:
+                return
 
     def _base64(self, layer: Layer, a: int, b: int) -> Iterator:
         raw = layer.text[a:b]
         at = np.arange(a, b)
-        if "\n" in raw:
-            solid = [i for i, c in enumerate(raw) if c not in "\r\n"]
+        if breaks := list(_BREAK.finditer(raw)):
+            solid = np.ones(len(raw), bool)
+            for m in breaks:
+                solid[m.start() : m.end()] = False
             at = at[solid]
-            raw = "".join(raw[i] for i in solid)
+            raw = _BREAK.sub("", raw)
         body = raw.rstrip("=")
         if len(body) % 4 == 1:
             return
@@ -463,7 +508,7 @@ def joined(spans: list[tuple[int, int, int]]) -> str:
 _SCHEMA = "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_layers long, n_oversize long"
 
 
-def _scan(limit: int):
+def _scan(limit: int | None):
     def run(batches):
         for batch in batches:
             rows: list[list] = [[] for _ in range(7)]
@@ -485,10 +530,11 @@ def _scan(limit: int):
     return run
 
 
-def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int = MAX_LAYER) -> DataFrame:
+def scan_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", limit: int | None = MAX_LAYER) -> DataFrame:
     """Per row doc_id, counts and digest of the finds in the text as it is
     (n_assign, n_access, n_hex, base_sha256), all spans with those behind
-    layers, n_layers and n_oversize (layers above ``limit``, scanned in blocks).
+    layers, n_layers and n_oversize (layers above ``limit``, scanned in blocks; with
+    None every layer is read whole, however much memory that takes).
 
     Spans are code points of the text, end exclusive.  Null texts count as
     empty: no finds.  Null ids pass through, repeated rows are scanned each,
