@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from matchday.llm.common import keep, md5_31, running_sum
+from matchday.llm.common import keep, md5_31, release, running_sum
 
 #: weights of the sources in code-point order, repeating
 WEIGHTS = (1, 2, 3)
@@ -104,24 +105,31 @@ def due_time(share: Column, knots: Sequence[tuple[float, float]]) -> Column:
     return out
 
 
-def _plan(docs, id_col, text_col, source_col, weights, schedules, max_epochs, carry: bool) -> DataFrame:
+def _key(doc_id: Column) -> Column:
+    """Where a document stands among its source's: a uniform hash of its id."""
+    return md5_31(F.concat(F.coalesce(doc_id.cast("string"), F.lit("")), F.lit("|mix")))
+
+
+def _plan(docs, id_col, text_col, source_col, weights, schedules, max_epochs, place: Sequence[Column] = ()) -> DataFrame:
+    """Narrow: the texts are read once.  ``place``: columns that tell rows
+    apart that have id, size and checksum in common (as _p0, _p1, ...)."""
     text = F.col(text_col).cast("string")
+    more = [f"_p{i}" for i in range(len(place))]
     base = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
         F.col(source_col).cast("string").alias("source"),
         n_words(text).alias("size"),
         F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("_crc"),
-        *([F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")] if carry else []),
+        *[c.alias(n) for c, n in zip(place, more, strict=True)],
     )
-    if not carry:  # narrow: read the texts once
-        base = keep(base, "sizes")
+    base = keep(base, "sizes")
     sizes = base.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n"))
     sizes = keep(sizes, "sizes")
     n_rows = int(sizes.agg(F.sum("n")).first()[0] or 0)
     targets = keep(source_targets(sizes.select("source", "source_size"), weights, max_epochs), "targets")
     ordered = running_sum(
-        base, ["source"], md5_31(F.concat(F.coalesce(F.col("doc_id").cast("string"), F.lit("")), F.lit("|mix"))),
-        [F.col("doc_id"), F.col("size"), F.col("_crc")], {"before": F.col("size")}, n_rows,
+        base, ["source"], _key(F.col("doc_id")), [F.col(c) for c in ("doc_id", "size", "_crc", *more)],
+        {"before": F.col("size")}, n_rows,
     )
     t = targets.select(F.col("source").alias("_s"), "source_size", "target", "class")
     rows = ordered.join(t, F.col("source").eqNullSafe(F.col("_s")), "left")
@@ -133,7 +141,7 @@ def _plan(docs, id_col, text_col, source_col, weights, schedules, max_epochs, ca
         copies = copies + (part > 0).cast("int")
     rows = rows.withColumn("taken", taken.cast("long")).withColumn("copies", copies.cast("int"))
     rows = rows.withColumn("position", position_of(F.lit(0), schedules))
-    return rows.drop("_s", "_crc")
+    return rows.drop("_s")
 
 
 def curriculum(
@@ -158,7 +166,7 @@ def curriculum(
     without words take nothing (null position) and repeated rows count as
     rows.  Further columns of ``docs`` are not looked at.
     """
-    rows = _plan(docs, id_col, text_col, source_col, weights, schedules, max_epochs, carry=False)
+    rows = _plan(docs, id_col, text_col, source_col, weights, schedules, max_epochs)
     rows = rows.select("doc_id", "source", "size", "source_size", "target", "taken", "copies", "position")
     order = [F.col("position").asc_nulls_last(), F.col("doc_id").asc_nulls_last()]
     return rows.repartitionByRange(*order).sortWithinPartitions(*order)
@@ -191,15 +199,74 @@ def mixed_documents(
 ) -> DataFrame:
     """The training sequence: a row of ``docs`` for each copy taken, sorted
     by the time it is due.  The one copy of a source that its target cuts has
-    only the words taken of it; cases as in :func:`curriculum`."""
-    rows = _plan(docs, id_col, text_col, source_col, weights, schedules, max_epochs, carry=True)
-    rows = rows.where("copies > 0").withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    only the words taken of it; cases as in :func:`curriculum`.
+
+    The plan is made from narrow rows: these are sorted by time over ranges,
+    and a range holds of each copy of a source one stretch of its documents'
+    order.  The stretches (sources x copies x ranges rows at most) tell every
+    text its ranges, so a text is dealt out once for each copy, and the
+    running sum goes on inside the range from the stretch's own beginning.
+    """
+    spark = docs.sparkSession
+    place = _place(docs)
+    if place is None:
+        docs = keep(docs, "documents")
+        place = _place(docs)
+    ranges = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    bits = max(0, (ranges - 1).bit_length())
+    names = ["_doc", "size", "_crc", *[f"_p{i}" for i in range(len(place))]]
+
+    def keyed(rows: DataFrame) -> DataFrame:
+        # a null id is ordered first, as the running sum does
+        rows = rows.withColumn("_doc", F.struct(F.col("doc_id").isNotNull(), F.coalesce("doc_id", F.lit(0))))
+        return rows.withColumn("_k", F.struct(_key(F.col("doc_id")).alias("h"), *[F.col(n) for n in names])).drop("_doc")
+
+    plan = _plan(docs, id_col, text_col, source_col, weights, schedules, max_epochs, place).where("copies > 0")
+    plan = keyed(plan).withColumn("_copy", F.explode(F.sequence(F.lit(0), F.col("copies") - 1)))
+    plan = plan.withColumn("_due", position_of(F.col("_copy"), schedules))
+    plan = plan.repartitionByRange(ranges, "_due", "source", "_copy", "_k").withColumn("_part", F.spark_partition_id())
+    plan = keep(plan.select("source", "_copy", "_k", "before", "source_size", "target", "class", "_part"), "plan")
+    at = plan.groupBy(F.col("source").alias("_s"), "_copy", "_part").agg(
+        F.min("_k").alias("_lo"), F.max("_k").alias("_hi"), F.min("before").alias("_from"),
+        *[F.first(c).alias(c) for c in ("source_size", "target", "class")],
+    )
+
+    def bucket(key: Column) -> Column:
+        return F.shiftright(key["h"], 31 - bits).cast("int")
+
+    at = keep(at.withColumn("_b", F.explode(F.sequence(bucket(F.col("_lo")), bucket(F.col("_hi"))))), "stretches")
+    release(plan)
+    text = F.col(text_col).cast("string")
+    rows = docs.select(
+        F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), n_words(text).alias("size"),
+        F.crc32(F.coalesce(text, F.lit("")).cast("binary")).alias("_crc"), *[c.alias(f"_p{i}") for i, c in enumerate(place)],
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row"),
+    )
+    rows = keyed(rows.where("size > 0")).withColumn("_kb", bucket(F.col("_k")))
+    rows = rows.join(
+        at, F.col("source").eqNullSafe(F.col("_s")) & (F.col("_kb") == F.col("_b")) & F.col("_k").between(F.col("_lo"), F.col("_hi"))
+    )
+    rows = rows.select("doc_id", "source", "size", "_k", "_row", "_copy", "_part", "_from", "source_size", "target", "class")
+    rows = rows.repartitionById(ranges, "_part")
+    inside = Window.partitionBy("_part", "source", "_copy").orderBy("_k").rowsBetween(Window.unboundedPreceding, -1)
+    rows = rows.withColumn("before", F.col("_from") + F.coalesce(F.sum("size").over(inside), F.lit(0)))
     want = F.round("target").cast("long")
-    part = F.least(want - F.col("source_size") * F.col("_copy") - F.col("before"), F.col("size"))
-    rows = rows.withColumn("_due", position_of(F.col("_copy"), schedules)).withColumn("_part", part)
-    rows = rows.repartitionByRange("_due", "doc_id").sortWithinPartitions("_due", "doc_id")
+    rows = rows.withColumn("_taken", F.least(want - F.col("source_size") * F.col("_copy") - F.col("before"), F.col("size")))
+    rows = rows.withColumn("_due", position_of(F.col("_copy"), schedules)).sortWithinPartitions("_due", "source", "_copy", "_k")
     text = F.col(f"_row.`{text_col}`").cast("string")
     # the words of the cut copy, with one space between them
-    words = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})"), 1), F.lit(1), F.col("_part").cast("int")), " ")
-    cut = F.when(F.col("_part") >= F.col("size"), text).otherwise(words)
+    words = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(f"({WORD})"), 1), F.lit(1), F.col("_taken").cast("int")), " ")
+    cut = F.when(F.col("_taken") >= F.col("size"), text).otherwise(words)
     return rows.select(*[cut.alias(c) if c == text_col else F.col(f"_row.`{c}`").alias(c) for c in docs.columns])
+
+
+def _place(docs: DataFrame) -> list[Column] | None:
+    """File and row of a table read from Parquet, None for other tables."""
+    place = [F.xxhash64(F.col("_metadata.file_path")), F.col("_metadata.row_index")]
+    if "_metadata" in docs.columns:
+        return None
+    try:
+        docs.select(*place).schema  # noqa: B018 - analysed here
+    except AnalysisException:
+        return None
+    return place

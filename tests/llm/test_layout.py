@@ -1,6 +1,7 @@
 """Operators 4, 8 and 10 and the pipeline."""
 
 import collections
+import hashlib
 import re
 import zlib
 
@@ -86,6 +87,51 @@ def test_mix_reaches_the_targets(spark, per_bucket, monkeypatch):
     assert words == +taken
 
 
+def _sequence(rows):
+    """The training sequence by hand: (due, id, text) of every copy, in order."""
+    sizes = collections.Counter()
+    for _, text, _, s, _ in rows:
+        sizes[s] += len((text or "").split())
+    target, out = _targets(sizes), []
+    names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    due = [lambda x: 2 * x / (1.5 + max(2.25 - 2 * x, 0) ** 0.5), lambda x: x, lambda x: 2 * x / (0.5 + (0.25 + 2 * x) ** 0.5)]
+    for k, s in enumerate(names):
+        mine = [(i, t or "", len((t or "").split())) for i, t, _, source, _ in rows if source == s]
+        md5 = lambda i: int(hashlib.md5(f"{'' if i is None else i}|mix".encode()).hexdigest()[:8], 16) >> 1
+        mine.sort(key=lambda r: (md5(r[0]), r[0] is not None, r[0] or 0, r[2], zlib.crc32(r[1].encode())))
+        want, done = round(target[s]), 0
+        while want and done < want:
+            for i, t, n in mine:
+                part = min(want - done, n)
+                if part > 0:
+                    out.append((due[k % 3]((done + part / 2) / want), i, t if part == n else " ".join(t.split()[:part])))
+                done += part
+    return out
+
+
+@pytest.mark.parametrize("parts", [1, 3, 8])
+def test_mixed_documents_are_the_sequence(spark, parts, tmp_path):
+    rows = [(i, "w%d " % i * (1 + i * 7 % 40), "en", s, 0) for i, s in enumerate(["a"] * 160 + ["b"] * 3 + ["c"] * 9 + [None] * 20 + ["z"])]
+    rows += [(7, "same id other text", "en", "a", 0), (None, "no id", "en", "a", 0), (None, "no id either", "en", "a", 0), (900, " ", "en", "a", 0)]
+    rows += [(1000, "again and again", "en", "b", 0)] * 30  # repeated rows
+    old = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", str(parts))
+    try:
+        spark.createDataFrame(rows, SCHEMA).repartition(5).write.parquet(str(tmp_path / "docs"))
+        for table in (spark.createDataFrame(rows, SCHEMA), spark.read.parquet(str(tmp_path / "docs"))):
+            got = [(r["doc_id"], r["text"]) for r in op04_mix.mixed_documents(table).collect()]
+            want = _sequence(rows)
+            assert collections.Counter(got) == collections.Counter((i, t) for _, i, t in want)
+            dues = collections.defaultdict(list)
+            for d, i, t in sorted(want, key=lambda r: r[0]):
+                dues[i, t].append(d)
+            # in the order of the times: each row's next time is not before the one before it
+            times = [dues[r].pop(0) for r in got]
+            assert all(b >= a - 1e-9 for a, b in zip(times, times[1:], strict=False))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", old)
+
+
 def test_due_time_inverts_the_integral(spark):
     knots = ((0.0, 0.0), (0.25, 2.0), (0.5, 0.0), (1.0, 1.0))
     shares = spark.createDataFrame([(i / 200,) for i in range(201)], "s double")
@@ -113,6 +159,28 @@ def test_mix_odd_rows(spark):
 # ------------------------------------------------------------ shards
 
 
+@pytest.mark.parametrize("one", [None, 77])
+def test_copies_under_one_id_are_cut_for_balance(spark, one):
+    rows = [(10_000 + i, f"own text {i} " * 3, "en", f"s{i % 5}", 0) for i in range(900)]
+    rows += [(one, "a hot copy of a text " * 2, "en", "s1", 0)] * 500
+    got = op08_shards.kd_shards(spark.createDataFrame(rows, SCHEMA).repartition(5), shards=24).collect()
+    total, slots = collections.Counter(), collections.defaultdict(list)
+    for r in got:
+        total[r["shard"]] += r["size"]
+        slots[r["shard"]].append(r["slot"])
+    mean = sum(total.values()) / 24
+    assert len(got) == 1400 and len(total) == 24
+    assert all(0.9 * mean <= v <= 1.1 * mean for v in total.values()), sorted(total.values())
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+
+
+def test_shards_of_unique_rows_do_not_depend_on_the_layout(spark):
+    rows = [(i, f"text {i % 90} " * (1 + i % 7), "en", f"s{i % 3}", 0) for i in range(400)]
+    df = spark.createDataFrame(rows, SCHEMA)
+    a, b = (sorted(map(tuple, op08_shards.kd_shards(x, shards=7).collect())) for x in (df.repartition(2), df.repartition(9)))
+    assert a == b
+
+
 def test_shards_are_even_and_keep_equal_texts(spark):
     rows = [(i, "text %d " % (i % 450) * (1 + i % 17), ["en", "de"][i % 3 == 0], f"s{i % 5}", 0) for i in range(900)]
     rows += [(2000 + i, "a hot copy of a text " * 5, "en", "s1", 0) for i in range(500)]
