@@ -4,9 +4,9 @@ Pages are grouped by host.  For each line the number of the host's pages
 that contain it is divided by the host's page total; lines above the
 boilerplate ratio are dropped from the pages of that host.
 
-A page is taken apart once: it is written with one hash per line (null: a
-blank line).  Counting reads hosts and hashes only, dropping looks a line up
-by its place.
+A page has one hash per line (null: a blank line).  Counting needs hosts and
+hashes only, dropping looks a line up by its place.  Texts are read twice, not
+written; a caller that makes them at some cost writes them first.
 """
 
 from __future__ import annotations
@@ -70,12 +70,12 @@ def line_hashes(text: Column) -> Column:
 
 
 def taken_apart(pages: DataFrame, host: Column, text_col: str) -> DataFrame:
-    """The written table (_host, _text, _keys, _row) of ``pages``."""
+    """``pages`` as (_host, _text, _row, _keys)."""
     rows = pages.select(
         host.alias("_host"), F.col(text_col).cast("string").alias("_text"),
         F.struct(*[F.col(f"`{c}`") for c in pages.columns if c != text_col], F.lit(0).alias("_")).alias("_row"),
     )
-    return keep(rows.withColumn("_keys", line_hashes(F.col("_text"))), "pages")
+    return rows.withColumn("_keys", line_hashes(F.col("_text")))
 
 
 def boilerplate_lines(rows: DataFrame, ratio: float = RATIO, min_pages: int = MIN_PAGES) -> DataFrame:
