@@ -16,6 +16,7 @@ import re
 import struct
 from collections.abc import Iterator
 from dataclasses import dataclass, field
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ MARK = "\u2581"
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: words whose ids a task remembers
-REMEMBER = 100_000
+REMEMBER = 150_000
 
 
 # --------------------------------------------------------------- the model file
@@ -163,17 +164,20 @@ class Codec:
         self.model = PieceModel.parse(data)
         self.tok = build_tokenizer(self.model)
         self.by_word = _splits_at_marks(self.model)
-        #: whether normalising loses nothing of a text
-        self.exact = self.tok.normalizer is None and not self.model.squeeze_spaces
-        self.ids: dict[str, bytes] = {}  # of a word, as little-endian 32-bit integers
-        self.bad: set[str] = set()
-        self.lossy: set[str] = set()
+        self._forget()
+        self.bytes, self.byte_start = _surfaces(self.model)
         self.own = None
         if verify:
             import sentencepiece
 
             self.own = sentencepiece.SentencePieceProcessor(model_proto=data)
 
+    def _forget(self) -> None:
+        self.place: dict[str, int] = {}  # of a word among those known
+        self.ids = np.zeros(0, np.int32)  # of all known words, one after the other
+        self.start = np.zeros(1, np.int64)
+        self.agreed = np.zeros(0, bool)  # whether both libraries give the word the same ids
+
     def normalise(self, text: str) -> str:
         """The text as the model's settings ask, with marks for spaces."""
         if self.tok.normalizer is not None:
@@ -193,54 +197,70 @@ class Codec:
             return []
         return _WORDS.findall(marked) if self.by_word else [marked]
 
-    def _learn(self, words: list[str]) -> None:
-        if len(self.ids) > REMEMBER:
-            self.ids.clear()
-            self.bad.clear()
-            self.lossy.clear()
-        words = [w for w in words if w not in self.ids]
-        for k in range(0, len(words), 5_000):
-            part = words[k : k + 5_000]
-            for word, got in zip(part, self.tok.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                self.ids[word] = np.array(got.ids, "<i4").tobytes()
-            if self.own is not None:
-                self._compare(part)
-            back = self.tok.decode_batch([np.frombuffer(self.ids[w], "<i4").tolist() for w in part], skip_special_tokens=False)
-            self.lossy.update(w for w, b in zip(part, back, strict=True) if w != b)
-
-    def _compare(self, words: list[str]) -> None:
-        """Parity with the SentencePiece library; words as it takes them (a
-        mark alone it never gets to see: an empty text has no pieces)."""
+    def _learn(self, words: set[str]) -> None:
+        if len(self.place) > REMEMBER:
+            self._forget()
+        new = [w for w in words if w not in self.place]
+        ids, sizes, agreed = [self.ids], [], [self.agreed]
+        for k in range(0, len(new), 5_000):
+            part = new[k : k + 5_000]
+            got = [e.ids for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
+            flat, size = _flat(got)
+            ids.append(flat)
+            sizes.append(size)
+            agreed.append(self._same(part, flat, size))
+        if new:
+            self.place.update(zip(new, range(len(self.place), len(self.place) + len(new)), strict=True))
+            self.ids = np.concatenate(ids)
+            self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.concatenate(sizes))])
+            self.agreed = np.concatenate(agreed)
+
+    def _same(self, words: list[str], flat: np.ndarray, size: np.ndarray) -> np.ndarray:
+        """Per word, whether the SentencePiece library has the same ids; words
+        as it takes them (a mark alone it never gets to see: an empty text has
+        no pieces)."""
         m = self.model
-        plain = []
-        for w in words:
-            text = w.replace(MARK, " ") if m.escape_spaces else w
-            plain.append(text[1:] if m.dummy_prefix and text.startswith(" ") else text)
-        for word, want in zip(words, self.own.encode(plain, num_threads=1), strict=True):
-            if word.startswith(MARK) and word != MARK or not m.dummy_prefix:
-                own = np.array(want, "<i4").tobytes()
-                if own != self.ids[word]:
-                    self.bad.add(word)
-                    self.ids[word] = own  # the library's answer holds
+        if self.own is None:
+            return np.ones(len(words), bool)
+        plain = [w.replace(MARK, " ") for w in words] if m.escape_spaces else words
+        if m.dummy_prefix:
+            plain = [t[1:] if t.startswith(" ") else t for t in plain]
+        theirs, count = _flat(self.own.encode(plain, num_threads=1))
+        out = count == size
+        if out.all() and np.array_equal(theirs, flat):
+            return out
+        mine, other = np.cumsum(size) - size, np.cumsum(count) - count
+        for i in np.flatnonzero(out).tolist():
+            out[i] = np.array_equal(flat[mine[i] : mine[i] + size[i]], theirs[other[i] : other[i] + count[i]])
+        if m.dummy_prefix:  # not at the beginning of a text, or a mark alone: nothing to compare with
+            out |= np.array([not w.startswith(MARK) or w == MARK for w in words], bool)
+        return out
 
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool], list[bool]]:
-        """Per text its ids, whether both libraries agreed, and whether
-        decoding gives the text back: all its words come back (no byte
-        sequence crosses a word), and no mark in it would become a space."""
+        """Per text its ids, whether both libraries agree on all its words,
+        and whether its ids, decoded, give the text back."""
         split = [self.split(t) for t in texts]
-        self._learn(list({w for words in split for w in words}))
-        ids = [
-            np.frombuffer(b"".join(map(self.ids.__getitem__, words)), "<i4") if words else np.zeros(0, np.int32)
-            for words in split
-        ]
-        agreed = [not self.bad or not any(w in self.bad for w in words) for words in split]
-        whole = [
-            not (self.model.escape_spaces and MARK in t)
-            and (self.exact or self.normalise(t) == self.normalise_spaces(t))
-            and not (self.lossy and any(w in self.lossy for w in words))
-            for t, words in zip(texts, split, strict=True)
-        ]
-        return ids, agreed, whole
+        self._learn({w for words in split for w in words})
+        counts = np.array([len(words) for words in split], np.int64)
+        words = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        flat, size = _gather(self.ids, self.start, words)
+        upto = np.concatenate([[0], np.cumsum(size)])
+        border = np.concatenate([[0], np.cumsum(counts)])
+        ends = upto[border]
+        ids = [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)]
+        missed = np.concatenate([[0], np.cumsum(~self.agreed[words])])[border]
+        back = self._decoded(flat, ends)
+        whole = [t.encode("utf-8", "surrogatepass") == b for t, b in zip(texts, back, strict=True)]
+        return ids, (np.diff(missed) == 0).tolist(), whole
+
+    def _decoded(self, flat: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        """Per text the bytes of its pieces one after the other, without the
+        space that encoding put in front."""
+        raw, size = _gather(self.bytes, self.byte_start, flat)
+        at = np.concatenate([[0], np.cumsum(size)])[ends].tolist()
+        raw = raw.tobytes()
+        out = [raw[a:b] for a, b in zip(at, at[1:], strict=False)]
+        return [x[1:] if x.startswith(b" ") else x for x in out] if self.model.dummy_prefix else out
 
     def decode(self, ids: list[np.ndarray]) -> list[str]:
         """Per row of ids the text: pieces joined, bytes put together, marks
@@ -252,16 +272,44 @@ class Codec:
         return out
 
 
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All ids, and how many each list has."""
+    size = np.fromiter(map(len, lists), np.int64, len(lists))
+    return np.fromiter(chain.from_iterable(lists), np.int32, int(size.sum())), size
+
+
+def _gather(values: np.ndarray, start: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs values[start[i]:start[i + 1]] of ``which``, one after the other, and their sizes."""
+    begin = start[which]
+    size = start[which + 1] - begin
+    return values[np.repeat(begin - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))], size
+
+
+def _surfaces(model: PieceModel) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, borders): what each piece decodes to."""
+    out = []
+    for piece, _, kind in model.pieces:
+        if kind == BYTE:
+            out.append(bytes([int(piece[3:5], 16)]))
+        elif kind == UNKNOWN:
+            out.append(" \u2047 ".encode())
+        elif kind == CONTROL:
+            out.append(b"")
+        else:
+            out.append((piece.replace(MARK, " ") if model.escape_spaces else piece).encode())
+    return np.frombuffer(b"".join(out), np.uint8), np.concatenate([[0], np.cumsum([len(x) for x in out])]).astype(np.int64)
+
+
 # --------------------------------------------------------------- Spark
 
 
 def _encode(data, threads: int, verify: bool, with_ids: bool):
     def run(batches):
         codec = Codec(data.value, threads, verify)
-        spoken = {i for i, (_, _, t) in enumerate(codec.model.pieces) if t == BYTE}
+        byte_ids = [i for i, (_, _, t) in enumerate(codec.model.pieces) if t == BYTE]
         unknown = next((i for i, (_, _, t) in enumerate(codec.model.pieces) if t == UNKNOWN), -1)
         is_byte = np.zeros(len(codec.model.pieces) + 1, bool)
-        is_byte[list(spoken)] = True
+        is_byte[byte_ids] = True
         for batch in batches:
             texts = batch.column("text").to_pylist()
             start = 0
@@ -302,8 +350,9 @@ def encode_documents(
 ) -> DataFrame:
     """Per row doc_id, n_tokens, n_bytes (byte-fallback tokens), n_unknown,
     ids_sha256 (of the ids as little-endian 32-bit integers), round_trip
-    (decoding gives the text back), parity (same ids as the SentencePiece
-    library; where not, the ids are that library's) and, if asked, ids.
+    (the document's ids were decoded and gave its text back), parity (the
+    SentencePiece library gives all its words, each by itself, the same ids;
+    where not, the ids are still the rebuilt tokenizer's) and, if asked, ids.
 
     Null and empty texts have no ids and come back as empty texts.  Null ids
     of documents pass through, repeated rows are encoded each, an empty table

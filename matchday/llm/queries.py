@@ -23,6 +23,7 @@ from matchday.llm import (
     op12_toxicity,
     op13_negatives,
 )
+from matchday.llm.common import keep
 
 
 
@@ -42,8 +43,8 @@ def op2_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Token counts and digest of the ids of each document, round trip and parity."""
-    return op03_pieces.encode_documents(_table(spark, sf_dir, "documents"), with_ids=False)
+    """Token ids of each document, their counts and digest, round trip and parity."""
+    return op03_pieces.encode_documents(_table(spark, sf_dir, "documents"), with_ids=True)
 
 
 def op4_curriculum_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -88,7 +89,8 @@ def op10_site_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = _table(spark, sf_dir, "pages").select(
         "page_id", op10_lines.host_of(F.col("url")).alias("host"), op10_lines.html_lines(F.col("html")).alias("text")
     )
-    return op10_lines.drop_boilerplate(pages, "host", "text")
+    # written: the text is taken out of the HTML once, not for counting and again for dropping
+    return op10_lines.drop_boilerplate(keep(pages, "pages"), "host", "text")
 
 
 def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -116,6 +116,29 @@ def test_secrets_in_every_member_are_found(pack):
     assert 0 in {k for _, k, _ in tail.spans}
 
 
+def test_shifted_and_broken_base64_is_read():
+    hidden = "x" * 40 + " " + SECRET + " " + "y" * 90
+    code = _b64(hidden.encode())
+    for front in ("v1", "a", "abc", "v1_"):
+        text = f"see {front}{code} end"
+        at = text.index(code)
+        spans = [(a - at, b - at) for a, k, b in op01_secrets.Scanner(text).spans if k == 0]
+        assert spans, front
+        for a, b in spans:  # the letters that hold the secret
+            assert SECRET in base64.b64decode(code[a // 4 * 4 : -(-b // 4) * 4]).decode()
+    for width in (20, 60, 64, 72, 76, 100):
+        for gap in ("\n", "\r\n", "\\n", "\\r\\n"):
+            lines = gap.join(code[i : i + width] for i in range(0, len(code), width))
+            for text in (lines, f"key: {lines}", f"before\n{lines}\nafter it"):
+                assert any(k == 0 for _, k, _ in op01_secrets.Scanner(text).spans), (width, gap)
+
+
+def test_layers_without_a_limit():
+    whole = gzip.compress(b"a" * 2_000_000 + b" " + SECRET.encode() + b" " + b"b" * 2_000_000)
+    scanner = op01_secrets.Scanner(_b64(whole), limit=None)
+    assert scanner.oversize == 0 and 0 in {k for _, k, _ in scanner.spans}
+
+
 def test_zstandard_frames_with_skipped_ones_and_unknown_size():
     box = zstandard.ZstdCompressor(write_content_size=False)
     data = b"\x50\x2a\x4d\x18\x04\0\0\0abcd" + box.compress(b"one") + b"\x51\x2a\x4d\x18\x01\0\0\0z" + box.compress(SECRET.encode())
@@ -241,7 +264,10 @@ def test_parity_on_odd_spaces_and_symbols():
     assert [b == t for b, t in zip(back, texts, strict=True)] == whole == ["▁" not in t for t in texts]
 
 
-def test_unigram_models_are_rebuilt():
+def _model_file(pieces, kind):
+    """A model file of (piece, score, type) with byte fallback, without squeezing of spaces."""
+    import struct
+
     def number(n):
         out = b""
         while n > 127:
@@ -252,12 +278,51 @@ def test_unigram_models_are_rebuilt():
     def blob(field, data):
         return number(field << 3 | 2) + number(len(data)) + data
 
-    import struct
+    model = b"".join(blob(1, blob(1, p.encode()) + number(2 << 3 | 5) + struct.pack("<f", s) + number(3 << 3) + number(t)) for p, s, t in pieces)
+    return model + blob(2, number(3 << 3) + number(kind) + number(35 << 3) + number(1)) + blob(3, number(3 << 3) + number(1) + number(4 << 3) + number(0))
+
+
+def test_full_size_unigram_model(spark):
+    """The public model's 32,000 pieces with unigram scores."""
+    import math
+
+    import sentencepiece
 
+    given = op03_pieces.PieceModel.parse(open(op03_pieces.MODEL, "rb").read()).pieces
+    pieces = [(p, -math.log(i + 3.0) * (1 + 0.1 / len(p)) if t == op03_pieces.NORMAL else 0.0, t) for i, (p, _, t) in enumerate(given)]
+    model = _model_file(pieces, op03_pieces.UNIGRAM)
+    own, codec = sentencepiece.SentencePieceProcessor(model_proto=model), op03_pieces.Codec(model)
+    texts = [r["text"] or "" for r in spark.read.parquet(f"{SMALL}/documents.parquet").select("text").collect()]
+    texts += ["", " ", "a  b", "🙂 é\t\n", "x" * 3_000]
+    ids, agreed, whole = codec.encode(texts)
+    want = own.encode(texts)
+    # what differs are ties of the two searches (as "%" "%%" and "%%" "%"): equal scores, and no text is lost
+    score = lambda row: sum(pieces[i][1] for i in row)
+    assert all(score(x.tolist()) == pytest.approx(score(w), abs=1e-3) for x, w in zip(ids, want, strict=True))
+    assert sum(x.tolist() == w for x, w in zip(ids, want, strict=True)) >= 0.9 * len(texts)
+    assert sum(agreed) >= 0.95 * len(texts) and all(whole)
+
+
+def test_parity_misses_are_reported_not_overwritten(monkeypatch):
+    data = open(op03_pieces.MODEL, "rb").read()
+    codec = op03_pieces.Codec(data)
+    right = op03_pieces.Codec(data, verify=False).encode(["one two", "three"])[0]
+
+    class Other:
+        def encode(self, words, num_threads=1):
+            return [[1, 2, 3] if w == "two" else codec_ids(w) for w in words]
+
+    plain = op03_pieces.Codec(data).own
+    codec_ids = plain.encode
+    codec.own = Other()
+    ids, agreed, whole = codec.encode(["one two", "three"])
+    assert [x.tolist() for x in ids] == [x.tolist() for x in right] and agreed == [False, True] and whole == [True, True]
+
+
+def test_unigram_models_are_rebuilt():
     pieces = [("<unk>", 0.0, 2), ("<s>", 0.0, 3), ("</s>", 0.0, 3)] + [(f"<0x{i:02X}>", -20.0, 6) for i in range(256)]
     pieces += [("▁", -3.0, 1), ("a", -2.5, 1), ("b", -2.6, 1), ("ab", -2.9, 1), ("▁a", -2.8, 1), ("ba", -9.0, 1)]
-    model = b"".join(blob(1, blob(1, p.encode()) + number(2 << 3 | 5) + struct.pack("<f", s) + number(3 << 3) + number(t)) for p, s, t in pieces)
-    model += blob(2, number(3 << 3) + number(1) + number(35 << 3) + number(1)) + blob(3, number(3 << 3) + number(1) + number(4 << 3) + number(0))
+    model = _model_file(pieces, op03_pieces.UNIGRAM)
     import sentencepiece
 
     own, codec = sentencepiece.SentencePieceProcessor(model_proto=model), op03_pieces.Codec(model, verify=False)
