@@ -172,3 +172,51 @@ def test_folds(spark):
     for f, (m, e) in enumerate(zip(models, errors, strict=True)):
         p = m.transform(df.where(F.col("fold") == f)).collect()
         assert sum(r["prediction"] == r["label"] for r in p) == e["right"]
+
+
+def test_level_sums_hold_no_copy_of_the_rows_per_feature():
+    """Sums equal a loop over rows, and a batch's working memory stays below
+    three whole numbers a row and feature (an index and two copies of the
+    gradients for every feature took more)."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from matchday.ml import boost as B
+
+    rng = np.random.default_rng(3)
+    n, width, classes = 20_000, 40, 3
+    x = rng.integers(0, 8, (n, width)).astype(np.uint8)
+    x[rng.random((n, width)) < 0.1] = B.MISSING
+    p = B.BoostParams(rounds=1, depth=2, rows=1.0, columns=1.0)
+    fit = B.Fit(p)
+    fit.booster = B.Booster([str(i) for i in range(width)], [list(range(7))] * width, classes, p)
+    fit.begin(width)
+    for t in fit.growing:
+        t.feature[0], t.cut[0] = 5, 3
+    fit.active = [[1, 2], [2], [1]]
+    jobs = [(0, k, nodes) for k, nodes in enumerate(fit.active)]
+    y = rng.integers(0, classes, n).astype(np.float64)
+    blob = lambda m: pa.array([r.tobytes() for r in m], pa.binary())
+    batch = pa.record_batch(
+        [blob(x), blob(np.zeros((n, classes))), pa.array(np.arange(n)), pa.array(np.full(n, -1, np.int32)), pa.array(y), pa.array(np.ones(n))],
+        names=["x", "m", "row", "fold", "y", "w"],
+    )
+    shared = type("Shared", (), {"value": ([fit], [0], width, 8, jobs)})
+    tracemalloc.start()
+    out = list(B._level_sums(shared)([batch]))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 2.5 * 8 * n * width
+    g, h = B._gradients(np.full((n, classes), B.BASE_SCORE), y, np.ones(n), classes)
+    goes_left = np.where(x[:, 5] == B.MISSING, False, x[:, 5] <= 3)
+    for b in out:
+        for i, k, node, sums in zip(*[c.to_pylist() for c in b.columns], strict=True):
+            got = np.frombuffer(sums, np.int64).reshape(width, 9, 2)
+            here = goes_left if node == 1 else ~goes_left
+            for f in (0, 5, width - 1):
+                at = np.minimum(x[:, f], 8)
+                for v in range(9):
+                    some = here & (at == v)
+                    assert got[f, v].tolist() == [int(g[some, k].sum()), int(h[some, k].sum())]
+    assert sum(b.num_rows for b in out) == 4
