@@ -31,6 +31,8 @@ NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 #: words whose ids a task remembers
 REMEMBER = 150_000
+#: words that are encoded as one text, where their ids can be told apart
+JOINED = 32
 
 
 # --------------------------------------------------------------- the model file
@@ -164,6 +166,9 @@ class Codec:
         self.model = PieceModel.parse(data)
         self.tok = build_tokenizer(self.model)
         self.by_word = _splits_at_marks(self.model)
+        # the ids of joined words begin at pieces with a mark: merges only, nothing is normalised again
+        self.joins = self.by_word and self.model.kind == BPE and self.tok.normalizer is None
+        self.opens = np.array([p.startswith(MARK) for p, _, _ in self.model.pieces], bool)
         self._forget()
         self.bytes, self.byte_start = _surfaces(self.model)
         self.own = None
@@ -177,6 +182,19 @@ class Codec:
         self.ids = np.zeros(0, np.int32)  # of all known words, one after the other
         self.start = np.zeros(1, np.int64)
         self.agreed = np.zeros(0, bool)  # whether both libraries give the word the same ids
+        self.uses = np.zeros(0, np.int64)
+
+    def _forget_rare(self) -> None:
+        """Keeps the words used more than once, at most half of what a task
+        remembers; their uses count half from now on."""
+        keep = np.flatnonzero(self.uses > 1)
+        if len(keep) > REMEMBER // 2:
+            keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[: REMEMBER // 2]])
+        words = list(self.place)
+        ids, size = _gather(self.ids, self.start, keep)
+        self.place = {words[k]: i for i, k in enumerate(keep.tolist())}
+        self.ids, self.start = ids, np.concatenate([[0], np.cumsum(size)])
+        self.agreed, self.uses = self.agreed[keep], self.uses[keep] // 2
 
     def normalise(self, text: str) -> str:
         """The text as the model's settings ask, with marks for spaces."""
@@ -199,13 +217,16 @@ class Codec:
 
     def _learn(self, words: set[str]) -> None:
         if len(self.place) > REMEMBER:
-            self._forget()
+            self._forget_rare()
         new = [w for w in words if w not in self.place]
+        plain = [w for w in new if self.joins and w.startswith(MARK) and len(w) > 1 and w.count(MARK) == 1]
+        joined = set(plain)
+        others = [w for w in new if w not in joined]
+        new = plain + others
         ids, sizes, agreed = [self.ids], [], [self.agreed]
-        for k in range(0, len(new), 5_000):
-            part = new[k : k + 5_000]
-            got = [e.ids for e in self.tok.encode_batch_fast(part, add_special_tokens=False)]
-            flat, size = _flat(got)
+        groups = [(some[k : k + 5_000], some is plain) for some in (plain, others) for k in range(0, len(some), 5_000)]
+        for part, join in groups:
+            flat, size = self._encode_words(part, join)
             ids.append(flat)
             sizes.append(size)
             agreed.append(self._same(part, flat, size))
@@ -214,6 +235,19 @@ class Codec:
             self.ids = np.concatenate(ids)
             self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.concatenate(sizes))])
             self.agreed = np.concatenate(agreed)
+            self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+
+    def _encode_words(self, words: list[str], join: bool) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has.  Words with one mark,
+        in front, are encoded some at a time: no piece reaches over a mark, so
+        each of them begins where a piece with a mark does."""
+        if join:
+            texts = ["".join(words[i : i + JOINED]) for i in range(0, len(words), JOINED)]
+            flat, _ = _flat([e.ids for e in self.tok.encode_batch_fast(texts, add_special_tokens=False)])
+            begin = np.flatnonzero(self.opens[flat])
+            if len(begin) == len(words):
+                return flat, np.diff(begin, append=len(flat))
+        return _flat([e.ids for e in self.tok.encode_batch_fast(words, add_special_tokens=False)])
 
     def _same(self, words: list[str], flat: np.ndarray, size: np.ndarray) -> np.ndarray:
         """Per word, whether the SentencePiece library has the same ids; words
@@ -243,6 +277,7 @@ class Codec:
         self._learn({w for words in split for w in words})
         counts = np.array([len(words) for words in split], np.int64)
         words = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
+        self.uses += np.bincount(words, minlength=len(self.uses))
         flat, size = _gather(self.ids, self.start, words)
         upto = np.concatenate([[0], np.cumsum(size)])
         border = np.concatenate([[0], np.cumsum(counts)])
