@@ -14,9 +14,9 @@ import hashlib
 import os
 import re
 import struct
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
 from dataclasses import dataclass, field
-from itertools import chain
+from itertools import chain, compress, repeat
 
 import numpy as np
 import pyarrow as pa
@@ -29,10 +29,12 @@ MARK = "\u2581"
 # values of the model format: piece types and model types
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
-#: words whose ids a task remembers
-REMEMBER = 150_000
+#: words whose ids a task remembers, and how many ids they have on average at most
+REMEMBER, IDS_A_WORD = 300_000, 8
 #: words that are encoded as one text, where their ids can be told apart
-JOINED = 32
+JOINED = 64
+#: characters of the texts that are encoded at once, one text at least
+GROUP = 1 << 19
 
 
 # --------------------------------------------------------------- the model file
@@ -127,7 +129,7 @@ def _merges(vocab: dict[str, int], scores: dict[str, float]) -> list[tuple[str,
 
 def build_tokenizer(model: PieceModel):
     """The Tokenizers-library twin for text whose spaces are marks already
-    (the operator adds the marks, see :meth:`Codec.split`)."""
+    (the operator adds the marks, see :meth:`Codec.normalise`)."""
     from tokenizers import Tokenizer, decoders, models, normalizers
 
     vocab = {p: i for i, (p, _, _) in enumerate(model.pieces)}
@@ -154,7 +156,7 @@ def _splits_at_marks(model: PieceModel) -> bool:
     return not any(re.search(f"[^{MARK}]{MARK}", p) for p, _, t in model.pieces if t in (NORMAL, USER))
 
 
-_WORDS = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+")
+_MARK = MARK.encode()
 
 
 class Codec:
@@ -185,11 +187,10 @@ class Codec:
         self.uses = np.zeros(0, np.int64)
 
     def _forget_rare(self) -> None:
-        """Keeps the words used more than once, at most half of what a task
-        remembers; their uses count half from now on."""
-        keep = np.flatnonzero(self.uses > 1)
-        if len(keep) > REMEMBER // 2:
-            keep = np.sort(keep[np.argsort(-self.uses[keep], kind="stable")[: REMEMBER // 2]])
+        """Keeps the words used more than once, the most used up to half of
+        what a task remembers; their uses count half from now on."""
+        keep = np.argsort(-self.uses, kind="stable")[: min(np.count_nonzero(self.uses > 1), REMEMBER // 2)]
+        keep = np.sort(keep[np.cumsum(np.diff(self.start)[keep]) <= REMEMBER // 2 * IDS_A_WORD])
         words = list(self.place)
         ids, size = _gather(self.ids, self.start, keep)
         self.place = {words[k]: i for i, k in enumerate(keep.tolist())}
@@ -209,20 +210,37 @@ class Codec:
             text = " " + text
         return text.replace(" ", MARK) if self.model.escape_spaces else text
 
-    def split(self, text: str) -> list[str]:
-        marked = self.normalise(text)
-        if not marked:
-            return []
-        return _WORDS.findall(marked) if self.by_word else [marked]
-
-    def _learn(self, words: set[str]) -> None:
-        if len(self.place) > REMEMBER:
+    def _words(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
+        """The different words of all texts, the place among them of each
+        word, text after text, and how many words each text has.  A word
+        begins with its text or with a run of marks; where words cannot be
+        encoded one by one, a text is one word."""
+        marked = [self.normalise(t).encode() for t in texts]
+        raw = b"".join(marked)
+        border = np.concatenate([[0], np.cumsum(np.fromiter(map(len, marked), np.int64, len(marked)))])
+        begins = np.zeros(len(raw) + 1, bool)
+        begins[border] = True
+        if self.by_word:
+            at = _marks(np.frombuffer(raw, np.uint8))
+            begins[at[np.diff(at, prepend=-len(_MARK)) != len(_MARK)]] = True  # the first of a run of marks
+        begins[-1] = True
+        start = np.flatnonzero(begins)
+        buffers = [None, pa.py_buffer(start), pa.py_buffer(raw)]
+        words = pa.Array.from_buffers(pa.large_string(), len(start) - 1, buffers).dictionary_encode()
+        return words.dictionary.to_numpy(zero_copy_only=False).tolist(), words.indices.to_numpy(), np.diff(np.searchsorted(start, border))
+
+    def _learn(self, words: Collection[str]) -> np.ndarray:
+        """The places of different words, which are known from now on."""
+        if len(self.place) > REMEMBER or len(self.ids) > REMEMBER * IDS_A_WORD:
             self._forget_rare()
-        new = [w for w in words if w not in self.place]
-        plain = [w for w in new if self.joins and w.startswith(MARK) and len(w) > 1 and w.count(MARK) == 1]
-        joined = set(plain)
-        others = [w for w in new if w not in joined]
+        place = np.fromiter(map(self.place.get, words, repeat(-1)), np.int64, len(words))
+        unknown = np.flatnonzero(place < 0)
+        new = list(compress(words, (place < 0).tolist()))
+        # one mark, in front of something
+        join = np.array([self.joins and w.rfind(MARK) == 0 < len(w) - 1 for w in new], bool)
+        plain, others = list(compress(new, join.tolist())), list(compress(new, (~join).tolist()))
         new = plain + others
+        place[np.concatenate([unknown[join], unknown[~join]])] = np.arange(len(self.place), len(self.place) + len(new))
         ids, sizes, agreed = [self.ids], [], [self.agreed]
         groups = [(some[k : k + 5_000], some is plain) for some in (plain, others) for k in range(0, len(some), 5_000)]
         for part, join in groups:
@@ -236,6 +254,7 @@ class Codec:
             self.start = np.concatenate([self.start, self.start[-1] + np.cumsum(np.concatenate(sizes))])
             self.agreed = np.concatenate(agreed)
             self.uses = np.concatenate([self.uses, np.zeros(len(new), np.int64)])
+        return place
 
     def _encode_words(self, words: list[str], join: bool) -> tuple[np.ndarray, np.ndarray]:
         """The ids of all words, and how many each has.  Words with one mark,
@@ -256,9 +275,12 @@ class Codec:
         m = self.model
         if self.own is None:
             return np.ones(len(words), bool)
-        plain = [w.replace(MARK, " ") for w in words] if m.escape_spaces else words
+        plain = words
         if m.dummy_prefix:
-            plain = [t[1:] if t.startswith(" ") else t for t in plain]
+            space = MARK if m.escape_spaces else " "
+            plain = [w[1:] if w[0] == space else w for w in words]
+        if m.escape_spaces:
+            plain = [w.replace(MARK, " ") if MARK in w else w for w in plain]
         theirs, count = _flat(self.own.encode(plain, num_threads=1))
         out = count == size
         if out.all() and np.array_equal(theirs, flat):
@@ -273,11 +295,10 @@ class Codec:
     def encode(self, texts: list[str]) -> tuple[list[np.ndarray], list[bool], list[bool]]:
         """Per text its ids, whether both libraries agree on all its words,
         and whether its ids, decoded, give the text back."""
-        split = [self.split(t) for t in texts]
-        self._learn({w for words in split for w in words})
-        counts = np.array([len(words) for words in split], np.int64)
-        words = np.fromiter(map(self.place.__getitem__, chain.from_iterable(split)), np.int64, int(counts.sum()))
-        self.uses += np.bincount(words, minlength=len(self.uses))
+        different, which, counts = self._words(texts)
+        place = self._learn(different)
+        self.uses[place] += np.bincount(which, minlength=len(place))
+        words = place[which]
         flat, size = _gather(self.ids, self.start, words)
         upto = np.concatenate([[0], np.cumsum(size)])
         border = np.concatenate([[0], np.cumsum(counts)])
@@ -313,6 +334,12 @@ def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
     return np.fromiter(chain.from_iterable(lists), np.int32, int(size.sum())), size
 
 
+def _marks(raw: np.ndarray) -> np.ndarray:
+    """Where the marks begin in the bytes of a text."""
+    at = np.flatnonzero(raw[: max(len(raw) - 2, 0)] == _MARK[0])
+    return at[(raw[at + 1] == _MARK[1]) & (raw[at + 2] == _MARK[2])]
+
+
 def _gather(values: np.ndarray, start: np.ndarray, which: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """The runs values[start[i]:start[i + 1]] of ``which``, one after the other, and their sizes."""
     begin = start[which]
@@ -348,9 +375,9 @@ def _encode(data, threads: int, verify: bool, with_ids: bool):
         for batch in batches:
             texts = batch.column("text").to_pylist()
             start = 0
-            while start < len(texts):  # groups of about half a million characters
+            while start < len(texts):
                 size, end = 0, start
-                while end < len(texts) and (end == start or size < 1 << 19):
+                while end < len(texts) and (end == start or size < GROUP):
                     size += len(texts[end] or "")
                     end += 1
                 part = texts[start:end]
