@@ -220,3 +220,62 @@ def test_level_sums_hold_no_copy_of_the_rows_per_feature():
                     some = here & (at == v)
                     assert got[f, v].tolist() == [int(g[some, k].sum()), int(h[some, k].sum())]
     assert sum(b.num_rows for b in out) == 4
+
+
+def _other_draws():
+    """Unlike each other: whole rows and columns, no penalty of a split, weights that forbid splits, more rounds than a snapshot."""
+    return [
+        B.BoostParams(rounds=5, depth=5, rate=0.3, gain=0.05, l2=0.3, rows=0.85, columns=0.6, seed=5),
+        B.BoostParams(rounds=3, depth=3, rate=0.5, gain=0.0, l2=1e-3, rows=1.0, columns=1.0, min_weight=0.1, seed=6),
+        B.BoostParams(rounds=2, depth=6, rate=0.1, gain=0.8, l2=2.0, rows=0.5, columns=0.3, min_weight=3.0, seed=7),
+    ]
+
+
+@pytest.mark.parametrize("classes", [3, 0])
+def test_model_in_one_task_equals_levels_over_the_rows(spark, monkeypatch, classes):
+    from matchday.ml import grow
+
+    monkeypatch.setattr(B, "SNAPSHOT", 2)
+    x, y, w = _data(400, seed=11)
+    x[:, 3] = np.where(np.isnan(x[:, 3]), np.nan, 1.0)  # one value or none
+    y = y if classes else np.round(np.nan_to_num(x[:, 0]) * 2 + y, 3)
+    df = _frame(spark, x, y, w)
+    cuts = B.quantile_cuts(df, FEATS, 16)
+    rows = B.binned(df, FEATS, cuts, "label", "weight", "id", "fold")
+    fits = [B.Fit(p, skip=s) for p in _other_draws() for s in (1, None)]
+    B.Training(rows, FEATS, cuts, classes, fits).run()
+    held = rows.toPandas()
+    bins = np.array([list(b) for b in held["x"]], np.uint8)
+    table = grow.Rows(*[held[c].to_numpy() for c in ("row", "fold", "y", "w")], bins, cuts)
+    for sums in (1 << 16, 100):
+        monkeypatch.setattr(grow, "NODE_SUMS", sums)
+        monkeypatch.setattr(grow, "HELD_SUMS", 4 * sums)
+        monkeypatch.setattr(grow, "ROW_BINS", sums)
+        for f in fits:
+            got = grow.margins(table, f.params, f.skip, classes, B.SNAPSHOT)
+            np.testing.assert_allclose(got, f.booster.margins(bins) + B.BASE_SCORE, rtol=0, atol=1e-12)
+
+
+def test_search_by_model_equals_search_by_level(spark, monkeypatch):
+    x, y, w = _data(250, seed=6)
+    df = _frame(spark, x, y, w)
+    monkeypatch.setattr(B, "SNAPSHOT", 2)
+    run = lambda: B.search(df, FEATS, "label", "weight", "id", 3, "fold", 5, _other_draws()).orderBy("draw", "fold").collect()
+    by_model = run()
+    monkeypatch.setattr(B, "WHOLE_BYTES", 0)
+    monkeypatch.setattr(B, "TREE_BYTES", 100_000)
+    assert len(list(B._groups([B.Fit(p, skip=f) for p in _other_draws() for f in range(5)], 3))) == 2
+    monkeypatch.setattr(B, "_whole_models", None)
+    assert run() == by_model and [r["rounds"] for r in by_model] == [5] * 5 + [3] * 5 + [2] * 5
+
+
+def test_search_of_no_rows(spark):
+    schema = "id long, a double, b double, c double, d double, label double, weight double, fold int"
+    rows = B.search(spark.createDataFrame([], schema), FEATS, "label", "weight", "id", 1, "fold", 2, _other_draws()).collect()
+    assert len(rows) == 6 and all(r["n_rows"] == 0 and r["mse"] is None for r in rows)
+
+
+def test_registered_search_has_the_references_draws():
+    from matchday.plans import model_jobs as MJ
+
+    assert MJ.N_DRAWS == 80

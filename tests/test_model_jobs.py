@@ -84,6 +84,11 @@ def test_search_rows(spark, short):
     assert all(r["mse"] >= 0 for r in rows if r["n_rows"])
 
 
+def test_search_runs_draws_whole(spark, short):
+    ran = {(r["draw"], r["rounds"], r["depth"], r["rate"], r["gain"], r["l2"]) for r in MJ.q35_param_search(spark, SF).collect()}
+    assert ran == {(i, p.rounds, p.depth, p.rate, p.gain, p.l2) for i, p in enumerate(B.random_draws(3))}
+
+
 def test_permutation_importance_equals_copied_rows(spark, short):
     from matchday.ml.explain import permutation_importance
 
